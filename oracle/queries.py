@@ -121,3 +121,82 @@ FROM sales GROUP BY branch"""
 q("a3_branch_totals", sales_sql(BRANCH_TOTALS))
 q("t1_top_branches", sales_sql(
     "SELECT * FROM bt ORDER BY revenue_total DESC, branch ASC LIMIT 10", extra={"bt": BRANCH_TOTALS}))
+
+
+# =========================================================================== stock + audits
+
+AS = d(AS_OF)
+METRICS = ", ".join(__import__("stocklens.sources.contracts", fromlist=["GEF_METRICS"]).GEF_METRICS)
+
+
+def prepared(kind: str) -> str:
+    cond = "store_status = 'ATIVA' AND stock_place = 'L'" if kind == "LOJA" else "stock_place = 'D'"
+    return f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, sku, branch ORDER BY ingested_at DESC, stock_value DESC) AS rn
+  FROM (SELECT CAST(ingested_at AS DATE) AS date, sku, branch, stock_place, store_status,
+               stock_qty, stock_value, cmv_sales_value, ingested_at, '{kind}' AS stock_kind,
+               CAST(stock_value AS DOUBLE) / NULLIF(CAST(cmv_sales_value AS DOUBLE), 0) AS dde
+        FROM stock WHERE stock_date >= {AS} AND {cond}))
+WHERE rn = 1"""
+
+
+STOCK_CTES = {
+    "st_l": prepared("LOJA"),
+    "st_d": prepared("CD"),
+    "gef_feed": f"SELECT sku, branch, stock_date AS date, {METRICS} FROM gef",
+    "gef_clean": "SELECT DISTINCT * FROM gef_feed",
+    "pairs": "SELECT DISTINCT delivering_cd, store FROM supply_plan_stock",
+    "gef_cd": "SELECT g.*, p.delivering_cd FROM gef_clean g JOIN pairs p ON g.branch = p.store",
+    "rollup": """
+SELECT CAST(delivering_cd AS INTEGER) AS branch, sku, date,
+       CAST(SUM(safety_stock) AS BIGINT) AS safety_stock, AVG(lead_time) AS lead_time,
+       AVG(safety_cover_days) AS safety_cover_days, CAST(SUM(target_stock) AS BIGINT) AS target_stock,
+       AVG(current_cover) AS current_cover, AVG(target_cover) AS target_cover,
+       CAST(SUM(ddv_clean) AS BIGINT) AS ddv_clean, CAST(SUM(ddv_future) AS BIGINT) AS ddv_future,
+       CAST(SUM(grade) AS BIGINT) AS grade, CAST(SUM(in_transit) AS BIGINT) AS in_transit,
+       CAST(SUM(projected_stock) AS BIGINT) AS projected_stock,
+       CAST(SUM(cover_with_transit_days) AS BIGINT) AS cover_with_transit_days,
+       CAST(SUM(mean_3) AS BIGINT) AS mean_3, CAST(SUM(mean_6) AS BIGINT) AS mean_6,
+       CAST(SUM(mean_9) AS BIGINT) AS mean_9, CAST(SUM(mean_12) AS BIGINT) AS mean_12,
+       CAST(SUM(ddv_so) AS BIGINT) AS ddv_so, CAST(SUM(ddv_co) AS BIGINT) AS ddv_co,
+       CAST(SUM(cluster_obg) AS BIGINT) AS cluster_obg, CAST(SUM(cluster_sug) AS BIGINT) AS cluster_sug
+FROM gef_cd GROUP BY delivering_cd, sku, date""",
+    "stores": "SELECT s.*, g.* EXCLUDE (branch, sku, date) FROM st_l s LEFT JOIN gef_clean g USING (branch, sku, date)",
+    "cds": "SELECT s.*, r.* EXCLUDE (branch, sku, date) FROM st_d s LEFT JOIN rollup r USING (branch, sku, date)",
+}
+STOCK_FIX = ("stock", "gef", "supply_plan_stock")
+STOCK_OUT = """* EXCLUDE (ingested_at, stock_qty, stock_value, cmv_sales_value),
+       CAST(stock_qty AS DOUBLE) AS stock_qty, CAST(stock_value AS DOUBLE) AS stock_value,
+       CAST(cmv_sales_value AS DOUBLE) AS cmv_sales_value"""
+
+
+def stock_sql(body: str, extra: dict[str, str] | None = None) -> str:
+    return with_fixtures(body, *STOCK_FIX, extra={**STOCK_CTES, **(extra or {})})
+
+
+q("p3_filter_stock", stock_sql(f"""
+SELECT {STOCK_OUT} FROM stock
+WHERE stock_date >= {AS} AND ((store_status = 'ATIVA' AND stock_place = 'L') OR stock_place = 'D')"""))
+q("d1_days_of_stock", stock_sql(
+    "SELECT date, branch, sku, stock_kind, dde FROM st_l UNION ALL SELECT date, branch, sku, stock_kind, dde FROM st_d"))
+q("p5_select_rename", stock_sql("SELECT * FROM gef_feed"))
+q("a5_duplicate_keys", stock_sql(
+    "SELECT branch, sku, date, COUNT(*) AS count FROM gef_feed GROUP BY branch, sku, date HAVING COUNT(*) > 1"))
+q("v2_audit_keys", stock_sql("""
+SELECT COUNT(*) AS duplicate_keys, CAST(COALESCE(SUM(c), 0) AS BIGINT) AS rows_in_duplicates
+FROM (SELECT COUNT(*) AS c FROM gef_feed GROUP BY branch, sku, date HAVING COUNT(*) > 1)"""))
+q("a8_dedupe", stock_sql("SELECT * FROM gef_clean"))
+q("j5_enrich_stock", stock_sql(f"SELECT {STOCK_OUT} FROM stores"))
+q("p8_matched", stock_sql("SELECT date, branch, sku, safety_stock FROM stores WHERE safety_stock IS NOT NULL"))
+q("v3_audit_join", stock_sql("""
+SELECT b.n AS rows_before, a.n AS rows_after, a.n - b.n AS row_growth, a.m AS matched_rows,
+       ROUND(a.m * 100.0 / NULLIF(a.n, 0), 2) AS match_pct
+FROM (SELECT COUNT(*) AS n FROM st_l) b,
+     (SELECT COUNT(*) AS n, COUNT(safety_stock) AS m FROM stores) a"""))
+q("j6_map_store_to_cd", stock_sql("SELECT date, branch, sku, delivering_cd, safety_stock, lead_time FROM gef_cd"))
+q("a4_rollup_gef_to_cd", stock_sql("SELECT * FROM rollup"))
+q("j7_enrich_cd_stock", stock_sql(f"SELECT {STOCK_OUT} FROM cds"))
+q("a7_distinct_keys", with_fixtures("SELECT DISTINCT branch, sku FROM lines", *SALES_FIX, extra=LINES_CTES))
+q("t2_ordered_dates", with_fixtures(
+    "SELECT DISTINCT invoice_date FROM quantity_sales ORDER BY invoice_date LIMIT 10", "quantity_sales"))

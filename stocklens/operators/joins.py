@@ -1,0 +1,31 @@
+"""Join helpers.
+
+Broadcast policy: no operator hard-codes ``broadcast()``. With AQE on, Spark measures each
+join side at run time and turns a sort-merge join into a broadcast hash join only when the
+measured side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``: that is the size
+check, and the shuffle join is the way beyond it. ``broadcast_if_small`` is the explicit
+variant for a caller that wants a row bound checked before planning.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows (bounded check: reads at
+    most max_rows + 1 rows); otherwise return ``df`` unchanged for a shuffle join."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
+def first_per_key(df: DataFrame, key: str, rank: str) -> DataFrame:
+    """One row per ``key``: the one with the lowest ``rank`` (ties: lowest other values).
+
+    ``min(struct)`` aggregate: partial aggregation before the shuffle, skew-safe.
+    """
+    rest = [c for c in df.columns if c not in (key, rank)]
+    packed = F.struct(F.col(rank), *[F.col(c) for c in rest]).alias("_r")
+    best = df.select(key, packed).groupBy(key).agg(F.min("_r").alias("_r"))
+    return best.select(key, *[F.col(f"_r.{c}").alias(c) for c in [rank, *rest]]).select(*df.columns)

@@ -107,3 +107,103 @@ def _a3(i: Inputs) -> DataFrame:
 @register("t1_top_branches")
 def _t1(i: Inputs) -> DataFrame:
     return sales.top_branches(_dense(i), 10)
+
+
+# =========================================================================== stock (M3) + audits (M2)
+
+from stocklens.functions.columns import to_double  # noqa: E402
+from stocklens.operators import filters, stock  # noqa: E402
+from stocklens.sources.contracts import GEF_METRICS  # noqa: E402
+
+STOCK_VALUES = ("stock_qty", "stock_value", "cmv_sales_value")
+
+
+def _stock_out(df: DataFrame) -> DataFrame:
+    """Published stock columns; decimals as double, the ingestion timestamp left out."""
+    cols = [c for c in df.columns if c != "ingested_at"]
+    return df.select(*[to_double(c).alias(c) if c in STOCK_VALUES else F.col(c) for c in cols])
+
+
+def _stores(i: Inputs) -> DataFrame:
+    return stock.enrich_stock(stock.prepare_stock(i.stock, "LOJA", P.as_of), stock.clean_gef(i.gef))
+
+
+def _cds(i: Inputs) -> DataFrame:
+    rollup = stock.rollup_gef_to_cd(stock.map_store_to_cd(stock.clean_gef(i.gef), i.supply_plan_stock))
+    return stock.enrich_cd_stock(stock.prepare_stock(i.stock, "CD", P.as_of), rollup)
+
+
+@register("p3_filter_stock")
+def _p3(i: Inputs) -> DataFrame:
+    rows = filters.filter_stock(i.stock, "LOJA", P.as_of).unionByName(filters.filter_stock(i.stock, "CD", P.as_of))
+    return _stock_out(rows)
+
+
+@register("d1_days_of_stock")
+def _d1(i: Inputs) -> DataFrame:
+    rows = stock.prepare_stock(i.stock, "LOJA", P.as_of).unionByName(stock.prepare_stock(i.stock, "CD", P.as_of))
+    return rows.select("date", "branch", "sku", "stock_kind", "dde")
+
+
+@register("p5_select_rename")
+def _p5(i: Inputs) -> DataFrame:
+    return stock.gef_feed(i.gef)
+
+
+@register("a5_duplicate_keys")
+def _a5(i: Inputs) -> DataFrame:
+    return quality.duplicate_keys(stock.gef_feed(i.gef), stock.KEYS)
+
+
+@register("v2_audit_keys")
+def _v2(i: Inputs) -> DataFrame:
+    return quality.audit_keys(stock.gef_feed(i.gef), stock.KEYS)
+
+
+@register("a8_dedupe")
+def _a8(i: Inputs) -> DataFrame:
+    return stock.clean_gef(i.gef)
+
+
+@register("j5_enrich_stock")
+def _j5(i: Inputs) -> DataFrame:
+    return _stock_out(_stores(i))
+
+
+@register("p8_matched")
+def _p8(i: Inputs) -> DataFrame:
+    return filters.matched(_stock_out(_stores(i)), "safety_stock").select("date", "branch", "sku", "safety_stock")
+
+
+@register("v3_audit_join")
+def _v3(i: Inputs) -> DataFrame:
+    left = stock.prepare_stock(i.stock, "LOJA", P.as_of)
+    return quality.audit_join(left, _stores(i), "safety_stock")
+
+
+@register("j6_map_store_to_cd")
+def _j6(i: Inputs) -> DataFrame:
+    return stock.map_store_to_cd(stock.clean_gef(i.gef), i.supply_plan_stock).select(
+        "date", "branch", "sku", "delivering_cd", "safety_stock", "lead_time"
+    )
+
+
+@register("a4_rollup_gef_to_cd")
+def _a4(i: Inputs) -> DataFrame:
+    return stock.rollup_gef_to_cd(stock.map_store_to_cd(stock.clean_gef(i.gef), i.supply_plan_stock))
+
+
+@register("j7_enrich_cd_stock")
+def _j7(i: Inputs) -> DataFrame:
+    return _stock_out(_cds(i))
+
+
+@register("a7_distinct_keys")
+def _a7(i: Inputs) -> DataFrame:
+    lines = sales.sales_lines(i.rated_sales, i.quantity_sales, P.start, P.as_of, None)
+    return quality.distinct_keys(lines, ("branch", "sku"))
+
+
+@register("t2_ordered_dates")
+def _t2(i: Inputs) -> DataFrame:
+    return quality.distinct_keys(i.quantity_sales, ("invoice_date",)).orderBy("invoice_date").limit(10)
