@@ -200,3 +200,115 @@ q("j7_enrich_cd_stock", stock_sql(f"SELECT {STOCK_OUT} FROM cds"))
 q("a7_distinct_keys", with_fixtures("SELECT DISTINCT branch, sku FROM lines", *SALES_FIX, extra=LINES_CTES))
 q("t2_ordered_dates", with_fixtures(
     "SELECT DISTINCT invoice_date FROM quantity_sales ORDER BY invoice_date LIMIT 10", "quantity_sales"))
+
+
+# =========================================================================== master
+
+from stocklens.functions.dates import month_end, period_bounds  # noqa: E402
+
+B = period_bounds(AS_OF)
+MA = (7, 14, 30, 60, 90)
+MEAS = ("revenue", "qty")
+
+
+def cents(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(28,2))"
+
+
+def period_sql(month_mode: str) -> list[str]:
+    conds = {p: f"date >= {d(B[p])}" for p in ("mtd", "ytd", "last7d", "last30d", "last90d", "last4w")}
+    for p in ("m1", "m2", "m3"):
+        conds[p] = f"date = {d(B[p])}" if month_mode == "first_day" else f"date BETWEEN {d(B[p])} AND {d(month_end(B[p]))}"
+    return [
+        f"CAST(SUM(CASE WHEN {c} THEN {cents(m)} ELSE 0 END) AS DOUBLE) AS {m}_{p}"
+        for p, c in conds.items() for m in MEAS
+    ]
+
+
+MM_WINDOW = ",\n       ".join(
+    f"CAST(SUM({cents(m)}) OVER (PARTITION BY branch, sku ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS DOUBLE) / {n}.0 AS {m}_mm{n}d"
+    for n in MA for m in MEAS
+)
+MM_NAMES = [f"{m}_mm{n}d" for n in MA for m in MEAS]
+
+
+def summary_sql(month_mode: str) -> str:
+    cols = [
+        f"CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue_total",
+        f"CAST(SUM({cents('qty')}) AS DOUBLE) AS qty_total",
+        "CAST(SUM(sold) AS BIGINT) AS sale_days",
+        f"CAST(SUM({cents('revenue_off')}) AS DOUBLE) AS revenue_off_total",
+        f"CAST(SUM({cents('qty_off')}) AS DOUBLE) AS qty_off_total",
+        f"CAST(SUM({cents('revenue_on')}) AS DOUBLE) AS revenue_on_total",
+        f"CAST(SUM({cents('qty_on')}) AS DOUBLE) AS qty_on_total",
+        *period_sql(month_mode),
+        *[f"arg_max({c}, date) AS {c}" for c in MM_NAMES],
+        "COUNT(DISTINCT date) AS grid_days", "MIN(date) AS grid_first", "MAX(date) AS grid_last",
+        "COUNT(DISTINCT CASE WHEN qty > 0 THEN date END) AS active_days",
+        "MIN(CASE WHEN qty > 0 THEN date END) AS first_sale",
+        "MAX(CASE WHEN qty > 0 THEN date END) AS last_sale",
+    ]
+    return "SELECT branch, sku,\n       " + ",\n       ".join(cols) + "\nFROM sales_mm GROUP BY branch, sku"
+
+
+MASTER_CTES = {
+    **DENSE_CTES,
+    **STOCK_CTES,
+    "sales_mm": f"SELECT *, {MM_WINDOW} FROM sales",
+    "summary": summary_sql("first_day"),
+    "summary_full": summary_sql("full_month"),
+}
+MASTER_FIX = SALES_FIX + STOCK_FIX
+CURRENT = """* EXCLUDE (stock_qty, stock_value, dde, ingested_at, cmv_sales_value),
+       CAST(stock_qty AS DOUBLE) AS current_stock_qty, CAST(stock_value AS DOUBLE) AS current_stock_value,
+       dde AS current_dde, CAST(cmv_sales_value AS DOUBLE) AS cmv_sales_value"""
+
+
+def master_sql(body: str, extra: dict[str, str] | None = None) -> str:
+    return with_fixtures(body, *MASTER_FIX, extra={**MASTER_CTES, **(extra or {})})
+
+
+def master_of(stock_cte: str) -> str:
+    return f"""
+SELECT c.* EXCLUDE (date), {AS} AS date, s.* EXCLUDE (branch, sku)
+FROM (SELECT {CURRENT} FROM {stock_cte} WHERE date = {AS}) c
+LEFT JOIN summary s ON c.branch = s.branch AND c.sku = s.sku"""
+
+
+def zero_filled(cte: str) -> str:
+    fill = [f"COALESCE({c}, 0) AS {c}" for c in SUMMARY_FILL]
+    return f"SELECT * REPLACE ({', '.join(fill)}) FROM {cte}"
+
+
+SUMMARY_FILL = (
+    ["revenue_total", "qty_total", "revenue_off_total", "qty_off_total", "revenue_on_total", "qty_on_total"]
+    + [f"{m}_{p}" for p in ("mtd", "ytd", "last7d", "last30d", "last90d", "last4w", "m1", "m2", "m3") for m in MEAS]
+    + MM_NAMES
+)
+
+q("w1_with_row_number", sales_sql(
+    "SELECT *, CAST(row_number() OVER (PARTITION BY branch, sku ORDER BY date) AS INTEGER) AS row_number FROM sales"))
+q("w2_period_totals", sales_sql(
+    "SELECT branch, sku, " + ", ".join(period_sql("first_day")) + " FROM sales GROUP BY branch, sku"))
+q("w2_period_totals_full_month", sales_sql(
+    "SELECT branch, sku, " + ", ".join(period_sql("full_month")) + " FROM sales GROUP BY branch, sku"))
+q("w3_moving_averages", master_sql("SELECT * FROM sales_mm"))
+q("w4_period_bounds", sales_sql("""
+SELECT as_of,
+       CAST(date_trunc('month', as_of) AS DATE) AS mtd_start, CAST(date_trunc('year', as_of) AS DATE) AS ytd_start,
+       CAST(as_of - INTERVAL 7 DAY AS DATE) AS last7d_start, CAST(as_of - INTERVAL 14 DAY AS DATE) AS last14d_start,
+       CAST(as_of - INTERVAL 30 DAY AS DATE) AS last30d_start, CAST(as_of - INTERVAL 60 DAY AS DATE) AS last60d_start,
+       CAST(as_of - INTERVAL 90 DAY AS DATE) AS last90d_start, CAST(as_of - INTERVAL 28 DAY AS DATE) AS last4w_start,
+       CAST(date_trunc('month', as_of) - INTERVAL 1 MONTH AS DATE) AS m1_start,
+       CAST(date_trunc('month', as_of) - INTERVAL 2 MONTH AS DATE) AS m2_start,
+       CAST(date_trunc('month', as_of) - INTERVAL 3 MONTH AS DATE) AS m3_start
+FROM (SELECT MAX(date) AS as_of FROM sales)"""))
+q("w5_latest_per_key", master_sql(
+    "SELECT branch, sku, " + ", ".join(f"arg_max({c}, date) AS {c}" for c in MM_NAMES) + " FROM sales_mm GROUP BY branch, sku"))
+q("a6_sales_summary", master_sql("SELECT * FROM summary"))
+q("a6_sales_summary_full_month", master_sql("SELECT * FROM summary_full"))
+q("p4_snapshot", master_sql(f"SELECT {CURRENT} FROM stores WHERE date = {AS}"))
+q("j8_build_master", master_sql(zero_filled("m"), extra={"m": master_of("stores")}))
+q("j8_build_master_cds", master_sql(zero_filled("m"), extra={"m": master_of("cds")}))
+q("p7_fill_zero", master_sql(
+    "SELECT branch, sku, " + ", ".join(SUMMARY_FILL) + " FROM z", extra={"m": master_of("cds"), "z": zero_filled("m")}))

@@ -207,3 +207,80 @@ def _a7(i: Inputs) -> DataFrame:
 @register("t2_ordered_dates")
 def _t2(i: Inputs) -> DataFrame:
     return quality.distinct_keys(i.quantity_sales, ("invoice_date",)).orderBy("invoice_date").limit(10)
+
+
+# =========================================================================== master (M4)
+
+from stocklens.operators import master  # noqa: E402
+
+MM_COLS = [f"{m}_mm{n}d" for n in master.MA_DAYS for m in master.MEASURES]
+
+
+@register("w1_with_row_number")
+def _w1(i: Inputs) -> DataFrame:
+    return master.with_row_number(_dense(i))
+
+
+@register("w2_period_totals")
+def _w2(i: Inputs) -> DataFrame:
+    return master.period_totals(_dense(i), P.as_of, "first_day")
+
+
+@register("w2_period_totals_full_month")
+def _w2f(i: Inputs) -> DataFrame:
+    return master.period_totals(_dense(i), P.as_of, "full_month")
+
+
+@register("w3_moving_averages")
+def _w3(i: Inputs) -> DataFrame:
+    return master.moving_averages(_dense(i))
+
+
+@register("w4_period_bounds")
+def _w4(i: Inputs) -> DataFrame:
+    """Bounds of the periods for the latest day present in the sales table."""
+    latest = _dense(i).agg(F.max("date").alias("as_of"))
+    return latest.select("as_of", *[c.alias(n) for n, c in master.period_bounds_columns(F.col("as_of")).items()])
+
+
+@register("w5_latest_per_key")
+def _w5(i: Inputs) -> DataFrame:
+    return master.latest_per_key(master.moving_averages(_dense(i)), master.KEY, "date", MM_COLS)
+
+
+@register("a6_sales_summary")
+def _a6(i: Inputs) -> DataFrame:
+    return master.sales_summary(_dense(i), P.as_of, "first_day")
+
+
+@register("a6_sales_summary_full_month")
+def _a6f(i: Inputs) -> DataFrame:
+    return master.sales_summary(_dense(i), P.as_of, "full_month")
+
+
+@register("p4_snapshot")
+def _p4(i: Inputs) -> DataFrame:
+    return _stock_out(master.current_stock(_stores(i), P.as_of))
+
+
+def _master(i: Inputs, stock_df: DataFrame) -> DataFrame:
+    s = master.sales_summary(_dense(i), P.as_of, P.month_mode)
+    return _stock_out(master.build_master(master.current_stock(stock_df, P.as_of), s, P.as_of))
+
+
+@register("j8_build_master")
+def _j8(i: Inputs) -> DataFrame:
+    """Master table of stores (without the processing-time column)."""
+    return _master(i, _stores(i))
+
+
+@register("j8_build_master_cds")
+def _j8c(i: Inputs) -> DataFrame:
+    return _master(i, _cds(i))
+
+
+@register("p7_fill_zero")
+def _p7(i: Inputs) -> DataFrame:
+    """Sales columns of the CD master: zero where a CD key had no sale."""
+    m = _master(i, _cds(i))
+    return m.select("branch", "sku", *[c for c in m.columns if c.startswith(("revenue_", "qty_"))])
