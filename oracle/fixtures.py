@@ -122,8 +122,9 @@ FIXTURES = {
 }
 
 
-def with_fixtures(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_fixtures(body: str, *names: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
     """``WITH <fixtures>, <extra> <body>``: fixtures first, then query-specific CTEs in order."""
     ctes = [f"{n} AS ({FIXTURES[n]()})" for n in names]
     ctes += [f"{n} AS ({sql})" for n, sql in (extra or {}).items()]
-    return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(ctes) + "\n" if ctes else "") + body

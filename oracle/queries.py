@@ -312,3 +312,148 @@ q("j8_build_master", master_sql(zero_filled("m"), extra={"m": master_of("stores"
 q("j8_build_master_cds", master_sql(zero_filled("m"), extra={"m": master_of("cds")}))
 q("p7_fill_zero", master_sql(
     "SELECT branch, sku, " + ", ".join(SUMMARY_FILL) + " FROM z", extra={"m": master_of("cds"), "z": zero_filled("m")}))
+
+
+# =========================================================================== network
+
+
+def graph_ctes(p: str, edges_sql: str) -> dict[str, str]:
+    """Degrees, components (mutual reachability by a recursive closure) and BFS levels of
+    one edge set, as CTEs prefixed ``p``."""
+    return {
+        f"{p}_e": edges_sql,
+        f"{p}_n": f"SELECT src AS node FROM {p}_e UNION SELECT dst FROM {p}_e",
+        f"{p}_deg": f"""
+SELECT n.node, CAST(COALESCE(i.c, 0) + COALESCE(o.c, 0) AS BIGINT) AS degree,
+       CAST(COALESCE(i.c, 0) AS BIGINT) AS in_degree, CAST(COALESCE(o.c, 0) AS BIGINT) AS out_degree
+FROM {p}_n n
+LEFT JOIN (SELECT dst AS node, COUNT(*) AS c FROM {p}_e GROUP BY dst) i ON n.node = i.node
+LEFT JOIN (SELECT src AS node, COUNT(*) AS c FROM {p}_e GROUP BY src) o ON n.node = o.node""",
+        f"{p}_reach": f"""
+SELECT src AS a, dst AS b FROM {p}_e WHERE src <> dst
+UNION
+SELECT r.a, e.dst FROM {p}_reach r JOIN {p}_e e ON r.b = e.src WHERE e.src <> e.dst""",
+        f"{p}_mut": f"""
+SELECT r1.a AS node, r1.b AS other FROM {p}_reach r1 JOIN {p}_reach r2 ON r1.a = r2.b AND r1.b = r2.a
+WHERE r1.a <> r1.b""",
+        f"{p}_scc": f"""
+SELECT n.node, GREATEST(n.node, COALESCE(MAX(m.other), n.node)) AS scc_id, CAST(1 + COUNT(m.other) AS BIGINT) AS scc_size
+FROM {p}_n n LEFT JOIN {p}_mut m ON n.node = m.node GROUP BY n.node""",
+    }
+
+
+CD_EDGES = """
+SELECT DISTINCT supplying_cd AS src, delivering_cd AS dst FROM supply_plan
+WHERE supplying_cd IS NOT NULL AND delivering_cd IS NOT NULL AND supplying_cd <> delivering_cd"""
+ST_EDGES = """
+SELECT DISTINCT delivering_cd AS src, store AS dst FROM supply_plan
+WHERE delivering_cd IS NOT NULL AND store IS NOT NULL"""
+
+NET_CTES = {
+    **graph_ctes("cd", CD_EDGES),
+    **graph_ctes("st", ST_EDGES),
+    "cd_src": "SELECT node FROM cd_n WHERE node NOT IN (SELECT dst FROM cd_e)",
+    "cd_bfs": """
+SELECT node AS source, node, 0 AS dist FROM cd_src
+UNION
+SELECT b.source, e.dst, b.dist + 1 FROM cd_bfs b JOIN cd_e e ON b.node = e.src
+WHERE b.dist < (SELECT COUNT(*) FROM cd_n)""",
+    "cd_lvl": """
+SELECT node, CAST(MAX(d) AS BIGINT) AS level FROM (SELECT source, node, MIN(dist) AS d FROM cd_bfs GROUP BY source, node) GROUP BY node
+UNION ALL
+SELECT node, CAST(0 AS BIGINT) FROM cd_n WHERE NOT EXISTS (SELECT 1 FROM cd_src)""",
+    "st_lvl": "SELECT node, CAST(CASE WHEN out_degree > 0 THEN 0 ELSE 1 END AS BIGINT) AS level FROM st_deg",
+    "nodes_cd": """
+SELECT d.node, 'CD' AS node_type, 'CD→CD' AS graph, d.degree, d.in_degree, d.out_degree,
+       COALESCE(l.level, 0) AS level, s.scc_size, s.scc_size > 1 AS in_cycle
+FROM cd_deg d JOIN cd_scc s ON d.node = s.node LEFT JOIN cd_lvl l ON d.node = l.node""",
+    "nodes_st": """
+SELECT d.node, CASE WHEN d.out_degree > 0 THEN 'CD' ELSE 'Loja' END AS node_type, 'CD→Loja' AS graph,
+       d.degree, d.in_degree, d.out_degree, COALESCE(l.level, 0) AS level, s.scc_size, s.scc_size > 1 AS in_cycle
+FROM st_deg d JOIN st_scc s ON d.node = s.node LEFT JOIN st_lvl l ON d.node = l.node""",
+    "nodes_all": "SELECT * FROM nodes_cd UNION ALL SELECT * FROM nodes_st",
+    "edges_all": """
+SELECT src AS origin, dst AS destination, 'CD→CD' AS edge_type, 'CD' AS origin_type, 'CD' AS destination_type FROM cd_e
+UNION ALL
+SELECT src, dst, 'CD→Loja', 'CD', 'Loja' FROM st_e""",
+    "layout": """
+SELECT node, graph, CAST(degree % 10 AS DOUBLE) * CAST(0.2 AS DOUBLE) - CAST(1 AS DOUBLE) AS x,
+       (SELECT MAX(level) FROM nodes_all) - level AS y,
+       CASE WHEN in_cycle THEN 'red' WHEN node_type = 'CD' THEN 'blue' ELSE 'green' END AS colour,
+       CAST(GREATEST(10, LEAST(50, degree * 2)) AS BIGINT) AS size,
+       '<b>' || CAST(node AS VARCHAR) || '</b><br>Tipo: ' || node_type || '<br>Grafo: ' || graph
+       || '<br>Grau Total: ' || CAST(degree AS VARCHAR) || '<br>Grau Entrada: ' || CAST(in_degree AS VARCHAR)
+       || '<br>Grau Saída: ' || CAST(out_degree AS VARCHAR) || '<br>Nível Hierárquico: ' || CAST(level AS VARCHAR)
+       || '<br>SCC Size: ' || CAST(scc_size AS VARCHAR) || '<br>Em Ciclo: ' || CASE WHEN in_cycle THEN 'Sim' ELSE 'Não' END AS label
+FROM nodes_all""",
+}
+
+
+def net_sql(body: str, extra: dict[str, str] | None = None) -> str:
+    return with_fixtures(body, "supply_plan", extra={**NET_CTES, **(extra or {})}, recursive=True)
+
+
+def top_sql(col: str, edges: str) -> str:
+    return f"SELECT {col} AS node, COUNT(*) AS edges FROM {edges} GROUP BY {col} ORDER BY edges DESC, node ASC LIMIT 10"
+
+
+q("p9_where_pair", with_fixtures(
+    "SELECT * FROM supply_plan WHERE supplying_cd = delivering_cd AND store IS NOT NULL", "supply_plan"))
+q("g1_cd_cd_edges", net_sql("SELECT * FROM cd_e"))
+q("g2_cd_store_edges", net_sql("SELECT * FROM st_e"))
+q("g3_plan_profile", with_fixtures("""
+SELECT COUNT(*) AS total_lines,
+       COUNT(*) FILTER (WHERE supplying_cd IS NOT NULL AND delivering_cd IS NOT NULL AND supplying_cd <> delivering_cd) AS cd_cd_lines,
+       COUNT(DISTINCT supplying_cd) FILTER (WHERE delivering_cd IS NOT NULL AND supplying_cd <> delivering_cd) AS cd_cd_suppliers,
+       COUNT(DISTINCT delivering_cd) FILTER (WHERE supplying_cd IS NOT NULL AND supplying_cd <> delivering_cd) AS cd_cd_receivers,
+       COUNT(*) FILTER (WHERE delivering_cd IS NOT NULL AND store IS NOT NULL) AS cd_store_lines,
+       COUNT(DISTINCT delivering_cd) FILTER (WHERE store IS NOT NULL) AS cd_store_cds,
+       COUNT(DISTINCT store) FILTER (WHERE delivering_cd IS NOT NULL) AS cd_store_stores,
+       COUNT(*) FILTER (WHERE supplying_cd = delivering_cd AND store IS NOT NULL) AS own_store_lines,
+       COUNT(*) FILTER (WHERE supplying_cd <> delivering_cd AND store IS NOT NULL) AS other_cd_lines,
+       COUNT(DISTINCT supplying_cd) AS distinct_supplying_cds
+FROM supply_plan""", "supply_plan"))
+q("g4_graph_nodes", net_sql("SELECT * FROM cd_n"))
+q("g5_density", net_sql("""
+SELECT n AS nodes, m AS edges, CASE WHEN n > 1 THEN m / CAST(n * (n - 1) AS DOUBLE) ELSE 0.0 END AS density
+FROM (SELECT (SELECT COUNT(*) FROM cd_n) AS n, (SELECT COUNT(*) FROM cd_e) AS m)"""))
+q("g6_degrees", net_sql("SELECT * FROM cd_deg"))
+q("g7_scc", net_sql("SELECT * FROM cd_scc"))
+q("g8_scc_summary", net_sql("""
+SELECT COUNT(*) AS total_sccs, COUNT(*) FILTER (WHERE scc_size > 1) AS sccs_with_cycles,
+       COUNT(*) FILTER (WHERE scc_size = 1) AS isolated_sccs,
+       CAST(COALESCE(SUM(scc_size) FILTER (WHERE scc_size > 1), 0) AS BIGINT) AS nodes_in_cycles,
+       CAST(COALESCE(MAX(scc_size) FILTER (WHERE scc_size > 1), 0) AS BIGINT) AS largest_cycle
+FROM (SELECT DISTINCT scc_id, scc_size FROM cd_scc)"""))
+q("g9_cd_levels", net_sql("SELECT * FROM cd_lvl"))
+q("g10_store_levels", net_sql("SELECT * FROM st_lvl"))
+q("g11_node_metrics", net_sql("SELECT * FROM nodes_all"))
+q("g12_edge_table", net_sql("SELECT * FROM edges_all"))
+q("g13_hierarchy_summary", net_sql("""
+SELECT (SELECT COUNT(*) FROM cd_src) AS sources, CAST(COALESCE(MAX(level), 0) AS BIGINT) AS max_depth,
+       COUNT(DISTINCT level) AS distinct_levels
+FROM cd_lvl"""))
+q("a10_level_distribution", net_sql("SELECT level, COUNT(*) AS nodes FROM cd_lvl GROUP BY level"))
+q("a11_network_totals", net_sql("""
+SELECT COUNT(*) AS total_nodes, (SELECT COUNT(*) FROM edges_all) AS total_edges,
+       COUNT(*) FILTER (WHERE node_type = 'CD') AS cd_rows, COUNT(*) FILTER (WHERE node_type = 'Loja') AS store_rows,
+       COUNT(*) FILTER (WHERE in_cycle) AS nodes_in_cycles,
+       COUNT(DISTINCT node) FILTER (WHERE node_type = 'CD') AS cd_distinct
+FROM nodes_all"""))
+q("a9_value_counts", with_fixtures(
+    "SELECT delivering_cd, COUNT(*) AS count FROM supply_plan GROUP BY delivering_cd", "supply_plan"))
+q("a9_distinct_count", with_fixtures("""
+SELECT COUNT(DISTINCT supplying_cd) AS distinct_supplying_cd, COUNT(DISTINCT delivering_cd) AS distinct_delivering_cd,
+       COUNT(DISTINCT store) AS distinct_store FROM supply_plan""", "supply_plan"))
+q("t3_top_out_degree", net_sql(top_sql("src", "cd_e")))
+q("t3_top_in_degree", net_sql(top_sql("dst", "cd_e")))
+q("t3_top_stores_served", net_sql(top_sql("src", "st_e")))
+q("t3_top_nodes", net_sql("SELECT * FROM nodes_all ORDER BY degree DESC, graph ASC, node ASC LIMIT 10"))
+q("g15_network_layout", net_sql("SELECT * FROM layout"))
+q("j9_edge_coordinates", net_sql("""
+SELECT e.origin, e.destination, o.x AS x0, o.y AS y0, t.x AS x1, t.y AS y1
+FROM edges_all e JOIN first_pos o ON e.origin = o.node JOIN first_pos t ON e.destination = t.node""",
+    extra={"first_pos": """
+SELECT node, x, y FROM (
+  SELECT node, x, y, row_number() OVER (PARTITION BY node ORDER BY CASE WHEN graph = 'CD→CD' THEN 0 ELSE 1 END, x, y) AS rn
+  FROM layout) WHERE rn = 1"""}))

@@ -284,3 +284,152 @@ def _p7(i: Inputs) -> DataFrame:
     """Sales columns of the CD master: zero where a CD key had no sale."""
     m = _master(i, _cds(i))
     return m.select("branch", "sku", *[c for c in m.columns if c.startswith(("revenue_", "qty_"))])
+
+
+# =========================================================================== network (M5)
+
+from stocklens.operators import graph as G  # noqa: E402
+from stocklens.plans import network as N  # noqa: E402
+
+NODE_COLS = ("node", "node_type", "graph", "degree", "in_degree", "out_degree", "level", "scc_size", "in_cycle")
+
+
+def _cd_edges(i: Inputs) -> DataFrame:
+    return G.cd_cd_edges(i.supply_plan)
+
+
+def _st_edges(i: Inputs) -> DataFrame:
+    return G.cd_store_edges(i.supply_plan)
+
+
+def _nodes(i: Inputs) -> DataFrame:
+    return G.node_metrics(_cd_edges(i), _st_edges(i)).select(*NODE_COLS)
+
+
+@register("p9_where_pair")
+def _p9(i: Inputs) -> DataFrame:
+    """Plan lines where a CD supplies itself and a store is set."""
+    return filters.where_pair(i.supply_plan, "supplying_cd", "=", "delivering_cd", not_null=("store",))
+
+
+@register("g1_cd_cd_edges")
+def _g1(i: Inputs) -> DataFrame:
+    return _cd_edges(i)
+
+
+@register("g2_cd_store_edges")
+def _g2(i: Inputs) -> DataFrame:
+    return _st_edges(i)
+
+
+@register("g3_plan_profile")
+def _g3(i: Inputs) -> DataFrame:
+    return G.plan_profile(i.supply_plan)
+
+
+@register("g4_graph_nodes")
+def _g4(i: Inputs) -> DataFrame:
+    return G.graph_nodes(_cd_edges(i))
+
+
+@register("g5_density")
+def _g5(i: Inputs) -> DataFrame:
+    return G.density(_cd_edges(i))
+
+
+@register("g6_degrees")
+def _g6(i: Inputs) -> DataFrame:
+    return G.degrees(_cd_edges(i))
+
+
+@register("g7_scc")
+def _g7(i: Inputs) -> DataFrame:
+    return G.scc(_cd_edges(i))
+
+
+@register("g8_scc_summary")
+def _g8(i: Inputs) -> DataFrame:
+    return G.scc_summary(G.scc(_cd_edges(i)))
+
+
+@register("g9_cd_levels")
+def _g9(i: Inputs) -> DataFrame:
+    return G.cd_levels(_cd_edges(i))
+
+
+@register("g10_store_levels")
+def _g10(i: Inputs) -> DataFrame:
+    return G.store_levels(_st_edges(i))
+
+
+@register("g11_node_metrics")
+def _g11(i: Inputs) -> DataFrame:
+    return _nodes(i)
+
+
+@register("g12_edge_table")
+def _g12(i: Inputs) -> DataFrame:
+    return G.edge_table(_cd_edges(i), _st_edges(i))
+
+
+@register("g13_hierarchy_summary")
+def _g13(i: Inputs) -> DataFrame:
+    e = _cd_edges(i)
+    return G.hierarchy_summary(G.cd_levels(e), G.sources(e).agg(F.count(F.lit(1))).scalar())
+
+
+@register("a10_level_distribution")
+def _a10(i: Inputs) -> DataFrame:
+    return G.level_distribution(G.cd_levels(_cd_edges(i)))
+
+
+@register("a11_network_totals")
+def _a11(i: Inputs) -> DataFrame:
+    return G.network_totals(_nodes(i), G.edge_table(_cd_edges(i), _st_edges(i)))
+
+
+@register("a9_value_counts")
+def _a9(i: Inputs) -> DataFrame:
+    """Plan lines per delivering CD."""
+    return quality.value_counts(i.supply_plan, "delivering_cd")
+
+
+@register("a9_distinct_count")
+def _a9d(i: Inputs) -> DataFrame:
+    return quality.distinct_count(i.supply_plan, ("supplying_cd", "delivering_cd", "store"))
+
+
+@register("t3_top_out_degree")
+def _t3o(i: Inputs) -> DataFrame:
+    return G.top_degree(_cd_edges(i), "src", 10)
+
+
+@register("t3_top_in_degree")
+def _t3i(i: Inputs) -> DataFrame:
+    return G.top_degree(_cd_edges(i), "dst", 10)
+
+
+@register("t3_top_stores_served")
+def _t3s(i: Inputs) -> DataFrame:
+    return G.top_degree(_st_edges(i), "src", 10)
+
+
+@register("t3_top_nodes")
+def _t3n(i: Inputs) -> DataFrame:
+    return G.top_nodes(_nodes(i), 10)
+
+
+@register("g15_network_layout")
+def _g15(i: Inputs) -> DataFrame:
+    return G.network_layout(_nodes(i))
+
+
+@register("j9_edge_coordinates")
+def _j9(i: Inputs) -> DataFrame:
+    return G.edge_coordinates(G.edge_table(_cd_edges(i), _st_edges(i)), G.network_layout(_nodes(i)))
+
+
+@register("g14_network_report")
+def _g14(i: Inputs) -> DataFrame:
+    """Nested report row (rows-only check: it carries the processing time)."""
+    return N.network_report(N.build_network(i.supply_plan))
