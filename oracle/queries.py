@@ -457,3 +457,156 @@ FROM edges_all e JOIN first_pos o ON e.origin = o.node JOIN first_pos t ON e.des
 SELECT node, x, y FROM (
   SELECT node, x, y, row_number() OVER (PARTITION BY node ORDER BY CASE WHEN graph = 'CD→CD' THEN 0 ELSE 1 END, x, y) AS rn
   FROM layout) WHERE rn = 1"""}))
+
+
+# =========================================================================== KPIs, checks, sources
+
+KPI_CTES = {
+    **MASTER_CTES,
+    "m_st_raw": master_of("stores"),
+    "m_st": zero_filled("m_st_raw"),
+    "m_cd_raw": master_of("cds"),
+    "m_cd": zero_filled("m_cd_raw"),
+}
+
+
+def kpi_sql(body: str, extra: dict[str, str] | None = None) -> str:
+    return with_fixtures(body, *MASTER_FIX, extra={**KPI_CTES, **(extra or {})})
+
+
+AGE_LIMIT = d(AS_OF - dt.timedelta(days=30))
+HEALTH = f"""
+SELECT branch, sku, {AS} AS date, current_stock_value AS stock_value, current_cover AS coverage_days,
+       target_cover AS target_coverage_days,
+       CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) AS coverage_ratio,
+       (last_sale IS NULL OR last_sale < {AGE_LIMIT}) AS aged,
+       COALESCE(current_stock_qty, 0) <= 0 AS in_rupture,
+       CASE WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) IS NULL THEN 'unknown'
+            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) < 0.5 THEN 'critical'
+            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) < 1.0 THEN 'low'
+            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) <= 1.5 THEN 'ok'
+            ELSE 'excess' END AS health_level
+FROM m_st"""
+PRODUCTS = """
+SELECT sku, COUNT(DISTINCT branch) AS branches, MIN(CASE WHEN qty > 0 THEN date END) AS first_sale,
+       MAX(CASE WHEN qty > 0 THEN date END) AS last_sale
+FROM sales GROUP BY sku"""
+
+q("k1_inventory_value", kpi_sql(
+    f"SELECT branch, CAST(SUM({cents('current_stock_value')}) AS DOUBLE) AS inventory_value FROM m_st GROUP BY branch"))
+q("k2_coverage_days", kpi_sql(f"""
+SELECT branch, CAST(SUM(CASE WHEN current_cover IS NOT NULL THEN {cents('current_stock_value')} END * CAST(current_cover AS DECIMAL(20,6))) AS DOUBLE)
+       / NULLIF(CAST(SUM(CASE WHEN current_cover IS NOT NULL THEN {cents('current_stock_value')} END) AS DOUBLE), 0) AS coverage_days
+FROM m_st GROUP BY branch"""))
+q("k3_aging_value", kpi_sql(f"""
+SELECT branch, aged_value, stock_value, aged_value * 100.0 / NULLIF(stock_value, 0) AS aged_pct FROM (
+  SELECT branch,
+         CAST(SUM(CASE WHEN last_sale IS NULL OR last_sale < {AGE_LIMIT} THEN {cents('current_stock_value')} ELSE 0 END) AS DOUBLE) AS aged_value,
+         CAST(SUM({cents('current_stock_value')}) AS DOUBLE) AS stock_value
+  FROM m_st GROUP BY branch)"""))
+q("k4_rupture_pct", kpi_sql(f"""
+SELECT branch, rupture_revenue, revenue_last30d, rupture_revenue * 100.0 / NULLIF(revenue_last30d, 0) AS rupture_pct FROM (
+  SELECT branch,
+         CAST(SUM(CASE WHEN COALESCE(current_stock_qty, 0) <= 0 THEN {cents('revenue_last30d')} ELSE 0 END) AS DOUBLE) AS rupture_revenue,
+         CAST(SUM({cents('revenue_last30d')}) AS DOUBLE) AS revenue_last30d
+  FROM m_st GROUP BY branch)"""))
+q("k5_stock_by_location", kpi_sql(f"""
+SELECT sku, CAST(COALESCE(SUM(in_transit), 0) AS BIGINT) AS in_transit_qty,
+       CAST(SUM(CASE WHEN stock_kind = 'LOJA' THEN {cents('current_stock_qty')} ELSE 0 END) AS DOUBLE) AS store_qty,
+       CAST(SUM(CASE WHEN stock_kind = 'CD' THEN {cents('current_stock_qty')} ELSE 0 END) AS DOUBLE) AS cd_qty
+FROM (SELECT sku, stock_kind, current_stock_qty, in_transit FROM m_st
+      UNION ALL SELECT sku, stock_kind, current_stock_qty, in_transit FROM m_cd)
+GROUP BY sku"""))
+q("k6_stock_by_type", kpi_sql("""
+SELECT branch, CAST(COALESCE(SUM(safety_stock), 0) AS BIGINT) AS safety_stock,
+       CAST(COALESCE(SUM(target_stock - safety_stock), 0) AS BIGINT) AS cycle_stock
+FROM m_st GROUP BY branch"""))
+q("k7_inventory_health", kpi_sql(HEALTH))
+q("k8_time_dimension", sales_sql("""
+SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+       CAST(month(date) AS INTEGER) AS month, CAST(weekofyear(date) AS INTEGER) AS week,
+       CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, CAST(year(date) * 100 + month(date) AS INTEGER) AS year_month
+FROM (SELECT DISTINCT date FROM sales)"""))
+q("k8_product_dimension", sales_sql(PRODUCTS))
+q("k8_branch_dimension", with_fixtures("SELECT DISTINCT branch, stock_place, store_status FROM stock", "stock"))
+q("k9_abc_class", sales_sql("""
+SELECT sku, revenue, CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) AS cumulative_share,
+       CASE WHEN cum * 100 <= total * 80 THEN 'A' WHEN cum * 100 <= total * 95 THEN 'B' ELSE 'C' END AS abc_class
+FROM (SELECT sku, revenue,
+             SUM(CAST(revenue AS DECIMAL(28,2))) OVER (ORDER BY revenue DESC, sku ASC ROWS UNBOUNDED PRECEDING) AS cum,
+             SUM(CAST(revenue AS DECIMAL(28,2))) OVER () AS total
+      FROM (SELECT sku, CAST(SUM(CAST(revenue AS DECIMAL(28,2))) AS DOUBLE) AS revenue FROM sales GROUP BY sku))"""))
+q("k10_turnover", kpi_sql(f"""
+SELECT branch, CAST(SUM({cents('cmv_sales_value')}) AS DOUBLE) / NULLIF(CAST(SUM({cents('current_stock_value')}) AS DOUBLE), 0) AS turnover
+FROM m_st GROUP BY branch"""))
+q("k11_project_stock", kpi_sql("""
+SELECT branch, sku, CAST(day AS INTEGER) AS day,
+       GREATEST(0.0, current_stock_qty - day * qty_mm7d) AS projected_stock,
+       current_stock_qty / NULLIF(qty_mm7d, 0) AS coverage_days
+FROM (SELECT branch, sku, current_stock_qty, qty_mm7d, unnest(range(1, 8)) AS day FROM m_st)"""))
+q("k12_rupture_alerts", kpi_sql("""
+SELECT branch, sku, current_stock_qty AS stock, lead_time * qty_mm30d + safety_stock AS required_stock
+FROM m_st WHERE current_stock_qty < lead_time * qty_mm30d + safety_stock"""))
+q("k13_channel_trend", sales_sql("""
+SELECT branch, year_month, CAST(off AS DOUBLE) AS revenue_off, CAST(on_ AS DOUBLE) AS revenue_on,
+       CAST(on_ AS DOUBLE) / NULLIF(CAST(off + on_ AS DOUBLE), 0) AS online_share,
+       CAST((off + on_) - LAG(off + on_) OVER w AS DOUBLE) / NULLIF(CAST(LAG(off + on_) OVER w AS DOUBLE), 0) AS revenue_change
+FROM (SELECT branch, year_month, SUM(CAST(revenue_off AS DECIMAL(28,2))) AS off, SUM(CAST(revenue_on AS DECIMAL(28,2))) AS on_
+      FROM sales GROUP BY branch, year_month)
+WINDOW w AS (PARTITION BY branch ORDER BY year_month)"""))
+CUR0, CUR1 = d(AS_OF - dt.timedelta(days=29)), AS
+PRV0, PRV1 = d(AS_OF - dt.timedelta(days=59)), d(AS_OF - dt.timedelta(days=30))
+
+
+def a12_metric(name: str, col: str) -> str:
+    return f"""
+SELECT '{name}' AS metric, CAST(cur AS DOUBLE) AS current_value, CAST(prev AS DOUBLE) AS previous_value,
+       CAST((cur - prev) * 100 AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0) AS pct_change
+FROM (SELECT SUM(CASE WHEN date BETWEEN {CUR0} AND {CUR1} THEN {cents(col)} ELSE 0 END) AS cur,
+             SUM(CASE WHEN date BETWEEN {PRV0} AND {PRV1} THEN {cents(col)} ELSE 0 END) AS prev FROM sales)"""
+
+
+q("a12_company_kpis", sales_sql(a12_metric("revenue", "revenue") + "\nUNION ALL\n" + a12_metric("quantity", "qty")))
+q("a13_kpi_rollup", sales_sql(f"""
+SELECT CAST(date_trunc('month', date) AS DATE) AS period, branch,
+       CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue, CAST(SUM({cents('qty')}) AS DOUBLE) AS qty,
+       CAST(SUM(sold) AS BIGINT) AS sale_days
+FROM sales GROUP BY ROLLUP (CAST(date_trunc('month', date) AS DATE), branch)
+HAVING CAST(date_trunc('month', date) AS DATE) IS NOT NULL"""))
+q("j10_allocation_view", kpi_sql("""
+SELECT h.*, n.n_name AS branch_name, n.n_regionkey AS region_key, r.r_name AS region_name,
+       CAST(p.delivering_cd AS BIGINT) AS cd, pr.branches AS selling_branches
+FROM health h
+JOIN nation n ON h.branch = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+JOIN pairs p ON h.branch = p.store
+JOIN products pr ON h.sku = pr.sku
+WHERE h.date = """ + AS, extra={"health": HEALTH, "products": PRODUCTS}))
+q("v6_check_ref", stock_sql("""
+SELECT branch, sku, COUNT(*) AS orphan_rows FROM gef_feed g
+WHERE NOT EXISTS (SELECT 1 FROM stock s WHERE s.branch = g.branch AND s.sku = g.sku)
+GROUP BY branch, sku"""))
+q("v7_check_range", with_fixtures("""
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE stock_value < 0) AS below_min,
+       COUNT(*) FILTER (WHERE stock_value > 100000) AS above_max, COUNT(*) FILTER (WHERE stock_value IS NULL) AS null_rows
+FROM stock""", "stock"))
+q("v8_check_outliers", sales_sql("""
+SELECT s.date, s.branch, s.sku, s.revenue, b.lower_fence, b.upper_fence
+FROM days s JOIN bounds b ON s.branch = b.branch
+WHERE s.revenue < b.lower_fence OR s.revenue > b.upper_fence""", extra={
+    "days": "SELECT date, branch, sku, revenue FROM sales WHERE qty > 0",
+    "q": "SELECT branch, quantile_cont(revenue, 0.25) AS q1, quantile_cont(revenue, 0.75) AS q3 FROM days GROUP BY branch",
+    "bounds": "SELECT branch, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q"}))
+q("v9_check_dates", with_fixtures("""
+SELECT branch, sku, channel, CAST(prev + 1 AS DATE) AS gap_start, CAST(date - 1 AS DATE) AS gap_end,
+       CAST(date - prev - 1 AS INTEGER) AS missing_days
+FROM (SELECT branch, sku, channel, date, LAG(date) OVER (PARTITION BY branch, sku, channel ORDER BY date) AS prev
+      FROM (SELECT DISTINCT branch, sku, channel, date FROM lines))
+WHERE date - prev > 1""", *SALES_FIX, extra=LINES_CTES))
+q("v5_run_summary", sales_sql(f"""
+SELECT COUNT(*) AS rows, COUNT(DISTINCT branch) AS distinct_branches, COUNT(DISTINCT sku) AS distinct_skus,
+       COUNT(DISTINCT date) AS distinct_days, MIN(date) AS first_day, MAX(date) AS last_day,
+       {d(START)} AS window_start, {AS} AS window_end
+FROM sales"""))
+q("s1_load", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+q("s2_load_sql", "SELECT * FROM region")

@@ -433,3 +433,160 @@ def _j9(i: Inputs) -> DataFrame:
 def _g14(i: Inputs) -> DataFrame:
     """Nested report row (rows-only check: it carries the processing time)."""
     return N.network_report(N.build_network(i.supply_plan))
+
+
+# =========================================================================== KPIs, checks, sources (M6)
+
+from stocklens.operators import kpis  # noqa: E402
+from stocklens.sources import loaders  # noqa: E402
+
+
+def _m_stores(i: Inputs) -> DataFrame:
+    return _master(i, _stores(i))
+
+
+def _m_cds(i: Inputs) -> DataFrame:
+    return _master(i, _cds(i))
+
+
+@register("k1_inventory_value")
+def _k1(i: Inputs) -> DataFrame:
+    return kpis.inventory_value(_m_stores(i))
+
+
+@register("k2_coverage_days")
+def _k2(i: Inputs) -> DataFrame:
+    return kpis.coverage_days(_m_stores(i))
+
+
+@register("k3_aging_value")
+def _k3(i: Inputs) -> DataFrame:
+    return kpis.aging_value(_m_stores(i), P.as_of, 30)
+
+
+@register("k4_rupture_pct")
+def _k4(i: Inputs) -> DataFrame:
+    return kpis.rupture_pct(_m_stores(i))
+
+
+@register("k5_stock_by_location")
+def _k5(i: Inputs) -> DataFrame:
+    return kpis.stock_by_location(_m_stores(i), _m_cds(i))
+
+
+@register("k6_stock_by_type")
+def _k6(i: Inputs) -> DataFrame:
+    return kpis.stock_by_type(_m_stores(i))
+
+
+@register("k7_inventory_health")
+def _k7(i: Inputs) -> DataFrame:
+    return kpis.inventory_health(_m_stores(i), P.as_of)
+
+
+@register("k8_time_dimension")
+def _k8t(i: Inputs) -> DataFrame:
+    return kpis.time_dimension(_dense(i))
+
+
+@register("k8_product_dimension")
+def _k8p(i: Inputs) -> DataFrame:
+    return kpis.product_dimension(_dense(i))
+
+
+@register("k8_branch_dimension")
+def _k8b(i: Inputs) -> DataFrame:
+    return kpis.branch_dimension(i.stock)
+
+
+@register("k9_abc_class")
+def _k9(i: Inputs) -> DataFrame:
+    by_sku = _dense(i).groupBy("sku").agg(F.sum(F.col("revenue").cast("decimal(28,2)")).cast("double").alias("revenue"))
+    return kpis.abc_class(by_sku)
+
+
+@register("k10_turnover")
+def _k10(i: Inputs) -> DataFrame:
+    return kpis.turnover(_m_stores(i))
+
+
+@register("k11_project_stock")
+def _k11(i: Inputs) -> DataFrame:
+    return kpis.project_stock(_m_stores(i), 7)
+
+
+@register("k12_rupture_alerts")
+def _k12(i: Inputs) -> DataFrame:
+    return kpis.rupture_alerts(_m_stores(i))
+
+
+@register("k13_channel_trend")
+def _k13(i: Inputs) -> DataFrame:
+    return kpis.channel_trend(_dense(i))
+
+
+@register("a12_company_kpis")
+def _a12(i: Inputs) -> DataFrame:
+    """Includes U2 (the metrics are stacked with UNION ALL)."""
+    return kpis.company_kpis(_dense(i), P.as_of, 30)
+
+
+@register("a13_kpi_rollup")
+def _a13(i: Inputs) -> DataFrame:
+    return kpis.kpi_rollup(_dense(i), "month", ("branch",))
+
+
+@register("j10_allocation_view")
+def _j10(i: Inputs) -> DataFrame:
+    """Store health with branch (nation), region, delivering CD and product dimensions.
+    Fixture rule: branch b is located in nation b."""
+    health = kpis.inventory_health(_m_stores(i), P.as_of)
+    branches = i.table("nation").select(
+        F.col("n_nationkey").alias("branch"), F.col("n_name").alias("branch_name"), F.col("n_regionkey").alias("region_key")
+    )
+    regions = i.table("region").select(F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region_name"))
+    cds = stock.store_cd_pairs(i.supply_plan_stock).select(
+        F.col("store").cast("int").alias("branch"), F.col("delivering_cd").alias("cd")
+    )
+    products = kpis.product_dimension(_dense(i)).select("sku", F.col("branches").alias("selling_branches"))
+    return kpis.allocation_view(health, branches, regions, cds, products, P.as_of)
+
+
+@register("v6_check_ref")
+def _v6(i: Inputs) -> DataFrame:
+    """GEF keys without a stock row."""
+    return quality.check_ref(stock.gef_feed(i.gef), i.stock, ("branch", "sku"))
+
+
+@register("v7_check_range")
+def _v7(i: Inputs) -> DataFrame:
+    return quality.check_range(i.stock, "stock_value", 0, 100000)
+
+
+@register("v8_check_outliers")
+def _v8(i: Inputs) -> DataFrame:
+    """Daily revenue outliers per branch among days with a sale."""
+    days = _dense(i).where(F.col("qty") > 0).select("date", "branch", "sku", "revenue")
+    return quality.check_outliers(days, "revenue", ("branch",))
+
+
+@register("v9_check_dates")
+def _v9(i: Inputs) -> DataFrame:
+    """Gaps between sale days of each (branch, sku, channel) series."""
+    lines = sales.sales_lines(i.rated_sales, i.quantity_sales, P.start, P.as_of, None)
+    return quality.check_dates(sales.daily_sales(lines), ("branch", "sku", "channel"))
+
+
+@register("v5_run_summary")
+def _v5(i: Inputs) -> DataFrame:
+    return quality.run_summary(_dense(i), P)
+
+
+@register("s1_load")
+def _s1(i: Inputs) -> DataFrame:
+    return loaders.load(i.spark, "orders", root=i.sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@register("s2_load_sql")
+def _s2(i: Inputs) -> DataFrame:
+    return loaders.load_sql(i.spark, f"SELECT * FROM parquet.`{i.sf_dir}/region.parquet`")
