@@ -46,9 +46,64 @@ def _ckpt(df: DataFrame) -> DataFrame:
 def _ckpt_counted(df: DataFrame, flag: Column) -> tuple[DataFrame, int]:
     """``_ckpt`` that also returns the number of rows where ``flag`` holds, observed during
     the checkpoint's own job (no extra action)."""
+    out, n, _ = _ckpt_sized(df, flag)
+    return out, n
+
+
+def _ckpt_sized(df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, int, int]:
+    """``_ckpt`` returning (frame, rows where ``flag`` holds, all rows), both observed."""
+    flag = F.lit(True) if flag is None else flag
     obs = Observation()
-    out = _ckpt(df.observe(obs, F.count_if(flag).alias("n")))
-    return out, int(obs.get["n"])
+    out = _ckpt(df.observe(obs, F.count_if(flag).alias("n"), F.count(F.lit(1)).alias("rows")))
+    got = obs.get
+    return out, int(got["n"]), int(got["rows"])
+
+
+# Loop state is cached every round and written by a reliable checkpoint every
+# CHECKPOINT_EVERY rounds (and at the end of a loop): a lost executor costs at most that
+# many rounds of recomputation, and the lineage never grows past them.
+CHECKPOINT_EVERY = 4
+
+
+class _Rounds:
+    """Materializes the state of one loop, observing counts in the same job."""
+
+    def __init__(self) -> None:
+        self.n = 0
+        self.cached: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, int, int]:
+        self.n += 1
+        if self.n % CHECKPOINT_EVERY == 0:
+            out = _ckpt_sized(df, flag)
+            self.release()
+            return out
+        obs = Observation()
+        out = df.observe(obs, F.count_if(F.lit(True) if flag is None else flag).alias("n"), F.count(F.lit(1)).alias("rows")).persist()
+        out.count()
+        self.cached.append(out)
+        got = obs.get
+        return out, int(got["n"]), int(got["rows"])
+
+    def durable(self, df: DataFrame) -> DataFrame:
+        """Checkpoint the final state of the loop and drop the cached rounds."""
+        out = _ckpt(df)
+        self.release()
+        return out
+
+    def release(self) -> None:
+        for c in self.cached:
+            c.unpersist()
+        self.cached = []
+
+
+# Loop joins broadcast a side whose row count, observed when it was checkpointed, is at most
+# this bound; a larger side is joined by shuffle. (Rows of a few ids: ~100 MB at the bound.)
+BROADCAST_ROWS = 2_000_000
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def _edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -133,71 +188,75 @@ def scc(edges: DataFrame) -> DataFrame:
     self-loop, is its own component of size 1. Each round checkpoints its state once and
     counts what changed in the same job (``Observation``).
     """
-    e = _ckpt(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
+    rounds = _Rounds()
+    e, _, n_e = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
     active, n_active = _ckpt_counted(graph_nodes(edges), F.lit(True))
     found: list[DataFrame] = []
 
     while n_active:
         # Trim: a node without an in-edge or an out-edge inside the active graph is alone.
         while n_active:
-            has_in = e.select(F.col("dst").alias("node"), F.lit(True).alias("i")).distinct()
-            has_out = e.select(F.col("src").alias("node"), F.lit(True).alias("o")).distinct()
+            has_in = _small(e.select(F.col("dst").alias("node"), F.lit(True).alias("i")).distinct(), n_e)
+            has_out = _small(e.select(F.col("src").alias("node"), F.lit(True).alias("o")).distinct(), n_e)
             flagged = active.join(has_in, "node", "left").join(has_out, "node", "left").select(
                 "node", (F.coalesce("i", F.lit(False)) & F.coalesce("o", F.lit(False))).alias("keep")
             )
-            flagged, n_trim = _ckpt_counted(flagged, ~F.col("keep"))
+            flagged, n_trim, _ = rounds.keep(flagged, ~F.col("keep"))
             if n_trim == 0:
                 break
+            flagged = rounds.durable(flagged)
             found.append(flagged.where(~F.col("keep")).select("node", F.col("node").alias("scc_id")))
             active = flagged.where(F.col("keep")).select("node")
             n_active -= n_trim
-            e = _restrict(e, active)
+            e = _restrict(e, _small(active, n_active))
         if not n_active:
             break
-        e = _ckpt(e)
+        e, _, n_e = _ckpt_sized(e)
 
         # Forward: colour = largest id that reaches the node.
         colors = active.select("node", F.col("node").alias("color"))
         frontier = colors
         while True:
-            cand = frontier.select(F.col("node").alias("src"), "color").join(e, "src").groupBy(
+            cand = frontier.select(F.col("node").alias("src"), "color").join(_small(e, n_e), "src").groupBy(
                 F.col("dst").alias("node")
             ).agg(F.max("color").alias("new"))
             grown = F.coalesce(F.col("new") > F.col("color"), F.lit(False))
             updated = colors.select("node", "color").join(cand, "node", "left").select(
                 "node", F.when(grown, F.col("new")).otherwise(F.col("color")).alias("color"), grown.alias("changed")
             )
-            colors, n_changed = _ckpt_counted(updated, F.col("changed"))
+            colors, n_changed, _ = rounds.keep(updated, F.col("changed"))
             if n_changed == 0:
                 break
             frontier = colors.where(F.col("changed")).select("node", "color")
-        colors = colors.select("node", "color")
+        colors = rounds.durable(colors.select("node", "color"))
 
         # Backward: the component of root c = nodes of colour c that reach c inside colour c.
-        src_c = colors.select(F.col("node").alias("src"), F.col("color").alias("c1"))
-        dst_c = colors.select(F.col("node").alias("dst"), F.col("color").alias("c2"))
-        same = _ckpt(
+        src_c = _small(colors.select(F.col("node").alias("src"), F.col("color").alias("c1")), n_active)
+        dst_c = _small(colors.select(F.col("node").alias("dst"), F.col("color").alias("c2")), n_active)
+        same, _, n_same = _ckpt_sized(
             e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst", F.col("c1").alias("color"))
         )
         marked = colors.where(F.col("node") == F.col("color"))
         frontier = marked
         while True:
-            preds = frontier.select(F.col("node").alias("dst"), "color").join(same, ["dst", "color"]).select(
+            preds = frontier.select(F.col("node").alias("dst"), "color").join(_small(same, n_same), ["dst", "color"]).select(
                 F.col("src").alias("node"), "color"
             )
-            fresh = preds.distinct().join(marked, "node", "left_anti")
+            fresh = preds.distinct().join(_small(marked.select("node"), n_active), "node", "left_anti")
             grown = marked.select("node", "color", F.lit(False).alias("fresh")).unionByName(
                 fresh.select("node", "color", F.lit(True).alias("fresh"))
             )
-            marked, n_new = _ckpt_counted(grown, F.col("fresh"))
+            marked, n_new, _ = rounds.keep(grown, F.col("fresh"))
             if n_new == 0:
                 break
             frontier = marked.where(F.col("fresh")).select("node", "color")
+        marked = rounds.durable(marked.select("node", "color"))
         found.append(marked.select("node", F.col("color").alias("scc_id")))
 
         # Nodes of one component share a colour: drop the found ones and cross-colour edges.
-        active, n_active = _ckpt_counted(active.join(marked.select("node"), "node", "left_anti"), F.lit(True))
-        e = _restrict(same.select("src", "dst"), active)
+        active, n_active = _ckpt_counted(active.join(_small(marked.select("node"), n_active), "node", "left_anti"), F.lit(True))
+        e, n_e = same.select("src", "dst"), n_same
+        e = _restrict(e, _small(active, n_active))
 
     members = found[0]
     for f in found[1:]:
@@ -241,24 +300,28 @@ def cd_levels(edges: DataFrame) -> DataFrame:
 
     Nodes reachable from no source are absent. Without any source every node is level 0.
     """
-    e = _ckpt(_edges(edges).distinct())
+    e, _, n_e = _ckpt_sized(_edges(edges).distinct())
     srcs, n_src = _ckpt_counted(sources(e), F.lit(True))
     if n_src == 0:
         return graph_nodes(e).select("node", F.lit(0).cast("long").alias("level"))
+    rounds = _Rounds()
     visited = srcs.select(F.col("node").alias("source"), "node", F.lit(0).cast("long").alias("dist"))
+    n_visited = n_src
     frontier = visited
     while True:
-        step = frontier.select("source", F.col("node").alias("src"), "dist").join(e, "src").select(
+        step = frontier.select("source", F.col("node").alias("src"), "dist").join(_small(e, n_e), "src").select(
             "source", F.col("dst").alias("node"), (F.col("dist") + 1).alias("dist")
         )
-        new = step.join(visited, ["source", "node"], "left_anti").groupBy("source", "node").agg(F.min("dist").alias("dist"))
+        seen = _small(visited.select("source", "node"), n_visited)
+        new = step.join(seen, ["source", "node"], "left_anti").groupBy("source", "node").agg(F.min("dist").alias("dist"))
         grown = visited.select("source", "node", "dist", F.lit(False).alias("fresh")).unionByName(
             new.select("source", "node", "dist", F.lit(True).alias("fresh"))
         )
-        visited, n_new = _ckpt_counted(grown, F.col("fresh"))
+        visited, n_new, n_visited = rounds.keep(grown, F.col("fresh"))
         if n_new == 0:
             break
         frontier = visited.where(F.col("fresh")).select("source", "node", "dist")
+    visited = rounds.durable(visited.select("source", "node", "dist"))
     return visited.groupBy("node").agg(F.max("dist").alias("level"))
 
 

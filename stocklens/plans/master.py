@@ -15,10 +15,10 @@ def summary(sales: DataFrame, params: RunParams) -> DataFrame:
     return master.sales_summary(window, params.as_of, params.month_mode)
 
 
-def master_tables(sales: DataFrame, stores: DataFrame, cds: DataFrame, params: RunParams, with_clock: bool = True):
-    """Both master tables. The summary is computed once and feeds both joins; callers that
-    write both outputs in one job may ``persist`` it (the only frame with two consumers)."""
-    s = summary(sales, params)
+def master_tables(sales: DataFrame, stores: DataFrame, cds: DataFrame, params: RunParams, with_clock: bool = True, summary_df: DataFrame | None = None):
+    """Both master tables from one per-key summary. Pass ``summary_df`` (e.g. a persisted
+    ``summary(...)``) to compute the summary once for the two outputs."""
+    s = summary_df if summary_df is not None else summary(sales, params)
     clock = F.current_timestamp() if with_clock else None
     m_stores = master.build_master(master.current_stock(stores, params.as_of), s, params.as_of, clock)
     m_cds = master.build_master(master.current_stock(cds, params.as_of), s, params.as_of, clock)
