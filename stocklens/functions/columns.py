@@ -14,6 +14,22 @@ def money(c: str | Column) -> Column:
     return F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY)
 
 
+def scaled(c: str | Column, digits: int = 2) -> Column:
+    """A money / quantity value as an integer count of 10^-digits units (cents by default).
+
+    Sums of these BIGINTs are exact and run in generated code; decimal sums above 18 digits
+    fall back to BigDecimal arithmetic (measured ~30x slower on the master aggregate).
+    Exact for |value| < 9e13 (cents).
+    """
+    return F.rint((F.col(c) if isinstance(c, str) else c).cast("double") * float(10**digits)).cast("long")
+
+
+def unscaled(c: str | Column, digits: int = 2) -> Column:
+    """The double value of a sum of ``scaled`` units (the correctly rounded quotient, the
+    same double a cast of the exact decimal sum gives)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("double") / float(10**digits)
+
+
 def to_double(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 

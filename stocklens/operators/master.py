@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stocklens.functions.columns import scaled, unscaled
 from stocklens.functions.dates import month_end, period_bounds
 from stocklens.operators import filters
 
@@ -26,11 +27,16 @@ MEASURES = ("revenue", "qty")
 MA_DAYS = (7, 14, 30, 60, 90)
 TRAILING = ("mtd", "ytd", "last7d", "last30d", "last90d", "last4w")
 MONTHS = ("m1", "m2", "m3")
-CENTS = "decimal(28,2)"
 
 
 def _cents(c: str) -> Column:
-    return F.col(c).cast(CENTS)
+    """Money / quantity as integer cents: exact sums that stay in generated code."""
+    return scaled(c)
+
+
+def _csum(cond: Column | None, c: str) -> Column:
+    v = _cents(c)
+    return unscaled(F.sum(v if cond is None else F.when(cond, v).otherwise(F.lit(0).cast("long"))))
 
 
 # --------------------------------------------------------------------------- W1 / W3 / W5
@@ -44,14 +50,14 @@ def moving_averages(df: DataFrame, days=MA_DAYS, keys=KEY, order: str = "date",
     """Per row, sum over the current and n-1 preceding rows divided by n (constant n, Q5).
 
     All frames share one partitioning and one sort (added in one ``withColumns``). Window
-    sums run on exact decimals, so the result does not depend on summation order.
+    sums run on integer cents, so the result does not depend on summation order.
     """
     base = Window.partitionBy(*keys).orderBy(order)
     cols = {}
     for n in days:
         w = base.rowsBetween(-(n - 1), 0)
         for m in measures:
-            cols[f"{m}_mm{n}d"] = F.sum(_cents(m)).over(w).cast("double") / F.lit(float(n))
+            cols[f"{m}_mm{n}d"] = unscaled(F.sum(_cents(m)).over(w)) / F.lit(float(n))
     return df.withColumns(cols)
 
 
@@ -105,7 +111,7 @@ def period_totals_exprs(as_of: dt.date, month_mode: str = "first_day", measures=
     out = []
     for p, cond in period_conditions(as_of, month_mode).items():
         for m in measures:
-            out.append(F.sum(F.when(cond, _cents(m)).otherwise(F.lit(0).cast(CENTS))).cast("double").alias(f"{m}_{p}"))
+            out.append(_csum(cond, m).alias(f"{m}_{p}"))
     return out
 
 
@@ -125,37 +131,59 @@ def moving_average_last_exprs(as_of: dt.date, days=MA_DAYS, measures=MEASURES) -
     for n in days:
         cond = d > F.lit(as_of - dt.timedelta(days=n))
         for m in measures:
-            total = F.sum(F.when(cond, _cents(m)).otherwise(F.lit(0).cast(CENTS))).cast("double")
-            out.append((total / F.lit(float(n))).alias(f"{m}_mm{n}d"))
+            out.append((_csum(cond, m) / F.lit(float(n))).alias(f"{m}_mm{n}d"))
     return out
 
 
 # --------------------------------------------------------------------------- A6
 
-def sales_summary(sales: DataFrame, as_of: dt.date, month_mode: str = "first_day") -> DataFrame:
+def distinct_days(start: dt.date, end: dt.date, cond: Column | None = None, date_col: str = "date") -> Column:
+    """Exact number of distinct days in [start, end] (where ``cond`` holds) per group.
+
+    Each day sets bit (day - start) of a bitmap kept in 64-bit words; the count is the
+    popcount of the OR of the words. ``bit_or`` is a native aggregate (hash aggregate,
+    map-side partial, generated code) where ``count(DISTINCT)`` would expand every row.
+    """
+    offset = F.datediff(F.col(date_col), F.lit(start))
+    words = ((end - start).days + 1 + 63) // 64
+    total = None
+    for w in range(words):
+        hit = (offset >= 64 * w) & (offset < 64 * (w + 1))
+        if cond is not None:
+            hit = hit & cond
+        shift = F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff({date_col}, DATE '{start.isoformat()}') - {64 * w})")
+        bit = F.when(hit, shift).otherwise(F.lit(0).cast("long"))
+        count = F.bit_count(F.bit_or(bit))
+        total = count if total is None else total + count
+    return total.cast("long")
+
+
+def sales_summary(sales: DataFrame, as_of: dt.date, month_mode: str = "first_day", start: dt.date | None = None) -> DataFrame:
     """One row per (branch, sku) with 7 totals, 18 period values, 10 moving averages and
-    day statistics, in a single aggregate.
+    day statistics, in a single aggregate over the days [start, as_of] (default: 90 days
+    back, the reference's window; rows outside it are not read, as the reference filters
+    its load).
 
     grid_days / grid_first / grid_last keep the reference's meaning (days of the zero-filled
     series, Q22); active_days / first_sale / last_sale count days with a positive quantity.
     """
+    start = start or as_of - dt.timedelta(days=90)
     sold_day = F.col("qty") > 0
-    return sales.groupBy(*KEY).agg(
-        F.sum(_cents("revenue")).cast("double").alias("revenue_total"),
-        F.sum(_cents("qty")).cast("double").alias("qty_total"),
+    window = sales.where(F.col("date").between(F.lit(start), F.lit(as_of)))
+    return window.groupBy(*KEY).agg(
+        _csum(None, "revenue").alias("revenue_total"),
+        _csum(None, "qty").alias("qty_total"),
         F.sum("sold").cast("long").alias("sale_days"),
-        F.sum(_cents("revenue_off")).cast("double").alias("revenue_off_total"),
-        F.sum(_cents("qty_off")).cast("double").alias("qty_off_total"),
-        F.sum(_cents("revenue_on")).cast("double").alias("revenue_on_total"),
-        F.sum(_cents("qty_on")).cast("double").alias("qty_on_total"),
+        _csum(None, "revenue_off").alias("revenue_off_total"),
+        _csum(None, "qty_off").alias("qty_off_total"),
+        _csum(None, "revenue_on").alias("revenue_on_total"),
+        _csum(None, "qty_on").alias("qty_on_total"),
         *period_totals_exprs(as_of, month_mode),
         *moving_average_last_exprs(as_of),
-        # Distinct days as the size of a per-key set: no Expand of every row (as two
-        # count(DISTINCT) would plan); a set holds at most one entry per day of the window.
-        F.size(F.collect_set("date")).cast("long").alias("grid_days"),
+        distinct_days(start, as_of).alias("grid_days"),
         F.min("date").alias("grid_first"),
         F.max("date").alias("grid_last"),
-        F.size(F.collect_set(F.when(sold_day, F.col("date")))).cast("long").alias("active_days"),
+        distinct_days(start, as_of, sold_day).alias("active_days"),
         F.min(F.when(sold_day, F.col("date"))).alias("first_sale"),
         F.max(F.when(sold_day, F.col("date"))).alias("last_sale"),
     )

@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.functions.columns import MONEY, sale_flag
+from stocklens.functions.columns import sale_flag, scaled, unscaled
 from stocklens.functions.dates import year_month
 
 # Fixed values of the source system (must equal the reference's literals).
@@ -36,7 +36,7 @@ SALES_COLUMNS = (
 
 
 def _zero() -> Column:
-    return F.lit(0).cast(MONEY)
+    return F.lit(0).cast("long")
 
 
 # --------------------------------------------------------------------------- P1 / P2 / J1
@@ -103,18 +103,19 @@ def sales_lines(rated: DataFrame, qty: DataFrame, start: dt.date, end: dt.date,
 def daily_sales(lines: DataFrame) -> DataFrame:
     """A1: revenue, quantity and cost per (date, sku, branch, channel); sums exact, output double."""
     return lines.groupBy("date", "sku", "branch", "channel").agg(
-        F.sum("sale_value").cast("double").alias("revenue"),
-        F.sum("quantity").cast("double").alias("qty"),
-        F.sum("cost_value").cast("double").alias("cost"),
+        unscaled(F.sum(scaled("sale_value"))).alias("revenue"),
+        unscaled(F.sum(scaled("quantity"))).alias("qty"),
+        unscaled(F.sum(scaled("cost_value", 4)), 4).alias("cost"),
     ).withColumn("year_month", year_month("date"))
 
 
 def daily_sales_wide(lines: DataFrame) -> DataFrame:
-    """A1 for both channels in one aggregate: one row per (branch, sku, date) with per-channel sums."""
+    """A1 for both channels in one aggregate: one row per (branch, sku, date) with per-channel
+    sums in integer cents (exact, codegen)."""
     off = F.col("channel") == OFF
 
     def part(cond: Column, c: str) -> Column:
-        return F.sum(F.when(cond, F.col(c)).otherwise(_zero()))
+        return F.sum(F.when(cond, scaled(c)).otherwise(_zero()))
 
     return lines.groupBy("branch", "sku", "date").agg(
         part(off, "sale_value").alias("revenue_off"),
@@ -166,7 +167,7 @@ def dense_channel_sales(rated: DataFrame, qty: DataFrame, channel: str, start: d
     """One channel as the reference builds it: P1, P2, J1, A1, J2+J3, sale flag."""
     lines = sales_lines(rated, qty, start, end, channel)
     daily = lines.groupBy("branch", "sku", "date").agg(
-        F.sum("sale_value").alias("revenue"), F.sum("quantity").alias("qty")
+        F.sum(scaled("sale_value")).alias("revenue"), F.sum(scaled("quantity")).alias("qty")
     )
     dense = densify(daily, ("branch", "sku"), VALUE_COLS, start, end)
     return dense.select(
@@ -174,8 +175,8 @@ def dense_channel_sales(rated: DataFrame, qty: DataFrame, channel: str, start: d
         year_month("date").alias("year_month"),
         "branch",
         "sku",
-        F.col("revenue").cast("double").alias("revenue"),
-        F.col("qty").cast("double").alias("qty"),
+        unscaled("revenue").alias("revenue"),
+        unscaled("qty").alias("qty"),
         sale_flag("qty").alias("sold"),
     )
 
@@ -194,31 +195,33 @@ def merge_channels(off: DataFrame, on: DataFrame) -> DataFrame:
     )
     is_off = F.col("channel") == OFF
 
-    def pick(cond: Column, c: str, zero: Column) -> Column:
-        return F.sum(F.when(cond, F.col(c).cast(MONEY if c != "sold" else "int")).otherwise(zero))
+    def pick(cond: Column, c: str) -> Column:
+        v = F.col(c).cast("long") if c == "sold" else scaled(c)
+        return F.sum(F.when(cond, v).otherwise(_zero()))
 
     merged = tagged.groupBy(*keys).agg(
-        pick(is_off, "revenue", _zero()).alias("revenue_off"),
-        pick(is_off, "qty", _zero()).alias("qty_off"),
-        pick(is_off, "sold", F.lit(0)).cast("int").alias("sold_off"),
-        pick(~is_off, "revenue", _zero()).alias("revenue_on"),
-        pick(~is_off, "qty", _zero()).alias("qty_on"),
-        pick(~is_off, "sold", F.lit(0)).cast("int").alias("sold_on"),
+        pick(is_off, "revenue").alias("revenue_off"),
+        pick(is_off, "qty").alias("qty_off"),
+        pick(is_off, "sold").cast("int").alias("sold_off"),
+        pick(~is_off, "revenue").alias("revenue_on"),
+        pick(~is_off, "qty").alias("qty_on"),
+        pick(~is_off, "sold").cast("int").alias("sold_on"),
     )
     return _with_totals(merged)
 
 
 def _with_totals(df: DataFrame) -> DataFrame:
+    """Money and quantities arrive as integer cents; published as double."""
     return df.select(
         "date", "year_month", "branch", "sku",
-        F.col("revenue_off").cast("double").alias("revenue_off"),
-        F.col("qty_off").cast("double").alias("qty_off"),
+        unscaled("revenue_off").alias("revenue_off"),
+        unscaled("qty_off").alias("qty_off"),
         "sold_off",
-        F.col("revenue_on").cast("double").alias("revenue_on"),
-        F.col("qty_on").cast("double").alias("qty_on"),
+        unscaled("revenue_on").alias("revenue_on"),
+        unscaled("qty_on").alias("qty_on"),
         "sold_on",
-        (F.col("revenue_off") + F.col("revenue_on")).cast("double").alias("revenue"),
-        (F.col("qty_off") + F.col("qty_on")).cast("double").alias("qty"),
+        unscaled(F.col("revenue_off") + F.col("revenue_on")).alias("revenue"),
+        unscaled(F.col("qty_off") + F.col("qty_on")).alias("qty"),
         (F.col("sold_off") + F.col("sold_on")).cast("int").alias("sold"),
     )
 
@@ -248,8 +251,9 @@ def dense_daily_sales(rated: DataFrame, qty: DataFrame, start: dt.date, end: dt.
 # --------------------------------------------------------------------------- A2 / A3 / T1
 
 def exact_sum(c: str) -> Column:
-    """Sum of a double column that holds cent values, done in decimal (order independent)."""
-    return F.sum(F.col(c).cast("decimal(28,2)")).cast("double")
+    """Sum of a double column that holds cent values, done in integer cents (exact and
+    order independent)."""
+    return unscaled(F.sum(scaled(c)))
 
 
 def sales_stats(sales: DataFrame) -> DataFrame:

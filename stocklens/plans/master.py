@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
 
 from stocklens.operators import master
 from stocklens.params import RunParams
@@ -11,8 +11,7 @@ from stocklens.params import RunParams
 
 def summary(sales: DataFrame, params: RunParams) -> DataFrame:
     """A6 over the sales table restricted to the run window."""
-    window = sales.where(F.col("date").between(F.lit(params.start), F.lit(params.as_of)))
-    return master.sales_summary(window, params.as_of, params.month_mode)
+    return master.sales_summary(sales, params.as_of, params.month_mode, params.start)
 
 
 def master_tables(sales: DataFrame, stores: DataFrame, cds: DataFrame, params: RunParams, with_clock: bool = True, summary_df: DataFrame | None = None):
