@@ -610,3 +610,11 @@ SELECT COUNT(*) AS rows, COUNT(DISTINCT branch) AS distinct_branches, COUNT(DIST
 FROM sales"""))
 q("s1_load", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 q("s2_load_sql", "SELECT * FROM region")
+
+q("p6_rename_drop", with_fixtures("""
+SELECT stock_date, sku, branch, stock_place, store_status, CAST(stock_qty AS DOUBLE) AS current_stock_qty,
+       CAST(stock_value AS DOUBLE) AS current_stock_value, CAST(cmv_sales_value AS DOUBLE) AS cmv_sales_value
+FROM stock""", "stock"))
+q("d2_sale_flag", with_fixtures("""
+SELECT date, branch, sku, channel, CAST(CASE WHEN SUM(quantity) > 0 THEN 1 ELSE 0 END AS INTEGER) AS sold
+FROM lines GROUP BY date, branch, sku, channel""", *SALES_FIX, extra=LINES_CTES))

@@ -590,3 +590,38 @@ def _s1(i: Inputs) -> DataFrame:
 @register("s2_load_sql")
 def _s2(i: Inputs) -> DataFrame:
     return loaders.load_sql(i.spark, f"SELECT * FROM parquet.`{i.sf_dir}/region.parquet`")
+
+
+# =========================================================================== remaining single operators
+
+import datetime as _dt  # noqa: E402
+
+from stocklens.functions.columns import sale_flag  # noqa: E402
+from stocklens.functions.lineage import with_lineage  # noqa: E402
+
+LINEAGE_AT = _dt.datetime(2001, 6, 30, 12, 0)
+
+
+@register("p6_rename_drop")
+def _p6(i: Inputs) -> DataFrame:
+    out = filters.rename_drop(i.stock, {"stock_qty": "current_stock_qty", "stock_value": "current_stock_value"}, ("ingested_at",))
+    return out.select(*[to_double(c).alias(c) if c.startswith("current_") or c == "cmv_sales_value" else F.col(c) for c in out.columns])
+
+
+@register("d2_sale_flag")
+def _d2(i: Inputs) -> DataFrame:
+    """Sale flag of each channel-day of the daily aggregate."""
+    lines = sales.sales_lines(i.rated_sales, i.quantity_sales, P.start, P.as_of, None)
+    return sales.daily_sales(lines).select("date", "branch", "sku", "channel", sale_flag("qty").alias("sold"))
+
+
+@register("p10_dev_sample")
+def _p10(i: Inputs) -> DataFrame:
+    """TEST-mode hash sample of the value lines (rows-only check: xxhash64 is Spark's)."""
+    return quality.dev_sample(i.rated_sales, ("fact_key",), P.with_(mode="TEST"))
+
+
+@register("d4_with_lineage")
+def _d4(i: Inputs) -> DataFrame:
+    """Dense sales with processing columns at a pinned time (rows-only check)."""
+    return with_lineage(_dense(i), "rated sales + quantity sales", at=LINEAGE_AT)
