@@ -59,10 +59,12 @@ def _ckpt_sized(df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, i
     return out, int(got["n"]), int(got["rows"])
 
 
-# Loop state is cached every round and written by a reliable checkpoint every
-# CHECKPOINT_EVERY rounds (and at the end of a loop): a lost executor costs at most that
-# many rounds of recomputation, and the lineage never grows past them.
-CHECKPOINT_EVERY = 4
+# Loop state is written by a reliable checkpoint every CHECKPOINT_EVERY rounds (and at the
+# end of a loop) and cached in between: a lost executor costs at most that many rounds of
+# recomputation. Every round (1) is the default: each round then plans against a leaf; with
+# cached rounds in between the plan grows with every reference to the previous state
+# (measured: BFS over 834 nodes, 10 rounds, 8.7 s at 1 vs 10.5 s at 4).
+CHECKPOINT_EVERY = 1
 
 
 class _Rounds:
@@ -71,12 +73,14 @@ class _Rounds:
     def __init__(self) -> None:
         self.n = 0
         self.cached: list[DataFrame] = []
+        self.last_durable: DataFrame | None = None
 
     def keep(self, df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, int, int]:
         self.n += 1
         if self.n % CHECKPOINT_EVERY == 0:
             out = _ckpt_sized(df, flag)
             self.release()
+            self.last_durable = out[0]
             return out
         obs = Observation()
         out = df.observe(obs, F.count_if(F.lit(True) if flag is None else flag).alias("n"), F.count(F.lit(1)).alias("rows")).persist()
@@ -85,8 +89,11 @@ class _Rounds:
         got = obs.get
         return out, int(got["n"]), int(got["rows"])
 
-    def durable(self, df: DataFrame) -> DataFrame:
-        """Checkpoint the final state of the loop and drop the cached rounds."""
+    def durable(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame:
+        """The final state of a loop, checkpointed; ``df`` is returned as is when it is a
+        projection of ``base`` and ``base`` was the last round's checkpoint."""
+        if base is not None and base is self.last_durable:
+            return df
         out = _ckpt(df)
         self.release()
         return out
@@ -102,6 +109,15 @@ class _Rounds:
 BROADCAST_ROWS = 2_000_000
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """Keep a loop state that grows by ``union`` at the session's shuffle-partition count
+    (a union concatenates partitions; without this every round would add more tasks).
+    ``coalesce`` merges partitions without a shuffle."""
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    parts = int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(parts)
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -195,23 +211,24 @@ def scc(edges: DataFrame) -> DataFrame:
 
     while n_active:
         # Trim: a node without an in-edge or an out-edge inside the active graph is alone.
+        # Each round reads two checkpointed leaves (edges, active nodes): constant-size plans.
         while n_active:
-            has_in = _small(e.select(F.col("dst").alias("node"), F.lit(True).alias("i")).distinct(), n_e)
-            has_out = _small(e.select(F.col("src").alias("node"), F.lit(True).alias("o")).distinct(), n_e)
+            live = _restrict(e, _small(active, n_active))
+            has_in = live.select(F.col("dst").alias("node"), F.lit(True).alias("i")).distinct()
+            has_out = live.select(F.col("src").alias("node"), F.lit(True).alias("o")).distinct()
             flagged = active.join(has_in, "node", "left").join(has_out, "node", "left").select(
                 "node", (F.coalesce("i", F.lit(False)) & F.coalesce("o", F.lit(False))).alias("keep")
             )
             flagged, n_trim, _ = rounds.keep(flagged, ~F.col("keep"))
+            flagged = rounds.durable(flagged, flagged)
             if n_trim == 0:
                 break
-            flagged = rounds.durable(flagged)
             found.append(flagged.where(~F.col("keep")).select("node", F.col("node").alias("scc_id")))
             active = flagged.where(F.col("keep")).select("node")
             n_active -= n_trim
-            e = _restrict(e, _small(active, n_active))
         if not n_active:
             break
-        e, _, n_e = _ckpt_sized(e)
+        e, _, n_e = _ckpt_sized(_restrict(e, _small(active, n_active)))
 
         # Forward: colour = largest id that reaches the node.
         colors = active.select("node", F.col("node").alias("color"))
@@ -228,7 +245,7 @@ def scc(edges: DataFrame) -> DataFrame:
             if n_changed == 0:
                 break
             frontier = colors.where(F.col("changed")).select("node", "color")
-        colors = rounds.durable(colors.select("node", "color"))
+        colors = rounds.durable(colors.select("node", "color"), colors)
 
         # Backward: the component of root c = nodes of colour c that reach c inside colour c.
         src_c = _small(colors.select(F.col("node").alias("src"), F.col("color").alias("c1")), n_active)
@@ -243,20 +260,21 @@ def scc(edges: DataFrame) -> DataFrame:
                 F.col("src").alias("node"), "color"
             )
             fresh = preds.distinct().join(_small(marked.select("node"), n_active), "node", "left_anti")
-            grown = marked.select("node", "color", F.lit(False).alias("fresh")).unionByName(
-                fresh.select("node", "color", F.lit(True).alias("fresh"))
+            grown = _bounded(
+                marked.select("node", "color", F.lit(False).alias("fresh")).unionByName(
+                    fresh.select("node", "color", F.lit(True).alias("fresh"))
+                )
             )
             marked, n_new, _ = rounds.keep(grown, F.col("fresh"))
             if n_new == 0:
                 break
             frontier = marked.where(F.col("fresh")).select("node", "color")
-        marked = rounds.durable(marked.select("node", "color"))
+        marked = rounds.durable(marked.select("node", "color"), marked)
         found.append(marked.select("node", F.col("color").alias("scc_id")))
 
         # Nodes of one component share a colour: drop the found ones and cross-colour edges.
         active, n_active = _ckpt_counted(active.join(_small(marked.select("node"), n_active), "node", "left_anti"), F.lit(True))
-        e, n_e = same.select("src", "dst"), n_same
-        e = _restrict(e, _small(active, n_active))
+        e, n_e = same.select("src", "dst"), n_same  # cross-colour edges dropped; restricted in the trim
 
     members = found[0]
     for f in found[1:]:
@@ -314,14 +332,16 @@ def cd_levels(edges: DataFrame) -> DataFrame:
         )
         seen = _small(visited.select("source", "node"), n_visited)
         new = step.join(seen, ["source", "node"], "left_anti").groupBy("source", "node").agg(F.min("dist").alias("dist"))
-        grown = visited.select("source", "node", "dist", F.lit(False).alias("fresh")).unionByName(
-            new.select("source", "node", "dist", F.lit(True).alias("fresh"))
+        grown = _bounded(
+            visited.select("source", "node", "dist", F.lit(False).alias("fresh")).unionByName(
+                new.select("source", "node", "dist", F.lit(True).alias("fresh"))
+            )
         )
         visited, n_new, n_visited = rounds.keep(grown, F.col("fresh"))
         if n_new == 0:
             break
         frontier = visited.where(F.col("fresh")).select("source", "node", "dist")
-    visited = rounds.durable(visited.select("source", "node", "dist"))
+    visited = rounds.durable(visited.select("source", "node", "dist"), visited)
     return visited.groupBy("node").agg(F.max("dist").alias("level"))
 
 
