@@ -79,11 +79,14 @@ def main() -> None:
         noop(m_cd)
         summary.unpersist()
 
+    last = {}
+
     def network():
         net = network_plan.build_network(src.supply_plan)
         noop(network_plan.network_report(net))
         noop(net.nodes)
         noop(net.edges)
+        last["net"] = net
 
     queries = {
         "dense_daily_sales": timed(sales),
@@ -91,8 +94,18 @@ def main() -> None:
         "master_tables": timed(master),
         "network_metrics": timed(network),
     }
+    summary = master_plan.summary(spark.read.parquet(f"{scratch}/sales"), params)
+    m_st, m_cd = master_plan.master_tables(
+        None, spark.read.parquet(f"{scratch}/stores"), spark.read.parquet(f"{scratch}/cds"), params, summary_df=summary
+    )
     rows = {
         "sales_rows": spark.read.parquet(f"{scratch}/sales").count(),
+        "stock_store_rows": spark.read.parquet(f"{scratch}/stores").count(),
+        "stock_cd_rows": spark.read.parquet(f"{scratch}/cds").count(),
+        "master_store_rows": m_st.count(),
+        "master_cd_rows": m_cd.count(),
+        "network_nodes": last["net"].nodes.count(),
+        "network_edges": last["net"].edges.count(),
         "window_lines": src.rated_sales.where(
             (src.rated_sales.approval_date >= params.start) & (src.rated_sales.approval_date <= params.as_of)
         ).count(),
