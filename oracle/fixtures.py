@@ -11,8 +11,6 @@ import datetime as dt
 from stocklens.sources.contracts import GEF_METRICS
 from stocklens.sources.testdata import (
     FIRST_CD,
-    GEF_DUPLICATE_MOD,
-    GEF_MISSING_MOD,
     GEF_RULES,
     INACTIVE_STORES,
     N_BRANCHES,
@@ -77,22 +75,18 @@ def gef(as_of: dt.date = AS_OF) -> str:
         f"CAST((branch * {a} + sku_num * {b}) % {m} + {k} AS INTEGER) AS {name}"
         for name, (a, b, m, k) in ((n, GEF_RULES[n]) for n in GEF_METRICS)
     )
+    end = as_of - dt.timedelta(days=STOCK_WINDOW_DAYS + 1)
+    start = end - dt.timedelta(days=STOCK_WINDOW_DAYS - 1)
     return f"""
 WITH k AS (
   SELECT DISTINCT CAST(l_suppkey % {N_BRANCHES} AS INTEGER) AS branch, p_brand AS sku,
-         CAST(substr(p_brand, 7) AS INTEGER) AS sku_num
+         CAST(substr(p_brand, 7) AS INTEGER) AS sku_num, l_linestatus
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_suppkey % {N_BRANCHES} < {FIRST_CD}
-), kept AS (
-  SELECT * FROM k WHERE (branch + sku_num) % {GEF_MISSING_MOD} <> 0
-), rows_ AS (
-  SELECT * FROM kept
-  UNION ALL
-  SELECT * FROM kept WHERE (branch + sku_num) % {GEF_DUPLICATE_MOD} = 0
+  WHERE CAST(l_shipdate AS DATE) BETWEEN {d(start)} AND {d(end)} AND l_suppkey % {N_BRANCHES} < {FIRST_CD}
 )
 SELECT {d(as_of)} AS stock_date, branch, sku,
        {metrics}
-FROM rows_"""
+FROM k"""
 
 
 def supply_plan_stock() -> str:

@@ -155,20 +155,62 @@ def check_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
     )
 
 
+def group_quantiles(df: DataFrame, value: str, by: tuple[str, ...] | list[str], qs: tuple[float, ...], partitions: int | None = None) -> DataFrame:
+    """Exact quantiles per group (linear interpolation between the closest ranks, the
+    definition of ``percentile`` / ``quantile_cont``) without holding a group in one task.
+
+    Values are range-partitioned by (group, value), so a group with a third of all rows is
+    spread over many partitions; per-partition counts (one row per partition and group)
+    give each row its rank in its group, and only the rows at the two ranks around each
+    quantile position are kept and aggregated. Columns: ``by`` + ``q0``, ``q1``, ...
+    """
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    by = list(by)
+    spark = df.sparkSession
+    conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    n_parts = partitions or (int(conf) if conf.isdigit() else spark.sparkContext.defaultParallelism)
+    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    ranged = vals.repartitionByRange(n_parts, *by, "_v").withColumn("_pid", F.spark_partition_id())
+    part = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select(
+        "_pid", *by,
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
+    )
+    rn = F.row_number().over(Window.partitionBy("_pid", *by).orderBy("_v"))
+    ranked = ranged.withColumn("_rn", rn).join(part, ["_pid", *by])
+    rank = F.col("_off") + F.col("_rn") - 1
+    positions = [F.lit(q) * (F.col("_n") - 1) for q in qs]
+    near = reduce(lambda a, b: a | b, [(rank == F.floor(p)) | (rank == F.ceil(p)) for p in positions])
+    picked = ranked.where(near).select(*by, "_n", "_v", rank.alias("_rank"))
+    aggs = []
+    for i, p in enumerate(positions):
+        aggs.append(F.max(F.when(F.col("_rank") == F.floor(p), F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(F.col("_rank") == F.ceil(p), F.col("_v"))).alias(f"_hi{i}"))
+    grouped = picked.groupBy(*by, "_n").agg(*aggs)
+    out = []
+    for i, p in enumerate(positions):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        between = (F.ceil(p) - p) * lo + (p - F.floor(p)) * hi
+        out.append(F.when(F.ceil(p) == F.floor(p), lo).otherwise(between).alias(f"q{i}"))
+    return grouped.select(*by, *out)
+
+
 def check_outliers(df: DataFrame, col: str, by: tuple[str, ...] | list[str]) -> DataFrame:
     """V8: rows outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] of their group (our rule).
 
-    Quartiles are exact (``percentile``, linear interpolation) per group; the per-group
-    bounds are joined back by key (one row per group, a small side).
+    Quartiles are exact and distributed (``group_quantiles``); the per-group fences (one
+    row per group) are joined back by key.
     """
-    bounds = df.groupBy(*by).agg(
-        F.percentile(F.col(col).cast("double"), 0.25).alias("q1"),
-        F.percentile(F.col(col).cast("double"), 0.75).alias("q3"),
-    )
-    bounds = bounds.select(
+    q = group_quantiles(df, col, by, (0.25, 0.75))
+    bounds = q.select(
         *by,
-        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence"),
+        (F.col("q0") - 1.5 * (F.col("q1") - F.col("q0"))).alias("lower_fence"),
+        (F.col("q1") + 1.5 * (F.col("q1") - F.col("q0"))).alias("upper_fence"),
     )
     v = F.col(col).cast("double")
     flagged = df.join(bounds, on=list(by), how="inner")

@@ -59,8 +59,6 @@ GEF_RULES: dict[str, tuple[int, int, int, int]] = {
     "cluster_obg": (67, 71, 2, 0),
     "cluster_sug": (71, 73, 3, 0),
 }
-GEF_MISSING_MOD = 4     # keys with (branch + sku_num) % 4 = 0 have no GEF row
-GEF_DUPLICATE_MOD = 7   # keys with (branch + sku_num) % 7 = 0 appear twice (exact copies)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,18 +161,19 @@ def stock(spark: SparkSession, sf_dir: str, as_of: dt.date, sku: str = "brand")
 
 
 def gef(spark: SparkSession, sf_dir: str, as_of: dt.date, sku: str = "brand") -> DataFrame:
-    """GEF feed for stores: one row per (store, sku) ever sold, a quarter missing, some doubled."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
-    keys = (
+    """GEF feed for stores: the (store, sku) keys sold in the 30 days before the stock
+    window, one row per line status of those sales. Keys without earlier sales have no row
+    (the enrichment's unmatched keys); keys sold with both statuses appear twice, as exact
+    copies, since every metric is a function of the key (the duplicate audit's case)."""
+    end = as_of - dt.timedelta(days=STOCK_WINDOW_DAYS + 1)
+    start = end - dt.timedelta(days=STOCK_WINDOW_DAYS - 1)
+    li = table(spark, sf_dir, "lineitem").where(ship_date_between(start, end)).select("l_partkey", "l_suppkey", "l_linestatus")
+    rows = (
         _with_sku(spark, sf_dir, li, sku)
-        .select(_branch().alias("branch"), "sku", "sku_num")
+        .select(_branch().alias("branch"), "sku", "sku_num", "l_linestatus")
         .where(F.col("branch") < FIRST_CD)
         .distinct()
     )
-    mix = F.col("branch") + F.col("sku_num")
-    keys = keys.where(F.pmod(mix, F.lit(GEF_MISSING_MOD)) != 0)
-    doubled = keys.where(F.pmod(mix, F.lit(GEF_DUPLICATE_MOD)) == 0)
-    rows = keys.unionByName(doubled)
     metrics = [
         (F.pmod(F.col("branch") * a + F.col("sku_num") * b, F.lit(m)) + k).cast("int").alias(name)
         for name, (a, b, m, k) in ((n, GEF_RULES[n]) for n in GEF_METRICS)

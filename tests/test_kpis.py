@@ -36,3 +36,24 @@ def test_project_stock_never_negative(spark):
     rows = kpis.project_stock(m, 7).orderBy("day").collect()
     assert [r.projected_stock for r in rows][:4] == [6.0, 2.0, 0.0, 0.0]
     assert rows[0].coverage_days == 2.5
+
+
+def test_group_quantiles_exact_and_skew_split(spark):
+    import random
+
+    from stocklens.operators import quality
+
+    rnd = random.Random(7)
+    rows = [("hot", float(rnd.randint(0, 1000))) for _ in range(3000)] + [
+        (f"g{i % 7}", float(rnd.randint(0, 50))) for i in range(300)
+    ] + [("single", 5.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.q0, r.q1, r.q2) for r in quality.group_quantiles(df, "v", ("g",), (0.25, 0.5, 0.9), partitions=6).collect()}
+    want = {
+        r.g: tuple(r.p)
+        for r in df.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.9]).alias("p")).collect()
+        if r.p is not None
+    }
+    assert set(got) == set(want)
+    for g, vals in want.items():
+        assert got[g] == vals, g
