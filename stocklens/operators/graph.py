@@ -104,18 +104,29 @@ class _Rounds:
         self.cached = []
 
 
-# Loop joins broadcast a side whose row count, observed when it was checkpointed, is at most
-# this bound; a larger side is joined by shuffle. (Rows of a few ids: ~100 MB at the bound.)
+# Node sets (active nodes, visited pairs) are broadcast to the loop joins when their row
+# count, observed when they were checkpointed, is at most this bound; a larger set is
+# joined by shuffle. Edge sets are never broadcast: they are laid out by ``_by``.
 BROADCAST_ROWS = 2_000_000
 
 
+def _parts(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
+
+
 def _bounded(df: DataFrame) -> DataFrame:
     """Keep a loop state that grows by ``union`` at the session's shuffle-partition count
     (a union concatenates partitions; without this every round would add more tasks).
     ``coalesce`` merges partitions without a shuffle."""
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    parts = int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(parts)
+    return df.coalesce(_parts(df))
+
+
+def _by(df: DataFrame, *keys: str) -> DataFrame:
+    """A static edge set laid out for the loop joins: hash-partitioned and sorted by the join
+    keys before it is checkpointed (the checkpoint keeps both), so every round shuffles and
+    sorts only the small frontier side, never the edges (the Pregel layout)."""
+    return df.repartition(_parts(df), *keys).sortWithinPartitions(*keys)
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -205,6 +216,8 @@ def scc(edges: DataFrame) -> DataFrame:
     counts what changed in the same job (``Observation``).
     """
     rounds = _Rounds()
+    # Laid out by ``_by`` only after trimming, where the colouring joins use it (a
+    # hierarchy such as CD->store is trimmed away completely and never pays for it).
     e, _, n_e = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
     active, n_active = _ckpt_counted(graph_nodes(edges), F.lit(True))
     found: list[DataFrame] = []
@@ -228,13 +241,13 @@ def scc(edges: DataFrame) -> DataFrame:
             n_active -= n_trim
         if not n_active:
             break
-        e, _, n_e = _ckpt_sized(_restrict(e, _small(active, n_active)))
+        e, _, n_e = _ckpt_sized(_by(_restrict(e, _small(active, n_active)), "src"))
 
         # Forward: colour = largest id that reaches the node.
         colors = active.select("node", F.col("node").alias("color"))
         frontier = colors
         while True:
-            cand = frontier.select(F.col("node").alias("src"), "color").join(_small(e, n_e), "src").groupBy(
+            cand = frontier.select(F.col("node").alias("src"), "color").join(e, "src").groupBy(
                 F.col("dst").alias("node")
             ).agg(F.max("color").alias("new"))
             grown = F.coalesce(F.col("new") > F.col("color"), F.lit(False))
@@ -251,12 +264,16 @@ def scc(edges: DataFrame) -> DataFrame:
         src_c = _small(colors.select(F.col("node").alias("src"), F.col("color").alias("c1")), n_active)
         dst_c = _small(colors.select(F.col("node").alias("dst"), F.col("color").alias("c2")), n_active)
         same, _, n_same = _ckpt_sized(
-            e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst", F.col("c1").alias("color"))
+            _by(
+                e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst", F.col("c1").alias("color")),
+                "dst",
+                "color",
+            )
         )
         marked = colors.where(F.col("node") == F.col("color"))
         frontier = marked
         while True:
-            preds = frontier.select(F.col("node").alias("dst"), "color").join(_small(same, n_same), ["dst", "color"]).select(
+            preds = frontier.select(F.col("node").alias("dst"), "color").join(same, ["dst", "color"]).select(
                 F.col("src").alias("node"), "color"
             )
             fresh = preds.distinct().join(_small(marked.select("node"), n_active), "node", "left_anti")
@@ -318,7 +335,7 @@ def cd_levels(edges: DataFrame) -> DataFrame:
 
     Nodes reachable from no source are absent. Without any source every node is level 0.
     """
-    e, _, n_e = _ckpt_sized(_edges(edges).distinct())
+    e, _, n_e = _ckpt_sized(_by(_edges(edges).distinct(), "src"))
     srcs, n_src = _ckpt_counted(sources(e), F.lit(True))
     if n_src == 0:
         return graph_nodes(e).select("node", F.lit(0).cast("long").alias("level"))
@@ -327,7 +344,7 @@ def cd_levels(edges: DataFrame) -> DataFrame:
     n_visited = n_src
     frontier = visited
     while True:
-        step = frontier.select("source", F.col("node").alias("src"), "dist").join(_small(e, n_e), "src").select(
+        step = frontier.select("source", F.col("node").alias("src"), "dist").join(e, "src").select(
             "source", F.col("dst").alias("node"), (F.col("dist") + 1).alias("dist")
         )
         seen = _small(visited.select("source", "node"), n_visited)
