@@ -75,3 +75,12 @@ def test_streaming_ingest_available_now(spark, scratch):
     q = start_ingest(source_stream(spark, f"{src}/*", schema), f"{scratch}/landed", f"{scratch}/stream-ckpt", "tpch")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{scratch}/landed").count() == 25
+
+
+def test_original_names(spark):
+    from stocklens.functions.names import original_name, with_original_names
+
+    df = spark.createDataFrame([(1, "A", 2.0, 3.0)], "branch int, sku string, revenue_off double, qty_mm7d double")
+    assert with_original_names(df).columns == ["CdFilial", "CdSku", "Receita_OFF", "QtMercadoria_MM7d"]
+    assert original_name("revenue_last30d") == "Receita_Last30d"
+    assert original_name("unknown_col") == "unknown_col"
