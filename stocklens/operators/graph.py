@@ -110,23 +110,32 @@ class _Rounds:
 BROADCAST_ROWS = 2_000_000
 
 
-def _parts(df: DataFrame) -> int:
+# Loop data is laid out in partitions of about this many rows (capped at the session's
+# shuffle-partition count): a 1,000-node graph runs its rounds in one task per stage, a
+# billion-edge graph in the full shuffle width.
+ROWS_PER_PARTITION = 200_000
+
+
+def _parts(df: DataFrame, rows: int | None = None) -> int:
     conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
+    cap = int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
+    if rows is None:
+        return cap
+    return max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Keep a loop state that grows by ``union`` at the session's shuffle-partition count
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Keep a loop state that grows by ``union`` at a partition count fitted to its size
     (a union concatenates partitions; without this every round would add more tasks).
     ``coalesce`` merges partitions without a shuffle."""
-    return df.coalesce(_parts(df))
+    return df.coalesce(_parts(df, rows))
 
 
-def _by(df: DataFrame, *keys: str) -> DataFrame:
+def _by(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """A static edge set laid out for the loop joins: hash-partitioned and sorted by the join
     keys before it is checkpointed (the checkpoint keeps both), so every round shuffles and
     sorts only the small frontier side, never the edges (the Pregel layout)."""
-    return df.repartition(_parts(df), *keys).sortWithinPartitions(*keys)
+    return df.repartition(_parts(df, rows), *keys).sortWithinPartitions(*keys)
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -241,7 +250,7 @@ def scc(edges: DataFrame) -> DataFrame:
             n_active -= n_trim
         if not n_active:
             break
-        e, _, n_e = _ckpt_sized(_by(_restrict(e, _small(active, n_active)), "src"))
+        e, _, n_e = _ckpt_sized(_by(_restrict(e, _small(active, n_active)), n_e, "src"))
 
         # Forward: colour = largest id that reaches the node.
         colors = active.select("node", F.col("node").alias("color"))
@@ -266,6 +275,7 @@ def scc(edges: DataFrame) -> DataFrame:
         same, _, n_same = _ckpt_sized(
             _by(
                 e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst", F.col("c1").alias("color")),
+                n_e,
                 "dst",
                 "color",
             )
@@ -280,7 +290,8 @@ def scc(edges: DataFrame) -> DataFrame:
             grown = _bounded(
                 marked.select("node", "color", F.lit(False).alias("fresh")).unionByName(
                     fresh.select("node", "color", F.lit(True).alias("fresh"))
-                )
+                ),
+                n_active,
             )
             marked, n_new, _ = rounds.keep(grown, F.col("fresh"))
             if n_new == 0:
@@ -335,7 +346,8 @@ def cd_levels(edges: DataFrame) -> DataFrame:
 
     Nodes reachable from no source are absent. Without any source every node is level 0.
     """
-    e, _, n_e = _ckpt_sized(_by(_edges(edges).distinct(), "src"))
+    e, _, n_e = _ckpt_sized(_edges(edges).distinct())
+    e = _ckpt(_by(e, n_e, "src"))
     srcs, n_src = _ckpt_counted(sources(e), F.lit(True))
     if n_src == 0:
         return graph_nodes(e).select("node", F.lit(0).cast("long").alias("level"))
@@ -352,7 +364,8 @@ def cd_levels(edges: DataFrame) -> DataFrame:
         grown = _bounded(
             visited.select("source", "node", "dist", F.lit(False).alias("fresh")).unionByName(
                 new.select("source", "node", "dist", F.lit(True).alias("fresh"))
-            )
+            ),
+            2 * n_visited,
         )
         visited, n_new, n_visited = rounds.keep(grown, F.col("fresh"))
         if n_new == 0:
