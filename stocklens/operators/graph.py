@@ -403,8 +403,8 @@ def node_metrics(cd_edges: DataFrame, store_edges: DataFrame) -> DataFrame:
     return cd_cd_nodes(cd_edges).unionByName(cd_store_nodes(store_edges))
 
 
-def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_type: Column) -> DataFrame:
-    comps = scc(edges).select("node", "scc_id", "scc_size")
+def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_type: Column, comps: DataFrame | None = None) -> DataFrame:
+    comps = (comps if comps is not None else scc(edges)).select("node", "scc_id", "scc_size")
     base = degrees(edges).join(comps, "node", "left").join(levels, "node", "left")
     size = F.coalesce(F.col("scc_size"), F.lit(1)).cast("long")
     return base.select(
@@ -421,16 +421,17 @@ def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_typ
     )
 
 
-def cd_cd_nodes(cd_edges: DataFrame, levels: DataFrame | None = None) -> DataFrame:
-    """Node rows of the CD->CD graph (``levels`` = G9 output, computed if not given)."""
-    return _graph_nodes_table(cd_edges, levels if levels is not None else cd_levels(cd_edges), CD_CD, F.lit(CD))
+def cd_cd_nodes(cd_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None) -> DataFrame:
+    """Node rows of the CD->CD graph (``levels`` = G9, ``comps`` = G7 output; computed if not given)."""
+    lv = levels if levels is not None else cd_levels(cd_edges)
+    return _graph_nodes_table(cd_edges, lv, CD_CD, F.lit(CD), comps)
 
 
-def cd_store_nodes(store_edges: DataFrame, levels: DataFrame | None = None) -> DataFrame:
+def cd_store_nodes(store_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None) -> DataFrame:
     """Node rows of the CD->store graph: a node with out-edges is a CD, otherwise a store."""
     kind = F.when(F.col("out_degree") > 0, F.lit(CD)).otherwise(F.lit(STORE))
     lv = levels if levels is not None else store_levels(store_edges)
-    return _graph_nodes_table(store_edges, lv, CD_STORE, kind)
+    return _graph_nodes_table(store_edges, lv, CD_STORE, kind, comps)
 
 
 def edge_table(cd_edges: DataFrame, store_edges: DataFrame) -> DataFrame:

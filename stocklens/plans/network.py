@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,16 +40,33 @@ class Network:
         return G.edge_table(self.cd_edges, self.store_edges)
 
 
-def build_network(plan: DataFrame) -> Network:
-    """G1 G2 G6 G7 G9 G10 G11 over one plan."""
+def build_network(plan: DataFrame, concurrent: bool = True) -> Network:
+    """G1 G2 G6 G7 G9 G10 G11 over one plan.
+
+    The three iterative computations (BFS levels of the CD->CD graph, components of each
+    graph) are independent; with ``concurrent`` they are driven from three threads, so
+    Spark runs their jobs side by side in the same application (each round is small and
+    latency-bound, so they overlap well; on a cluster the FAIR scheduler shares executors).
+    """
     quality.require_rows(plan, what="supply plan rows")
     ensure_checkpoint_dir(plan.sparkSession)
     cd_edges = G.cd_cd_edges(plan).checkpoint(eager=True)
     store_edges = G.cd_store_edges(plan).checkpoint(eager=True)
-    cd_levels = G.cd_levels(cd_edges).checkpoint(eager=True)
+    loops = {
+        "cd_levels": lambda: G.cd_levels(cd_edges).checkpoint(eager=True),
+        "cd_scc": lambda: G.scc(cd_edges).checkpoint(eager=True),
+        "store_scc": lambda: G.scc(store_edges).checkpoint(eager=True),
+    }
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=len(loops)) as pool:
+            futures = {name: pool.submit(fn) for name, fn in loops.items()}
+            done = {name: f.result() for name, f in futures.items()}
+    else:
+        done = {name: fn() for name, fn in loops.items()}
+    cd_levels = done["cd_levels"]
     store_levels = G.store_levels(store_edges)
-    cd_nodes = G.cd_cd_nodes(cd_edges, cd_levels).checkpoint(eager=True)
-    store_nodes = G.cd_store_nodes(store_edges, store_levels).checkpoint(eager=True)
+    cd_nodes = G.cd_cd_nodes(cd_edges, cd_levels, done["cd_scc"]).checkpoint(eager=True)
+    store_nodes = G.cd_store_nodes(store_edges, store_levels, done["store_scc"]).checkpoint(eager=True)
     return Network(plan, cd_edges, store_edges, cd_levels, store_levels, cd_nodes, store_nodes)
 
 
