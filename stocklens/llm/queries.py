@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm import ann, topk
-from stocklens.llm.common import table
+from stocklens.llm import ann, packing, simhash, tokens, topk
+from stocklens.llm.common import shared_folder, table
+
+
+def tokenizer() -> str:
+    """The public vocabulary of the registered queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,14 +23,34 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op5_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = shared_folder(spark, "tokens")
+    tokens.write_token_files(table(spark, sf_dir, "documents"), files, tokenizer())
+    return tokens.count_tokens(spark, files)
+
+
+def op9_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_top_k": op2_exact_top_k,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_permutation_ann": op5_permutation_ann,
+    "op7_token_counts": op7_token_counts,
+    "op9_multi_length_packing": op9_multi_length_packing,
 }
 
 ORACLE: dict[str, str] = {
