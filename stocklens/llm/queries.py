@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm import ann, chat, mixing, packing, simhash, tokens, topk
+from stocklens.llm import ann, chat, line_dedup, mixing, packing, quality, simhash, tokens, topk
 from stocklens.llm.common import shared_folder, table
 
 
@@ -18,6 +18,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return topk.exact_top_k(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
@@ -45,6 +49,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(spark, files)
 
 
+def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(quality.labelled(docs, table(spark, sf_dir, "labels")))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op9_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(), end_id=1)
     return pieces.select(
@@ -59,16 +71,46 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_top_k": op2_exact_top_k,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_permutation_ann": op5_permutation_ann,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_multi_length_packing": op9_multi_length_packing,
     "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": """
+        WITH d AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+        ), w AS (
+            SELECT *, list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))) AS words FROM d
+        ), p AS (
+            SELECT *, list_prepend(0, list_transform(range(1, len(words) + 1), lambda k: CAST(list_sum(words[1:k]) AS BIGINT))) AS upto FROM w
+        ), l AS (
+            SELECT doc_id, lines, upto, unnest(range(1, len(lines) + 1)) AS i FROM p
+        ), runs AS (
+            -- from line i to the first line that makes 50 words; to line i from the last line that does
+            SELECT doc_id, lines, i AS a, list_position(list_transform(upto, lambda x: x >= upto[i] + 50), true) - 1 AS z FROM l
+            UNION
+            SELECT doc_id, lines, len(list_filter(upto, lambda x, k: k <= i AND x <= upto[i + 1] - 50)) AS a, i AS z FROM l
+        ), grams AS (
+            SELECT doc_id, a, z, md5(array_to_string(lines[a:z], chr(10))) || '/' || (z - a) AS gram FROM runs WHERE a >= 1 AND z >= a
+        ), later AS (
+            SELECT doc_id, a, z FROM grams QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, a) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(a, z + 1)) AS i FROM later
+        ), kept AS (
+            SELECT l.doc_id, string_agg(lines[l.i], chr(10) ORDER BY l.i) AS text, count(*) AS n
+            FROM l ANTI JOIN gone USING (doc_id, i) GROUP BY l.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+               CAST(coalesce(len(d.lines), 0) AS INTEGER) AS n_lines, CAST(coalesce(len(d.lines), 0) - coalesce(k.n, 0) AS INTEGER) AS n_deleted
+        FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
     "op10_source_mixing": """
         WITH RECURSIVE d AS (
             SELECT doc_id, source, coalesce(source, '') AS key, coalesce(CAST(doc_id AS VARCHAR), '') AS name,
@@ -112,13 +154,13 @@ ORACLE: dict[str, str] = {
     """,
     "op2_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
             WHERE q.vec_id % 50 = 0
         )
