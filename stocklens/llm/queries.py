@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm import ann, chat, line_dedup, mixing, packing, quality, simhash, tokens, topk
+from stocklens.llm import ann, chat, line_dedup, lm, mixing, packing, quality, simhash, tokens, topk
 from stocklens.llm.common import shared_folder, table
 
 
@@ -43,6 +43,10 @@ def op5_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op6_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), tokenizer(), vocabulary=50257)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = shared_folder(spark, "tokens")
     tokens.write_token_files(table(spark, sf_dir, "documents"), files, tokenizer())
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_permutation_ann": op5_permutation_ann,
+    "op6_masked_pseudo_likelihood": op6_masked_pseudo_likelihood,
     "op7_token_counts": op7_token_counts,
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_multi_length_packing": op9_multi_length_packing,
