@@ -10,11 +10,11 @@ import datetime as dt
 
 from stocklens.sources.contracts import GEF_METRICS
 from stocklens.sources.testdata import (
+    CATEGORIES,
     FIRST_CD,
     GEF_RULES,
     INACTIVE_STORES,
     N_BRANCHES,
-    NETWORK_MIN_ACCTBAL,
     STOCK_WINDOW_DAYS,
     STORE_ID_OFFSET,
 )
@@ -102,11 +102,28 @@ def supply_plan() -> str:
 SELECT CAST(s_nationkey AS BIGINT) AS supplying_cd,
        CAST(l_suppkey AS BIGINT) AS delivering_cd,
        CAST({STORE_ID_OFFSET} + o_custkey AS BIGINT) AS store
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
-WHERE s_acctbal >= {NETWORK_MIN_ACCTBAL}"""
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey"""
 
 
+def products() -> str:
+    names = ", ".join(f"'{c}'" for c in CATEGORIES)
+    return f"""
+SELECT DISTINCT p_brand AS sku, ([{names}])[CAST(substr(p_brand, 7) AS INTEGER) % {len(CATEGORIES)} + 1] AS category FROM part"""
+
+
+def branches() -> str:
+    return """
+SELECT CAST(n_nationkey AS INTEGER) AS branch, n_name AS state, r_name AS region
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+
+PREVIOUS = AS_OF - dt.timedelta(days=30)
+
 FIXTURES = {
+    "products_dim": products,
+    "branches_dim": branches,
+    "stock_prev": lambda: stock(PREVIOUS),
+    "gef_prev": lambda: gef(PREVIOUS),
     "rated_sales": rated_sales,
     "quantity_sales": quantity_sales,
     "stock": stock,

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from oracle.fixtures import AS_OF, d, with_fixtures
+from oracle.fixtures import AS_OF, PREVIOUS, d, with_fixtures
 
 START = AS_OF - dt.timedelta(days=90)
 W = f"{d(START)} AND {d(AS_OF)}"
@@ -129,7 +129,7 @@ AS = d(AS_OF)
 METRICS = ", ".join(__import__("stocklens.sources.contracts", fromlist=["GEF_METRICS"]).GEF_METRICS)
 
 
-def prepared(kind: str) -> str:
+def prepared(kind: str, table: str = "stock", day: str | None = None) -> str:
     cond = "store_status = 'ATIVA' AND stock_place = 'L'" if kind == "LOJA" else "stock_place = 'D'"
     return f"""
 SELECT * EXCLUDE (rn) FROM (
@@ -137,7 +137,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM (SELECT CAST(ingested_at AS DATE) AS date, sku, branch, stock_place, store_status,
                stock_qty, stock_value, cmv_sales_value, ingested_at, '{kind}' AS stock_kind,
                CAST(stock_value AS DOUBLE) / NULLIF(CAST(cmv_sales_value AS DOUBLE), 0) AS dde
-        FROM stock WHERE stock_date >= {AS} AND {cond}))
+        FROM {table} WHERE stock_date >= {day or AS} AND {cond}))
 WHERE rn = 1"""
 
 
@@ -146,7 +146,7 @@ STOCK_CTES = {
     "st_d": prepared("CD"),
     "gef_feed": f"SELECT sku, branch, stock_date AS date, {METRICS} FROM gef",
     "gef_clean": "SELECT DISTINCT * FROM gef_feed",
-    "pairs": "SELECT DISTINCT delivering_cd, store FROM supply_plan_stock",
+    "pairs": "SELECT DISTINCT CAST(delivering_cd AS INTEGER) AS delivering_cd, CAST(store AS INTEGER) AS store FROM supply_plan_stock",
     "gef_cd": "SELECT g.*, p.delivering_cd FROM gef_clean g JOIN pairs p ON g.branch = p.store",
     "rollup": """
 SELECT CAST(delivering_cd AS INTEGER) AS branch, sku, date,
@@ -475,17 +475,21 @@ def kpi_sql(body: str, extra: dict[str, str] | None = None) -> str:
 
 
 AGE_LIMIT = d(AS_OF - dt.timedelta(days=30))
+
+
+def level(cover: str, target: str) -> str:
+    ratio = f"CAST({cover} AS DOUBLE) / NULLIF(CAST({target} AS DOUBLE), 0)"
+    return f"""CASE WHEN {ratio} IS NULL THEN 'unknown' WHEN {ratio} < 0.5 THEN 'critical' WHEN {ratio} < 1.0 THEN 'low'
+            WHEN {ratio} <= 1.5 THEN 'ok' ELSE 'excess' END"""
+
+
 HEALTH = f"""
 SELECT branch, sku, {AS} AS date, current_stock_value AS stock_value, current_cover AS coverage_days,
        target_cover AS target_coverage_days,
        CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) AS coverage_ratio,
        (last_sale IS NULL OR last_sale < {AGE_LIMIT}) AS aged,
        COALESCE(current_stock_qty, 0) <= 0 AS in_rupture,
-       CASE WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) IS NULL THEN 'unknown'
-            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) < 0.5 THEN 'critical'
-            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) < 1.0 THEN 'low'
-            WHEN CAST(current_cover AS DOUBLE) / NULLIF(CAST(target_cover AS DOUBLE), 0) <= 1.5 THEN 'ok'
-            ELSE 'excess' END AS health_level
+       {level('current_cover', 'target_cover')} AS health_level
 FROM m_st"""
 PRODUCTS = """
 SELECT sku, COUNT(DISTINCT branch) AS branches, MIN(CASE WHEN qty > 0 THEN date END) AS first_sale,
@@ -554,34 +558,89 @@ SELECT branch, year_month, CAST(off AS DOUBLE) AS revenue_off, CAST(on_ AS DOUBL
 FROM (SELECT branch, year_month, SUM(CAST(revenue_off AS DECIMAL(28,2))) AS off, SUM(CAST(revenue_on AS DECIMAL(28,2))) AS on_
       FROM sales GROUP BY branch, year_month)
 WINDOW w AS (PARTITION BY branch ORDER BY year_month)"""))
-CUR0, CUR1 = d(AS_OF - dt.timedelta(days=29)), AS
-PRV0, PRV1 = d(AS_OF - dt.timedelta(days=59)), d(AS_OF - dt.timedelta(days=30))
+PREV_CTES = {
+    "st_prev": prepared("LOJA", "stock_prev", d(PREVIOUS)),
+    "previous": f"""
+SELECT s.branch, s.sku, CAST(s.stock_value AS DOUBLE) AS prev_stock_value, g.current_cover AS prev_coverage_days,
+       {level('g.current_cover', 'g.target_cover')} AS prev_health_level
+FROM st_prev s LEFT JOIN (SELECT DISTINCT branch, sku, stock_date, current_cover, target_cover FROM gef_prev) g
+  ON s.branch = g.branch AND s.sku = g.sku AND s.date = g.stock_date""",
+    "health": HEALTH,
+    "health_prev": "SELECT h.*, p.* EXCLUDE (branch, sku) FROM health h LEFT JOIN previous p ON h.branch = p.branch AND h.sku = p.sku",
+}
 
 
-def a12_metric(name: str, col: str) -> str:
-    return f"""
-SELECT '{name}' AS metric, CAST(cur AS DOUBLE) AS current_value, CAST(prev AS DOUBLE) AS previous_value,
-       CAST((cur - prev) * 100 AS DOUBLE) / NULLIF(CAST(prev AS DOUBLE), 0) AS pct_change
-FROM (SELECT SUM(CASE WHEN date BETWEEN {CUR0} AND {CUR1} THEN {cents(col)} ELSE 0 END) AS cur,
-             SUM(CASE WHEN date BETWEEN {PRV0} AND {PRV1} THEN {cents(col)} ELSE 0 END) AS prev FROM sales)"""
+def prev_sql(body: str) -> str:
+    return with_fixtures(body, *MASTER_FIX, "stock_prev", "gef_prev", extra={**KPI_CTES, **PREV_CTES})
+
+
+def mean_sql(c: str) -> str:
+    return f"CAST(SUM(CAST({c} AS DECIMAL(20,6))) AS DOUBLE) / NULLIF(CAST(COUNT({c}) AS DOUBLE), 0)"
 
 
-q("a12_company_kpis", sales_sql(a12_metric("revenue", "revenue") + "\nUNION ALL\n" + a12_metric("quantity", "qty")))
+q("k7_with_previous", prev_sql("SELECT * FROM health_prev"))
+q("a12_company_kpis", prev_sql(f"""
+SELECT metric_name, c AS current_value, p AS previous_value, (c - p) / NULLIF(p, 0) * 100 AS change_percentage FROM (
+  SELECT 'Total Inventory' AS metric_name, CAST(SUM({cents('stock_value')}) AS DOUBLE) AS c, CAST(SUM({cents('prev_stock_value')}) AS DOUBLE) AS p
+  FROM health_prev WHERE date = {AS}
+  UNION ALL
+  SELECT 'Coverage Days', {mean_sql('coverage_days')}, {mean_sql('prev_coverage_days')} FROM health_prev WHERE date = {AS})"""))
+q("u2_stack_kpis", kpi_sql(f"""
+SELECT 'LOJA' AS stock_kind, branch, CAST(SUM({cents('current_stock_value')}) AS DOUBLE) AS inventory_value FROM m_st GROUP BY branch
+UNION ALL
+SELECT 'CD', branch, CAST(SUM({cents('current_stock_value')}) AS DOUBLE) FROM m_cd GROUP BY branch"""))
+
+
+def rollup_sql(grain: str, *by: str) -> str:
+    period = f"CAST(date_trunc('{grain}', date) AS DATE)"
+    return with_fixtures(f"""
+SELECT {period} AS period, {', '.join(by)},
+       CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue, CAST(SUM({cents('qty')}) AS DOUBLE) AS qty, CAST(SUM(sold) AS BIGINT) AS sale_days
+FROM sales LEFT JOIN products_dim USING (sku) LEFT JOIN branches_dim USING (branch)
+GROUP BY ROLLUP ({period}, {', '.join(by)}) HAVING {period} IS NOT NULL""", *SALES_FIX, "products_dim", "branches_dim", extra=DENSE_CTES)
+
+
+q("a13_kpi_rollup_category_week", rollup_sql("week", "category"))
+q("a13_kpi_rollup_region_quarter", rollup_sql("quarter", "region", "state"))
+q("a13_kpi_rollup_region_category_day", rollup_sql("day", "region", "category"))
+STORE_DIM = """
+SELECT s.branch, s.store_status, b.state, b.region
+FROM (SELECT DISTINCT branch, store_status FROM stock WHERE stock_place = 'L') s LEFT JOIN branches_dim b ON s.branch = b.branch"""
+CD_DIM = """
+SELECT s.branch, b.state, b.region
+FROM (SELECT DISTINCT branch FROM stock WHERE stock_place = 'D') s LEFT JOIN branches_dim b ON s.branch = b.branch"""
+q("k8_store_dimension", with_fixtures(STORE_DIM, "stock", "branches_dim"))
+q("k8_cd_dimension", with_fixtures(CD_DIM, "stock", "branches_dim"))
+q("k8_category_dimension", with_fixtures("SELECT category, COUNT(*) AS skus FROM products_dim GROUP BY category", "products_dim"))
+q("k8_region_dimension", with_fixtures(
+    "SELECT region, COUNT(DISTINCT state) AS states, CAST(COUNT(*) AS BIGINT) AS branches FROM branches_dim GROUP BY region", "branches_dim"))
+q("k8_sales_fact", sales_sql(
+    "SELECT date, branch, sku, revenue_off, qty_off, revenue_on, qty_on, revenue, qty FROM sales WHERE sold > 0"))
+FACT = """SELECT date, branch, sku, stock_kind, current_stock_qty, current_stock_value, CAST(in_transit AS BIGINT) AS in_transit,
+       CAST(safety_stock AS BIGINT) AS safety_stock, CAST(target_stock AS BIGINT) AS target_stock, current_dde FROM """
+q("k8_inventory_fact", kpi_sql(FACT + "m_st UNION ALL " + FACT + "m_cd"))
 q("a13_kpi_rollup", sales_sql(f"""
 SELECT CAST(date_trunc('month', date) AS DATE) AS period, branch,
        CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue, CAST(SUM({cents('qty')}) AS DOUBLE) AS qty,
        CAST(SUM(sold) AS BIGINT) AS sale_days
 FROM sales GROUP BY ROLLUP (CAST(date_trunc('month', date) AS DATE), branch)
 HAVING CAST(date_trunc('month', date) AS DATE) IS NOT NULL"""))
-q("j10_allocation_view", kpi_sql("""
-SELECT h.*, n.n_name AS branch_name, n.n_regionkey AS region_key, r.r_name AS region_name,
-       CAST(p.delivering_cd AS BIGINT) AS cd, pr.branches AS selling_branches
-FROM health h
-JOIN nation n ON h.branch = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey
-JOIN pairs p ON h.branch = p.store
-JOIN products pr ON h.sku = pr.sku
-WHERE h.date = """ + AS, extra={"health": HEALTH, "products": PRODUCTS}))
+q("j10_allocation_view", with_fixtures(f"""
+SELECT s.region, s.state, c.cd AS distribution_center, cd.state AS cd_state, h.branch AS store, p.category, h.sku,
+       h.stock_value AS current_stock_value, h.coverage_days,
+       CASE WHEN h.aged THEN h.stock_value ELSE 0.0 END AS aging_value,
+       (CASE WHEN COALESCE(m.current_stock_qty, 0) <= 0 THEN m.revenue_last30d ELSE 0.0 END) * 100.0 / NULLIF(m.revenue_last30d, 0) AS rupture_percentage,
+       h.health_level,
+       GREATEST(0.0, m.current_stock_qty - 7 * m.qty_mm7d) * (h.stock_value / NULLIF(m.current_stock_qty, 0)) AS forecast_stock_value,
+       GREATEST(0.0, m.current_stock_qty - 7 * m.qty_mm7d) / NULLIF(m.qty_mm7d, 0) AS forecast_coverage_days
+FROM health h JOIN m_st m ON h.branch = m.branch AND h.sku = m.sku
+JOIN store_dim s ON h.branch = s.branch
+LEFT JOIN (SELECT CAST(store AS INTEGER) AS branch, CAST(delivering_cd AS INTEGER) AS cd FROM (
+             SELECT store, delivering_cd, row_number() OVER (PARTITION BY store ORDER BY COUNT(*) DESC, delivering_cd) AS rn
+             FROM supply_plan_stock GROUP BY store, delivering_cd) WHERE rn = 1) c ON h.branch = c.branch
+LEFT JOIN cd_dim cd ON c.cd = cd.branch
+JOIN products_dim p ON h.sku = p.sku
+WHERE h.date = {AS}""", *MASTER_FIX, "products_dim", "branches_dim", extra={**KPI_CTES, "health": HEALTH, "store_dim": STORE_DIM, "cd_dim": CD_DIM}))
 q("v6_check_ref", stock_sql("""
 SELECT branch, sku, COUNT(*) AS orphan_rows FROM gef_feed g
 WHERE NOT EXISTS (SELECT 1 FROM stock s WHERE s.branch = g.branch AND s.sku = g.sku)
@@ -618,3 +677,71 @@ FROM stock""", "stock"))
 q("d2_sale_flag", with_fixtures("""
 SELECT date, branch, sku, channel, CAST(CASE WHEN SUM(quantity) > 0 THEN 1 ELSE 0 END AS INTEGER) AS sold
 FROM lines GROUP BY date, branch, sku, channel""", *SALES_FIX, extra=LINES_CTES))
+
+q("p10_dev_sample", with_fixtures(f"""
+SELECT fact_key, approval_date, sku, CAST(sale_value AS DOUBLE) AS sale_value FROM rated_sales
+WHERE goods_state <> '1 - SALDO' AND business_type IS NOT NULL AND approval_date BETWEEN {W} AND sale_value >= 0 AND cost_value >= 0
+  AND CAST('0x' || substr(md5(fact_key), 1, 8) AS BIGINT) % 10 = 0""", "rated_sales"))
+q("d4_with_lineage", sales_sql("""
+SELECT *, '2001-06-30 12:00:00' AS processed_at, DATE '2001-06-30' AS processed_date,
+       'rated sales + quantity sales' AS data_source, '1.0' AS process_version FROM sales"""))
+q("s3_run_frame", with_fixtures(f"""
+SELECT DISTINCT approval_date, {d(START)} AS start_date, CAST({START:%Y%m%d} AS INTEGER) AS start_date_int,
+       CAST(90 AS INTEGER) AS lookback_days, {AS} AS as_of, 'RUN' AS mode
+FROM rated_sales WHERE approval_date BETWEEN {W}""", "rated_sales"))
+q("s4_save_table", ORACLE["a1_daily_sales"])
+q("s7_describe_table", """
+SELECT CAST(row_number() OVER (ORDER BY column_index) - 1 AS INTEGER) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS data_type,
+       true AS nullable, (SELECT COUNT(*) FROM nation) AS row_count
+FROM duckdb_columns() WHERE table_name = 'nation'""")
+q("s8_ingest_append", """
+SELECT n_name, s AS source_system, CAST(2001 AS INTEGER) AS year, CAST(6 AS INTEGER) AS month, CAST(30 AS INTEGER) AS day, COUNT(*) AS rows
+FROM nation, (VALUES ('nations'), ('again')) AS t(s) GROUP BY n_name, s""")
+q("s5_read_network_report", net_sql("""
+SELECT CAST(origin AS VARCHAR) AS origem, CAST(destination AS VARCHAR) AS destino, edge_type AS tipo,
+       origin_type AS origem_tipo, destination_type AS destino_tipo FROM edges_all"""))
+
+
+def joined(sub: str, key: str, value: str) -> str:
+    pair = f"CAST({key} AS VARCHAR) || '=' || CAST({value} AS VARCHAR)"
+    return f"(SELECT string_agg({pair}, ',' ORDER BY {pair}) FROM ({sub}))"
+
+
+def scc_sql(group: str, comps: str, in_cycles: str) -> str:
+    per = f"(SELECT DISTINCT scc_id, scc_size FROM {comps})"
+    return f"""(SELECT COUNT(*) FROM {per}) AS {group}_total_sccs,
+       (SELECT COUNT(*) FROM {per} WHERE scc_size > 1) AS {group}_sccs_com_ciclos,
+       (SELECT COUNT(*) FROM {per} WHERE scc_size = 1) AS {group}_sccs_isoladas,
+       (SELECT CAST(COALESCE(SUM(scc_size), 0) AS BIGINT) FROM {per} WHERE scc_size > 1) AS {group}_{in_cycles},
+       (SELECT CAST(COALESCE(MAX(scc_size), 0) AS BIGINT) FROM {per} WHERE scc_size > 1) AS {group}_maior_ciclo"""
+
+
+def levels_sql(group: str, levels: str, sources: str, name: str) -> str:
+    return f"""{sources} AS {group}_{name},
+       (SELECT CAST(COALESCE(MAX(level), 0) AS BIGINT) FROM {levels}) AS {group}_profundidade_maxima,
+       (SELECT COUNT(DISTINCT level) FROM {levels}) AS {group}_niveis_unicos,
+       {joined(f"SELECT level, COUNT(*) AS n FROM {levels} GROUP BY level", "level", "n")} AS {group}_distribuicao_niveis"""
+
+
+q("g14_network_report", net_sql(f"""
+SELECT 'CD→CD + CD→Loja' AS metadata_tipo_analise, '2001-06-30 12:00:00' AS metadata_data_processamento,
+       'supply plan' AS metadata_tabela_origem, (SELECT COUNT(*) FROM supply_plan) AS metadata_total_registros_processados,
+       (SELECT COUNT(*) FROM nodes_all) AS estatisticas_gerais_total_nos,
+       (SELECT COUNT(*) FROM edges_all) AS estatisticas_gerais_total_conexoes,
+       (SELECT COUNT(*) FROM nodes_all WHERE node_type = 'CD') AS estatisticas_gerais_cds_unicos,
+       (SELECT COUNT(*) FROM nodes_all WHERE node_type = 'Loja') AS estatisticas_gerais_lojas_unicas,
+       (SELECT COUNT(*) FROM nodes_all WHERE in_cycle) AS estatisticas_gerais_nos_em_ciclos,
+       (SELECT COUNT(DISTINCT src) FROM cd_e) AS analise_cd_cd_cds_unicos_atendem,
+       (SELECT COUNT(DISTINCT dst) FROM cd_e) AS analise_cd_cd_cds_unicos_atendidos,
+       (SELECT COUNT(*) FROM cd_e) AS analise_cd_cd_total_conexoes,
+       {joined(top_sql("src", "cd_e"), "node", "edges")} AS analise_cd_cd_top_cds_por_grau_saida,
+       {joined(top_sql("dst", "cd_e"), "node", "edges")} AS analise_cd_cd_top_cds_por_grau_entrada,
+       {scc_sql("complexidade_cd_cd", "cd_scc", "cds_em_ciclos")},
+       {levels_sql("hierarquia_cd_cd", "cd_lvl", "(SELECT COUNT(*) FROM cd_src)", "cds_fonte")},
+       (SELECT COUNT(DISTINCT src) FROM st_e) AS analise_cd_loja_cds_unicos_entregam,
+       (SELECT COUNT(DISTINCT dst) FROM st_e) AS analise_cd_loja_lojas_unicas_atendidas,
+       (SELECT COUNT(*) FROM st_e) AS analise_cd_loja_total_conexoes,
+       {joined(top_sql("src", "st_e"), "node", "edges")} AS analise_cd_loja_top_cds_por_lojas_atendidas,
+       {scc_sql("complexidade_cd_loja", "st_scc", "filiais_em_ciclos")},
+       {levels_sql("hierarquia_cd_loja", "st_lvl", "(SELECT COUNT(*) FROM st_deg WHERE out_degree > 0)", "cds_no_grafo")}"""))

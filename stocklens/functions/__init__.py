@@ -2,7 +2,6 @@
 
 from stocklens.functions.columns import (
     days_of_stock,
-    money,
     safe_div,
     sale_flag,
     stock_kind,
@@ -16,7 +15,6 @@ __all__ = [
     "ORIGINAL_NAMES",
     "date_from_int",
     "days_of_stock",
-    "money",
     "period_bounds",
     "safe_div",
     "sale_flag",

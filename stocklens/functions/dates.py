@@ -14,6 +14,12 @@ def date_from_int(c: str | Column) -> Column:
     return F.try_to_date(col.cast("string"), F.lit("yyyyMMdd"))
 
 
+def timestamp_of(at: dt.datetime | None) -> Column:
+    """``at`` as a timestamp, a time without a zone being one of the session's zone; the
+    session clock if it is None."""
+    return F.current_timestamp() if at is None else F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def year_month(c: str | Column) -> Column:
     """yyyyMM as INT, e.g. 2001-06-30 -> 200106."""
     d = F.col(c) if isinstance(c, str) else c

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stocklens.functions.dates import timestamp_of
+
 
 def with_lineage(df: DataFrame, source: str, version: str = "1.0", at: dt.datetime | None = None) -> DataFrame:
     """Add processed_at, processed_date, data_source, process_version.
@@ -14,7 +16,7 @@ def with_lineage(df: DataFrame, source: str, version: str = "1.0", at: dt.dateti
     ``at`` pins the processing time (tests, reruns); otherwise the session clock is used, in
     the session time zone (Q17).
     """
-    ts = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()
+    ts = timestamp_of(at)
     return df.withColumns(
         {
             "processed_at": ts,

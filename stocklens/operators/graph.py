@@ -8,21 +8,24 @@ Here a graph is an edge DataFrame ``(src, dst)`` and every metric is a Spark job
 * strongly connected components: trim / forward max-colour / backward reachability
   (the coloring algorithm of Orzan, also used by distributed graph systems), a frontier
   loop of joins and aggregates;
-* hierarchy levels: breadth-first search from every source as a frontier loop over
-  ``(source, node, distance)``; its state is sources x reachable nodes (exact semantics need
-  a distance per source), partitioned by node.
-
-Loops run one emptiness check per round and cut their lineage with ``checkpoint()`` into
-the session's checkpoint folder (reliable storage: a lost executor does not lose state).
-They stop at convergence; there is no round cap that could cut results short.
+* hierarchy levels: one breadth-first search from all sources at once, a source being a bit;
+  its state is nodes x ceil(sources / 64) rows.
+
+Each round writes only the rows that it adds or changes, with ``checkpoint()`` into the
+session's checkpoint folder (reliable storage: a lost executor does not lose state), and
+counts them in the same job. Hubs are split (``_Layout``). Loops stop at convergence; there is
+no round cap that could cut results short. ``spark.cleaner.referenceTracking.cleanCheckpoints``
+lets Spark remove superseded rounds.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stocklens.operators.quality import value_counts
+from stocklens.operators.quality import distinct_scalar, value_counts
 from stocklens.session import ensure_checkpoint_dir
 
 # Fixed values of the reference's report (labels of graphs and node kinds).
@@ -34,112 +37,68 @@ BOTH_GRAPHS = "CD→CD + CD→Loja"
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint that computes ``df`` once: persisted first, so the checkpoint
-    write reuses the cached blocks instead of recomputing the lineage."""
+    """Reliable checkpoint: computed and written by one job."""
     ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    return df.checkpoint(eager=True)
+
 
+def _ckpt_sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """``_ckpt`` with the number of rows, observed by the checkpoint's own job."""
+    obs = Observation()
+    out = _ckpt(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return out, int(obs.get["rows"])
 
-def _ckpt_counted(df: DataFrame, flag: Column) -> tuple[DataFrame, int]:
-    """``_ckpt`` that also returns the number of rows where ``flag`` holds, observed during
-    the checkpoint's own job (no extra action)."""
-    out, n, _ = _ckpt_sized(df, flag)
-    return out, n
 
+# A loop's deltas are merged into one after this many rounds, so that plans stay small.
+COMPACT_AFTER = 8
 
-def _ckpt_sized(df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, int, int]:
-    """``_ckpt`` returning (frame, rows where ``flag`` holds, all rows), both observed."""
-    flag = F.lit(True) if flag is None else flag
-    obs = Observation()
-    out = _ckpt(df.observe(obs, F.count_if(flag).alias("n"), F.count(F.lit(1)).alias("rows")))
-    got = obs.get
-    return out, int(got["n"]), int(got["rows"])
-
-
-# Loop state is written by a reliable checkpoint every CHECKPOINT_EVERY rounds (and at the
-# end of a loop) and cached in between: a lost executor costs at most that many rounds of
-# recomputation. Every round (1) is the default: each round then plans against a leaf; with
-# cached rounds in between the plan grows with every reference to the previous state
-# (measured: BFS over 834 nodes, 10 rounds, 8.7 s at 1 vs 10.5 s at 4).
-CHECKPOINT_EVERY = 1
-
-
-class _Rounds:
-    """Materializes the state of one loop, observing counts in the same job."""
-
-    def __init__(self) -> None:
-        self.n = 0
-        self.cached: list[DataFrame] = []
-        self.last_durable: DataFrame | None = None
-
-    def keep(self, df: DataFrame, flag: Column | None = None) -> tuple[DataFrame, int, int]:
-        self.n += 1
-        if self.n % CHECKPOINT_EVERY == 0:
-            out = _ckpt_sized(df, flag)
-            self.release()
-            self.last_durable = out[0]
-            return out
-        obs = Observation()
-        out = df.observe(obs, F.count_if(F.lit(True) if flag is None else flag).alias("n"), F.count(F.lit(1)).alias("rows")).persist()
-        out.count()
-        self.cached.append(out)
-        got = obs.get
-        return out, int(got["n"]), int(got["rows"])
-
-    def durable(self, df: DataFrame, base: DataFrame | None = None) -> DataFrame:
-        """The final state of a loop, checkpointed; ``df`` is returned as is when it is a
-        projection of ``base`` and ``base`` was the last round's checkpoint."""
-        if base is not None and base is self.last_durable:
-            return df
-        out = _ckpt(df)
-        self.release()
-        return out
-
-    def release(self) -> None:
-        for c in self.cached:
-            c.unpersist()
-        self.cached = []
-
-
-# Node sets (active nodes, visited pairs) are broadcast to the loop joins when their row
-# count, observed when they were checkpointed, is at most this bound; a larger set is
-# joined by shuffle. Edge sets are never broadcast: they are laid out by ``_by``.
-BROADCAST_ROWS = 2_000_000
-
-
-# Loop data is laid out in partitions of about this many rows (capped at the session's
-# shuffle-partition count): a 1,000-node graph runs its rounds in one task per stage, a
-# billion-edge graph in the full shuffle width.
-ROWS_PER_PARTITION = 200_000
-
-
-def _parts(df: DataFrame, rows: int | None = None) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    cap = int(conf) if conf.isdigit() else df.sparkSession.sparkContext.defaultParallelism
-    if rows is None:
-        return cap
-    return max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
-
-
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Keep a loop state that grows by ``union`` at a partition count fitted to its size
-    (a union concatenates partitions; without this every round would add more tasks).
-    ``coalesce`` merges partitions without a shuffle."""
-    return df.coalesce(_parts(df, rows))
-
-
-def _by(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """A static edge set laid out for the loop joins: hash-partitioned and sorted by the join
-    keys before it is checkpointed (the checkpoint keeps both), so every round shuffles and
-    sorts only the small frontier side, never the edges (the Pregel layout)."""
-    return df.repartition(_parts(df, rows), *keys).sortWithinPartitions(*keys)
 
+class _Deltas:
+    """The state of a loop as what each round added to it. A round writes only its new rows;
+    ``merge`` folds rows of earlier rounds, and is what a reader of the state applies, too."""
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    def __init__(self, first: DataFrame, merge) -> None:
+        self.parts, self.merge = [first], merge
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
+
+    def add(self, fresh: DataFrame) -> None:
+        self.parts.append(fresh)
+        if len(self.parts) > COMPACT_AFTER:
+            self.parts = [_ckpt(self.merge(self.all()))]
+
+
+# Edges that one node may have in one partition of a loop's edge layout; the edges of a node
+# with more are split, and its frontier row goes to each part.
+HUB_EDGES = 1_000_000
+
+
+class _Layout:
+    """A static edge set laid out for the loop joins: hash-partitioned and sorted by the join
+    key and its part before it is checkpointed (the checkpoint keeps both), so every round
+    shuffles only the small frontier, never the edges (the Pregel layout)."""
+
+    def __init__(self, edges: DataFrame, key: str, other: str, hub_edges: int | None = None) -> None:
+        self.key, bound = key, hub_edges or HUB_EDGES
+        hubs = edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound)
+        self.hubs, self.n_hubs = _ckpt_sized(hubs.select(key, F.ceil(F.col("n") / bound).cast("int").alias("parts")))
+        if self.n_hubs:
+            edges = edges.join(F.broadcast(self.hubs), key, "left").withColumn(  # BROADCAST: n_hubs <= edges / hub_edges rows
+                "part", F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")
+            ).drop("parts")
+        else:
+            edges = edges.withColumn("part", F.lit(0))
+        self.edges = _ckpt(edges.repartition(key, "part").sortWithinPartitions(key, "part"))
+
+    def step(self, frontier: DataFrame) -> DataFrame:
+        """``frontier`` (whose node column is the key) joined with the edges of its nodes."""
+        if self.n_hubs:
+            split = frontier.join(F.broadcast(self.hubs), self.key, "left")  # BROADCAST: as above
+            frontier = split.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        else:
+            frontier = frontier.withColumn("part", F.lit(0))
+        return frontier.join(self.edges, [self.key, "part"])
 
 
 def _edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -169,17 +128,26 @@ def plan_profile(plan: DataFrame) -> DataFrame:
     cd_store = e.isNotNull() & s.isNotNull()
     own = a.isNotNull() & (a == e) & s.isNotNull()
     other = cd_cd & s.isNotNull()
-    return plan.agg(
+    lines = plan.agg(
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(cd_cd).alias("cd_cd_lines"),
-        F.countDistinct(F.when(cd_cd, a)).alias("cd_cd_suppliers"),
-        F.countDistinct(F.when(cd_cd, e)).alias("cd_cd_receivers"),
         F.count_if(cd_store).alias("cd_store_lines"),
-        F.countDistinct(F.when(cd_store, e)).alias("cd_store_cds"),
-        F.countDistinct(F.when(cd_store, s)).alias("cd_store_stores"),
         F.count_if(own).alias("own_store_lines"),
         F.count_if(other).alias("other_cd_lines"),
-        F.countDistinct(a).alias("distinct_supplying_cds"),
+    )
+    # Distinct ids one by one (no Expand of every line), from the distinct edges where they hold them.
+    cds, stores = cd_cd_edges(plan), cd_store_edges(plan)
+    return lines.select(
+        "total_lines",
+        "cd_cd_lines",
+        distinct_scalar(cds, "src").alias("cd_cd_suppliers"),
+        distinct_scalar(cds, "dst").alias("cd_cd_receivers"),
+        "cd_store_lines",
+        distinct_scalar(stores, "src").alias("cd_store_cds"),
+        distinct_scalar(stores, "dst").alias("cd_store_stores"),
+        "own_store_lines",
+        "other_cd_lines",
+        distinct_scalar(plan, "supplying_cd").alias("distinct_supplying_cds"),
     )
 
 
@@ -217,100 +185,85 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- G7 G8
 
-def scc(edges: DataFrame) -> DataFrame:
+def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     """Strongly connected component of every node: (node, scc_id, scc_size).
 
     ``scc_id`` is the largest node id of the component. A node alone, with or without a
-    self-loop, is its own component of size 1. Each round checkpoints its state once and
-    counts what changed in the same job (``Observation``).
+    self-loop, is its own component of size 1. Each round writes the rows that it changed.
     """
-    rounds = _Rounds()
-    # Laid out by ``_by`` only after trimming, where the colouring joins use it (a
-    # hierarchy such as CD->store is trimmed away completely and never pays for it).
-    e, _, n_e = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
-    active, n_active = _ckpt_counted(graph_nodes(edges), F.lit(True))
+    e, _ = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
+    active, n_active = _ckpt_sized(graph_nodes(edges))
     found: list[DataFrame] = []
 
     while n_active:
         # Trim: a node without an in-edge or an out-edge inside the active graph is alone.
         # Each round reads two checkpointed leaves (edges, active nodes): constant-size plans.
         while n_active:
-            live = _restrict(e, _small(active, n_active))
-            has_in = live.select(F.col("dst").alias("node"), F.lit(True).alias("i")).distinct()
-            has_out = live.select(F.col("src").alias("node"), F.lit(True).alias("o")).distinct()
-            flagged = active.join(has_in, "node", "left").join(has_out, "node", "left").select(
-                "node", (F.coalesce("i", F.lit(False)) & F.coalesce("o", F.lit(False))).alias("keep")
+            live = _restrict(e, active)
+            ends = live.select(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
+                live.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))
             )
-            flagged, n_trim, _ = rounds.keep(flagged, ~F.col("keep"))
-            flagged = rounds.durable(flagged, flagged)
-            if n_trim == 0:
+            kept = ends.groupBy("node").agg(F.max("i").alias("i"), F.max("o").alias("o")).where((F.col("i") == 1) & (F.col("o") == 1))
+            kept, n_kept = _ckpt_sized(kept.select("node"))
+            if n_kept == n_active:
                 break
-            found.append(flagged.where(~F.col("keep")).select("node", F.col("node").alias("scc_id")))
-            active = flagged.where(F.col("keep")).select("node")
-            n_active -= n_trim
+            alone = active.join(kept, "node", "left_anti")
+            found.append(alone.select("node", F.col("node").alias("scc_id")))
+            active, n_active = kept, n_kept
         if not n_active:
             break
-        e, _, n_e = _ckpt_sized(_by(_restrict(e, _small(active, n_active)), n_e, "src"))
-
-        # Forward: colour = largest id that reaches the node.
-        colors = active.select("node", F.col("node").alias("color"))
-        frontier = colors
+        e = _ckpt(_restrict(e, active))
+
+        # Forward: colour = largest id that reaches the node. Colours only grow, so a node's
+        # colour is the largest of its deltas.
+        out_edges = _Layout(e, "src", "dst", hub_edges)
+        start = active.select("node", F.col("node").alias("color"))
+        colors = _Deltas(start, lambda df: df.groupBy("node").agg(F.max("color").alias("color")))
+        frontier = start
         while True:
-            cand = frontier.select(F.col("node").alias("src"), "color").join(e, "src").groupBy(
-                F.col("dst").alias("node")
-            ).agg(F.max("color").alias("new"))
-            grown = F.coalesce(F.col("new") > F.col("color"), F.lit(False))
-            updated = colors.select("node", "color").join(cand, "node", "left").select(
-                "node", F.when(grown, F.col("new")).otherwise(F.col("color")).alias("color"), grown.alias("changed")
+            cand = out_edges.step(frontier.withColumnRenamed("node", "src")).groupBy(F.col("dst").alias("node")).agg(F.max("color").alias("new"))
+            both = cand.select("node", "new", F.lit(None).cast(_type(start, "color")).alias("old")).unionByName(
+                colors.all().select("node", F.lit(None).cast(_type(start, "color")).alias("new"), F.col("color").alias("old"))
             )
-            colors, n_changed, _ = rounds.keep(updated, F.col("changed"))
+            grown = both.groupBy("node").agg(F.max("new").alias("new"), F.max("old").alias("old")).where(F.col("new") > F.col("old"))
+            frontier, n_changed = _ckpt_sized(grown.select("node", F.col("new").alias("color")))
             if n_changed == 0:
                 break
-            frontier = colors.where(F.col("changed")).select("node", "color")
-        colors = rounds.durable(colors.select("node", "color"), colors)
+            colors.add(frontier)
+        color = _ckpt(colors.merge(colors.all()))
 
         # Backward: the component of root c = nodes of colour c that reach c inside colour c.
-        src_c = _small(colors.select(F.col("node").alias("src"), F.col("color").alias("c1")), n_active)
-        dst_c = _small(colors.select(F.col("node").alias("dst"), F.col("color").alias("c2")), n_active)
-        same, _, n_same = _ckpt_sized(
-            _by(
-                e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst", F.col("c1").alias("color")),
-                n_e,
-                "dst",
-                "color",
-            )
-        )
-        marked = colors.where(F.col("node") == F.col("color"))
-        frontier = marked
+        src_c = color.select(F.col("node").alias("src"), F.col("color").alias("c1"))
+        dst_c = color.select(F.col("node").alias("dst"), F.col("color").alias("c2"))
+        same = _ckpt(e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst"))
+        in_edges = _Layout(same, "dst", "src", hub_edges)
+        roots = color.where(F.col("node") == F.col("color"))
+        marked = _Deltas(roots, lambda df: df.distinct())
+        frontier = roots
         while True:
-            preds = frontier.select(F.col("node").alias("dst"), "color").join(same, ["dst", "color"]).select(
-                F.col("src").alias("node"), "color"
-            )
-            fresh = preds.distinct().join(_small(marked.select("node"), n_active), "node", "left_anti")
-            grown = _bounded(
-                marked.select("node", "color", F.lit(False).alias("fresh")).unionByName(
-                    fresh.select("node", "color", F.lit(True).alias("fresh"))
-                ),
-                n_active,
-            )
-            marked, n_new, _ = rounds.keep(grown, F.col("fresh"))
+            preds = in_edges.step(frontier.withColumnRenamed("node", "dst")).select(F.col("src").alias("node"), "color")
+            both = preds.withColumn("old", F.lit(0)).unionByName(marked.all().withColumn("old", F.lit(1)))
+            fresh = both.groupBy("node", "color").agg(F.max("old").alias("old")).where(F.col("old") == 0).drop("old")
+            frontier, n_new = _ckpt_sized(fresh)
             if n_new == 0:
                 break
-            frontier = marked.where(F.col("fresh")).select("node", "color")
-        marked = rounds.durable(marked.select("node", "color"), marked)
-        found.append(marked.select("node", F.col("color").alias("scc_id")))
+            marked.add(frontier)
+        done = _ckpt(marked.merge(marked.all()))
+        found.append(done.select("node", F.col("color").alias("scc_id")))
 
         # Nodes of one component share a colour: drop the found ones and cross-colour edges.
-        active, n_active = _ckpt_counted(active.join(_small(marked.select("node"), n_active), "node", "left_anti"), F.lit(True))
-        e, n_e = same.select("src", "dst"), n_same  # cross-colour edges dropped; restricted in the trim
+        active, n_active = _ckpt_sized(active.join(done.select("node"), "node", "left_anti"))
+        e = same  # cross-colour edges dropped; restricted in the trim
 
-    members = found[0]
-    for f in found[1:]:
-        members = members.unionByName(f)
+    members = reduce(DataFrame.unionByName, found)
     sizes = members.groupBy("scc_id").agg(F.count(F.lit(1)).alias("scc_size"))
     return members.join(sizes, "scc_id").select("node", "scc_id", "scc_size")
 
 
+def _type(df: DataFrame, col: str):
+    return df.schema[col].dataType
+
+
 def _restrict(e: DataFrame, nodes: DataFrame) -> DataFrame:
     keep_src = nodes.select(F.col("node").alias("src"))
     keep_dst = nodes.select(F.col("node").alias("dst"))
@@ -341,38 +294,39 @@ def sources(edges: DataFrame) -> DataFrame:
     return graph_nodes(e).join(e.select(F.col("dst").alias("node")), "node", "left_anti")
 
 
-def cd_levels(edges: DataFrame) -> DataFrame:
+def cd_levels(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     """level = max over sources of the BFS (shortest) distance from that source.
 
     Nodes reachable from no source are absent. Without any source every node is level 0.
+
+    All sources search at once: a source is a bit, 64 of them a word, and a node's row per word
+    holds the sources that have reached it. A round ORs the frontier's new bits over the edges
+    and keeps those that a node lacks; a source reaches a node first in the round of its
+    distance, so a node's level is the last round in which it gained a bit.
     """
-    e, _, n_e = _ckpt_sized(_edges(edges).distinct())
-    e = _ckpt(_by(e, n_e, "src"))
-    srcs, n_src = _ckpt_counted(sources(e), F.lit(True))
+    e, _ = _ckpt_sized(_edges(edges).distinct())
+    srcs, n_src = _ckpt_sized(sources(e).withColumn("id", F.monotonically_increasing_id()))
     if n_src == 0:
         return graph_nodes(e).select("node", F.lit(0).cast("long").alias("level"))
-    rounds = _Rounds()
-    visited = srcs.select(F.col("node").alias("source"), "node", F.lit(0).cast("long").alias("dist"))
-    n_visited = n_src
-    frontier = visited
+    bit = F.expr("shiftleft(1L, CAST(id & 63 AS INT))")
+    first = srcs.select("node", F.shiftright("id", 6).alias("word"), bit.alias("bits"), F.lit(0).cast("long").alias("level"))
+    merged = [F.bit_or("bits").alias("bits"), F.max("level").alias("level")]
+    reached = _Deltas(first, lambda df: df.groupBy("node", "word").agg(*merged))
+    layout = _Layout(e, "src", "dst", hub_edges)
+    frontier, level, none = first, 0, F.lit(0).cast("long")
     while True:
-        step = frontier.select("source", F.col("node").alias("src"), "dist").join(e, "src").select(
-            "source", F.col("dst").alias("node"), (F.col("dist") + 1).alias("dist")
-        )
-        seen = _small(visited.select("source", "node"), n_visited)
-        new = step.join(seen, ["source", "node"], "left_anti").groupBy("source", "node").agg(F.min("dist").alias("dist"))
-        grown = _bounded(
-            visited.select("source", "node", "dist", F.lit(False).alias("fresh")).unionByName(
-                new.select("source", "node", "dist", F.lit(True).alias("fresh"))
-            ),
-            2 * n_visited,
+        level += 1
+        cand = layout.step(frontier.select(F.col("node").alias("src"), "word", "bits")).groupBy(F.col("dst").alias("node"), "word").agg(F.bit_or("bits").alias("new"))
+        both = cand.select("node", "word", "new", none.alias("old")).unionByName(
+            reached.all().select("node", "word", none.alias("new"), F.col("bits").alias("old"))
         )
-        visited, n_new, n_visited = rounds.keep(grown, F.col("fresh"))
+        seen = both.groupBy("node", "word").agg(F.bit_or("new").alias("new"), F.bit_or("old").alias("old"))
+        fresh = seen.select("node", "word", F.col("new").bitwiseAND(F.bitwise_not("old")).alias("bits"), F.lit(level).cast("long").alias("level"))
+        frontier, n_new = _ckpt_sized(fresh.where(F.col("bits") != 0))
         if n_new == 0:
             break
-        frontier = visited.where(F.col("fresh")).select("source", "node", "dist")
-    visited = rounds.durable(visited.select("source", "node", "dist"), visited)
-    return visited.groupBy("node").agg(F.max("dist").alias("level"))
+        reached.add(frontier)
+    return reached.all().groupBy("node").agg(F.max("level").alias("level"))
 
 
 def store_levels(edges: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.functions.columns import safe_div
+from stocklens.session import ensure_checkpoint_dir
 
 CENTS = "decimal(28,2)"
 
@@ -96,36 +97,52 @@ def turnover(master: DataFrame, by: tuple[str, ...] = ("branch",)) -> DataFrame:
 HEALTH_LEVELS = ("critical", "low", "ok", "excess", "unknown")
 
 
-def inventory_health(master: DataFrame, as_of: dt.date, aging_days: int = 30, previous: DataFrame | None = None) -> DataFrame:
-    """K7: per branch x SKU: value, coverage, aging flag, rupture flag and a health level
-    from coverage / target coverage (our rule: < 0.5 critical, < 1 low, <= 1.5 ok, else
-    excess; unknown without a target). ``previous`` (an earlier health table) adds the
-    previous value and level."""
-    ratio = safe_div(F.col("current_cover").cast("double"), F.col("target_cover").cast("double"))
-    level = (
+def health_level(cover: Column, target: Column) -> Column:
+    """Level from coverage / target coverage (our rule: < 0.5 critical, < 1 low, <= 1.5 ok,
+    else excess; unknown without a target)."""
+    ratio = safe_div(cover.cast("double"), target.cast("double"))
+    return (
         F.when(ratio.isNull(), F.lit("unknown"))
         .when(ratio < 0.5, F.lit("critical"))
         .when(ratio < 1.0, F.lit("low"))
         .when(ratio <= 1.5, F.lit("ok"))
         .otherwise(F.lit("excess"))
     )
+
+
+def previous_health(stock: DataFrame) -> DataFrame:
+    """The earlier period for ``inventory_health``: value, coverage and level of an enriched
+    stock table (J5) of an earlier day."""
+    cover, target = F.col("current_cover"), F.col("target_cover")
+    return stock.select(
+        "branch", "sku", F.col("stock_value").cast("double").alias("stock_value"), cover.alias("coverage_days"),
+        health_level(cover, target).alias("health_level"),
+    )
+
+
+def inventory_health(master: DataFrame, as_of: dt.date, aging_days: int = 30, previous: DataFrame | None = None) -> DataFrame:
+    """K7: per branch x SKU: value, coverage, aging flag, rupture flag and health level.
+    ``previous`` (an earlier health table or ``previous_health``) adds the previous value,
+    coverage and level; keys that it lacks have none."""
+    cover, target = F.col("current_cover"), F.col("target_cover")
     aged = F.col("last_sale").isNull() | (F.col("last_sale") < F.lit(as_of - dt.timedelta(days=aging_days)))
     health = master.select(
         "branch",
         "sku",
         F.lit(as_of).alias("date"),
         F.col("current_stock_value").alias("stock_value"),
-        F.col("current_cover").alias("coverage_days"),
-        F.col("target_cover").alias("target_coverage_days"),
-        ratio.alias("coverage_ratio"),
+        cover.alias("coverage_days"),
+        target.alias("target_coverage_days"),
+        safe_div(cover.cast("double"), target.cast("double")).alias("coverage_ratio"),
         aged.alias("aged"),
         (F.coalesce(F.col("current_stock_qty"), F.lit(0)) <= 0).alias("in_rupture"),
-        level.alias("health_level"),
+        health_level(cover, target).alias("health_level"),
     )
     if previous is None:
         return health
     prev = previous.select(
-        "branch", "sku", F.col("stock_value").alias("prev_stock_value"), F.col("health_level").alias("prev_health_level")
+        "branch", "sku", F.col("stock_value").alias("prev_stock_value"), F.col("coverage_days").alias("prev_coverage_days"),
+        F.col("health_level").alias("prev_health_level"),
     )
     return health.join(prev, ["branch", "sku"], "left")
 
@@ -161,17 +178,55 @@ def branch_dimension(stock: DataFrame) -> DataFrame:
     return stock.select("branch", "stock_place", "store_status").distinct()
 
 
+def store_dimension(stock: DataFrame, branches: DataFrame) -> DataFrame:
+    """K8: one row per store: status, and state and region from ``branches (branch, state, region)``."""
+    stores = branch_dimension(stock).where(F.col("stock_place") == "L").drop("stock_place")
+    return stores.join(branches, "branch", "left").select("branch", "store_status", "state", "region")
+
+
+def cd_dimension(stock: DataFrame, branches: DataFrame) -> DataFrame:
+    """K8: one row per distribution centre, with its state and region."""
+    cds = branch_dimension(stock).where(F.col("stock_place") == "D").select("branch").distinct()
+    return cds.join(branches, "branch", "left").select("branch", "state", "region")
+
+
+def category_dimension(products: DataFrame) -> DataFrame:
+    """K8: categories of ``products (sku, category)`` with their number of SKUs."""
+    return products.select("sku", "category").distinct().groupBy("category").agg(F.count(F.lit(1)).alias("skus"))
+
+
+def region_dimension(branches: DataFrame) -> DataFrame:
+    """K8: regions with their number of states and branches."""
+    per_state = branches.select("region", "state", "branch").distinct().groupBy("region", "state").agg(F.count(F.lit(1)).alias("n"))
+    return per_state.groupBy("region").agg(F.count(F.lit(1)).alias("states"), F.sum("n").alias("branches"))
+
+
+def sales_fact(sales: DataFrame) -> DataFrame:
+    """K8: the days of the dense table on which something was sold, at its grain."""
+    return sales.where(F.col("sold") > 0).select("date", "branch", "sku", "revenue_off", "qty_off", "revenue_on", "qty_on", "revenue", "qty")
+
+
+def inventory_fact(stores: DataFrame, cds: DataFrame) -> DataFrame:
+    """K8: current stock of stores and CDs (both masters), one row per branch x SKU."""
+    cols = ("date", "branch", "sku", "stock_kind", "current_stock_qty", "current_stock_value", "in_transit", "safety_stock", "target_stock", "current_dde")
+    both = [m.select(*cols).withColumn("in_transit", F.col("in_transit").cast("long")).withColumn("safety_stock", F.col("safety_stock").cast("long"))
+            .withColumn("target_stock", F.col("target_stock").cast("long")) for m in (stores, cds)]
+    return stack_kpis(*both)
+
+
 # --------------------------------------------------------------------------- K9
 
 def cumulative_share(df: DataFrame, value: str, key: str, partitions: int | None = None) -> DataFrame:
     """Running share of ``value`` in descending order (ties by ``key``), computed without a
-    single-partition window: rows are range-partitioned by the order, each partition's sum
-    goes to a small table (one row per partition) whose prefix sums are joined back, and the
-    running sum inside a partition is a window over that partition only."""
+    single-partition window. Rows are range-partitioned by the order; that partitioning is
+    sampled, so it is checkpointed once with each row's partition before it is read twice: for
+    the partitions' sums (one row each, whose prefix sums are joined back) and for the running
+    sums inside the partitions."""
     order = [F.col(value).desc(), F.col(key).asc()]
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.withColumn("_v", F.col(value).cast(CENTS))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.withColumn("_v", F.col(value).cast(CENTS)).repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ranged = ranged.checkpoint()
     part = ranged.groupBy("_pid").agg(F.sum("_v").alias("_ps"))
     offsets = part.select(
         "_pid", (F.sum("_ps").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off")
@@ -252,29 +307,29 @@ def stack_kpis(*kpis: DataFrame) -> DataFrame:
     return out
 
 
-def company_kpis(sales: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
-    """Revenue and quantity of the last ``days`` days against the ``days`` before, with
-    the % change; one row per metric (our reading of the "now vs previous" view)."""
-    cur_start = as_of - dt.timedelta(days=days - 1)
-    prev_start = cur_start - dt.timedelta(days=days)
-    d = F.col("date")
-    now = d.between(F.lit(cur_start), F.lit(as_of))
-    before = d.between(F.lit(prev_start), F.lit(cur_start - dt.timedelta(days=1)))
-
-    def metric(name: str, col: str) -> DataFrame:
-        v = F.col(col).cast(CENTS)
-        zero = F.lit(0).cast(CENTS)
-        agg = sales.agg(
-            F.sum(F.when(now, v).otherwise(zero)).alias("cur"), F.sum(F.when(before, v).otherwise(zero)).alias("prev")
-        )
-        return agg.select(
-            F.lit(name).alias("metric"),
-            F.col("cur").cast("double").alias("current_value"),
-            F.col("prev").cast("double").alias("previous_value"),
-            safe_div(((F.col("cur") - F.col("prev")) * 100).cast("double"), F.col("prev").cast("double")).alias("pct_change"),
+def company_kpis(health: DataFrame, as_of: dt.date) -> DataFrame:
+    """Total stock value and mean coverage days of one day's health table (K7 with
+    ``previous``) against the previous period, with the % change: one aggregate over the
+    table, one row per metric. Values are sums of cents and means of exact sums."""
+    today = health.where(F.col("date") == F.lit(as_of))
+
+    def mean(c: str) -> Column:
+        return safe_div(F.sum(F.col(c).cast("decimal(20,6)")).cast("double"), F.count(c).cast("double"))
+
+    one = today.agg(
+        _sum_cents("stock_value").cast("double").alias("v"), _sum_cents("prev_stock_value").cast("double").alias("pv"),
+        mean("coverage_days").alias("c"), mean("prev_coverage_days").alias("pc"),
+    )
+
+    def metric(name: str, now: str, before: str) -> Column:
+        change = safe_div(F.col(now) - F.col(before), F.col(before)) * 100
+        return F.struct(
+            F.lit(name).alias("metric_name"), F.col(now).alias("current_value"), F.col(before).alias("previous_value"),
+            change.alias("change_percentage"),
         )
 
-    return stack_kpis(metric("revenue", "revenue"), metric("quantity", "qty"))
+    # The metric names of the documented view.
+    return one.select(F.inline(F.array(metric("Total Inventory", "v", "pv"), metric("Coverage Days", "c", "pc"))))
 
 
 GRAINS = ("day", "week", "month", "quarter")
@@ -300,14 +355,44 @@ def kpi_rollup(sales: DataFrame, grain: str = "month", by: tuple[str, ...] = ("b
 
 # --------------------------------------------------------------------------- J10
 
-def allocation_view(master: DataFrame, branches: DataFrame, regions: DataFrame, cds: DataFrame, products: DataFrame, as_of: dt.date) -> DataFrame:
-    """Star join of the store health (master) with branch, region, delivering-CD and
-    product dimensions for one day. Every dimension is unique on its key, so no row is
-    multiplied; AQE broadcasts the dimensions after measuring them."""
-    today = master.where(F.col("date") == F.lit(as_of))
+def main_cd(plan: DataFrame) -> DataFrame:
+    """The CD of each store: the one that delivers most lines of the plan to it (ties: the
+    smallest id), so that a store with several CDs is not several rows."""
+    ids = plan.select(F.col("store").try_cast("int").alias("store"), F.col("delivering_cd").try_cast("int").alias("delivering_cd"))
+    lines = ids.where("delivering_cd IS NOT NULL AND store IS NOT NULL").groupBy("store", "delivering_cd").agg(F.count(F.lit(1)).alias("n"))
+    best = lines.groupBy("store").agg(F.min(F.struct((-F.col("n")).alias("n"), "delivering_cd")).alias("best"))
+    return best.select(F.col("store").alias("branch"), F.col("best.delivering_cd").alias("cd"))
+
+
+def allocation_view(master: DataFrame, stores: DataFrame, cds: DataFrame, products: DataFrame, plan: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
+    """One row per store x SKU with the columns of the documented view: region and state
+    (``stores``: branch, state, region), the store's CD (J6's plan, ``main_cd``), category
+    (``products``: sku, category), stock value, coverage, value of aged stock, share of the
+    last 30 days' revenue that is out of stock (K4 of the key), health level, and the stock
+    value and coverage forecast after ``days`` days (K11; value at the present value per unit,
+    our rule). Dimensions are unique on their keys, so no row is multiplied; AQE broadcasts
+    them after measuring them."""
+    key = ["branch", "sku"]
+    health = inventory_health(master, as_of).where(F.col("date") == F.lit(as_of))
+    units = F.col("current_stock_qty").cast("double")
+    ahead = project_stock(master, days).where(F.col("day") == days).select(*key, "projected_stock")
+    more = (
+        master.select(*key, units.alias("_units"), F.col("qty_mm7d").alias("_rate"))
+        .join(rupture_pct(master, tuple(key)).select(*key, "rupture_pct"), key)
+        .join(ahead, key)
+    )
     return (
-        today.join(branches, "branch")
-        .join(regions, "region_key")
-        .join(cds, "branch")
-        .join(products, "sku")
+        health.join(more, key)
+        .join(stores.select("branch", "state", "region"), "branch")
+        .join(main_cd(plan), "branch", "left")
+        .join(cds.select(F.col("branch").alias("cd"), F.col("state").alias("cd_state")), "cd", "left")
+        .join(products.select("sku", "category"), "sku")
+        .select(
+            "region", "state", F.col("cd").alias("distribution_center"), "cd_state", F.col("branch").alias("store"), "category", "sku",
+            F.col("stock_value").alias("current_stock_value"), "coverage_days",
+            F.when(F.col("aged"), F.col("stock_value")).otherwise(F.lit(0.0)).alias("aging_value"),
+            F.col("rupture_pct").alias("rupture_percentage"), "health_level",
+            (F.col("projected_stock") * safe_div(F.col("stock_value"), F.col("_units"))).alias("forecast_stock_value"),
+            safe_div(F.col("projected_stock"), F.col("_rate")).alias("forecast_coverage_days"),
+        )
     )

@@ -7,10 +7,13 @@ guard meant to stop a pipeline.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stocklens.params import RunParams
+from stocklens.session import ensure_checkpoint_dir
 
 
 # --------------------------------------------------------------------------- A5 / A7 / A8
@@ -27,7 +30,15 @@ def distinct_keys(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFrame
 
 def distinct_count(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFrame:
     """Number of distinct non-NULL values of each column (one row)."""
-    return df.agg(*[F.countDistinct(c).alias(f"distinct_{c}") for c in cols])
+    return df.sparkSession.range(1).select(*[distinct_scalar(df, c).alias(f"distinct_{c}") for c in cols])
+
+
+def distinct_scalar(df: DataFrame, col: str | Column) -> Column:
+    """The number of distinct non-NULL values of ``col`` as a scalar subquery. Several of them
+    in one aggregate would copy every row once a column (Expand) before the shuffle; here each
+    reads its own column and drops duplicates on the map side."""
+    values = df.select((F.col(col) if isinstance(col, str) else col).alias("v")).where("v IS NOT NULL").distinct()
+    return values.agg(F.count(F.lit(1))).scalar()
 
 
 def value_counts(df: DataFrame, col: str, k: int | None = None, name: str = "count") -> DataFrame:
@@ -63,14 +74,15 @@ def dedupe(
 def dev_sample(df: DataFrame, keys: tuple[str, ...] | list[str], params: RunParams) -> DataFrame:
     """P10: TEST-mode sample, deterministic and join-consistent.
 
-    Keeps keys whose xxhash64 falls in bucket 0 of ``params.sample_buckets`` (same keys on both
-    sides of a join, Q16), then the first ``sample_size`` rows in key order. A development
-    feature: RUN mode never samples.
+    Keeps the rows whose key falls in bucket 0 of ``params.sample_buckets`` by its md5: the same
+    keys on both sides of a join (Q16), and all rows of a kept key. A predicate on the key, so
+    it may stand before or after the window filters. A development feature: RUN mode never samples.
     """
     if not params.sampled:
         return df
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(params.sample_buckets))
-    return df.where(bucket == 0).orderBy(*keys).limit(params.sample_size)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % params.sample_buckets
+    return df.where(bucket == 0)
 
 
 # --------------------------------------------------------------------------- V1-V3, V5
@@ -115,22 +127,25 @@ def audit_join(left: DataFrame, joined: DataFrame, probe: str) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """V5: attach a row counter that is filled by the action that writes ``df``."""
+def observed(df: DataFrame, name: str, probe: str | None = None) -> tuple[DataFrame, Observation]:
+    """V5, V3: counters that are filled by the action that writes ``df``: its rows, and with
+    ``probe`` the rows that a left join has matched."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    matched = [F.count(F.col(probe)).alias("matched")] if probe else []
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *matched), obs
 
 
 def run_summary(sales: DataFrame, params: RunParams) -> DataFrame:
     """V5: rows, window and distinct branches / SKUs / days of an output (one row)."""
-    return sales.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct("branch").alias("distinct_branches"),
-        F.countDistinct("sku").alias("distinct_skus"),
-        F.countDistinct("date").alias("distinct_days"),
-        F.min("date").alias("first_day"),
-        F.max("date").alias("last_day"),
-    ).select("*", F.lit(params.start).alias("window_start"), F.lit(params.as_of).alias("window_end"))
+    whole = sales.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return whole.select(
+        "rows",
+        distinct_scalar(sales, "branch").alias("distinct_branches"),
+        distinct_scalar(sales, "sku").alias("distinct_skus"),
+        distinct_scalar(sales, "date").alias("distinct_days"),
+        "first_day", "last_day",
+        F.lit(params.start).alias("window_start"), F.lit(params.as_of).alias("window_end"),
+    )
 
 
 # --------------------------------------------------------------------------- V6-V9
@@ -159,39 +174,44 @@ def group_quantiles(df: DataFrame, value: str, by: tuple[str, ...] | list[str],
     """Exact quantiles per group (linear interpolation between the closest ranks, the
     definition of ``percentile`` / ``quantile_cont``) without holding a group in one task.
 
-    Values are range-partitioned by (group, value), so a group with a third of all rows is
-    spread over many partitions; per-partition counts (one row per partition and group)
-    give each row its rank in its group, and only the rows at the two ranks around each
-    quantile position are kept and aggregated. Columns: ``by`` + ``q0``, ``q1``, ...
+    Equal values of a group are counted first, then range-partitioned by (group, value), so a
+    group with a third of all rows is spread over many partitions. The partitioning is sampled,
+    so it is checkpointed once with each row's partition before it is read twice: for the
+    counts of the partitions (one row per partition and group) and for the ranks inside them.
+    Only the values at the two ranks around each quantile position are kept. Columns: ``by`` +
+    ``q0``, ``q1``, ...
     """
-    from functools import reduce
-
-    from pyspark.sql import Window
-
     by = list(by)
     spark = df.sparkSession
     conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
     n_parts = partitions or (int(conf) if conf.isdigit() else spark.sparkContext.defaultParallelism)
-    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    ranged = vals.repartitionByRange(n_parts, *by, "_v").withColumn("_pid", F.spark_partition_id())
-    part = ranged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
+    vals = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ensure_checkpoint_dir(spark)
+    ranged = vals.repartitionByRange(n_parts, *by, "_v").withColumn("_pid", F.spark_partition_id()).checkpoint()
+    part = ranged.groupBy("_pid", *by).agg(F.sum("_c").alias("_pc"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = part.select(
         "_pid", *by,
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-        F.sum("_c").over(Window.partitionBy(*by)).alias("_n"),
+        F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
+        F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"),
     )
-    rn = F.row_number().over(Window.partitionBy("_pid", *by).orderBy("_v"))
-    ranked = ranged.withColumn("_rn", rn).join(part, ["_pid", *by])
-    rank = F.col("_off") + F.col("_rn") - 1
+    upto = F.sum("_c").over(Window.partitionBy("_pid", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    on = F.col("r._pid") == F.col("p._pid")
+    for c in by:
+        on &= F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}"))
+    ranked = ranged.withColumn("_upto", upto).alias("r").join(part.alias("p"), on)
+    last = F.col("_off") + F.col("_upto") - 1  # ranks from 0, of the value's first and last row
+    ranked = ranked.select(*[F.col(f"r.{c}").alias(c) for c in by], "_n", "_v", (last - F.col("_c") + 1).alias("_first"), last.alias("_last"))
     positions = [F.lit(q) * (F.col("_n") - 1) for q in qs]
-    near = reduce(lambda a, b: a | b, [(rank == F.floor(p)) | (rank == F.ceil(p)) for p in positions])
-    picked = ranked.where(near).select(*by, "_n", "_v", rank.alias("_rank"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v")))
+
+    near = reduce(lambda a, b: a | b, [(F.col("_first") <= F.ceil(p)) & (F.floor(p) <= F.col("_last")) for p in positions])
     aggs = []
     for i, p in enumerate(positions):
-        aggs.append(F.max(F.when(F.col("_rank") == F.floor(p), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(F.col("_rank") == F.ceil(p), F.col("_v"))).alias(f"_hi{i}"))
-    grouped = picked.groupBy(*by, "_n").agg(*aggs)
+        aggs += [at(F.floor(p)).alias(f"_lo{i}"), at(F.ceil(p)).alias(f"_hi{i}")]
+    grouped = ranked.where(near).groupBy(*by, "_n").agg(*aggs)
     out = []
     for i, p in enumerate(positions):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
@@ -222,8 +242,6 @@ def check_dates(df: DataFrame, keys: tuple[str, ...] | list[str], date_col: str
 
     ``lag`` over the key partition; the series is per key and bounded by the history window.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(date_col)
     prev = F.lag(date_col).over(w)
     steps = df.select(*keys, F.col(date_col), prev.alias("_prev"))
@@ -238,8 +256,10 @@ def check_dates(df: DataFrame, keys: tuple[str, ...] | list[str], date_col: str
 
 # --------------------------------------------------------------------------- S7
 
-def describe_table(df: DataFrame) -> DataFrame:
-    """The schema as rows (position, name, type, nullable); no data is read."""
+def describe_table(df: DataFrame, count: bool = True) -> DataFrame:
+    """The schema as rows (position, name, type, nullable), with the table's row count as a
+    scalar subquery; with ``count=False`` no data is read."""
     spark = df.sparkSession
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+    out = spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+    return out.withColumn("row_count", df.agg(F.count(F.lit(1))).scalar()) if count else out

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.columns import sale_flag, scaled, unscaled
 from stocklens.functions.dates import year_month
+from stocklens.operators.quality import distinct_scalar
 
 # Fixed values of the source system (must equal the reference's literals).
 BALANCE_STATE = "1 - SALDO"        # goods state excluded from sales
@@ -263,13 +264,11 @@ def sales_stats(sales: DataFrame) -> DataFrame:
         exact_sum("revenue").alias("revenue_total"),
         exact_sum("qty").alias("qty_total"),
         F.sum("sold").cast("long").alias("sale_days"),
-        F.countDistinct("branch").alias("distinct_branches"),
-        F.countDistinct("sku").alias("distinct_skus"),
         exact_sum("revenue_off").alias("revenue_off"),
         exact_sum("revenue_on").alias("revenue_on"),
         exact_sum("qty_off").alias("qty_off"),
         exact_sum("qty_on").alias("qty_on"),
-    )
+    ).withColumns({"distinct_branches": distinct_scalar(sales, "branch"), "distinct_skus": distinct_scalar(sales, "sku")})
 
 
 def branch_totals(sales: DataFrame) -> DataFrame:

@@ -61,8 +61,10 @@ def enrich_stock(stock: DataFrame, gef: DataFrame) -> DataFrame:
 
 
 def store_cd_pairs(plan: DataFrame) -> DataFrame:
-    """Distinct (delivering CD, store) pairs of the supply plan."""
-    return plan.select("delivering_cd", "store").distinct()
+    """Distinct (delivering CD, store) pairs of the supply plan, as branch numbers; ids that
+    are no numbers name no branch and are left out."""
+    pairs = plan.select(F.col("delivering_cd").try_cast("int").alias("delivering_cd"), F.col("store").try_cast("int").alias("store"))
+    return pairs.where("delivering_cd IS NOT NULL AND store IS NOT NULL").distinct()
 
 
 def map_store_to_cd(gef: DataFrame, plan: DataFrame) -> DataFrame:

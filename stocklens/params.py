@@ -23,7 +23,6 @@ class RunParams:
     month_mode     "first_day": M1..M3 hold only the first day of each previous month (as the
                    reference computes them); "full_month": the whole calendar month
     sample_buckets TEST mode keeps keys whose hash falls in bucket 0 of this many buckets
-    sample_size    TEST mode row cap after the hash sample (a development feature only)
     table_format   writer format for sinks ("parquet" here; "delta" where the jar exists)
     """
 
@@ -33,7 +32,6 @@ class RunParams:
     env: str = "DEV"
     month_mode: str = "first_day"
     sample_buckets: int = 10
-    sample_size: int = 10_000
     table_format: str = "parquet"
     source_prefix: str = field(default="supply")
 

@@ -26,10 +26,16 @@ class Inputs:
 
     @cached_property
     def rated_sales(self) -> DataFrame:
-        return testdata.rated_sales(self.spark, self.sf_dir, self.sku)
+        """Pruned to the run window, which every pipeline filters."""
+        return testdata.rated_sales(self.spark, self.sf_dir, self.sku, (self.params.start, self.params.as_of))
 
     @cached_property
     def quantity_sales(self) -> DataFrame:
+        """Pruned to what can be invoiced in the run window, which every pipeline filters."""
+        return testdata.quantity_sales(self.spark, self.sf_dir, (self.params.start, self.params.as_of))
+
+    @cached_property
+    def all_quantity_sales(self) -> DataFrame:
         return testdata.quantity_sales(self.spark, self.sf_dir)
 
     @cached_property
@@ -48,5 +54,13 @@ class Inputs:
     def supply_plan(self) -> DataFrame:
         return testdata.supply_plan_network(self.spark, self.sf_dir)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return testdata.products(self.spark, self.sf_dir)
+
+    @cached_property
+    def branches(self) -> DataFrame:
+        return testdata.branches(self.spark, self.sf_dir)
+
     def table(self, name: str) -> DataFrame:
         return testdata.table(self.spark, self.sf_dir, name)

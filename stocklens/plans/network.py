@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocklens.functions.dates import timestamp_of
 from stocklens.operators import graph as G
 from stocklens.operators import quality
 from stocklens.session import ensure_checkpoint_dir
@@ -101,14 +102,15 @@ def _hier_struct(levels: DataFrame, n_sources: Column, sources_name: str) -> Col
 
 
 def network_report(net: Network, processed_at: dt.datetime | None = None, source_table: str = PLAN_TABLE) -> DataFrame:
-    """One row of nested statistics, under the key names of the reference's JSON report.
+    """One row of nested statistics. The key names and labels, which must
+    equal those of the published JSON report.
 
     Every value is an aggregate attached as a scalar subquery; the per-node and per-edge
     arrays are not packed into this row (they grow with the network): ``write_network_report``
     writes them as datasets of their own next to it.
     """
     totals = G.network_totals(net.nodes, net.edges)
-    ts = F.lit(processed_at).cast("timestamp") if processed_at else F.current_timestamp()
+    ts = timestamp_of(processed_at)
     n_sources = G.sources(net.cd_edges).agg(F.count(F.lit(1))).scalar()
     n_store_cds = net.store_nodes.agg(F.count_if(F.col("out_degree") > 0)).scalar()
     cd, st = net.cd_edges, net.store_edges
@@ -127,8 +129,8 @@ def network_report(net: Network, processed_at: dt.datetime | None = None, source
             _one(totals, "nodes_in_cycles").alias("nos_em_ciclos"),
         ).alias("estatisticas_gerais"),
         F.struct(
-            cd.agg(F.countDistinct("src")).scalar().alias("cds_unicos_atendem"),
-            cd.agg(F.countDistinct("dst")).scalar().alias("cds_unicos_atendidos"),
+            quality.distinct_scalar(cd, "src").alias("cds_unicos_atendem"),
+            quality.distinct_scalar(cd, "dst").alias("cds_unicos_atendidos"),
             cd.agg(F.count(F.lit(1))).scalar().alias("total_conexoes"),
             _entries_map(G.top_degree(cd, "src"), "node", "edges").alias("top_cds_por_grau_saida"),
             _entries_map(G.top_degree(cd, "dst"), "node", "edges").alias("top_cds_por_grau_entrada"),
@@ -136,8 +138,8 @@ def network_report(net: Network, processed_at: dt.datetime | None = None, source
         _scc_struct(net.cd_nodes, "cds_em_ciclos").alias("complexidade_cd_cd"),
         _hier_struct(net.cd_levels, n_sources, "cds_fonte").alias("hierarquia_cd_cd"),
         F.struct(
-            st.agg(F.countDistinct("src")).scalar().alias("cds_unicos_entregam"),
-            st.agg(F.countDistinct("dst")).scalar().alias("lojas_unicas_atendidas"),
+            quality.distinct_scalar(st, "src").alias("cds_unicos_entregam"),
+            quality.distinct_scalar(st, "dst").alias("lojas_unicas_atendidas"),
             st.agg(F.count(F.lit(1))).scalar().alias("total_conexoes"),
             _entries_map(G.top_degree(st, "src"), "node", "edges").alias("top_cds_por_lojas_atendidas"),
         ).alias("analise_cd_loja"),

@@ -6,15 +6,21 @@ names as the matching SQL in ``oracle/queries.py``.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.operators import quality, sales
+from stocklens.session import ensure_checkpoint_dir
+from stocklens.sources import report
 from stocklens.plans.fixtures import DEFAULT_PARAMS as P
 from stocklens.plans.fixtures import Inputs
 
+LINEAGE_AT = _dt.datetime(2001, 6, 30, 12, 0)
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -206,7 +212,7 @@ def _a7(i: Inputs) -> DataFrame:
 
 @register("t2_ordered_dates")
 def _t2(i: Inputs) -> DataFrame:
-    return quality.distinct_keys(i.quantity_sales, ("invoice_date",)).orderBy("invoice_date").limit(10)
+    return quality.distinct_keys(i.all_quantity_sales, ("invoice_date",)).orderBy("invoice_date").limit(10)
 
 
 # =========================================================================== master (M4)
@@ -431,8 +437,29 @@ def _j9(i: Inputs) -> DataFrame:
 
 @register("g14_network_report")
 def _g14(i: Inputs) -> DataFrame:
-    """Nested report row (rows-only check: it carries the processing time)."""
-    return N.network_report(N.build_network(i.supply_plan))
+    """The report row at a pinned time, its structs as columns and its maps as sorted text."""
+    report = N.network_report(N.build_network(i.supply_plan), processed_at=LINEAGE_AT)
+    out = []
+    for group in report.schema.fields:
+        for f in group.dataType.fields:
+            c = F.col(f"{group.name}.{f.name}")
+            if f.dataType.typeName() == "map":
+                c = F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))), ",")
+            out.append(c.alias(f"{group.name}_{f.name}"))
+    return report.select(*out)
+
+
+def _scratch(i: Inputs, name: str) -> str:
+    """A new folder on the storage that the session names for checkpoints."""
+    return f"{ensure_checkpoint_dir(i.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("s5_read_network_report")
+def _s5(i: Inputs) -> DataFrame:
+    """S6 then S5: the edges of a written report, read back."""
+    net, path = N.build_network(i.supply_plan), _scratch(i, "report")
+    report.write_network_report(N.network_report(net, LINEAGE_AT), net.nodes, net.edges, path)
+    return report.read_written_report(i.spark, path)[1]
 
 
 # =========================================================================== KPIs, checks, sources (M6)
@@ -525,10 +552,34 @@ def _k13(i: Inputs) -> DataFrame:
     return kpis.channel_trend(_dense(i))
 
 
+PREVIOUS = P.as_of - _dt.timedelta(days=30)
+
+
+def _health(i: Inputs) -> DataFrame:
+    """Store health with the period 30 days earlier."""
+    earlier = Inputs(i.spark, i.sf_dir, P.with_(as_of=PREVIOUS))
+    stores = stock.enrich_stock(stock.prepare_stock(earlier.stock, "LOJA", PREVIOUS), stock.clean_gef(earlier.gef))
+    return kpis.inventory_health(_m_stores(i), P.as_of, previous=kpis.previous_health(stores))
+
+
+@register("k7_with_previous")
+def _k7p(i: Inputs) -> DataFrame:
+    return _health(i)
+
+
 @register("a12_company_kpis")
 def _a12(i: Inputs) -> DataFrame:
-    """Includes U2 (the metrics are stacked with UNION ALL)."""
-    return kpis.company_kpis(_dense(i), P.as_of, 30)
+    """Stock value and coverage, now against 30 days ago."""
+    return kpis.company_kpis(_health(i), P.as_of)
+
+
+@register("u2_stack_kpis")
+def _u2(i: Inputs) -> DataFrame:
+    """Stock value of stores and of CDs by branch, stacked with UNION ALL."""
+    return kpis.stack_kpis(*[
+        kpis.inventory_value(m).select(F.lit(kind).alias("stock_kind"), "branch", "inventory_value")
+        for kind, m in (("LOJA", _m_stores(i)), ("CD", _m_cds(i)))
+    ])
 
 
 @register("a13_kpi_rollup")
@@ -536,20 +587,60 @@ def _a13(i: Inputs) -> DataFrame:
     return kpis.kpi_rollup(_dense(i), "month", ("branch",))
 
 
+def _sales_by_place(i: Inputs) -> DataFrame:
+    return _dense(i).join(i.products, "sku", "left").join(i.branches, "branch", "left")
+
+
+@register("a13_kpi_rollup_category_week")
+def _a13c(i: Inputs) -> DataFrame:
+    return kpis.kpi_rollup(_sales_by_place(i), "week", ("category",))
+
+
+@register("a13_kpi_rollup_region_quarter")
+def _a13r(i: Inputs) -> DataFrame:
+    return kpis.kpi_rollup(_sales_by_place(i), "quarter", ("region", "state"))
+
+
+@register("a13_kpi_rollup_region_category_day")
+def _a13d(i: Inputs) -> DataFrame:
+    return kpis.kpi_rollup(_sales_by_place(i), "day", ("region", "category"))
+
+
+@register("k8_store_dimension")
+def _k8s(i: Inputs) -> DataFrame:
+    return kpis.store_dimension(i.stock, i.branches)
+
+
+@register("k8_cd_dimension")
+def _k8d(i: Inputs) -> DataFrame:
+    return kpis.cd_dimension(i.stock, i.branches)
+
+
+@register("k8_category_dimension")
+def _k8c(i: Inputs) -> DataFrame:
+    return kpis.category_dimension(i.products)
+
+
+@register("k8_region_dimension")
+def _k8r(i: Inputs) -> DataFrame:
+    return kpis.region_dimension(i.branches)
+
+
+@register("k8_sales_fact")
+def _k8sf(i: Inputs) -> DataFrame:
+    return kpis.sales_fact(_dense(i))
+
+
+@register("k8_inventory_fact")
+def _k8if(i: Inputs) -> DataFrame:
+    return kpis.inventory_fact(_m_stores(i), _m_cds(i))
+
+
 @register("j10_allocation_view")
 def _j10(i: Inputs) -> DataFrame:
-    """Store health with branch (nation), region, delivering CD and product dimensions.
-    Fixture rule: branch b is located in nation b."""
-    health = kpis.inventory_health(_m_stores(i), P.as_of)
-    branches = i.table("nation").select(
-        F.col("n_nationkey").alias("branch"), F.col("n_name").alias("branch_name"), F.col("n_regionkey").alias("region_key")
-    )
-    regions = i.table("region").select(F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region_name"))
-    cds = stock.store_cd_pairs(i.supply_plan_stock).select(
-        F.col("store").cast("int").alias("branch"), F.col("delivering_cd").alias("cd")
+    return kpis.allocation_view(
+        _m_stores(i), kpis.store_dimension(i.stock, i.branches), kpis.cd_dimension(i.stock, i.branches), i.products, i.supply_plan_stock, P.as_of
     )
-    products = kpis.product_dimension(_dense(i)).select("sku", F.col("branches").alias("selling_branches"))
-    return kpis.allocation_view(health, branches, regions, cds, products, P.as_of)
 
 
 @register("v6_check_ref")
@@ -594,14 +685,9 @@ def _s2(i: Inputs) -> DataFrame:
 
 # =========================================================================== remaining single operators
 
-import datetime as _dt  # noqa: E402
-
 from stocklens.functions.columns import sale_flag  # noqa: E402
 from stocklens.functions.lineage import with_lineage  # noqa: E402
 
-LINEAGE_AT = _dt.datetime(2001, 6, 30, 12, 0)
-
-
 @register("p6_rename_drop")
 def _p6(i: Inputs) -> DataFrame:
     out = filters.rename_drop(i.stock, {"stock_qty": "current_stock_qty", "stock_value": "current_stock_value"}, ("ingested_at",))
@@ -617,11 +703,46 @@ def _d2(i: Inputs) -> DataFrame:
 
 @register("p10_dev_sample")
 def _p10(i: Inputs) -> DataFrame:
-    """TEST-mode hash sample of the value lines (rows-only check: xxhash64 is Spark's)."""
-    return quality.dev_sample(i.rated_sales, ("fact_key",), P.with_(mode="TEST"))
+    """TEST-mode sample of the window's value lines: whole keys, by a hash."""
+    lines = sales.filter_sales(i.rated_sales, None, P.start, P.as_of)
+    return quality.dev_sample(lines, ("fact_key",), P.with_(mode="TEST")).select("fact_key", "approval_date", "sku", to_double("sale_value").alias("sale_value"))
 
 
 @register("d4_with_lineage")
 def _d4(i: Inputs) -> DataFrame:
-    """Dense sales with processing columns at a pinned time (rows-only check)."""
-    return with_lineage(_dense(i), "rated sales + quantity sales", at=LINEAGE_AT)
+    """Dense sales with processing columns at a pinned time (as text, whatever the time zone)."""
+    out = with_lineage(_dense(i), "rated sales + quantity sales", at=LINEAGE_AT)
+    return out.withColumn("processed_at", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("s3_run_frame")
+def _s3(i: Inputs) -> DataFrame:
+    """The run window, joined with the days of the sales that lie in it."""
+    frame = loaders.run_frame(i.spark, P)
+    days = i.rated_sales.select("approval_date").distinct()
+    inside = days.join(frame, F.col("approval_date").between(F.col("start_date"), F.col("as_of")))
+    return inside.select("approval_date", "start_date", "start_date_int", "lookback_days", "as_of", "mode")
+
+
+@register("s4_save_table")
+def _s4(i: Inputs) -> DataFrame:
+    """Daily sales written and read back."""
+    path = _scratch(i, "daily")
+    lines = sales.sales_lines(i.rated_sales, i.quantity_sales, P.start, P.as_of, None)
+    loaders.save_table(sales.daily_sales(lines), "daily", path=path)
+    return i.spark.read.parquet(path)
+
+
+@register("s7_describe_table")
+def _s7(i: Inputs) -> DataFrame:
+    return quality.describe_table(i.table("nation"))
+
+
+@register("s8_ingest_append")
+def _s8(i: Inputs) -> DataFrame:
+    """Two batches landed and read back: rows per batch and day."""
+    path = _scratch(i, "landing")
+    loaders.ingest_append(i.table("nation"), path, "nations", at=LINEAGE_AT)
+    loaders.ingest_append(i.table("nation"), path, "again", at=LINEAGE_AT)
+    landed = i.spark.read.parquet(path)
+    return landed.groupBy("n_name", "source_system", "year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))

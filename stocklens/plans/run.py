@@ -5,40 +5,39 @@ reference's layering, so each layer can run (and be retried) on its own."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocklens.operators import quality
+from stocklens.operators import quality, stock
 from stocklens.params import RunParams
 from stocklens.plans import master as master_plan
 from stocklens.plans import network as network_plan
 from stocklens.plans import sales as sales_plan
 from stocklens.plans import stock as stock_plan
 from stocklens.sources import loaders, report
-
-
-@dataclass
-class Sources:
-    rated_sales: DataFrame
-    quantity_sales: DataFrame
-    stock: DataFrame
-    gef: DataFrame
-    supply_plan_stock: DataFrame
-    supply_plan: DataFrame
+from stocklens.sources.original import Sources
 
 
 def run_bronze(src: Sources, params: RunParams, out: str, at: dt.datetime | None = None) -> dict[str, int]:
-    """Sales and stock bronze tables; returns the observed row counts."""
+    """Sales and stock bronze tables; returns what was observed while they were written: row
+    counts, duplicate keys of the feed (V2), and matched rows of the store join (V3). Stops
+    before anything is written when there are no sales or no stock at all (V1)."""
+    quality.require_rows(src.rated_sales, what="sales of the window")
+    quality.require_rows(src.stock, what="stock rows")
     sales = sales_plan.sales_bronze(src.rated_sales, src.quantity_sales, params, at)
     sales, obs = quality.observed(sales, "sales_rows")
     loaders.save_table(sales, params.table("vendas_90d_on_off"), params.table_format, f"{out}/sales")
     stores, cds = stock_plan.stock_bronze(src.stock, src.gef, src.supply_plan_stock, params, at)
-    stores, o_st = quality.observed(stores, "store_rows")
-    cds, o_cd = quality.observed(cds, "cd_rows")
+    stores, o_st = quality.observed(stores, "store_rows", "safety_stock")
+    cds, o_cd = quality.observed(cds, "cd_rows", "safety_stock")
     loaders.save_table(stores, params.table("estoque_lojas"), params.table_format, f"{out}/stock_stores")
     loaders.save_table(cds, params.table("estoque_cds"), params.table_format, f"{out}/stock_cds")
-    return {"sales": obs.get["rows"], "stock_stores": o_st.get["rows"], "stock_cds": o_cd.get["rows"]}
+    duplicates = quality.audit_keys(stock.gef_feed(src.gef), stock.KEYS).first()
+    return {
+        "sales": obs.get["rows"], "stock_stores": o_st.get["rows"], "stock_cds": o_cd.get["rows"],
+        "stores_matched": o_st.get["matched"], "cds_matched": o_cd.get["matched"],
+        "gef_duplicate_keys": duplicates.duplicate_keys, "gef_rows_in_duplicates": duplicates.rows_in_duplicates,
+    }
 
 
 def run_master(spark: SparkSession, params: RunParams, out: str) -> dict[str, int]:

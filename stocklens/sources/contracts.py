@@ -1,8 +1,9 @@
 """Input contracts: explicit schemas for every source (the reference infers them).
 
 ``conform`` checks a DataFrame against a contract, casts columns whose type differs but can
-be cast, and fails on missing columns, so every operator sees one type per column (e.g.
-branch ids are INT everywhere and never compared across string/int, Q-ANSI).
+be cast, and fails on missing columns, so every operator sees one type per column. Branch
+ids are INT in sales and stock tables; the plan's ids are text and meet them in one place
+(``operators.stock.store_cd_pairs``), by their number.
 """
 
 from __future__ import annotations
@@ -74,11 +75,12 @@ GEF = T.StructType(
     + [T.StructField(m, T.IntegerType()) for m in GEF_METRICS]
 )
 
+# Ids of the plan stay text: they name graph nodes, and have leading zeros ("0022").
 SUPPLY_PLAN = T.StructType(
     [
-        T.StructField("supplying_cd", T.LongType()),
-        T.StructField("delivering_cd", T.LongType()),
-        T.StructField("store", T.LongType()),
+        T.StructField("supplying_cd", T.StringType()),
+        T.StructField("delivering_cd", T.StringType()),
+        T.StructField("store", T.StringType()),
     ]
 )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stocklens.functions.dates import timestamp_of
 from stocklens.params import RunParams
 from stocklens.sources.contracts import conform
 
@@ -69,7 +70,7 @@ def ingest_append(
 
 
 def with_ingestion(df: DataFrame, source: str, at: dt.datetime | None = None, date_col: str | None = None) -> DataFrame:
-    ts = F.lit(at).cast("timestamp") if at is not None else F.current_timestamp()
+    ts = timestamp_of(at)
     base = F.col(date_col) if date_col else ts
     return df.withColumns(
         {

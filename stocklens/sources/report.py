@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Key names of the published document.
 L, S, D, B = T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType()
 COUNTS = T.MapType(S, L)
 

@@ -32,7 +32,6 @@ N_BRANCHES = 25
 FIRST_CD = 20
 INACTIVE_STORES = (9, 19)
 STOCK_WINDOW_DAYS = 30
-NETWORK_MIN_ACCTBAL = 1000
 STORE_ID_OFFSET = 100000
 
 # Fixed values: (multiplier of branch, multiplier of SKU number, modulus, offset) of each GEF
@@ -97,12 +96,15 @@ def _with_sku(spark: SparkSession, sf_dir: str, lines: DataFrame, sku: str) -> D
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
 
 
-def rated_sales(spark: SparkSession, sf_dir: str, sku: str = "brand") -> DataFrame:
-    """Value lines: one per lineitem (contract RATED_SALES)."""
+def rated_sales(spark: SparkSession, sf_dir: str, sku: str = "brand", approved: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Value lines: one per lineitem (contract RATED_SALES). ``approved`` is the window that
+    the caller will filter; the scan skips what was approved (shipped) outside it."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
+    if approved is not None:
+        li = li.where(ship_date_between(*approved))
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("int").alias("issuing_branch"))
     lines = _with_sku(spark, sf_dir, li, sku).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
     value = F.col("l_extendedprice").cast("decimal(18,2)")
@@ -119,9 +121,14 @@ def rated_sales(spark: SparkSession, sf_dir: str, sku: str = "brand") -> DataFra
     )
 
 
-def quantity_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity lines (contract QUANTITY_SALES); invoiced 0 to 2 days after approval."""
+def quantity_sales(spark: SparkSession, sf_dir: str, invoiced: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Quantity lines (contract QUANTITY_SALES); invoiced 0 to 2 days after approval.
+
+    ``invoiced`` is the window that the caller will filter: lines shipped outside
+    [start - 2 days, end] can't be invoiced in it and are skipped by the scan."""
     li = table(spark, sf_dir, "lineitem")
+    if invoiced is not None:
+        li = li.where(ship_date_between(invoiced[0] - dt.timedelta(days=2), invoiced[1]))
     return li.select(
         _fact_key().alias("fact_key"),
         F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
@@ -181,6 +188,24 @@ def gef(spark: SparkSession, sf_dir: str, as_of: dt.date, sku: str = "brand") ->
     return rows.select(F.lit(as_of).alias("stock_date"), "branch", "sku", *metrics)
 
 
+# The four categories that the documentation names; a SKU's is its brand number modulo 4.
+CATEGORIES = ("Telefonia Celular", "Eletrodomésticos", "Informática", "Móveis")
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKU (brand) and its category."""
+    brand = table(spark, sf_dir, "part").select(F.col("p_brand").alias("sku")).distinct()
+    at = F.pmod(F.substring("sku", 7, 10).cast("int"), F.lit(len(CATEGORIES))) + 1
+    return brand.select("sku", F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), at).alias("category"))
+
+
+def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branch b stands in nation b: its state is the nation, its region the nation's."""
+    region = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
+    nation = table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return nation.select(F.col("n_nationkey").cast("int").alias("branch"), F.col("n_name").alias("state"), "region")
+
+
 def supply_plan_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store -> CD plan for the GEF roll-up: store b is delivered by CD 20 + b % 5.
 
@@ -195,7 +220,7 @@ def supply_plan_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supply_plan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supply plan for the network: one line per order line of a well-funded supplier.
+    """Supply plan for the network: one line per order line.
 
     Nation hubs (ids 0-24) supply suppliers (ids from 1), which deliver to the customers
     that ordered from them (ids 100000 + custkey). Nation and supplier ids overlap on
@@ -203,7 +228,7 @@ def supply_plan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    sup = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= NETWORK_MIN_ACCTBAL).select("s_suppkey", "s_nationkey")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("s_nationkey").cast("long").alias("supplying_cd"),

@@ -139,3 +139,24 @@ def test_read_reference_layout_document(spark, scratch):
     recomputed = G.density(e.select(F.col("origem").alias("src"), F.col("destino").alias("dst"))).first()
     assert recomputed.density == doc["estatisticas_gerais"]["densidade"]
     assert R.report_nodes(rep).first().id == "0022"
+
+
+def test_hub_edges_are_split_and_results_stay(spark):
+    """A hub with most edges: its edges lie in several parts, and a lower bound changes nothing."""
+    import random
+
+    rnd = random.Random(3)
+    edges = [(0, i) for i in range(1, 400)] + [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] + [(i, 0) for i in range(300, 310)] + [(900, 0), (901, 5)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    layout = G._Layout(df, "src", "dst", hub_edges=50)
+    assert layout.edges.where("src = 0").select("part").distinct().count() >= 8
+    whole = {tuple(r) for r in G.cd_levels(df).collect()}
+    assert whole == {tuple(r) for r in G.cd_levels(df, hub_edges=20).collect()}
+    assert {tuple(r) for r in G.scc(df).collect()} == {tuple(r) for r in G.scc(df, hub_edges=20).collect()}
+
+
+def test_levels_of_many_sources_and_long_chain(spark):
+    """More sources than bits of a word, over a chain longer than a compaction."""
+    edges = [(1000 + i, i % 7) for i in range(150)] + [(i, i + 1) for i in range(25)]
+    levels = {r.node: r.level for r in G.cd_levels(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert levels == {**{1000 + i: 0 for i in range(150)}, **{i: i + 1 for i in range(26)}}

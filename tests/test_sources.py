@@ -41,13 +41,77 @@ def test_run_frame_and_params():
         RunParams(month_mode="weekly")
 
 
-def test_dev_sample_is_repeatable_and_join_consistent(spark):
-    p = RunParams(mode="TEST", sample_buckets=4, sample_size=50)
-    df = spark.range(1000).select(F.col("id").cast("string").alias("fact_key"))
-    a = [r.fact_key for r in quality.dev_sample(df, ("fact_key",), p).collect()]
-    b = [r.fact_key for r in quality.dev_sample(df.repartition(5), ("fact_key",), p).collect()]
-    assert a == b and len(a) == 50
-    assert quality.dev_sample(df, ("fact_key",), RunParams()).count() == 1000  # RUN never samples
+def test_dev_sample_keeps_whole_keys_on_both_sides(spark):
+    p = RunParams(mode="TEST", sample_buckets=4)
+    df = spark.range(4000).select((F.col("id") % 1000).cast("string").alias("fact_key"), "id")
+    kept = quality.dev_sample(df.repartition(5), ("fact_key",), p)
+    keys = {r.fact_key for r in kept.select("fact_key").distinct().collect()}
+    assert 150 < len(keys) < 350 and kept.count() == 4 * len(keys)
+    other = quality.dev_sample(df.select("fact_key").distinct(), ("fact_key",), p)
+    assert {r.fact_key for r in other.collect()} == keys
+    assert quality.dev_sample(df, ("fact_key",), RunParams()).count() == 4000  # RUN never samples
+
+
+def original_layout(spark, folder):
+    """Tables in the source system's layout, written as parquet."""
+    from stocklens.sources import original
+
+    def write(name, rows, names, schema):
+        path = f"{folder}/{name}"
+        spark.createDataFrame(rows, schema).write.parquet(path)
+        df = spark.read.parquet(path)
+        assert df.columns == list(names.values())
+        return df
+
+    rated = write("rated", [
+        ("a", 20240229, "2 - NOVO", "LOJA FISICA", "10.50", "1.25", "S1", 1, 9), ("b", 20240301, "2 - NOVO", "SITE", "3.00", "1.00", "S1", 1, 22),
+        ("c", 20231231, "2 - NOVO", "SITE", "3.00", "1.00", "S1", 1, 22), ("d", 20240301, "1 - SALDO", "SITE", "3.00", "1.00", "S1", 1, 22),
+    ], original.RATED_SALES, "ChaveFatos string, DtAprovacao int, NmEstadoMercadoria string, NmTipoNegocio string, VrOperacao string, "
+       "VrCustoContabilFilialSku string, CdSkuLoja string, CdFilialVenda int, CdFilialEmissao int")
+    quantity = write("quantity", [("a", "2.00", 20240229), ("b", "1.00", 20240301), ("c", "1.00", 20231231)], original.QUANTITY_SALES,
+                     "ChaveFatos string, QtMercadoria string, DtEmissaoFaturamento int")
+    day = dt.datetime(2024, 3, 1)
+    stock = write("stock", [
+        ("2024-03-01", "S1", 1, "L", "ATIVA", "5.00", "50.00", "25.00", day), ("2024-03-01", "S1", 22, "D", "ATIVA", "8.00", "80.00", "0.00", day),
+        ("2024-02-01", "S1", 1, "L", "ATIVA", "1.00", "1.00", "1.00", day),
+    ], original.STOCK, "DtAtual string, CdSku string, CdFilial int, DsEstoqueLojaDeposito string, StLoja string, QtEstoque string, VrTotalVv string, "
+       "VrVndCmv string, data_ingestao timestamp")
+    gef = write("gef", [("2024-03-01", 1, "S1", *range(1, 21)), ("2024-03-01", 1, "S1", *range(1, 21))], original.GEF,
+                "DATA_ANALISE string, FILIAL_AJ int, CODIGO_ITEM string, " + ", ".join(f"{o} int" for n, o in original.GEF.items() if n not in ("stock_date", "branch", "sku")))
+    plan = write("plan", [("0022", "0022", "0001"), ("0030", "0022", "0001"), ("x", "0030", None)], original.SUPPLY_PLAN,
+                 "CdFilialAtende string, CdFilialEntrega string, CdLoja string")
+    return rated, quantity, stock, gef, plan
+
+
+def test_bronze_starts_from_the_source_layout(spark, scratch):
+    from stocklens.plans.run import run_bronze, run_network
+    from stocklens.sources import original
+
+    params = RunParams(as_of=dt.date(2024, 3, 1), lookback_days=30)
+    tables = original_layout(spark, scratch)
+    src = original.adapted(*tables, params)
+    scan = src.rated_sales._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(DtAprovacao,20240131)" in scan and "LessThanOrEqual(DtAprovacao,20240301)" in scan
+    seen = run_bronze(src, params, f"{scratch}/out")
+    assert seen["sales"] == 2 * 31 and (seen["stock_stores"], seen["stock_cds"]) == (1, 1)
+    assert (seen["stores_matched"], seen["cds_matched"], seen["gef_duplicate_keys"], seen["gef_rows_in_duplicates"]) == (1, 1, 1, 2)
+    sold = spark.read.parquet(f"{scratch}/out/sales").where("sold > 0").select("branch", "sku", "revenue", "qty").collect()
+    assert sorted(map(tuple, sold)) == [(1, "S1", 10.5, 2.0), (22, "S1", 3.0, 1.0)]
+    net = run_network(src.supply_plan, f"{scratch}/out")
+    assert {r.node for r in net.cd_nodes.collect()} == {"0022", "0030", "x"}
+    with pytest.raises(ContractError):
+        original.rated_sales(tables[0].drop("VrOperacao"), params.start, params.as_of)
+    none = original.adapted(tables[0].where("DtAprovacao < 0"), *tables[1:], params)
+    with pytest.raises(ValueError):
+        run_bronze(none, params, f"{scratch}/none")
+
+
+def test_scaled_is_exact_for_decimals_and_doubles(spark):
+    from stocklens.functions.columns import scaled
+
+    rows = spark.sql("SELECT CAST('9007199254740993.07' AS DECIMAL(18,2)) AS a, CAST('-12.34' AS DECIMAL(18,2)) AS b, 1234.56D AS c, CAST('987654321098.7654' AS DECIMAL(24,4)) AS e")
+    r = rows.select(scaled("a"), scaled("b"), scaled("c"), scaled("e", 4)).first()
+    assert tuple(r) == (900719925474099307, -1234, 123456, 9876543210987654)
 
 
 def test_ingest_append_partitions(spark, scratch):
