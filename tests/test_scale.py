@@ -52,7 +52,9 @@ def test_no_expand_for_distinct_counts(spark):
 def test_both_sales_scans_are_pruned(spark):
     from stocklens.plans.registry import REGISTRY
 
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = REGISTRY["j1_join_value_quantity"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     scans = [line for line in text.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
     assert len(scans) >= 2 and all("GreaterThanOrEqual(l_shipdate" in line for line in scans)
 
