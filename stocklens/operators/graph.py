@@ -49,6 +49,24 @@ def _ckpt_sized(df: DataFrame) -> tuple[DataFrame, int]:
     return out, int(obs.get["rows"])
 
 
+# A node set whose measured size is at most this is broadcast to the joins of a loop, which
+# spares the edges a shuffle; a larger one is joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def _ckpt_nodes(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """``_ckpt`` of a node set with its rows and about its bytes in memory, both observed."""
+    obs = Observation()
+    longest = F.max(F.octet_length("node")) if df.schema["node"].dataType.typeName() == "string" else F.max(F.lit(8))
+    out = _ckpt(df.observe(obs, F.count(F.lit(1)).alias("rows"), longest.alias("longest")))
+    rows, size = int(obs.get["rows"]), int(obs.get["longest"] or 0)
+    return out, rows, rows * (16 + 8 * len(df.columns) + size)
+
+
+def _small(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df  # BROADCAST: measured bytes
+
+
 # A loop's deltas are merged into one after this many rounds, so that plans stay small.
 COMPACT_AFTER = 8
 
@@ -192,27 +210,27 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     self-loop, is its own component of size 1. Each round writes the rows that it changed.
     """
     e, _ = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
-    active, n_active = _ckpt_sized(graph_nodes(edges))
+    active, n_active, size = _ckpt_nodes(graph_nodes(edges))
     found: list[DataFrame] = []
 
     while n_active:
         # Trim: a node without an in-edge or an out-edge inside the active graph is alone.
         # Each round reads two checkpointed leaves (edges, active nodes): constant-size plans.
         while n_active:
-            live = _restrict(e, active)
+            live = _restrict(e, _small(active, size))
             ends = live.select(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
                 live.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))
             )
             kept = ends.groupBy("node").agg(F.max("i").alias("i"), F.max("o").alias("o")).where((F.col("i") == 1) & (F.col("o") == 1))
-            kept, n_kept = _ckpt_sized(kept.select("node"))
+            kept, n_kept, kept_size = _ckpt_nodes(kept.select("node"))
             if n_kept == n_active:
                 break
             alone = active.join(kept, "node", "left_anti")
             found.append(alone.select("node", F.col("node").alias("scc_id")))
-            active, n_active = kept, n_kept
+            active, n_active, size = kept, n_kept, kept_size
         if not n_active:
             break
-        e = _ckpt(_restrict(e, active))
+        e = _ckpt(_restrict(e, _small(active, size)))
 
         # Forward: colour = largest id that reaches the node. Colours only grow, so a node's
         # colour is the largest of its deltas.
@@ -221,8 +239,8 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
         colors = _Deltas(start, lambda df: df.groupBy("node").agg(F.max("color").alias("color")))
         frontier = start
         while True:
-            cand = out_edges.step(frontier.withColumnRenamed("node", "src")).groupBy(F.col("dst").alias("node")).agg(F.max("color").alias("new"))
-            both = cand.select("node", "new", F.lit(None).cast(_type(start, "color")).alias("old")).unionByName(
+            cand = out_edges.step(frontier.withColumnRenamed("node", "src"))
+            both = cand.select(F.col("dst").alias("node"), F.col("color").alias("new"), F.lit(None).cast(_type(start, "color")).alias("old")).unionByName(
                 colors.all().select("node", F.lit(None).cast(_type(start, "color")).alias("new"), F.col("color").alias("old"))
             )
             grown = both.groupBy("node").agg(F.max("new").alias("new"), F.max("old").alias("old")).where(F.col("new") > F.col("old"))
@@ -230,11 +248,12 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
             if n_changed == 0:
                 break
             colors.add(frontier)
-        color = _ckpt(colors.merge(colors.all()))
+        color, _, size = _ckpt_nodes(colors.merge(colors.all()))
 
         # Backward: the component of root c = nodes of colour c that reach c inside colour c.
         src_c = color.select(F.col("node").alias("src"), F.col("color").alias("c1"))
         dst_c = color.select(F.col("node").alias("dst"), F.col("color").alias("c2"))
+        src_c, dst_c = _small(src_c, size), _small(dst_c, size)
         same = _ckpt(e.join(src_c, "src").join(dst_c, "dst").where(F.col("c1") == F.col("c2")).select("src", "dst"))
         in_edges = _Layout(same, "dst", "src", hub_edges)
         roots = color.where(F.col("node") == F.col("color"))
@@ -248,11 +267,11 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
             if n_new == 0:
                 break
             marked.add(frontier)
-        done = _ckpt(marked.merge(marked.all()))
+        done, _, size = _ckpt_nodes(marked.merge(marked.all()))
         found.append(done.select("node", F.col("color").alias("scc_id")))
 
         # Nodes of one component share a colour: drop the found ones and cross-colour edges.
-        active, n_active = _ckpt_sized(active.join(done.select("node"), "node", "left_anti"))
+        active, n_active, size = _ckpt_nodes(active.join(_small(done.select("node"), size), "node", "left_anti"))
         e = same  # cross-colour edges dropped; restricted in the trim
 
     members = reduce(DataFrame.unionByName, found)
@@ -316,8 +335,8 @@ def cd_levels(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     frontier, level, none = first, 0, F.lit(0).cast("long")
     while True:
         level += 1
-        cand = layout.step(frontier.select(F.col("node").alias("src"), "word", "bits")).groupBy(F.col("dst").alias("node"), "word").agg(F.bit_or("bits").alias("new"))
-        both = cand.select("node", "word", "new", none.alias("old")).unionByName(
+        cand = layout.step(frontier.select(F.col("node").alias("src"), "word", "bits"))
+        both = cand.select(F.col("dst").alias("node"), "word", F.col("bits").alias("new"), none.alias("old")).unionByName(
             reached.all().select("node", "word", none.alias("new"), F.col("bits").alias("old"))
         )
         seen = both.groupBy("node", "word").agg(F.bit_or("new").alias("new"), F.bit_or("old").alias("old"))
