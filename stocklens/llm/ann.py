@@ -17,7 +17,7 @@ PIVOTS = 1024
 #: Nearest pivots that represent a vector and that are posted.
 PREFIX = 256
 #: Share of each shard, best footrule distance first, whose true distance is computed.
-RERANK = 0.25
+RERANK = 0.35
 #: Vectors of a shard, whose inverted files are held in memory at once.
 SHARD = 8192
 #: Queries per pass over the index; a block is what is broadcast.
