@@ -193,7 +193,8 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS,
     for y in (0, 1):
         part = known.where(F.col("label") == y).select("doc_id", "label").orderBy(*order).limit(fit_rows // 2)
         chosen = part if chosen is None else chosen.unionAll(part)
-    sample = known.join(chosen.distinct().withColumnRenamed("label", "picked"), "doc_id", "left_semi").orderBy(*order).coalesce(1)
+    # At most fit_rows ids are broadcast, so only the sample's texts are shuffled.
+    sample = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").orderBy(*order).coalesce(1)
     got = sample.mapInArrow(descended, "w binary, a double, b double").collect()
     weights, slope, shift = (np.frombuffer(got[0].w), got[0].a, got[0].b) if got else (np.zeros(buckets + 1), 1.0, 0.0)
     return Model(scale, weights, slope, shift)
@@ -229,4 +230,5 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     several labels counts once if they agree and else not at all."""
     told = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
     told = told.where("label = other").select("doc_id", "label").where(~held_out(F.col("doc_id")))
-    return docs.select("doc_id", "text").join(told, "doc_id")
+    # Labels grow with the corpus: joined by shuffle at every size.
+    return docs.select("doc_id", "text").join(told.hint("merge"), "doc_id")
