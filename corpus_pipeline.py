@@ -54,9 +54,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Of several rows with that id the one with the smallest hash stays. Rows without an id
     can't be told apart and stay."""
-    near = written(simhash.near_duplicates(docs), "near")
+    near = written(simhash.near_duplicates(docs, shingle=3, radius=3), "near")
     gone = near.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")  # grows with the corpus: by shuffle at every size
     twice = near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if twice.isEmpty():
         return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
