@@ -22,7 +22,7 @@ MASKED = 0.15
 BATCH = 2048
 RATE = 0.15
 #: Positions predicted at once when scoring.
-CHUNK = 1 << 15
+CHUNK = 1 << 12
 
 
 class Network:
@@ -48,20 +48,28 @@ class Network:
     DENSE = ("place", "shift", "out", "bias")
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.shift + self.token[around[:, 0]] * self.place[0]
-        for j in range(1, around.shape[1]):
-            total += self.token[around[:, j]] * self.place[j]
-        return np.tanh(total)
-
-    def logs(self, hidden: np.ndarray) -> np.ndarray:
-        logits = hidden @ self.out + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        total = np.take(self.token, around[0], axis=0)
+        total *= self.place[0]
+        total += self.shift
+        for j in range(1, len(around)):
+            part = np.take(self.token, around[j], axis=0)
+            part *= self.place[j]
+            total += part
+        return np.tanh(total, out=total)
+
+    def logits(self, hidden: np.ndarray) -> np.ndarray:
+        """Shifted by each row's largest only if their exponentials could leave a float's range."""
+        found = hidden @ self.out
+        found += self.bias
+        if np.abs(self.out).sum(axis=0).max() + np.abs(self.bias).max() > 60:
+            found -= found.max(axis=1, keepdims=True)
+        return found
 
     def conditional(self, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
-        """Log-probability of each id between its neighbours."""
-        logs = self.logs(self.hidden(around))
-        return logs[np.arange(len(ids)), self.kind[ids]].astype(np.float64) + self.inside[ids]
+        """Log-probability of each id between its neighbours (a row of ``around`` per place)."""
+        logits = self.logits(self.hidden(around))
+        own = logits[np.arange(len(ids)), self.kind[ids]].astype(np.float64)
+        return own - np.log(np.exp(logits, out=logits).sum(axis=1)) + self.inside[ids]
 
 
 class Learner:
@@ -77,14 +85,16 @@ class Learner:
     def step(self, ids: np.ndarray, around: np.ndarray) -> None:
         net, n = self.net, len(ids)
         hidden = net.hidden(around)
-        error = np.exp(net.logs(hidden))
+        error = net.logits(hidden)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(n), net.kind[ids]] -= 1.0
         error /= n
         inner = (error @ net.out.T) * (1.0 - hidden * hidden)
         slopes = {"out": hidden.T @ error, "bias": error.sum(axis=0), "shift": inner.sum(axis=0)}
-        slopes["place"] = np.stack([(inner * net.token[around[:, j]]).sum(axis=0) for j in range(around.shape[1])])
-        flat = around.T.ravel()
-        pushed = np.concatenate([inner * net.place[j] for j in range(around.shape[1])])
+        slopes["place"] = np.stack([(inner * net.token[row]).sum(axis=0) for row in around])
+        flat = around.ravel()
+        pushed = np.concatenate([inner * net.place[j] for j in range(len(around))])
         order = np.argsort(flat, kind="stable")
         rows, first = np.unique(flat[order], return_index=True)
         total = np.add.reduceat(pushed[order], first, axis=0) * n
@@ -98,16 +108,15 @@ class Learner:
         self.steps += 1
 
 
-def neighbours(ids: np.ndarray, offsets: np.ndarray, at: np.ndarray, window: int, beyond: int) -> np.ndarray:
-    """Ids around the positions ``at`` of texts on end; ``beyond`` outside of a position's text."""
-    text = np.searchsorted(offsets, at, side="right") - 1
-    low, high = offsets[text], offsets[text + 1]
-    out = np.empty((len(at), 2 * window), dtype=np.int64)
-    for j, gap in enumerate([g for g in range(-window, window + 1) if g]):
-        where = at + gap
-        inside = (where >= low) & (where < high)
-        out[:, j] = np.where(inside, ids[np.clip(where, 0, len(ids) - 1)], beyond)
-    return out
+def neighbours(ids: np.ndarray, offsets: np.ndarray, window: int, beyond: int):
+    """A function of positions in texts on end that gives the ids around them, a row per place
+    in the window; ``beyond`` outside of a position's text, from a copy with gaps between texts."""
+    texts = len(offsets) - 1
+    place = np.arange(len(ids)) + window * (np.repeat(np.arange(texts), np.diff(offsets)) + 1)
+    spread = np.full(len(ids) + window * (texts + 1), beyond, dtype=np.int32)
+    spread[place] = ids
+    gaps = [g for g in range(-window, window + 1) if g]
+    return lambda at: np.stack([spread[place[at] + g] for g in gaps])
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,15 +133,15 @@ def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     return written(rows.mapInArrow(run, "doc_id long, ids binary"), "lm-tokens")
 
 
-def _texts(batch: pa.RecordBatch, limit: int = 1 << 22):
-    """``(first row, ids, offsets)`` of a batch's documents, some millions of ids at a time."""
+def _texts(batch: pa.RecordBatch, limit: int = 1 << 20):
+    """``(first row, ids, offsets)`` of a batch's documents, about a million ids at a time."""
     column = batch.column(batch.schema.get_field_index("ids")).cast(pa.large_binary())
     edges = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
     row = 0
     while row < len(column):
         stop = max(row + 1, int(np.searchsorted(edges, edges[row] + 4 * limit, side="right")) - 1)
-        yield row, data[edges[row] : edges[stop]].copy().view("<u4").astype(np.int64), (edges[row : stop + 1] - edges[row]) // 4
+        yield row, data[edges[row] : edges[stop]].copy().view("<u4").astype(np.int32), (edges[row : stop + 1] - edges[row]) // 4
         row = stop
 
 
@@ -164,9 +173,10 @@ def _trained(net: Network, round_: int, seed: int, masked: float, batch_size: in
             for _, ids, offsets in _texts(batch):
                 at = np.flatnonzero(rng.random(len(ids)) < masked)
                 rng.shuffle(at)
+                around = neighbours(ids, offsets, net.window, beyond)
                 for i in range(0, len(at), batch_size):
                     some = at[i : i + batch_size]
-                    learner.step(ids[some], neighbours(ids, offsets, some, net.window, beyond))
+                    learner.step(ids[some], around(some))
         if not learner.steps:
             return
         rows = np.flatnonzero(learner.moved)
@@ -243,11 +253,10 @@ def score_tokens(tokens: DataFrame, net: Network) -> DataFrame:
         for batch in batches:
             model, sums, sizes = shared.value, [], []
             for _, ids, offsets in _texts(batch):
-                logs = np.zeros(len(ids) + 1)
+                logs, around = np.zeros(len(ids)), neighbours(ids, offsets, model.window, len(model.token) - 1)
                 for i in range(0, len(ids), CHUNK):
-                    at = np.arange(i, min(i + CHUNK, len(ids)))
-                    logs[at + 1] = model.conditional(ids[at], neighbours(ids, offsets, at, model.window, len(model.token) - 1))
-                sums += [float(logs[a + 1 : b + 1].sum()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                    logs[i : i + CHUNK] = model.conditional(ids[i : i + CHUNK], around(slice(i, i + CHUNK)))
+                sums += [float(logs[a:b].sum()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 sizes += np.diff(offsets).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
 

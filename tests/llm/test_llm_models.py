@@ -100,14 +100,14 @@ def test_training_helps_and_order_matters(spark, tokens):
 
 def test_conditionals_are_probabilities_and_sum_over_tokens(spark, tokens):
     net = lm.train(tokens, 50257, rounds=1)
-    around = np.array([[5, 50257, 17, 900]])
+    around = np.array([[5], [50257], [17], [900]])
     every = np.arange(50257)
-    assert math.isclose(np.exp(net.conditional(every, np.repeat(around, 50257, axis=0))).sum(), 1.0, rel_tol=1e-3)
+    assert math.isclose(np.exp(net.conditional(every, np.repeat(around, 50257, axis=1))).sum(), 1.0, rel_tol=1e-3)
     ids = np.array([3, 9, 9, 4, 7])
     frame = spark.createDataFrame([(1, ids.astype("<u4").tobytes()), (2, b""), (None, ids[:1].astype("<u4").tobytes())], "doc_id long, ids binary")
     got = {r.doc_id: r for r in lm.score_tokens(frame, net).collect()}
     padded = [50257, 50257, *ids, 50257, 50257]
-    one = sum(net.conditional(ids[i : i + 1], np.array([[padded[i], padded[i + 1], padded[i + 3], padded[i + 4]]]))[0] for i in range(5))
+    one = sum(net.conditional(ids[i : i + 1], np.array([[padded[i]], [padded[i + 1]], [padded[i + 3]], [padded[i + 4]]]))[0] for i in range(5))
     assert math.isclose(got[1].log_likelihood, one, rel_tol=1e-5)
     assert (got[2].n_tokens, got[2].log_likelihood, got[2].mean_log_likelihood) == (0, 0.0, None) and got[None].n_tokens == 1
 
