@@ -21,9 +21,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LETTER, DIGIT, OTHER, SPACE, ODD = range(5)
 #: Bytes split at once; temporaries are about 60 times that.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
 #: Distinct pre-tokens kept; a full table is started anew, which costs time only.
-KEPT = 1_000_000
+KEPT = 200_000
 
 
 def _byte_kinds() -> np.ndarray:

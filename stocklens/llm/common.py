@@ -14,10 +14,15 @@ from stocklens.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def on_workers(spark: SparkSession) -> None:
-    """Let Python workers of a session that was started elsewhere find this checkout.
+#: Rows of an Arrow batch: texts are long, and a task holds a few copies of a batch.
+BATCH_ROWS = 1000
+
 
-    On a cluster the package is installed or sent with ``--py-files``; this changes nothing there."""
+def on_workers(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session, and let Python workers of one that was started
+    elsewhere find this checkout (on a cluster the package is installed or sent with
+    ``--py-files``; that part changes nothing there)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.abspath(stocklens.__file__)))
     known = spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
@@ -39,6 +44,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs only its running tasks. Parquet keeps it several times smaller than a
     checkpoint of rows."""
     spark = df.sparkSession
+    on_workers(spark)
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -73,7 +73,7 @@ class BKTree:
 
         All queries that reach a node are measured against it at once; by the triangle
         inequality only edges keyed within the radius of a query's distance lead to matches."""
-        todo = [(0, np.arange(len(queries)))]
+        todo = [(0, np.arange(len(queries), dtype=np.int32))]
         while todo:
             node, at = todo.pop()
             gap = np.bitwise_count(queries[at] ^ np.uint64(self.codes[node])).astype(np.int64)
