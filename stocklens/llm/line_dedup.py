@@ -149,7 +149,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     which overlap, name it. All its members but the first by (document, line) are later copies.
     Together these runs cover exactly the maximal runs of ``min_words`` or more words that have
     begun before, at any earlier line, in any document."""
-    lines = written(docs.mapInArrow(_lines(min_words), LINES), "lines")
+    lines = docs.mapInArrow(_lines(min_words), LINES)
+    # Rows that repeat in id and text are one document: its lines are taken once, as each
+    # doubling joins lines by their place.
+    if not docs.where("text IS NOT NULL").groupBy("doc", "u").count().where("count > 1").isEmpty():
+        lines = lines.dropDuplicates(POSITION)
+    lines = written(lines, "lines")
     wanted = lines.select(
         *POSITION[:2], F.explode(F.array(
             F.struct("i", F.col("forth").alias("length")), F.struct((F.col("i") + 1 - F.col("back")).alias("i"), F.col("back").alias("length")),

@@ -130,6 +130,24 @@ def test_line_dedup_repeated_rows_and_no_rows(spark):
     assert line_dedup.dedup_lines(df.limit(0)).collect() == []
 
 
+def test_line_dedup_takes_repeated_rows_once(spark, monkeypatch):
+    """Three rows of one long document, with and without an id, have its lines once in every doubling."""
+    text, ranks = "\n".join(f"line {i}" for i in range(64)), line_dedup.suffix_ranks
+
+    def counted(lines, *more):
+        assert lines.count() == 3 * 64
+        levels = ranks(lines, *more)
+        assert len(levels) > 4 and all(level.count() <= 3 * 64 for level in levels)
+        return levels
+
+    monkeypatch.setattr(line_dedup, "suffix_ranks", counted)
+    rows = [(None, text)] * 3 + [(1, text)] * 3 + [(2, text + " more")] + [(None, None)] * 2
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()
+    assert sorted((r.doc_id or 0, r.text or "", r.n_lines, r.n_deleted) for r in got) == sorted(
+        [(0, text, 64, 0)] * 3 + [(1, "", 64, 64)] * 3 + [(2, "line 63 more", 64, 63)] + [(0, "", 0, 0)] * 2
+    )
+
+
 def test_suffix_ranks_order_suffixes(spark):
     """Sorted as deep as asked, ranks equal the order of the suffixes by their lines' ids."""
     rng = random.Random(6)
