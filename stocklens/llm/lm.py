@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -14,7 +16,7 @@ from stocklens.llm.common import written
 #: Tokens seen on either side of the one that is predicted.
 WINDOW = 2
 WIDTH = 16
-#: Classes of the output: tokens of about equal mass; bounds the cost of a prediction.
+#: Classes of the output's first step: tokens of about equal mass; bounds the cost of a prediction.
 CLASSES = 128
 #: Passes over the corpus, and the share of positions that a pass masks and learns from.
 ROUNDS = 2
@@ -27,7 +29,10 @@ CHUNK = 1 << 12
 
 class Network:
     """Token vectors, weighted by their place in the window and summed, through tanh, predict
-    the class of the token between them; a token's share of its class is its corpus count's."""
+    the class of the token between them, and from there, by one two-way choice after another,
+    the token. The choices inside a class are a Huffman tree of its tokens' corpus counts, each
+    with a vector of its own that meets the same hidden one; untrained, they give the counts'
+    shares."""
 
     def __init__(self, counts: np.ndarray, width: int = WIDTH, classes: int = CLASSES, window: int = WINDOW, seed: int = 0) -> None:
         rng = np.random.default_rng(seed)
@@ -37,7 +42,7 @@ class Network:
         self.kind = np.empty(vocabulary, dtype=np.int32)
         self.kind[order] = np.minimum((mass - counts[order] - 0.5) / mass[-1] * classes, classes - 1).astype(np.int32)
         whole = np.bincount(self.kind, weights=counts + 0.5, minlength=classes)
-        self.inside = np.log((counts + 0.5) / whole[self.kind]).astype(np.float32)
+        self._plant(counts + 0.5, width)
         # The last row stands for what lies beyond a document's ends.
         self.token = (rng.standard_normal((vocabulary + 1, width)) * 0.1).astype(np.float32)
         self.place = np.ones((2 * window, width), dtype=np.float32)
@@ -45,8 +50,51 @@ class Network:
         self.out = (rng.standard_normal((width, classes)) * 0.1).astype(np.float32)
         self.bias = np.log(np.maximum(whole, 0.5) / whole.sum()).astype(np.float32)
 
+    def _plant(self, weights: np.ndarray, width: int) -> None:
+        """A tree per class. Of each id ``fork`` and ``side`` hold the choices from its leaf up,
+        from ``first`` on, ``depth`` of them."""
+        vocabulary = len(weights)
+        above = np.full(2 * vocabulary, -1, dtype=np.int64)
+        sides, bias, nodes = np.zeros(2 * vocabulary, dtype=np.int8), [], vocabulary
+        members = np.argsort(self.kind, kind="stable")
+        for part in np.split(members, np.flatnonzero(np.diff(self.kind[members])) + 1):
+            heap = [(w, i) for w, i in zip(weights[part].tolist(), part.tolist(), strict=True)]
+            heapq.heapify(heap)
+            while len(heap) > 1:
+                (w, a), (v, b) = heapq.heappop(heap), heapq.heappop(heap)
+                above[[a, b]], sides[[a, b]] = nodes, (1, -1)
+                bias.append(np.log(w / v))
+                heapq.heappush(heap, (w + v, nodes))
+                nodes += 1
+        at, ids, steps = np.arange(vocabulary), np.arange(vocabulary), []
+        while len(ids):
+            up = above[at]
+            ids, at, up = ids[up >= 0], at[up >= 0], up[up >= 0]
+            steps.append((ids, up - vocabulary, sides[at]))
+            at = up
+        ids, fork, side = (np.concatenate(x) for x in zip(*steps, strict=True))
+        order = np.argsort(ids, kind="stable")
+        self.fork, self.side = fork[order].astype(np.int32), side[order].astype(np.float32)
+        self.depth = np.bincount(ids, minlength=vocabulary)
+        self.first = np.cumsum(self.depth) - self.depth
+        # The last component is the bias.
+        self.branch = np.zeros((len(bias), width + 1), dtype=np.float32)
+        self.branch[:, -1] = bias
+
     DENSE = ("place", "shift", "out", "bias")
 
+    def choices(self, ids: np.ndarray):
+        """``(row, fork, side)`` of every choice on the ways to ``ids``."""
+        depth = self.depth[ids]
+        row = np.repeat(np.arange(len(ids)), depth)
+        at = np.arange(len(row)) + np.repeat(self.first[ids] - (np.cumsum(depth) - depth), depth)
+        return row, self.fork[at], self.side[at]
+
+    def leaning(self, hidden: np.ndarray, row: np.ndarray, fork: np.ndarray, side: np.ndarray) -> np.ndarray:
+        """How far each choice leans to its own side: the logit of taking it."""
+        branch = self.branch[fork]
+        return side * (np.einsum("ij,ij->i", hidden[row], branch[:, :-1]) + branch[:, -1])
+
     def hidden(self, around: np.ndarray) -> np.ndarray:
         total = np.take(self.token, around[0], axis=0)
         total *= self.place[0]
@@ -67,19 +115,23 @@ class Network:
 
     def conditional(self, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log-probability of each id between its neighbours (a row of ``around`` per place)."""
-        logits = self.logits(self.hidden(around))
+        hidden = self.hidden(around)
+        row, fork, side = self.choices(ids)
+        inside = np.bincount(row, weights=-np.logaddexp(0, -self.leaning(hidden, row, fork, side)), minlength=len(ids))
+        logits = self.logits(hidden)
         own = logits[np.arange(len(ids)), self.kind[ids]].astype(np.float64)
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1)) + self.inside[ids]
+        return own - np.log(np.exp(logits, out=logits).sum(axis=1)) + inside
 
 
 class Learner:
-    """AdaGrad steps on a network; remembers how often each token vector was moved."""
+    """AdaGrad steps on a network; remembers how often each token's and choice's vector was moved."""
 
     def __init__(self, net: Network, rate: float) -> None:
         self.net, self.rate = net, rate
         self.square = {n: np.full_like(getattr(net, n), 1e-2) for n in Network.DENSE}
         self.token_square = np.full(len(net.token), 1e-2, dtype=np.float32)
-        self.moved = np.zeros(len(net.token), dtype=np.int64)
+        self.branch_square = np.full_like(net.branch, 1e-2)
+        self.moved = np.zeros(len(net.token) + len(net.branch), dtype=np.int64)
         self.steps = 0
 
     def step(self, ids: np.ndarray, around: np.ndarray) -> None:
@@ -90,7 +142,9 @@ class Learner:
         error /= error.sum(axis=1, keepdims=True)
         error[np.arange(n), net.kind[ids]] -= 1.0
         error /= n
-        inner = (error @ net.out.T) * (1.0 - hidden * hidden)
+        inner = error @ net.out.T
+        inner += self._choose(hidden, ids) / n
+        inner *= 1.0 - hidden * hidden
         slopes = {"out": hidden.T @ error, "bias": error.sum(axis=0), "shift": inner.sum(axis=0)}
         slopes["place"] = np.stack([(inner * net.token[row]).sum(axis=0) for row in around])
         flat = around.ravel()
@@ -107,6 +161,27 @@ class Learner:
             getattr(net, name)[...] -= self.rate * slope / np.sqrt(self.square[name])
         self.steps += 1
 
+    def _choose(self, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Move the choices on the ways to ``ids``; the slopes of the hidden vectors come back."""
+        net, back = self.net, np.zeros_like(hidden)
+        row, fork, side = net.choices(ids)
+        if not len(row):
+            return back
+        error = -side / (1.0 + np.exp(np.clip(net.leaning(hidden, row, fork, side), -60, 60)))
+        start = np.flatnonzero(np.diff(row, prepend=-1))
+        back[row[start]] = np.add.reduceat(error[:, None] * net.branch[fork, :-1], start, axis=0)
+        order = np.argsort(fork, kind="stable")
+        forks, first = np.unique(fork[order], return_index=True)
+        pushed = np.empty((len(row), hidden.shape[1] + 1), dtype=np.float32)
+        np.multiply(hidden[row[order]], error[order, None], out=pushed[:, :-1])
+        pushed[:, -1] = error[order]
+        uses = np.diff(np.append(first, len(row)))
+        total = np.add.reduceat(pushed, first, axis=0) / uses[:, None]
+        self.branch_square[forks] += total * total
+        net.branch[forks] -= (self.rate * total / np.sqrt(self.branch_square[forks])).astype(np.float32)
+        self.moved[len(net.token) + forks] += uses
+        return back
+
 
 def neighbours(ids: np.ndarray, offsets: np.ndarray, window: int, beyond: int):
     """A function of positions in texts on end that gives the ids around them, a row per place
@@ -163,8 +238,9 @@ def corpus_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
 
 
 def _trained(net: Network, round_: int, seed: int, masked: float, batch_size: int, rate: float):
-    """A task learns from its own documents and sends what it has moved: per token vector that
-    it met, times the number of uses; the dense parts times its steps."""
+    """A task learns from its own documents and sends what it has moved: per vector of a token
+    or (numbered after them) a choice that it met, times the number of uses; the dense parts
+    times its steps."""
 
     def run(batches):
         task = TaskContext.get().partitionId()
@@ -181,9 +257,11 @@ def _trained(net: Network, round_: int, seed: int, masked: float, batch_size: in
             return
         rows = np.flatnonzero(learner.moved)
         weight = learner.moved[rows]
+        tokens, forks = rows[rows < len(net.token)], rows[rows >= len(net.token)] - len(net.token)
+        moved = [*(net.token[tokens] * weight[: len(tokens), None]).astype("<f8"), *(net.branch[forks] * weight[len(tokens) :, None]).astype("<f8")]
         dense = np.concatenate([getattr(net, n).ravel() for n in Network.DENSE])
         index = np.append(rows, -1)
-        sums = [*(net.token[rows] * weight[:, None]).astype("<f8"), (dense * learner.steps).astype("<f8")]
+        sums = [*moved, (dense * learner.steps).astype("<f8")]
         yield pa.RecordBatch.from_arrays(
             [pa.array(index, pa.int64()), pa.array(np.full(len(index), task), pa.int64()), pa.array(np.append(weight, learner.steps), pa.int64()), pa.array([s.tobytes() for s in sums], pa.binary())],
             names=["row", "task", "weight", "total"],
@@ -218,7 +296,7 @@ def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, masked: floa
 
     Each round every task masks a share of its positions and makes numpy steps from the shared
     network; the tasks' networks are averaged by Spark, each vector by its uses. Only the model
-    (``vocabulary`` vectors at the most) comes back to the driver."""
+    (two times ``vocabulary`` vectors at the most) comes back to the driver."""
     sc = tokens.sparkSession.sparkContext
     net = Network(corpus_counts(tokens, vocabulary), seed=seed, **shape)
     for r in range(rounds):
@@ -227,6 +305,9 @@ def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, masked: floa
         means = told.repartition("row").sortWithinPartitions("row", "task").mapInArrow(_averaged, "row long, mean binary")
         for m in means.toLocalIterator():
             values = np.frombuffer(m.mean, dtype="<f4")
+            if m.row >= len(net.token):
+                net.branch[m.row - len(net.token)] = values
+                continue
             if m.row >= 0:
                 net.token[m.row] = values
                 continue

@@ -112,6 +112,27 @@ def test_conditionals_are_probabilities_and_sum_over_tokens(spark, tokens):
     assert (got[2].n_tokens, got[2].log_likelihood, got[2].mean_log_likelihood) == (0, 0.0, None) and got[None].n_tokens == 1
 
 
+def test_tokens_of_one_class_depend_on_the_context():
+    """Ids 8 and 9 share a class; which of the two comes is told by their neighbours alone."""
+    counts = np.array([400, 400, 9, 9, 9, 9, 9, 9, 50, 50, *[0] * 200], dtype=float)
+    net = lm.Network(counts, classes=4)
+    assert net.kind[8] == net.kind[9] and net.depth.max() <= 2 * np.log2(len(counts)) and net.depth[counts == 0].min() > 0
+    every, contexts = np.arange(len(counts)), [np.full((4, 1), c) for c in (0, 1)]
+    untrained = net.conditional(every, np.repeat(contexts[0], len(every), axis=1))
+    share = (counts + 0.5) / np.bincount(net.kind, weights=counts + 0.5)[net.kind]
+    for k in np.unique(net.kind):
+        own = untrained[net.kind == k]
+        assert np.allclose(own - np.log(np.exp(own).sum()), np.log(share[net.kind == k]), atol=1e-4)
+    learner, rng = lm.Learner(net, lm.RATE), np.random.default_rng(0)
+    for _ in range(60):
+        which = rng.integers(0, 2, 256)
+        learner.step(8 + which, np.repeat(which[None], 4, axis=0))
+    lead = [np.diff(net.conditional(np.array([8, 9]), np.repeat(c, 2, axis=1)))[0] for c in contexts]
+    assert lead[0] < -1 and lead[1] > 1
+    for c in contexts:
+        assert math.isclose(np.exp(net.conditional(every, np.repeat(c, len(every), axis=1))).sum(), 1.0, rel_tol=1e-3)
+
+
 def test_scoring_odd_documents(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "word " * 30000, "a"), (4, "x y z", "a"), (4, "x y z", "a")], "doc_id long, text string, ids string")
     rows = lm.score_documents(docs, tokenizer(), 50257, rounds=1).collect()
