@@ -18,9 +18,8 @@ WINDOW = 2
 WIDTH = 16
 #: Classes of the output's first step: tokens of about equal mass; bounds the cost of a prediction.
 CLASSES = 128
-#: Passes over the corpus, and the share of positions that a pass masks and learns from.
+#: Passes over the corpus; the positions are dealt to them, and each masks and learns from its own.
 ROUNDS = 2
-MASKED = 0.15
 BATCH = 2048
 RATE = 0.15
 #: Positions predicted at once when scoring.
@@ -237,7 +236,13 @@ def corpus_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
-def _trained(net: Network, round_: int, seed: int, masked: float, batch_size: int, rate: float):
+def turns(offsets: np.ndarray, rounds: int) -> np.ndarray:
+    """The one round that masks each position; by its place in its text, the same in any task."""
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], np.diff(offsets))
+    return ((place + 1) * 0x9E3779B1 >> 16) % rounds
+
+
+def _trained(net: Network, round_: int, rounds: int, seed: int, batch_size: int, rate: float):
     """A task learns from its own documents and sends what it has moved: per vector of a token
     or (numbered after them) a choice that it met, times the number of uses; the dense parts
     times its steps."""
@@ -247,7 +252,7 @@ def _trained(net: Network, round_: int, seed: int, masked: float, batch_size: in
         rng, learner, beyond = np.random.default_rng([seed, round_, task]), Learner(net, rate), len(net.token) - 1
         for batch in batches:
             for _, ids, offsets in _texts(batch):
-                at = np.flatnonzero(rng.random(len(ids)) < masked)
+                at = np.flatnonzero(turns(offsets, rounds) == round_)
                 rng.shuffle(at)
                 around = neighbours(ids, offsets, net.window, beyond)
                 for i in range(0, len(at), batch_size):
@@ -291,17 +296,17 @@ def _averaged(batches):
     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], names=["row", "mean"])
 
 
-def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, masked: float = MASKED, batch_size: int = BATCH, rate: float = RATE, seed: int = 0, **shape) -> Network:
+def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, batch_size: int = BATCH, rate: float = RATE, seed: int = 0, **shape) -> Network:
     """A network learnt from every document of ``tokens (doc_id, ids)``.
 
-    Each round every task masks a share of its positions and makes numpy steps from the shared
-    network; the tasks' networks are averaged by Spark, each vector by its uses. Only the model
+    Each round every task masks the positions that are dealt to it, so that the rounds together
+    predict every token once, and makes numpy steps from the shared network; the tasks' networks are averaged by Spark, each vector by its uses. Only the model
     (two times ``vocabulary`` vectors at the most) comes back to the driver."""
     sc = tokens.sparkSession.sparkContext
     net = Network(corpus_counts(tokens, vocabulary), seed=seed, **shape)
     for r in range(rounds):
         shared = sc.broadcast(net)
-        told = tokens.select("ids").mapInArrow(lambda it, s=shared, r=r: _trained(_copy(s.value), r, seed, masked, batch_size, rate)(it), "row long, task long, weight long, total binary")
+        told = tokens.select("ids").mapInArrow(lambda it, s=shared, r=r: _trained(_copy(s.value), r, rounds, seed, batch_size, rate)(it), "row long, task long, weight long, total binary")
         means = told.repartition("row").sortWithinPartitions("row", "task").mapInArrow(_averaged, "row long, mean binary")
         for m in means.toLocalIterator():
             values = np.frombuffer(m.mean, dtype="<f4")

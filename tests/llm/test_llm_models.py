@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,19 @@ def test_tokens_of_one_class_depend_on_the_context():
         assert math.isclose(np.exp(net.conditional(every, np.repeat(c, len(every), axis=1))).sum(), 1.0, rel_tol=1e-3)
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_rounds_learn_from_every_position_once(monkeypatch, rounds):
+    texts = [np.arange(at, at + n, dtype="<u4") for at, n in ((0, 1), (1, 2), (3, 0), (3, 500), (503, 97))]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
+    seen = []
+    monkeypatch.setattr(lm.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    monkeypatch.setattr(lm.Learner, "step", lambda self, ids, around: seen.append(ids))
+    for r in range(rounds):
+        list(lm._trained(lm.Network(np.ones(600)), r, rounds, 0, 64, 0.1)(iter([batch])))
+        assert sum(map(len, seen)) < 600 or r == rounds - 1
+    assert sorted(np.concatenate(seen).tolist()) == list(range(600))
+
+
 def test_scoring_odd_documents(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "word " * 30000, "a"), (4, "x y z", "a"), (4, "x y z", "a")], "doc_id long, text string, ids string")
     rows = lm.score_documents(docs, tokenizer(), 50257, rounds=1).collect()
