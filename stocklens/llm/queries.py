@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm import ann, chat, line_dedup, lm, mixing, packing, quality, simhash, tokens, topk
+from stocklens.llm import ann, chat, clustering, codes, line_dedup, lm, matching, mixing, packing, quality, simhash, tokens, topk
 from stocklens.llm.common import shared_folder, table
 
 
@@ -18,6 +18,12 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
 
@@ -74,6 +80,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hilbert_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, clusters = clustering.cluster_vectors(table(spark, sf_dir, "embeddings"), clusters=16, rounds=3, scale=64, dimension=64, seed=1)
+    digest = F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256")
+    each = clusters.select("cluster", "cluster_inertia", "inertia", digest)  # one row a cluster
+    return rows.join(F.broadcast(each), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    each = books.select("dim", F.sha2(F.array_join("codebooks", ","), 256).alias("codebooks_sha256"))  # one row a dimension
+    return rows.join(F.broadcast(each), "dim", "left").select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_matched_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = matching.pack_matched(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=0, capacity=2048)
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "doc_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -85,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_multi_length_packing": op9_multi_length_packing,
     "op10_source_mixing": op10_source_mixing,
+    "op11_hilbert_clustering": op11_hilbert_clustering,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_matched_packing": op13_matched_packing,
 }
 
 ORACLE: dict[str, str] = {
@@ -157,6 +184,65 @@ ORACLE: dict[str, str] = {
                CAST(tokens AS BIGINT) AS mix_tokens, t AS mix_exponent, weight AS mix_weight
         FROM spent WHERE e < epochs OR docs_upto <= rest
     """,
+    "op11_hilbert_clustering": """
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), v AS MATERIALIZED (
+            SELECT r, vec_id, unnest(e) AS x, unnest(range(64)) AS d FROM kept
+        ), c0 AS MATERIALIZED (
+            SELECT k, unnest(e) AS x, unnest(range(64)) AS d
+            FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), e) - 1 AS k, e FROM kept WHERE vec_id IS NOT NULL)
+            WHERE k < 16
+        )""" + "".join(f"""
+        , a{i} AS MATERIALIZED (
+            SELECT r, arg_min(k, (dist, k)) AS k, min(dist) AS dist
+            FROM (SELECT r, k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS dist FROM v JOIN c{i} c ON v.d = c.d GROUP BY r, k) GROUP BY r
+        )""" + (f"""
+        , c{i + 1} AS MATERIALIZED (
+            SELECT c.k, c.d, CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+            FROM c{i} c LEFT JOIN (
+                SELECT a.k, v.d, CAST(sum(v.x) AS BIGINT) AS s, count(*) AS n FROM a{i} a JOIN v ON a.r = v.r GROUP BY a.k, v.d
+            ) m ON c.k = m.k AND c.d = m.d
+        )""" if i < 3 else "") for i in range(4)) + """
+        SELECT kept.vec_id, CAST(a.k AS INTEGER) AS cluster, a.dist AS distance, CAST(sum(a.dist) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.dist) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+        FROM a3 a JOIN kept ON a.r = kept.r
+        JOIN (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY k) h ON h.k = a.k
+    """,
+    "op12_vector_codes": """
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), v AS MATERIALIZED (
+            SELECT r, i // w AS p, i % w AS d, x FROM (SELECT r, len(e) // 16 AS w, unnest(e) AS x, unnest(range(len(e))) AS i FROM kept)
+        ), c0 AS MATERIALIZED (
+            SELECT i // w AS p, k, i % w AS d, x
+            FROM (
+                SELECT k, len(e) // 16 AS w, unnest(e) AS x, unnest(range(len(e))) AS i
+                FROM (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) - 1 AS k, e FROM kept) WHERE k < 64
+            )
+        )""" + "".join(f"""
+        , a{i} AS MATERIALIZED (
+            SELECT r, p, arg_min(k, (dist, k)) AS k, min(dist) AS dist
+            FROM (SELECT r, v.p, k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS dist FROM v JOIN c{i} c ON v.p = c.p AND v.d = c.d GROUP BY r, v.p, k)
+            GROUP BY r, p
+        )""" + (f"""
+        , c{i + 1} AS MATERIALIZED (
+            SELECT c.p, c.k, c.d, CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+            FROM c{i} c LEFT JOIN (
+                SELECT a.p, a.k, v.d, CAST(sum(v.x) AS BIGINT) AS s, count(*) AS n FROM a{i} a JOIN v ON a.r = v.r AND a.p = v.p GROUP BY a.p, a.k, v.d
+            ) m ON c.p = m.p AND c.k = m.k AND c.d = m.d
+        )""" if i < 2 else "") for i in range(3)) + """
+        , coded AS (
+            SELECT r, string_agg(format('{:02x}', k), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a2 GROUP BY r
+        )
+        SELECT kept.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, d)) FROM c2) AS codebooks_sha256
+        FROM coded JOIN kept ON coded.r = kept.r
+    """,
     "op2_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
