@@ -53,6 +53,22 @@ def test_word_coder_on_any_text(texts):
     assert coded(words.coder(word_tokenizer()), texts) == ids_of(library, texts)
 
 
+def test_merger_equals_library_on_made_words(library):
+    import json
+
+    coder, rng = words.WordCoder(word_tokenizer()), random.Random(9)
+    assert coder.piece is not None
+    with open(word_tokenizer(), encoding="utf-8") as f:
+        parts = [t for t in (x.removesuffix("</w>") for x in json.load(f)["model"]["vocab"]) if t.isascii() and t.isalpha()]
+    made = [*parts, *("".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(60_000))]
+    made += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéàßñøı.,'-0129²", k=rng.randint(1, 14))) for _ in range(30_000)]
+    mine = coder.encode([" ".join(made)])[0].tolist()
+    assert mine == library.encode(" ".join(made), add_special_tokens=False).ids
+    plain = words.WordCoder(word_tokenizer())
+    plain.piece = None  # a vocabulary of another make: the library for every chunk
+    assert plain.encode([" ".join(made[-5000:])])[0].tolist() == coder.encode([" ".join(made[-5000:])])[0].tolist()
+
+
 def piece_by_piece(lengths, capacity):
     """The same packing, one piece after the other: sequences as lists of lengths."""
     bins, left = [], sorted((n for n in lengths if 3 * n > capacity), reverse=True)
