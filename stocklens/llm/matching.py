@@ -198,7 +198,7 @@ def pack_matched(
     mine = F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("place")), -1)
     turn = F.col("place") - F.col("mine.first")
     return (
-        pieces.join(runs, ["task", "length"]).withColumn("mine", mine)
+        pieces.join(runs.hint("merge"), ["task", "length"]).withColumn("mine", mine)  # grows with the tasks: by shuffle at every size
         .withColumn("sequence_id", F.col("mine.base") + F.floor(turn / F.col("mine.per")))
         .withColumn("offset", F.col("mine.at") + turn % F.col("mine.per") * F.col("length"))
         .select("doc_id", "piece", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
