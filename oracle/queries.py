@@ -1,12 +1,13 @@
 """DuckDB SQL for each registered query, written independently of the Spark operators:
-it follows the reference's own structure (calendar x keys grid, left joins, full outer
-join of the channels, window functions) where the Spark side uses cheaper equivalents."""
+it follows the reference's own structure (calendar x keys grid, left joins, window functions)
+where the Spark side uses cheaper equivalents."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from oracle.fixtures import AS_OF, PREVIOUS, d, with_fixtures
+from oracle.fixtures import AS_OF, PREVIOUS, d, gef, stock, with_fixtures
+from stocklens.sources.testdata import CATEGORIES
 
 START = AS_OF - dt.timedelta(days=90)
 W = f"{d(START)} AND {d(AS_OF)}"
@@ -46,18 +47,25 @@ SELECT g.channel, g.date, CAST(year(g.date) * 100 + month(g.date) AS INTEGER) AS
 FROM grid g LEFT JOIN daily dl ON g.channel = dl.channel AND g.branch = dl.branch AND g.sku = dl.sku AND g.date = dl.date""",
     "off_": "SELECT * FROM dense WHERE channel = 'OFF'",
     "on_": "SELECT * FROM dense WHERE channel = 'ON'",
+    # Both channels of a key and day side by side: keys of either channel x days, each channel's
+    # sum where it has one, else zero.
+    "wide": """
+SELECT branch, sku, date,
+       SUM(CASE WHEN channel = 'OFF' THEN revenue END) AS revenue_off, SUM(CASE WHEN channel = 'OFF' THEN qty END) AS qty_off,
+       SUM(CASE WHEN channel = 'ON' THEN revenue END) AS revenue_on, SUM(CASE WHEN channel = 'ON' THEN qty END) AS qty_on
+FROM daily GROUP BY branch, sku, date""",
+    "cells": f"""
+SELECT branch, sku, CAST(unnest(generate_series({d(START)}, {d(AS_OF)}, INTERVAL 1 DAY)) AS DATE) AS date
+FROM (SELECT DISTINCT branch, sku FROM keys_)""",
     "sales": """
-SELECT COALESCE(o.date, n.date) AS date, COALESCE(o.year_month, n.year_month) AS year_month,
-       COALESCE(o.branch, n.branch) AS branch, COALESCE(o.sku, n.sku) AS sku,
-       CAST(COALESCE(o.revenue, 0) AS DOUBLE) AS revenue_off, CAST(COALESCE(o.qty, 0) AS DOUBLE) AS qty_off,
-       COALESCE(o.sold, 0) AS sold_off,
-       CAST(COALESCE(n.revenue, 0) AS DOUBLE) AS revenue_on, CAST(COALESCE(n.qty, 0) AS DOUBLE) AS qty_on,
-       COALESCE(n.sold, 0) AS sold_on,
-       CAST(COALESCE(o.revenue, 0) + COALESCE(n.revenue, 0) AS DOUBLE) AS revenue,
-       CAST(COALESCE(o.qty, 0) + COALESCE(n.qty, 0) AS DOUBLE) AS qty,
-       CAST(COALESCE(o.sold, 0) + COALESCE(n.sold, 0) AS INTEGER) AS sold
-FROM off_ o FULL OUTER JOIN on_ n
-  ON o.date = n.date AND o.year_month = n.year_month AND o.branch = n.branch AND o.sku = n.sku""",
+SELECT date, CAST(year(date) * 100 + month(date) AS INTEGER) AS year_month, branch, sku,
+       CAST(ro AS DOUBLE) AS revenue_off, CAST(qo AS DOUBLE) AS qty_off, CAST(CASE WHEN qo > 0 THEN 1 ELSE 0 END AS INTEGER) AS sold_off,
+       CAST(rn AS DOUBLE) AS revenue_on, CAST(qn AS DOUBLE) AS qty_on, CAST(CASE WHEN qn > 0 THEN 1 ELSE 0 END AS INTEGER) AS sold_on,
+       CAST(ro + rn AS DOUBLE) AS revenue, CAST(qo + qn AS DOUBLE) AS qty,
+       CAST((CASE WHEN qo > 0 THEN 1 ELSE 0 END) + (CASE WHEN qn > 0 THEN 1 ELSE 0 END) AS INTEGER) AS sold
+FROM (SELECT c.date, c.branch, c.sku, COALESCE(w.revenue_off, 0) AS ro, COALESCE(w.qty_off, 0) AS qo,
+             COALESCE(w.revenue_on, 0) AS rn, COALESCE(w.qty_on, 0) AS qn
+      FROM cells c LEFT JOIN wide w ON c.branch = w.branch AND c.sku = w.sku AND c.date = w.date)""",
 }
 
 SALES_FIX = ("rated_sales", "quantity_sales")
@@ -745,3 +753,131 @@ SELECT 'CD→CD + CD→Loja' AS metadata_tipo_analise, '2001-06-30 12:00:00' AS
        {joined(top_sql("src", "st_e"), "node", "edges")} AS analise_cd_loja_top_cds_por_lojas_atendidas,
        {scc_sql("complexidade_cd_loja", "st_scc", "filiais_em_ciclos")},
        {levels_sql("hierarquia_cd_loja", "st_lvl", "(SELECT COUNT(*) FROM st_deg WHERE out_degree > 0)", "cds_no_grafo")}"""))
+
+
+# =========================================================================== series, totals, published tables
+
+HISTORY_START = dt.date(1996, 1, 1)
+MONTH_CTES = {k: v.replace(W, f"{d(HISTORY_START)} AND {d(AS_OF)}") for k, v in LINES_CTES.items()} | {
+    "month_sales": "SELECT branch, channel, CAST(date_trunc('month', date) AS DATE) AS month, SUM(sale_value) AS value FROM lines GROUP BY ALL",
+    "month_keys": "SELECT branch, channel, MIN(month) AS first FROM month_sales GROUP BY ALL",
+    "month_grid": f"""
+SELECT branch, channel, first, CAST(unnest(generate_series(first, {d(AS_OF.replace(day=1))}, INTERVAL 1 MONTH)) AS DATE) AS month FROM month_keys""",
+    "months": """
+SELECT g.branch, g.channel, g.month, CAST(date_diff('month', g.first, g.month) AS HUGEINT) AS x, CAST(COALESCE(m.value, 0) * 100 AS HUGEINT) AS y
+FROM month_grid g LEFT JOIN month_sales m ON g.branch = m.branch AND g.channel = m.channel AND g.month = m.month""",
+    "years_": """
+SELECT branch, channel, year(month) AS y, SUM(y) AS total FROM months GROUP BY ALL HAVING COUNT(*) = 12 AND SUM(months.y) > 0""",
+    "season": """
+SELECT m.branch, m.channel, CAST(month(m.month) AS INTEGER) AS calendar_month, COUNT(t.total) AS years,
+       CASE WHEN COUNT(t.total) >= 2 THEN CAST(SUM(m.y * 12000000 // t.total) AS DOUBLE) / (CAST(COUNT(t.total) AS DOUBLE) * 1000000.0) END AS season_index
+FROM months m LEFT JOIN years_ t ON m.branch = t.branch AND m.channel = t.channel AND year(m.month) = t.y
+GROUP BY m.branch, m.channel, month(m.month)""",
+}
+
+
+def month_sql(body: str) -> str:
+    return with_fixtures(body, *SALES_FIX, extra=MONTH_CTES)
+
+
+q("k13_sales_trend", month_sql("""
+SELECT branch, channel, n AS months, first_month, last_month, CAST(sy AS DOUBLE) / 100.0 AS revenue, trend,
+       trend / NULLIF(CAST(sy AS DOUBLE) / (CAST(n AS DOUBLE) * 100.0), 0) AS trend_share
+FROM (SELECT *, CASE WHEN n >= 6 THEN CAST(n * sxy - sx * sy AS DOUBLE) / NULLIF(CAST(n * sxx - sx * sx AS DOUBLE) * 100.0, 0) END AS trend
+      FROM (SELECT branch, channel, COUNT(*) AS n, MIN(month) AS first_month, MAX(month) AS last_month,
+                   SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(x * y) AS sxy FROM months GROUP BY branch, channel))"""))
+q("k13_season_index", month_sql("SELECT * FROM season"))
+q("k13_season_adjusted", month_sql("""
+SELECT branch, channel, month, CAST(y AS DOUBLE) / 100.0 AS revenue, CAST(before AS DOUBLE) / 100.0 AS revenue_year_before,
+       CAST(y - before AS DOUBLE) / NULLIF(CAST(before AS DOUBLE), 0) AS change_on_year, season_index,
+       (CAST(y AS DOUBLE) / 100.0) / NULLIF(season_index, 0) AS adjusted_revenue
+FROM (SELECT m.*, LAG(m.y, 12) OVER (PARTITION BY m.branch, m.channel ORDER BY m.month) AS before FROM months m) m
+JOIN season s USING (branch, channel) WHERE s.calendar_month = month(m.month)"""))
+
+
+def cube_sql(grain: str, by: tuple[str, ...], sets: list[tuple[str, ...]]) -> str:
+    period = f"CAST(date_trunc('{grain}', date) AS DATE)"
+    groups = ", ".join("(" + ", ".join(["period", *x]) + ")" for x in sets)
+    named = ", ".join(f"CASE WHEN GROUPING({c}) = 0 THEN '{c}' END" for c in by)
+    return with_fixtures(f"""
+SELECT period, {', '.join(by)}, GROUPING({', '.join(by)}) AS grouping_id,
+       CASE WHEN concat_ws(',', {named}) = '' THEN 'all' ELSE concat_ws(',', {named}) END AS level,
+       CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue, CAST(SUM({cents('qty')}) AS DOUBLE) AS qty, CAST(SUM(sold) AS BIGINT) AS sale_days
+FROM (SELECT {period} AS period, region, state, NULLIF(category, '{CATEGORIES[0]}') AS category, revenue, qty, sold
+      FROM sales LEFT JOIN products_dim USING (sku) LEFT JOIN branches_dim USING (branch))
+GROUP BY GROUPING SETS ({groups})""", *SALES_FIX, "products_dim", "branches_dim", extra=DENSE_CTES)
+
+
+q("a13_kpi_cube", cube_sql("month", ("region", "category"), [("region", "category"), ("region",), ("category",), ()]))
+q("a13_kpi_grouping_sets", cube_sql("quarter", ("region", "state", "category"), [("region", "state", "category"), ("region",), ()]))
+
+SNAPSHOTS = [AS_OF - dt.timedelta(days=15 * k) for k in range(3, -1, -1)]
+SNAPSHOT_CTES: dict[str, str] = {}
+for _k, _day in enumerate(SNAPSHOTS):
+    SNAPSHOT_CTES |= {
+        f"stock_{_k}": stock(_day), f"gef_{_k}": gef(_day), f"prepared_{_k}": prepared("LOJA", f"stock_{_k}", d(_day)),
+        f"snapshot_{_k}": f"""
+SELECT {d(_day)} AS date, s.branch, s.sku, CAST(s.stock_value AS DOUBLE) AS stock_value, g.current_cover AS coverage_days,
+       {level('g.current_cover', 'g.target_cover')} AS health_level
+FROM prepared_{_k} s LEFT JOIN (SELECT DISTINCT branch, sku, stock_date, current_cover, target_cover FROM gef_{_k}) g
+  ON s.branch = g.branch AND s.sku = g.sku AND s.date = g.stock_date""",
+    }
+SNAPSHOT_CTES["snapshots"] = " UNION ALL ".join(f"SELECT * FROM snapshot_{k}" for k in range(len(SNAPSHOTS)))
+
+q("k7_health_series", with_fixtures(f"""
+SELECT date, branch, sku, stock_value, coverage_days, health_level, LAG(date) OVER k AS prev_date,
+       CAST(date - LAG(date) OVER k AS INTEGER) AS days_since_prev, LAG(stock_value) OVER k AS prev_stock_value,
+       LAG(coverage_days) OVER k AS prev_coverage_days, LAG(health_level) OVER k AS prev_health_level,
+       (stock_value - LAG(stock_value) OVER k) / NULLIF(LAG(stock_value) OVER k, 0) AS value_change,
+       CAST(SUM({cents('stock_value')}) OVER m AS DOUBLE) / CAST(COUNT(stock_value) OVER m AS DOUBLE) AS mean_stock_value,
+       COUNT(*) OVER m AS snapshots_in_window, COUNT(*) FILTER (health_level = 'critical') OVER m AS critical_days
+FROM snapshots
+WINDOW k AS (PARTITION BY branch, sku ORDER BY date),
+       m AS (PARTITION BY branch, sku ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)""", extra=SNAPSHOT_CTES))
+q("k7_health_totals", with_fixtures(f"""
+SELECT *, LAG(date) OVER (ORDER BY date) AS prev_date, LAG(stock_value) OVER (ORDER BY date) AS prev_stock_value,
+       (stock_value - LAG(stock_value) OVER (ORDER BY date)) / NULLIF(LAG(stock_value) OVER (ORDER BY date), 0) AS value_change
+FROM (SELECT date, CAST(SUM({cents('stock_value')}) AS DOUBLE) AS stock_value, {mean_sql('coverage_days')} AS coverage_days,
+             {', '.join(f"COUNT(*) FILTER (health_level = '{x}') AS {x}_keys" for x in ('critical', 'low', 'ok', 'excess', 'unknown'))}
+      FROM snapshots GROUP BY date)""", extra=SNAPSHOT_CTES))
+
+q("s4_publish_table", ORACLE["a1_daily_sales"])
+q("s8_ingest_batch", """
+SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'building' ELSE 'others' END AS batch, c_mktsegment, 'customers' AS source_system,
+       2001 AS year, 6 AS month, 30 AS day, COUNT(*) AS rows FROM customer GROUP BY c_mktsegment""")
+q("s8_stream_ingest", "SELECT c_mktsegment, 'customers' AS source_system, COUNT(*) AS rows FROM customer GROUP BY c_mktsegment")
+q("v5_observed_run", sales_sql(f"""
+SELECT COUNT(*) AS rows, COUNT(DISTINCT (branch, sku)) AS keys, CAST(SUM(sold) AS BIGINT) AS sale_days, COUNT(DISTINCT branch) AS distinct_branches,
+       COUNT(DISTINCT date) AS distinct_days, CAST(SUM({cents('revenue')}) AS DOUBLE) AS revenue, CAST(SUM({cents('qty')}) AS DOUBLE) AS qty,
+       MIN(date) AS first_day, MAX(date) AS last_day, {d(START)} AS window_start, {d(AS_OF)} AS window_end FROM sales"""))
+q("v3_observed_join", ORACLE["v3_audit_join"])
+
+q("s1_source_layout", with_fixtures(f"""
+SELECT fact_key, approval_date, sku, selling_branch, issuing_branch, CAST(sale_value AS DOUBLE) AS sale_value, CAST(cost_value AS DOUBLE) AS cost_value
+FROM rated_sales WHERE approval_date BETWEEN {W}""", "rated_sales"))
+q("p11_require_columns", """
+SELECT * FROM (VALUES ('c_custkey', true, 'bigint'), ('c_name', true, 'string'), ('c_segment', false, NULL)) t(column_name, present, data_type)
+WHERE (SELECT COUNT(*) FROM customer) >= 0""")
+q("v1_require_rows", with_fixtures(f"""
+SELECT 'sales of the window' AS input, EXISTS (SELECT 1 FROM rated_sales WHERE approval_date BETWEEN {W}) AS has_rows
+UNION ALL SELECT 'stock rows', EXISTS (SELECT 1 FROM stock)
+UNION ALL SELECT 'sales of another century', EXISTS (SELECT 1 FROM rated_sales WHERE approval_date < DATE '1900-01-01')""", "rated_sales", "stock"))
+_BUCKET = "CAST('0x' || substr(md5(fact_key), 1, 8) AS BIGINT) % 10 = 0"
+q("v4_run_params", with_fixtures(f"""
+SELECT 'RUN' AS mode, {d(START)} AS start_date, {d(AS_OF)} AS as_of, 90 AS lookback_days, 'supply_dev_vendas' AS table_name, COUNT(*) AS lines
+FROM rated_sales WHERE approval_date BETWEEN {W}
+UNION ALL
+SELECT 'TEST', {d(AS_OF - dt.timedelta(days=1))}, {d(AS_OF)}, 1, 'supply_dev_vendas', COUNT(*)
+FROM rated_sales WHERE approval_date BETWEEN {d(AS_OF - dt.timedelta(days=1))} AND {d(AS_OF)} AND {_BUCKET}""", "rated_sales"))
+q("s5_report_document", net_sql("""
+SELECT CAST(e.origin AS VARCHAR) AS origem, CAST(e.destination AS VARCHAR) AS destino, e.edge_type AS tipo,
+       n.out_degree AS grau_saida, n.level AS nivel_hierarquico, n.in_cycle AS em_ciclo, n.scc_size
+FROM edges_all e JOIN nodes_cd n ON e.origin = n.node WHERE e.edge_type = 'CD→CD'"""))
+q("views_allocation_dashboard", f"SELECT * EXCLUDE (cd_state) FROM ({ORACLE['j10_allocation_view']})")
+q("views_company_kpis", ORACLE["a12_company_kpis"])
+q("job_catalog_run", with_fixtures("""
+SELECT 'supply_dev_vendas_90d_on_off' AS table_name, COUNT(*) AS rows FROM sales
+UNION ALL SELECT 'supply_dev_estoque_lojas', COUNT(*) FROM stores
+UNION ALL SELECT 'supply_dev_estoque_cds', COUNT(*) FROM cds
+UNION ALL SELECT 'supply_dev_master_vendas_estoque_lojas', COUNT(*) FROM m_st
+UNION ALL SELECT 'supply_dev_master_vendas_estoque_cds', COUNT(*) FROM m_cd""", *MASTER_FIX, extra=KPI_CTES))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def date_from_int(c: str | Column) -> Column:
     """yyyyMMdd integer -> DATE; invalid keys give NULL instead of an ANSI error."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(col.cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(col.cast("string"), "yyyyMMdd")
 
 
 def timestamp_of(at: dt.datetime | None) -> Column:

@@ -5,9 +5,9 @@ Here a graph is an edge DataFrame ``(src, dst)`` and every metric is a Spark job
 
 * degrees: one explode + one aggregate (map-side combine, so a hub with a third of all
   edges is reduced before the shuffle);
-* strongly connected components: trim / forward max-colour / backward reachability
-  (the coloring algorithm of Orzan, also used by distributed graph systems), a frontier
-  loop of joins and aggregates;
+* strongly connected components: trim, path contraction by pointer doubling, then forward
+  max-colour / backward reachability (the coloring algorithm of Orzan, also used by
+  distributed graph systems), a frontier loop of joins and aggregates;
 * hierarchy levels: one breadth-first search from all sources at once, a source being a bit;
   its state is nodes x ceil(sources / 64) rows.
 
@@ -20,6 +20,7 @@ lets Spark remove superseded rounds.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -49,6 +50,15 @@ def _ckpt_sized(df: DataFrame) -> tuple[DataFrame, int]:
     return out, int(obs.get["rows"])
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read back. Unlike a checkpoint it has the size
+    that its files have: a checkpoint keeps the estimate of its plan, which joins multiply, and
+    in a loop of joins that number outgrows any plan."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/graph-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # A node set whose measured size is at most this is broadcast to the joins of a loop, which
 # spares the edges a shuffle; a larger one is joined by shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -203,34 +213,118 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- G7 G8
 
+#: Trimming or contracting goes on while a round takes at least this share of the nodes.
+WORTH = 8
+
+
+class _Contracted:
+    """Paths of nodes with one edge in and one out, taken out of a graph: ``members (node,
+    start)`` and ``paths (start, before, after)``, the nodes around the path."""
+
+    def __init__(self, members: DataFrame, paths: DataFrame) -> None:
+        self.members, self.paths = members, paths
+
+    def labelled(self, labels: DataFrame) -> DataFrame:
+        """The members' components, given those of the other nodes: a path lies in a cycle just
+        if it starts and ends at one component; otherwise each of its nodes is alone."""
+        ends = [labels.select(F.col("node").alias(n), F.col("scc_id").alias(f"c_{n}")) for n in ("before", "after")]
+        paths = self.paths.join(ends[0], "before").join(ends[1], "after")
+        closed = paths.where(F.col("c_before") == F.col("c_after")).select("start", F.col("c_before").alias("scc_id"))
+        return self.members.join(closed, "start", "left").select("node", F.coalesce("scc_id", "node").alias("scc_id"))
+
+
+def _contract(e: DataFrame, active: DataFrame, n_active: int):
+    """Takes the paths out of ``e``: ``(edges, active, contracted, rings)``, or None where they
+    hold too few nodes. ``rings`` are closed paths, components of their own.
+
+    Every node of a path finds the path's start by pointer doubling, so rounds grow with the
+    logarithm of the longest path. Only nodes that are still on their way are joined, and
+    pointers of those are distinct, so a path with a third of all nodes is no hot key."""
+    none = F.lit(None).cast(_type(e, "src"))
+    ends = e.select(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o"), F.col("src").alias("before"), none.alias("after")).unionByName(
+        e.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"), none.alias("before"), F.col("dst").alias("after"))
+    )
+    sums = [F.sum("i").alias("i"), F.sum("o").alias("o"), F.max("before").alias("before"), F.max("after").alias("after")]
+    inner, obs = ends.groupBy("node").agg(*sums).where("i = 1 AND o = 1").select("node", "before", "after"), Observation()
+    inner = _stored(inner.observe(obs, F.count(F.lit(1)).alias("rows")))
+    n_inner = int(obs.get["rows"])
+    if n_inner * WORTH < n_active:
+        return None
+    also = inner.select(F.col("node").alias("other"), F.lit(True).alias("is_inner"))
+    known = (
+        inner.join(also.select(F.col("other").alias("before"), F.col("is_inner").alias("from_inner")), "before", "left")
+        .join(also.select(F.col("other").alias("after"), F.col("is_inner").alias("to_inner")), "after", "left")
+    )
+    known = _stored(known.select("node", "before", "after", F.coalesce("from_inner", F.lit(False)).alias("from_inner"), F.coalesce("to_inner", F.lit(False)).alias("to_inner")))
+    walk = known.select("node", F.when(F.col("from_inner"), F.col("before")).otherwise(F.col("node")).alias("at"), F.col("node").alias("most"), (~F.col("from_inner")).alias("done"))
+    arrived, open_, hops = [walk.where("done")], walk.where("NOT done"), 1
+    while hops < 2 * n_inner:
+        ahead = reduce(DataFrame.unionByName, [*arrived, open_]).select(F.col("node").alias("at"), F.col("at").alias("to"), F.col("most").alias("more"), F.col("done").alias("there"))
+        moved = open_.join(ahead, "at").select("node", F.col("to").alias("at"), F.greatest("most", "more").alias("most"), F.col("there").alias("done"))
+        obs = Observation()
+        moved = _stored(moved.observe(obs, F.count_if(~F.col("done")).alias("open")))
+        arrived.append(moved.where("done"))
+        open_, hops = moved.where("NOT done"), 2 * hops
+        if not obs.get["open"]:
+            break
+    members = _stored(reduce(DataFrame.unionByName, arrived).select("node", F.col("at").alias("start")))
+    paths = members.join(known, "node").groupBy("start").agg(
+        F.max(F.when(F.col("node") == F.col("start"), F.col("before"))).alias("before"), F.max(F.when(~F.col("to_inner"), F.col("after"))).alias("after")
+    )
+    paths = _stored(paths)
+    gone = inner.select("node")
+    rest = e.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti")
+    across = paths.where(F.col("before") != F.col("after")).select(F.col("before").alias("src"), F.col("after").alias("dst"))
+    edges = _stored(rest.select("src", "dst").unionByName(across).distinct())
+    return edges, active.join(gone, "node", "left_anti"), _Contracted(members, paths), open_.select("node", F.col("most").alias("scc_id"))
+
+
 def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     """Strongly connected component of every node: (node, scc_id, scc_size).
 
     ``scc_id`` is the largest node id of the component. A node alone, with or without a
-    self-loop, is its own component of size 1. Each round writes the rows that it changed.
+    self-loop, is its own component of size 1.
+
+    Long paths cost the logarithm of their length: nodes with one edge in and one out are
+    contracted to an edge (``_contract``) and take their component from the ends of their path
+    afterwards. Nodes without an edge in or out are trimmed. What is left is coloured. Each
+    round writes the rows that it changed.
     """
     e, _ = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
     active, n_active, size = _ckpt_nodes(graph_nodes(edges))
     found: list[DataFrame] = []
+    contracted: list[_Contracted] = []
 
     while n_active:
-        # Trim: a node without an in-edge or an out-edge inside the active graph is alone.
-        # Each round reads two checkpointed leaves (edges, active nodes): constant-size plans.
+        # Trim and contract: each round reads two checkpointed leaves (edges, active nodes):
+        # constant-size plans.
         while n_active:
             live = _restrict(e, _small(active, size))
             ends = live.select(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
                 live.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))
             )
+            # A node without an in-edge or an out-edge inside the active graph is alone.
             kept = ends.groupBy("node").agg(F.max("i").alias("i"), F.max("o").alias("o")).where((F.col("i") == 1) & (F.col("o") == 1))
             kept, n_kept, kept_size = _ckpt_nodes(kept.select("node"))
-            if n_kept == n_active:
-                break
-            alone = active.join(kept, "node", "left_anti")
-            found.append(alone.select("node", F.col("node").alias("scc_id")))
-            active, n_active, size = kept, n_kept, kept_size
+            trimmed = n_active - n_kept
+            if trimmed:
+                alone = active.join(kept, "node", "left_anti")
+                found.append(alone.select("node", F.col("node").alias("scc_id")))
+            active, n_before, n_active, size = kept, n_active, n_kept, kept_size
+            if not n_active or trimmed * WORTH >= n_before:
+                continue
+            e = _ckpt(_restrict(e, _small(active, size)))
+            shorter = _contract(e, active, n_active)
+            if shorter is None:
+                if not trimmed:
+                    break
+                continue
+            e, rest, paths, rings = shorter
+            found.append(rings)
+            contracted.append(paths)
+            active, n_active, size = _ckpt_nodes(rest)
         if not n_active:
             break
-        e = _ckpt(_restrict(e, _small(active, size)))
 
         # Forward: colour = largest id that reaches the node. Colours only grow, so a node's
         # colour is the largest of its deltas.
@@ -275,8 +369,12 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
         e = same  # cross-colour edges dropped; restricted in the trim
 
     members = reduce(DataFrame.unionByName, found)
-    sizes = members.groupBy("scc_id").agg(F.count(F.lit(1)).alias("scc_size"))
-    return members.join(sizes, "scc_id").select("node", "scc_id", "scc_size")
+    for paths in reversed(contracted):
+        members = _stored(members)
+        members = members.unionByName(paths.labelled(members))
+    # A label is some node of the component; its largest may have been contracted.
+    sizes = members.groupBy("scc_id").agg(F.count(F.lit(1)).alias("scc_size"), F.max("node").alias("largest"))
+    return members.join(sizes, "scc_id").select("node", F.col("largest").alias("scc_id"), "scc_size")
 
 
 def _type(df: DataFrame, col: str):

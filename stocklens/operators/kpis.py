@@ -353,6 +353,32 @@ def kpi_rollup(sales: DataFrame, grain: str = "month", by: tuple[str, ...] = ("b
     )
 
 
+def kpi_cube(sales: DataFrame, grain: str = "month", by: tuple[str, ...] = ("region", "category"), sets: list[tuple[str, ...]] | None = None) -> DataFrame:
+    """A13 with totals that can be told apart: revenue, quantity and sale days per period of
+    ``grain`` for the given grouping ``sets`` of ``by`` (every subset, a cube, by default).
+
+    ``grouping_id`` has one bit a column of ``by``, the first the highest, set where the row is
+    a total over it; ``level`` names the columns that are not summed over (``all`` if none). So
+    the row of the keys that have no category (NULL, bit clear) and the total over categories
+    (NULL, bit set) are two rows. Sales are summed to the finest keys before the sets copy
+    rows, so the copies are of periods and keys, not of sales."""
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    if sets is None:
+        sets = [tuple(c for i, c in enumerate(by) if not mask >> (len(by) - 1 - i) & 1) for mask in range(1 << len(by))]
+    if odd := {c for s in sets for c in s} - set(by):
+        raise ValueError(f"not grouped by: {sorted(odd)}")
+    period = F.date_trunc(grain, F.col("date")).cast("date").alias("period")
+    finest = sales.groupBy(period, *by).agg(_sum_cents("revenue").alias("revenue"), _sum_cents("qty").alias("qty"), F.sum("sold").cast("long").alias("sold"))
+    out = finest.groupingSets([["period", *s] for s in sets], "period", *by).agg(
+        _sum_cents("revenue").cast("double").alias("revenue"), _sum_cents("qty").cast("double").alias("qty"), F.sum("sold").alias("sale_days"),
+        F.grouping_id("period", *by).alias("grouping_id"),  # the period is in every set: its bit is clear
+    )
+    kept = [F.when(F.shiftright("grouping_id", len(by) - 1 - i).bitwiseAND(F.lit(1)) == 0, F.lit(c)) for i, c in enumerate(by)]
+    named = F.concat_ws(",", *kept)
+    return out.select("period", *by, "grouping_id", F.when(named == "", F.lit("all")).otherwise(named).alias("level"), "revenue", "qty", "sale_days")
+
+
 # --------------------------------------------------------------------------- J10
 
 def main_cd(plan: DataFrame) -> DataFrame:

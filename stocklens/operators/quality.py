@@ -29,14 +29,16 @@ def distinct_keys(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFrame
 
 
 def distinct_count(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFrame:
-    """Number of distinct non-NULL values of each column (one row)."""
-    return df.sparkSession.range(1).select(*[distinct_scalar(df, c).alias(f"distinct_{c}") for c in cols])
+    """Number of distinct non-NULL values of each column (one row), in one pass over ``df``.
+
+    A row becomes one small row a column, of which the map side keeps each value once before
+    anything is shuffled, so a value that a third of all rows have is sent once a task."""
+    return df.agg(*[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in cols])
 
 
 def distinct_scalar(df: DataFrame, col: str | Column) -> Column:
-    """The number of distinct non-NULL values of ``col`` as a scalar subquery. Several of them
-    in one aggregate would copy every row once a column (Expand) before the shuffle; here each
-    reads its own column and drops duplicates on the map side."""
+    """The number of distinct non-NULL values of ``col`` as a scalar subquery: for a plain scan,
+    of which it reads the one column. ``distinct_count`` reads a dearer plan once for all."""
     values = df.select((F.col(col) if isinstance(col, str) else col).alias("v")).where("v IS NOT NULL").distinct()
     return values.agg(F.count(F.lit(1))).scalar()
 
@@ -93,6 +95,12 @@ def require_rows(*dfs: DataFrame, what: str = "inputs") -> None:
         raise ValueError(f"all {what} are empty")
 
 
+def row_presence(**inputs: DataFrame) -> DataFrame:
+    """V1 as a table: whether each input has a row; each is read up to its first one."""
+    rows = [df.limit(1).agg(F.lit(name).alias("input"), (F.count(F.lit(1)) > 0).alias("has_rows")) for name, df in inputs.items()]
+    return reduce(DataFrame.unionAll, rows)
+
+
 def audit_keys(df: DataFrame, keys: tuple[str, ...] | list[str]) -> DataFrame:
     """V2: number of duplicated keys and of rows in them (one row)."""
     dups = duplicate_keys(df, keys)
@@ -127,25 +135,117 @@ def audit_join(left: DataFrame, joined: DataFrame, probe: str) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, name: str, probe: str | None = None) -> tuple[DataFrame, Observation]:
-    """V5, V3: counters that are filled by the action that writes ``df``: its rows, and with
-    ``probe`` the rows that a left join has matched."""
+def observed(df: DataFrame, name: str, probe: str | None = None, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """V5, V3: counters that are filled by the action that writes ``df``: its rows, with
+    ``probe`` the rows that a left join has matched, and any further aggregates."""
     obs = Observation(name)
-    matched = [F.count(F.col(probe)).alias("matched")] if probe else []
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *matched), obs
+    more = [F.count(F.col(probe)).alias("matched")] if probe else []
+    more += [c.alias(n) for n, c in metrics.items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs
+
+
+#: Values of a bitmap that ``bitmap_construct_agg`` fills; ids of that many go to one bitmap.
+BITMAP = 32768
+
+
+def observed_run(sales: DataFrame, params: RunParams, name: str = "run", branch_limit: int = BITMAP) -> tuple[DataFrame, "RunSummary"]:
+    """V5 filled by the write of ``sales`` itself: no further scan of the output or its plan.
+
+    Counts rows, window and money, sums exact, distinct days by the bits of the run's window
+    and distinct branches by bitmaps over their numbers (below ``branch_limit``; a number
+    outside makes ``RunSummary.row`` raise, as the count would not be exact). Distinct SKUs are
+    text, which no bounded state counts exactly: as every key has one row a day of the dense
+    table, keys are counted by their first day instead."""
+    first = F.col("date") == F.lit(params.start)
+    metrics: dict[str, Column] = {
+        "first_day": F.min("date"), "last_day": F.max("date"), "keys": F.count_if(first), "sale_days": F.sum("sold").cast("long"),
+        "revenue": F.sum(F.col("revenue").cast("decimal(28,2)")), "qty": F.sum(F.col("qty").cast("decimal(28,2)")),
+        "least_branch": F.min("branch"), "largest_branch": F.max("branch"),
+    }
+    offset = F.datediff("date", F.lit(params.start))
+    for w in range(params.lookback_days // 64 + 1):
+        here = (offset >= 64 * w) & (offset < 64 * (w + 1))
+        bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(date, DATE '{params.start.isoformat()}') - {64 * w})")
+        metrics[f"days_{w}"] = F.bit_or(F.when(here, bit).otherwise(F.lit(0).cast("long")))
+    for w in range(-(-branch_limit // BITMAP)):
+        here = (F.col("branch") >= BITMAP * w) & (F.col("branch") < BITMAP * (w + 1))
+        metrics[f"branches_{w}"] = F.bitmap_construct_agg(F.when(here, (F.col("branch") - BITMAP * w).cast("long")))
+    out, obs = observed(sales, name, **metrics)
+    return out, RunSummary(obs, params, branch_limit)
+
+
+class RunSummary:
+    """What ``observed_run`` has counted, once the write is done."""
+
+    def __init__(self, obs: Observation, params: RunParams, branch_limit: int) -> None:
+        self.obs, self.params, self.branch_limit = obs, params, branch_limit
+
+    def row(self) -> dict:
+        seen = self.obs.get
+        if seen["rows"] and not 0 <= seen["least_branch"] <= seen["largest_branch"] < self.branch_limit:
+            raise ValueError(f"branches {seen['least_branch']} to {seen['largest_branch']} are not below {self.branch_limit}")
+
+        def bits(prefix: str, value) -> int:
+            return sum(value(v) for k, v in seen.items() if k.startswith(prefix) and v is not None)
+
+        return {
+            "rows": seen["rows"], "keys": seen["keys"], "sale_days": seen["sale_days"] or 0,
+            "distinct_branches": bits("branches_", lambda v: int.from_bytes(v, "little").bit_count()),
+            "distinct_days": bits("days_", lambda v: (v & (2**64 - 1)).bit_count()),
+            "revenue": float(seen["revenue"] or 0), "qty": float(seen["qty"] or 0),
+            "first_day": seen["first_day"], "last_day": seen["last_day"],
+            "window_start": self.params.start, "window_end": self.params.as_of,
+        }
+
+    def frame(self, spark) -> DataFrame:
+        schema = ("rows long, keys long, sale_days long, distinct_branches long, distinct_days long, revenue double, qty double, "
+                  "first_day date, last_day date, window_start date, window_end date")
+        row = self.row()
+        return spark.createDataFrame([tuple(row[c.split()[0]] for c in schema.split(", "))], schema)
+
+
+def observed_join(left: DataFrame, join, probe: str, name: str = "join") -> tuple[DataFrame, "JoinAudit"]:
+    """V3 filled by the write of the joined rows: ``join(left)`` with the rows before and after
+    counted on the way. A sort-merge or broadcast join reads its left side once, so the count
+    before it is right; a side that Spark reads twice (a reused or skew-split stage) would
+    count twice, so ``JoinAudit.row`` refuses a join that seems to lose rows."""
+    before, seen_before = observed(left, f"{name}-before")
+    after, seen_after = observed(join(before), f"{name}-after", probe)
+    return after, JoinAudit(seen_before, seen_after)
+
+
+class JoinAudit:
+    def __init__(self, before: Observation, after: Observation) -> None:
+        self.before, self.after = before, after
+
+    def row(self) -> dict:
+        before, after, matched = self.before.get["rows"], self.after.get["rows"], self.after.get["matched"]
+        if before > after:
+            raise ValueError(f"a left join of {before} rows wrote {after}: the left side was read more than once")
+        return {
+            "rows_before": before, "rows_after": after, "row_growth": after - before, "matched_rows": matched,
+            "match_pct": round(matched * 100.0 / after, 2) if after else None,
+        }
 
 
 def run_summary(sales: DataFrame, params: RunParams) -> DataFrame:
-    """V5: rows, window and distinct branches / SKUs / days of an output (one row)."""
-    whole = sales.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
-    return whole.select(
-        "rows",
-        distinct_scalar(sales, "branch").alias("distinct_branches"),
-        distinct_scalar(sales, "sku").alias("distinct_skus"),
-        distinct_scalar(sales, "date").alias("distinct_days"),
-        "first_day", "last_day",
-        F.lit(params.start).alias("window_start"), F.lit(params.as_of).alias("window_end"),
-    )
+    """V5: rows, window and distinct branches / SKUs / days of an output (one row), which is read
+    once: its days are summed to one row per branch and SKU, whose days are bits of words."""
+    words = range(params.lookback_days // 64 + 1)
+    offset = F.datediff("date", F.lit(params.start))
+    bits = []
+    for w in words:
+        shift = F.expr(f"shiftleft(CAST(1 AS BIGINT), datediff(date, DATE '{params.start.isoformat()}') - {64 * w})")
+        bits.append(F.bit_or(F.when((offset >= 64 * w) & (offset < 64 * (w + 1)), shift).otherwise(F.lit(0).cast("long"))).alias(f"w{w}"))
+    per_key = sales.groupBy("branch", "sku").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), *bits)
+    days = reduce(lambda a, b: a + b, [F.bit_count(F.bit_or(f"w{w}")) for w in words])
+    return per_key.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
+        F.count_distinct("branch").alias("distinct_branches"), F.count_distinct("sku").alias("distinct_skus"),
+        F.coalesce(days, F.lit(0)).cast("long").alias("distinct_days"),
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+    ).select("rows", "distinct_branches", "distinct_skus", "distinct_days", "first_day", "last_day",
+             F.lit(params.start).alias("window_start"), F.lit(params.as_of).alias("window_end"))
 
 
 # --------------------------------------------------------------------------- V6-V9

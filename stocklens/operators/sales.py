@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.columns import sale_flag, scaled, unscaled
 from stocklens.functions.dates import year_month
-from stocklens.operators.quality import distinct_scalar
 
 # Fixed values of the source system (must equal the reference's literals).
 BALANCE_STATE = "1 - SALDO"        # goods state excluded from sales
@@ -258,17 +257,29 @@ def exact_sum(c: str) -> Column:
 
 
 def sales_stats(sales: DataFrame) -> DataFrame:
-    """A2: one row of global statistics over the dense sales table."""
-    return sales.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        exact_sum("revenue").alias("revenue_total"),
-        exact_sum("qty").alias("qty_total"),
+    """A2: one row of global statistics over the dense sales table, which is read once: it is
+    summed to one row per branch and SKU, and the distinct branches and SKUs are counted over
+    those rows."""
+    cents = ("revenue", "qty", "revenue_off", "revenue_on", "qty_off", "qty_on")
+    per_key = sales.groupBy("branch", "sku").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("sold").cast("long").alias("sold"), *[F.sum(scaled(c)).alias(c) for c in cents]
+    )
+
+    def total(c: str) -> Column:
+        return unscaled(F.sum(c))
+
+    return per_key.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total_rows"),
+        total("revenue").alias("revenue_total"),
+        total("qty").alias("qty_total"),
         F.sum("sold").cast("long").alias("sale_days"),
-        exact_sum("revenue_off").alias("revenue_off"),
-        exact_sum("revenue_on").alias("revenue_on"),
-        exact_sum("qty_off").alias("qty_off"),
-        exact_sum("qty_on").alias("qty_on"),
-    ).withColumns({"distinct_branches": distinct_scalar(sales, "branch"), "distinct_skus": distinct_scalar(sales, "sku")})
+        total("revenue_off").alias("revenue_off"),
+        total("revenue_on").alias("revenue_on"),
+        total("qty_off").alias("qty_off"),
+        total("qty_on").alias("qty_on"),
+        F.count_distinct("branch").alias("distinct_branches"),
+        F.count_distinct("sku").alias("distinct_skus"),
+    )
 
 
 def branch_totals(sales: DataFrame) -> DataFrame:

@@ -9,13 +9,16 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
+from functools import reduce as _reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.operators import quality, sales
+from stocklens.params import RunParams
 from stocklens.session import ensure_checkpoint_dir
-from stocklens.sources import report
+from stocklens.sources import report, testdata
+from stocklens.streaming import ingest
 from stocklens.plans.fixtures import DEFAULT_PARAMS as P
 from stocklens.plans.fixtures import Inputs
 
@@ -746,3 +749,229 @@ def _s8(i: Inputs) -> DataFrame:
     loaders.ingest_append(i.table("nation"), path, "again", at=LINEAGE_AT)
     landed = i.spark.read.parquet(path)
     return landed.groupBy("n_name", "source_system", "year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# =========================================================================== series, totals, published tables
+
+from stocklens.operators import series  # noqa: E402
+
+#: The months of trend and season: whole years and the run's half year.
+HISTORY_START = _dt.date(1996, 1, 1)
+SNAPSHOTS = tuple(P.as_of - _dt.timedelta(days=15 * k) for k in range(4, -1, -1))
+
+
+def _monthly(i: Inputs) -> DataFrame:
+    long = Inputs(i.spark, i.sf_dir, P.with_(lookback_days=(P.as_of - HISTORY_START).days))
+    lines = sales.sales_lines(long.rated_sales, long.quantity_sales, HISTORY_START, P.as_of, None)
+    return series.monthly_sales(lines, P.as_of)
+
+
+@register("k13_sales_trend")
+def _k13t(i: Inputs) -> DataFrame:
+    """Slope of the monthly revenue of every branch and channel since 1996."""
+    return series.sales_trend(_monthly(i))
+
+
+@register("k13_season_index")
+def _k13s(i: Inputs) -> DataFrame:
+    return series.season_index(_monthly(i))
+
+
+@register("k13_season_adjusted")
+def _k13a(i: Inputs) -> DataFrame:
+    return series.season_adjusted(_monthly(i))
+
+
+def _places(i: Inputs) -> DataFrame:
+    """Dense sales with region and category, one of the categories unknown."""
+    known = i.products.withColumn("category", F.nullif("category", F.lit(testdata.CATEGORIES[0])))
+    return _dense(i).join(known, "sku", "left").join(i.branches, "branch", "left")
+
+
+@register("a13_kpi_cube")
+def _a13cube(i: Inputs) -> DataFrame:
+    """Every subset of region and category by month; SKUs without category beside the totals."""
+    return kpis.kpi_cube(_places(i), "month", ("region", "category"))
+
+
+@register("a13_kpi_grouping_sets")
+def _a13sets(i: Inputs) -> DataFrame:
+    """Chosen totals only: by state and category, by region, and all, by quarter."""
+    sets = [("region", "state", "category"), ("region",), ()]
+    return kpis.kpi_cube(_places(i), "quarter", ("region", "state", "category"), sets)
+
+
+def _snapshot(i: Inputs, day: _dt.date) -> DataFrame:
+    at = Inputs(i.spark, i.sf_dir, P.with_(as_of=day))
+    stores = stock.enrich_stock(stock.prepare_stock(at.stock, "LOJA", day), stock.clean_gef(at.gef))
+    return kpis.previous_health(stores).select(F.lit(day).alias("date"), "branch", "sku", "stock_value", "coverage_days", "health_level")
+
+
+def _snapshots(i: Inputs) -> DataFrame:
+    """Store stock of five days, each written as a partition (the last one twice), read from
+    the second day on."""
+    path = _scratch(i, "snapshots")
+    for day in (*SNAPSHOTS, SNAPSHOTS[-1]):
+        loaders.overwrite_partitions(_snapshot(i, day), path, ("date",))
+    return series.between_days(i.spark.read.parquet(path), SNAPSHOTS[1], SNAPSHOTS[-1])
+
+
+@register("k7_health_series")
+def _k7s(i: Inputs) -> DataFrame:
+    """Each snapshot against the one before it, and the 30 days up to it."""
+    return series.health_series(_snapshots(i), 30)
+
+
+@register("k7_health_totals")
+def _k7t(i: Inputs) -> DataFrame:
+    return series.health_totals(_snapshots(i))
+
+
+@register("s4_publish_table")
+def _s4p(i: Inputs) -> DataFrame:
+    """Daily sales published as a catalog table: first without a column, then whole, then again."""
+    lines = sales.sales_lines(i.rated_sales, i.quantity_sales, P.start, P.as_of, None)
+    daily, name, root = sales.daily_sales(lines), f"daily_{uuid.uuid4().hex}", _scratch(i, "published")
+    loaders.publish_table(daily.drop("cost"), name, root)
+    loaders.publish_table(daily.where(F.col("channel") == sales.OFF), name, root)
+    loaders.publish_table(daily, name, root)
+    return i.spark.table(name)
+
+
+def _customers(i: Inputs) -> DataFrame:
+    return i.table("customer").select("c_custkey", "c_mktsegment")
+
+
+@register("s8_ingest_batch")
+def _s8b(i: Inputs) -> DataFrame:
+    """Two batches, the first landed in part, whole, and whole again: its rows are there once."""
+    path, rows = _scratch(i, "batches"), _customers(i)
+    first, rest = rows.where("c_mktsegment = 'BUILDING'"), rows.where("c_mktsegment <> 'BUILDING'")
+    for part in (first.where("c_custkey < 100"), first, first):
+        loaders.ingest_batch(part, path, "customers", "building", at=LINEAGE_AT)
+    loaders.ingest_batch(rest, path, "customers", "others", at=LINEAGE_AT)
+    landed = loaders.read_landing(i.spark, path, rows.schema)
+    return landed.groupBy("batch", "c_mktsegment", "source_system", "year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("s8_stream_ingest")
+def _s8s(i: Inputs) -> DataFrame:
+    """The landing as a stream: two arrivals, three runs on one checkpoint, every row once."""
+    incoming, out, state, rows = (*(_scratch(i, f"stream-{x}") for x in ("in", "out", "state")), _customers(i))
+    for arrival in (rows.where("c_mktsegment = 'BUILDING'"), rows.where("c_mktsegment <> 'BUILDING'"), None):
+        if arrival is not None:
+            arrival.write.mode("append").parquet(incoming)
+        run = ingest.start_ingest(ingest.source_stream(i.spark, incoming, rows.schema), out, state, "customers")
+        run.awaitTermination()
+    landed = i.spark.read.parquet(out)
+    return landed.groupBy("c_mktsegment", "source_system").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("v5_observed_run")
+def _v5o(i: Inputs) -> DataFrame:
+    """The run summary as the write of the dense sales has counted it."""
+    out, summary = quality.observed_run(_dense(i), P)
+    loaders.save_table(out, "sales", path=_scratch(i, "observed"))
+    return summary.frame(i.spark)
+
+
+@register("v3_observed_join")
+def _v3o(i: Inputs) -> DataFrame:
+    """The join audit as the write of the enriched stock has counted it."""
+    left = stock.prepare_stock(i.stock, "LOJA", P.as_of)
+    out, audit = quality.observed_join(left, lambda rows: stock.enrich_stock(rows, stock.clean_gef(i.gef)), "safety_stock")
+    loaders.save_table(out, "stock", path=_scratch(i, "observed"))
+    schema = "rows_before long, rows_after long, row_growth long, matched_rows long, match_pct double"
+    return i.spark.createDataFrame([tuple(audit.row().values())], schema)
+
+
+# =========================================================================== source layout, documents, views, the job
+
+from stocklens import job  # noqa: E402
+from stocklens.plans import views  # noqa: E402
+from stocklens.sources import contracts, original  # noqa: E402
+
+
+@register("s1_source_layout")
+def _s1l(i: Inputs) -> DataFrame:
+    """Value lines laid out as the source system keeps them (integer days, original names),
+    read back through the adapter."""
+    path = _scratch(i, "source")
+    original.source_layout(i.rated_sales, original.RATED_SALES).write.parquet(path)
+    rows = original.rated_sales(i.spark.read.parquet(path), P.start, P.as_of)
+    return rows.select("fact_key", "approval_date", "sku", "selling_branch", "issuing_branch", to_double("sale_value").alias("sale_value"), to_double("cost_value").alias("cost_value"))
+
+
+@register("p11_require_columns")
+def _p11(i: Inputs) -> DataFrame:
+    """Needed columns of customer, one of which it lacks."""
+    return contracts.column_report(i.table("customer"), ("c_custkey", "c_name", "c_segment"))
+
+
+@register("v1_require_rows")
+def _v1(i: Inputs) -> DataFrame:
+    window = F.col("approval_date").between(F.lit(P.start), F.lit(P.as_of))
+    inputs = {"sales of the window": i.rated_sales.where(window), "stock rows": i.stock}
+    quality.require_rows(*inputs.values())
+    return quality.row_presence(**inputs, **{"sales of another century": i.rated_sales.where(F.col("approval_date") < F.lit(_dt.date(1900, 1, 1)))})
+
+
+@register("v4_run_params")
+def _v4(i: Inputs) -> DataFrame:
+    """What each mode reads: its window and its lines."""
+    rows = []
+    for mode in ("RUN", "TEST"):
+        p = RunParams.for_mode(mode, P.as_of)
+        lines = quality.dev_sample(i.rated_sales.where(F.col("approval_date").between(F.lit(p.start), F.lit(p.as_of))), ("fact_key",), p)
+        frame = loaders.run_frame(i.spark, p).select("mode", "start_date", "as_of", "lookback_days", F.lit(p.table("vendas")).alias("table_name"))
+        rows.append(frame.withColumn("lines", lines.agg(F.count(F.lit(1))).scalar()))
+    return rows[0].unionAll(rows[1])
+
+
+@register("s5_report_document")
+def _s5d(i: Inputs) -> DataFrame:
+    """The CD network as one nested document, read back: each edge with its origin's node."""
+    net, path = N.build_network(i.supply_plan), _scratch(i, "document")
+    arcs = net.edges.where(F.col("edge_type") == G.CD_CD)
+    report.write_report_document(N.network_report(net, LINEAGE_AT), net.nodes.where(F.col("graph") == G.CD_CD), arcs, path)
+    document = report.read_network_report(i.spark, path)
+    nodes = report.report_nodes(document).select(F.col("id").alias("origem"), "grau_saida", "nivel_hierarquico", "em_ciclo", "scc_size")
+    return report.report_edges(document).join(nodes, "origem").select("origem", "destino", "tipo", "grau_saida", "nivel_hierarquico", "em_ciclo", "scc_size")
+
+
+def _views(i: Inputs) -> dict[str, str]:
+    own = P.with_(source_prefix=f"views_{uuid.uuid4().hex}")
+    return views.publish_views(
+        i.spark, _m_stores(i), _health(i), kpis.store_dimension(i.stock, i.branches), kpis.cd_dimension(i.stock, i.branches),
+        i.products, i.supply_plan_stock, own, _scratch(i, "gold"),
+    )
+
+
+@register("views_allocation_dashboard")
+def _vad(i: Inputs) -> DataFrame:
+    return i.spark.table(_views(i)["allocation_dashboard"])
+
+
+@register("views_company_kpis")
+def _vck(i: Inputs) -> DataFrame:
+    return i.spark.table(_views(i)["company_kpis"])
+
+
+@register("job_catalog_run")
+def _job(i: Inputs) -> DataFrame:
+    """The whole job over catalog tables in the source layout: rows of each table it publishes."""
+    token, frames = uuid.uuid4().hex, {
+        "rated_sales": (i.rated_sales, original.RATED_SALES), "quantity_sales": (i.quantity_sales, original.QUANTITY_SALES),
+        "stock": (i.stock, original.STOCK), "gef": (i.gef, original.GEF), "supply_plan": (i.supply_plan_stock, original.SUPPLY_PLAN),
+    }
+    root, tables = _scratch(i, "job"), {}
+    for name, (df, names) in frames.items():
+        tables[name] = f"source_{name}_{token}"
+        loaders.publish_table(original.source_layout(df, names), tables[name], root)
+    own = P.with_(source_prefix=f"job_{token}")
+    job.run_job(i.spark, own, tables, root, network=False)
+    rows = [
+        i.spark.table(own.table(stem)).agg(F.lit(P.table(stem)).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for stem in ("vendas_90d_on_off", "estoque_lojas", "estoque_cds", "master_vendas_estoque_lojas", "master_vendas_estoque_cds")
+    ]
+    return _reduce(DataFrame.unionAll, rows)

@@ -121,3 +121,9 @@ def require_columns(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFra
     if missing:
         raise ContractError(f"missing columns {missing}; have {df.columns}")
     return df
+
+
+def column_report(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
+    """P11 as a table: each needed column, whether it is there, and its type; reads no data."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.sparkSession.createDataFrame([(c, c in have, have.get(c)) for c in cols], "column_name string, present boolean, data_type string")

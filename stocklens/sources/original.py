@@ -102,6 +102,22 @@ def adapted(rated: DataFrame, quantity: DataFrame, stock_df: DataFrame, gef_df:
     )
 
 
+def source_layout(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """A contract's frame in the source system's layout: original names, days as the integers
+    (``approval_date``, ``invoice_date``) or texts (``stock_date``) that the source keeps."""
+    out = []
+    for new, old in names.items():
+        col = F.col(new)
+        if new in ("approval_date", "invoice_date"):
+            col = F.date_format(col, "yyyyMMdd").cast("int")
+        elif new == "stock_date":
+            col = F.date_format(col, "yyyy-MM-dd")
+        elif names is SUPPLY_PLAN:
+            col = col.cast("string")
+        out.append(col.alias(old))
+    return df.select(*out)
+
+
 def from_catalog(spark: SparkSession, params: RunParams, tables: dict[str, str]) -> Sources:
     """``adapted`` over catalog tables; ``tables`` names one for each of ``INPUTS``."""
     return adapted(*[spark.table(tables[name]) for name in INPUTS], params)

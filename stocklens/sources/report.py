@@ -15,7 +15,7 @@ exploded back into rows by ``report_edges`` / ``report_nodes``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,27 @@ def nodes_as_report_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
+#: Edges and nodes that one document may hold; a larger network is written as a folder.
+DOCUMENT_ROWS = 1_000_000
+
+
+def write_report_document(report: DataFrame, nodes: DataFrame, edges: DataFrame, path: str, rows: int = DOCUMENT_ROWS, mode: str = "overwrite") -> None:
+    """S6 as one document of the published layout: the statistics with the arrays ``conexoes``
+    and ``nos`` inside, sorted. For exchange: one document is made by one process, so a
+    network of more than ``rows`` edges and nodes is refused (``write_network_report`` has no
+    such bound)."""
+    arcs, points = edges_as_report_rows(edges), nodes_as_report_rows(nodes)
+    size = arcs.select(F.lit(1)).unionAll(points.select(F.lit(1))).limit(rows + 1).count()
+    if size > rows:
+        raise ValueError(f"more than {rows} edges and nodes for one document; write_network_report has no bound")
+
+    def packed(df: DataFrame) -> Column:
+        return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns)))).scalar()
+
+    whole = report.select("*", packed(arcs).alias("conexoes"), packed(points).alias("nos"))
+    whole.coalesce(1).write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
 def write_network_report(report: DataFrame, nodes: DataFrame, edges: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Statistics row + edge and node datasets as UTF-8 JSON lines under ``path``."""
     report.coalesce(1).write.mode(mode).json(f"{path}/report")

@@ -1,12 +1,13 @@
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
 from stocklens.operators import graph as G
 from stocklens.sources import report as R
 
-# Golden case: the 25 edges of the reference's only output document (FIXTURES.md section 2).
+# The golden case, the 25 edges of the reference's only output document (FIXTURES.md section 2).
 GOLDEN = {
     "1200": "1088 1400 1401 1445 1475 1500 1600 1624 1635 1760 1895",
     "1400": "1673 1887 2241",
@@ -160,3 +161,63 @@ def test_levels_of_many_sources_and_long_chain(spark):
     edges = [(1000 + i, i % 7) for i in range(150)] + [(i, i + 1) for i in range(25)]
     levels = {r.node: r.level for r in G.cd_levels(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert levels == {**{1000 + i: 0 for i in range(150)}, **{i: i + 1 for i in range(26)}}
+
+
+def components_by_hand(pairs):
+    """Mutual reachability by search from every node."""
+    out, nodes = {}, {x for p in pairs for x in p}
+    for a, b in pairs:
+        out.setdefault(a, set()).add(b)
+
+    def reach(start):
+        seen, todo = set(), [start]
+        while todo:
+            for y in out.get(todo.pop(), ()):
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        return seen
+
+    ahead = {x: reach(x) | {x} for x in nodes}
+    groups = {x: {y for y in ahead[x] if x in ahead[y]} for x in nodes}
+    return {x: (max(g), len(g)) for x, g in groups.items()}
+
+
+def found(df):
+    return {r.node: (r.scc_id, r.scc_size) for r in df.collect()}
+
+
+def test_contracted_paths_equal_brute_force(spark):
+    rng = random.Random(7)
+    shapes = [
+        [(k, k + 1) for k in range(9)] + [(9, 0), (4, 20), (20, 21), (21, 3), (5, 30), (30, 31)],  # ears and tails on a ring
+        [(1, 9), (9, 2), (2, 8), (8, 1), (2, 7), (7, 2), (3, 1)],  # two rings in one node
+        [(k, (k + 1) % 7) for k in range(7)] + [(10 + k, 10 + (k + 1) % 5) for k in range(5)] + [(99, 99)],  # closed paths
+        [(0, 1), (1, 0), (1, 2), (2, 3), (3, 2)],
+    ]
+    for _ in range(8):
+        n = rng.randint(6, 40)
+        pairs = {(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(n // 2, 2 * n))}
+        # Long paths between and off the random nodes.
+        for k in range(5):
+            a, b, steps = rng.randrange(n), rng.randrange(n), [1000 * (k + 1) + j for j in rng.sample(range(500), rng.randint(1, 9))]
+            pairs |= set(zip([a, *steps], [*steps, b]))
+        shapes.append(sorted(pairs))
+    # All in one graph, as parts that don't meet.
+    pairs = [(a + 10_000 * k, b + 10_000 * k) for k, shape in enumerate(shapes) for a, b in shape]
+    assert found(G.scc(edges(spark, pairs))) == components_by_hand(pairs)
+
+
+def test_long_chain_and_ring_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    for name in ("_ckpt", "_stored"):
+        monkeypatch.setattr(G, name, lambda df, real=getattr(G, name): rounds.append(1) or real(df))
+    n = 10_000
+    label = lambda c: (F.col(c) * 7919 % n).cast("long").alias(c)  # noqa: E731  ids in no order along the path
+    chain = spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")).select(label("src"), label("dst"))
+    assert G.scc(chain).where("scc_size = 1 AND node = scc_id").count() == n
+    assert len(rounds) < 40
+    rounds.clear()
+    ring = spark.range(n).select(F.col("id").alias("src"), ((F.col("id") + 1) % n).alias("dst")).select(label("src"), label("dst"))
+    assert G.scc(ring).groupBy("scc_id", "scc_size").count().collect() == [(n - 1, n, n)]
+    assert len(rounds) < 40

@@ -16,6 +16,9 @@ FAST = [
     "dense_daily_sales", "j4_merge_channels", "a2_sales_stats", "j7_enrich_cd_stock", "a4_rollup_gef_to_cd",
     "a6_sales_summary", "j8_build_master", "w3_moving_averages", "g3_plan_profile", "g6_degrees",
     "k9_abc_class", "v8_check_outliers", "a13_kpi_rollup", "j10_allocation_view", "a12_company_kpis", "k7_with_previous",
+    "k13_sales_trend", "k13_season_adjusted", "a13_kpi_cube", "k7_health_series", "s4_publish_table", "s8_ingest_batch", "s8_stream_ingest",
+    "v5_observed_run", "v3_observed_join", "s1_source_layout", "s5_report_document", "views_company_kpis", "job_catalog_run",
+    "k8_sales_fact", "p11_require_columns", "v1_require_rows", "v4_run_params", "a9_distinct_count", "v5_run_summary", "g7_scc",
     "p10_dev_sample", "d4_with_lineage", "s3_run_frame", "s8_ingest_append", "k8_inventory_fact", "g13_hierarchy_summary",
 ]
 NAMES = sorted(ORACLE) if FULL else FAST

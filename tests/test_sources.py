@@ -70,7 +70,7 @@ def original_layout(spark, folder):
        "VrCustoContabilFilialSku string, CdSkuLoja string, CdFilialVenda int, CdFilialEmissao int")
     quantity = write("quantity", [("a", "2.00", 20240229), ("b", "1.00", 20240301), ("c", "1.00", 20231231)], original.QUANTITY_SALES,
                      "ChaveFatos string, QtMercadoria string, DtEmissaoFaturamento int")
-    day = dt.datetime(2024, 3, 1)
+    day = dt.datetime(2024, 3, 1, 12)  # the same day in the session's time zone
     stock = write("stock", [
         ("2024-03-01", "S1", 1, "L", "ATIVA", "5.00", "50.00", "25.00", day), ("2024-03-01", "S1", 22, "D", "ATIVA", "8.00", "80.00", "0.00", day),
         ("2024-02-01", "S1", 1, "L", "ATIVA", "1.00", "1.00", "1.00", day),
@@ -90,7 +90,9 @@ def test_bronze_starts_from_the_source_layout(spark, scratch):
     params = RunParams(as_of=dt.date(2024, 3, 1), lookback_days=30)
     tables = original_layout(spark, scratch)
     src = original.adapted(*tables, params)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # the whole plan
     scan = src.rated_sales._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(DtAprovacao,20240131)" in scan and "LessThanOrEqual(DtAprovacao,20240301)" in scan
     seen = run_bronze(src, params, f"{scratch}/out")
     assert seen["sales"] == 2 * 31 and (seen["stock_stores"], seen["stock_cds"]) == (1, 1)
@@ -125,6 +127,143 @@ def test_ingest_append_partitions(spark, scratch):
     assert back.select("source_system").distinct().first()[0] == "tpch"
 
 
+def test_a_batch_lands_once_however_often_it_runs(spark, scratch):
+    region = loaders.load(spark, "region", root=SF_SMALL)
+    at, path = dt.datetime(2024, 5, 6, 7, 0), f"{scratch}/landing"
+    for _ in range(2):
+        loaders.ingest_batch(region, path, "tpch", "2024-05-06", at=at)
+    loaders.ingest_batch(region.limit(2), path, "tpch", "2024-05-07", at=dt.datetime(2024, 5, 7))
+    landed = loaders.read_landing(spark, path, region.schema)
+    assert sorted((r.batch, r.day, r["count"]) for r in landed.groupBy("batch", "day").count().collect()) == [("2024-05-06", 6, 5), ("2024-05-07", 7, 2)]
+    failing = region.withColumn("r_name", F.when(F.col("r_regionkey") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("r_name")))
+    with pytest.raises(Exception, match="lost"):
+        loaders.ingest_batch(failing, path, "tpch", "2024-05-07", at=dt.datetime(2024, 5, 7))
+    assert landed.where("batch = '2024-05-06'").count() == 5  # other batches are not touched
+    loaders.ingest_batch(region, path, "tpch", "2024-05-07", at=dt.datetime(2024, 5, 7))  # the rerun repairs its own
+    assert loaders.read_landing(spark, path, region.schema).where("day = 7").count() == 5
+    with pytest.raises(ValueError):
+        loaders.ingest_batch(region, path, "tpch", "a/b")
+
+
+def test_published_table_is_whole_at_any_time(spark, scratch):
+    import uuid
+
+    name = f"published_{uuid.uuid4().hex}"
+    region = loaders.load(spark, "region", root=SF_SMALL).select("r_regionkey", "r_name")
+    first = loaders.publish_table(region, name, scratch)
+    assert spark.table(name).count() == 5
+    failing = region.withColumn("r_name", F.when(F.col("r_regionkey") == 3, F.raise_error(F.lit("killed"))).otherwise(F.col("r_name")))
+    with pytest.raises(Exception, match="killed"):
+        loaders.publish_table(failing, name, scratch)
+    assert spark.table(name).count() == 5 and loaders.published_location(spark, name).endswith(first.rpartition("/")[2])
+    before = spark.table(name)
+    second = loaders.publish_table(region.where("r_regionkey < 2"), name, scratch)
+    assert spark.table(name).count() == 2 and second != first
+    assert before.count() == 5 or before.count() == 2  # a reader that has begun has a whole version
+    assert spark.read.parquet(first).count() == 5  # the earlier version's files stay
+    loaders.publish_table(region.withColumn("more", F.lit(1)), name, scratch)  # another schema
+    assert spark.table(name).columns == ["r_regionkey", "r_name", "more"] and spark.table(name).count() == 5
+
+
+def test_invalid_integer_dates_are_null(spark):
+    from stocklens.functions.dates import date_from_int
+
+    rows = spark.createDataFrame([(20240229,), (20230229,), (0,), (None,), (99999999,)], "d int")
+    assert [r[0] for r in rows.select(date_from_int("d")).collect()] == [dt.date(2024, 2, 29), None, None, None, None]
+
+
+def test_observed_write_equals_the_operators(spark, scratch):
+    from stocklens.plans.fixtures import Inputs
+    from stocklens.operators import sales, stock
+
+    i = Inputs(spark, SF_SMALL)
+    dense = sales.dense_daily_sales(i.rated_sales, i.quantity_sales, i.params.start, i.params.as_of)
+    out, summary = quality.observed_run(dense, i.params)
+    loaders.save_table(out, "sales", path=f"{scratch}/sales")
+    seen, plain = summary.row(), quality.run_summary(dense, i.params).first()
+    assert (seen["rows"], seen["distinct_branches"], seen["distinct_days"], seen["first_day"]) == (plain.rows, plain.distinct_branches, plain.distinct_days, plain.first_day)
+    assert seen["keys"] == dense.select("branch", "sku").distinct().count()
+    out, small = quality.observed_run(dense.withColumn("branch", F.col("branch") + 40000), i.params)
+    loaders.save_table(out, "sales", path=f"{scratch}/beyond")
+    with pytest.raises(ValueError):
+        small.row()
+    out, wide = quality.observed_run(dense.withColumn("branch", F.col("branch") + 40000), i.params, branch_limit=1 << 20)
+    loaders.save_table(out, "sales", path=f"{scratch}/within")
+    assert wide.row()["distinct_branches"] == plain.distinct_branches
+    left = stock.prepare_stock(i.stock, "LOJA", i.params.as_of)
+    joined, audit = quality.observed_join(left, lambda rows: stock.enrich_stock(rows, stock.clean_gef(i.gef)), "safety_stock")
+    loaders.save_table(joined, "stock", path=f"{scratch}/stock")
+    expect = quality.audit_join(left, stock.enrich_stock(left, stock.clean_gef(i.gef)), "safety_stock").first()
+    assert audit.row() == expect.asDict()
+
+
+def test_statistics_read_the_table_once(spark, scratch):
+    from stocklens.operators import sales
+    from stocklens.plans.fixtures import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    dense = sales.dense_daily_sales(i.rated_sales, i.quantity_sales, i.params.start, i.params.as_of)
+    dense.write.parquet(f"{scratch}/dense")
+    table = spark.read.parquet(f"{scratch}/dense")
+    for made in (sales.sales_stats(table), quality.run_summary(table, i.params), quality.distinct_count(table, ("branch", "sku", "date"))):
+        assert made._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+    assert quality.distinct_count(table, ("branch", "sku")).first()[0] == table.select("branch").distinct().count()
+    none = table.where("branch < 0")
+    assert quality.run_summary(none, i.params).first().rows == sales.sales_stats(none).first().total_rows == 0
+
+
+def test_job_arguments_and_modes():
+    from stocklens import job
+
+    names = [x for n in ("rated-sales", "quantity-sales", "stock", "gef", "supply-plan") for x in (f"--{n}", f"db.{n}")]
+    args = job.arguments(["--mode", "TEST", "--env", "PROD", "--as-of", "2024-03-01", "--root", "/x", *names])
+    assert (args.mode, args.env, args.as_of, args.rated_sales) == ("TEST", "PROD", dt.date(2024, 3, 1), "db.rated-sales")
+    with pytest.raises(SystemExit):
+        job.arguments(["--root", "/x"])
+
+
+def test_job_runs_from_catalog_to_catalog(spark, scratch):
+    import uuid
+
+    from stocklens import job
+
+    token = uuid.uuid4().hex
+    tables = {}
+    for name, df in zip(("rated_sales", "quantity_sales", "stock", "gef", "supply_plan"), original_layout(spark, scratch), strict=True):
+        tables[name] = f"source_{name}_{token}"
+        loaders.publish_table(df, tables[name], f"{scratch}/source")
+    params = RunParams(as_of=dt.date(2024, 3, 1), lookback_days=30, source_prefix=f"p{token}")
+    for _ in range(2):  # a second run replaces the first one's tables
+        counts = job.run_job(spark, params, tables, f"{scratch}/out", network=False)
+    assert (counts["sales"], counts["sales_keys"], counts["sales_days"], counts["sales_branches"]) == (62, 2, 31, 2)
+    sold = spark.table(params.table("vendas_90d_on_off")).where("sold > 0").select("branch", "revenue").collect()
+    assert sorted(map(tuple, sold)) == [(1, 10.5), (22, 3.0)]
+    assert spark.table(params.table("master_vendas_estoque_lojas")).count() == 1
+    kept = spark.table(params.table("vendas_90d_on_off")).count()
+    with pytest.raises(ValueError):
+        job.run_job(spark, RunParams(as_of=dt.date(1990, 1, 1), source_prefix=f"p{token}"), tables, f"{scratch}/out", network=False)
+    assert spark.table(params.table("vendas_90d_on_off")).count() == kept  # nothing was published
+
+
+def test_document_is_bounded_and_read_back(spark, scratch):
+    from stocklens.operators import graph as G
+    from stocklens.plans import network as N
+    from stocklens.sources import report
+
+    plan = spark.createDataFrame([("0022", "0030", "1"), ("0030", "0031", "2"), ("0031", "0022", None)], "supplying_cd string, delivering_cd string, store string")
+    net = N.build_network(plan)
+    row = N.network_report(net, dt.datetime(2024, 1, 1))
+    report.write_report_document(row, net.nodes, net.edges, f"{scratch}/document")
+    back = report.read_network_report(spark, f"{scratch}/document")
+    assert back.count() == 1
+    assert report.report_edges(back).count() == net.edges.count() and report.report_nodes(back).count() == net.nodes.count()
+    cds = {r.id: (r.scc_size, r.em_ciclo) for r in report.report_nodes(back).where(F.col("grafo") == G.CD_CD).collect()}
+    assert cds == {"0022": (3, True), "0030": (3, True), "0031": (3, True)}
+    assert back.first().metadata.data_processamento == "2024-01-01 00:00:00"
+    with pytest.raises(ValueError):
+        report.write_report_document(row, net.nodes, net.edges, f"{scratch}/more", rows=3)
+
+
 def test_streaming_ingest_available_now(spark, scratch):
     from stocklens.streaming.ingest import source_stream, start_ingest
 
