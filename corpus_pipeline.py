@@ -7,7 +7,7 @@ Parquet and read again as the next stage's ``docs``. All but the last return the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.llm import line_dedup, mixing, packing, quality, simhash
@@ -50,21 +50,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup; of each component the document with the smallest id stays, once.
-
-    Of several rows with that id the one with the smallest hash stays. Rows without an id
-    can't be told apart and stay."""
-    near = written(simhash.near_duplicates(docs, shingle=3, radius=3), "near")
-    gone = near.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")  # grows with the corpus: by shuffle at every size
-    twice = near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if twice.isEmpty():
-        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = kept.select("doc_id", "text", row)
-    one = rows.join(twice, "doc_id", "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1").select("row")
-    return rows.join(twice, "doc_id", "left_anti").select("row").unionAll(one).select("row.*")
+    """SimHash near-dedup; of each component of fingerprints one row stays: the one with the
+    smallest id, then the smallest hash of its text. A row without an id stays only where no
+    other row of its component has one. Ids decide nothing else, so different texts under one
+    id stay or go each with its own component."""
+    rows = simhash.marked(docs, shingle=3, radius=3)
+    doc = F.col("row.doc_id")
+    best = F.min(F.struct(doc.isNull().alias("none"), doc.alias("id"), F.xxhash64("row.text").alias("hash"), "place"))
+    kept = rows.groupBy("group").agg(best.alias("best")).select(F.col("best.place").alias("place"))
+    # One row a component, which grows with the corpus: by shuffle at every size.
+    return rows.join(kept.hint("merge"), "place", "left_semi").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,9 +70,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*_restored(mixed, docs))
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """Rows of written files in the order in which the files and their rows were written: Spark
+    deals files to tasks by size. Frames that are not read from files stay as they are."""
+    if "_metadata" in docs.columns or not docs.inputFiles():
+        return docs
+    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "_metadata.file_name", "_metadata.row_index")
+    order = ("file_name", "row_index")
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: pieces of sequences with their token ids."""
-    return packing.pack_documents(docs, tokenizer(), end_id=1)
+    """Packing: pieces of sequences with their token ids, a task's sequences from documents
+    that stand together in the mixture."""
+    return packing.pack_documents(in_file_order(docs), tokenizer(), end_id=1)
 
 
 STAGES = [
