@@ -2,8 +2,8 @@
 
 The ids are those of the ``tokenizers`` library with ``encode_special_tokens`` (special
 strings inside a text are ordinary text). Only distinct pre-tokens are coded: texts are
-split into pre-tokens by numpy over the batch's bytes, looked up by a 64-bit hash, and their
-ids are copied out of a table. Texts with characters outside ASCII and the Latin
+split into pre-tokens by numpy over the batch's bytes, looked up by a 64-bit hash, compared
+with the bytes found there, and their ids are copied out of a table. Texts with characters outside ASCII and the Latin
 letters up to U+017F, or with control characters, go to the library as a whole.
 """
 
@@ -87,6 +87,7 @@ class BytePairEncoder:
 
     def _forget(self) -> None:
         self.slot: dict[int, int] = {}
+        self.texts: list[bytes] = []
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.first, self.size, self.filled = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
 
@@ -169,17 +170,21 @@ class BytePairEncoder:
         ends = np.append(starts[1:], n)
         keys = self._keys(data, starts, ends)
         code, distinct = pd.factorize(keys)
+        sample = np.empty(len(distinct), dtype=np.int64)
+        sample[code[::-1]] = np.arange(len(code))[::-1]
+        raw = data.tobytes()
+        texts = [raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
+        if not self._alike(data, starts, ends, sample[code]):
+            return self._apart(raw, starts, ends)
         if len(self.slot) + len(distinct) > KEPT:
             self._forget()
         get = self.slot.get
         slots = np.fromiter((get(x, -1) for x in distinct.tolist()), dtype=np.int64, count=len(distinct))
+        known = self.texts
+        if any(i >= 0 and known[i] != t for i, t in zip(slots.tolist(), texts, strict=True)):
+            return self._apart(raw, starts, ends)
         if len(new := np.flatnonzero(slots < 0)):
-            sample = np.empty(len(distinct), dtype=np.int64)
-            sample[code[::-1]] = np.arange(len(code))[::-1]
-            where = sample[new]
-            raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
-            slots[new] = self._learn(distinct[new], texts)
+            slots[new] = self._learn(distinct[new], [texts[i] for i in new.tolist()])
         size = self.size[slots][code]
         total = np.cumsum(size)
         at = np.arange(total[-1]) + np.repeat(self.first[slots][code] - (total - size), size)
@@ -194,8 +199,27 @@ class BytePairEncoder:
         key = (sums[ends] - sums[starts]) * self.unpower[starts]
         return key ^ ((ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> np.ndarray:
-        found = [self.piece(t) for t in texts]
+    @staticmethod
+    def _alike(data, starts, ends, like) -> bool:
+        """Whether each pre-token has the bytes of the one at ``like``, whose hash it has."""
+        sizes = ends - starts
+        if (sizes != sizes[like]).any():
+            return False
+        return bool((data == data[np.arange(len(data)) + np.repeat(starts[like] - starts, sizes)]).all())
+
+    def _apart(self, raw: bytes, starts, ends):
+        """A segment in which different pre-tokens share a hash: each by its own bytes."""
+        held: dict[bytes, list[int]] = {}
+        found = []
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            if (text := raw[a:b]) not in held:
+                held[text] = self.piece(text.decode())
+            found.append(held[text])
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return starts, size, np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(size.sum()))
+
+    def _learn(self, keys: np.ndarray, texts: list[bytes]) -> np.ndarray:
+        found = [self.piece(t.decode()) for t in texts]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         ids = np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(sizes.sum()))
         slot = len(self.slot)
@@ -209,6 +233,7 @@ class BytePairEncoder:
         self.ids[self.filled : self.filled + len(ids)] = ids
         self.filled += len(ids)
         self.slot.update(zip(keys.tolist(), slots.tolist(), strict=True))
+        self.texts += texts
         return slots
 
 

@@ -40,6 +40,16 @@ def test_encoder_equals_library(library, monkeypatch):
     assert same(library, coder, ["".join(rng.choices("abc de fgh'\n", k=4000)) for _ in range(20)])
 
 
+def test_words_that_share_a_hash_have_their_own_ids(library):
+    """A Thue-Morse word and its complement collide under every polynomial hash modulo 2 ** 64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    for texts in ([one, two], [one + " " + two + " ab", two], [two]):
+        coder = bpe.BytePairEncoder(tokenizer())
+        assert same(library, coder, [one])
+        assert same(library, coder, texts) and same(library, coder, [two, "plain words", one])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_encoder_on_any_text(texts):
