@@ -16,12 +16,18 @@ from stocklens.llm.vectors import usable
 BLOCK = 4096
 #: Bins per query and round of the histograms.
 BINS = 1024
-#: Integer components are held to +-LIMIT so that a score fits a long.
-LIMIT = 2**27
+#: Scores below this fit a long with room for the histograms' ranges.
+REACH = 2.0**61
 
 
 def quantise(matrix: np.ndarray, scale: float = 256.0) -> np.ndarray:
-    return np.clip(np.floor(scale * matrix), -LIMIT, LIMIT).astype(np.int64)
+    """Floors of the scaled components. Components so large that a score might not fit are
+    refused: no result could hold it."""
+    found = np.floor(scale * matrix)
+    most = float(np.abs(found).max(initial=0.0))
+    if matrix.shape[1] * most * most >= REACH:
+        raise ValueError(f"components up to {most:.6g} after scaling: inner products of {matrix.shape[1]} of them may not fit a long")
+    return found.astype(np.int64)
 
 
 def integer_scores(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -121,7 +127,8 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str
     is broadcast. Null, empty or non-finite vectors and rows without id take no part; vectors
     of another dimension are no candidates of a query; repeated candidate rows count
     separately; of repeated query ids the smallest vector is used. Other columns are ignored.
-    An empty table gives no rows.
+    An empty table gives no rows. Components of which an inner product might not fit a long
+    raise an error; nothing is clipped.
     """
     spark = vectors.sparkSession
     rows = clash_free(vectors, id_col, vec_col)
@@ -164,7 +171,7 @@ def _search(rows: DataFrame, block: Block) -> DataFrame:
     for d, at in block.groups.items():
         # No score is beyond the product of the lengths.
         reach = np.sqrt((block.vectors[d].astype(np.float64) ** 2).sum(axis=1) * longest.get(d, 0.0)) * (1 + 1e-9) + 1
-        reach = np.minimum(reach, 2.0**61).astype(np.int64)
+        reach = np.minimum(reach, REACH).astype(np.int64)  # of rounding only: quantise refuses what is beyond
         block.low[at], block.high[at], block.width[at] = -reach, reach + 1, 2 * reach // BINS + 1
     open_ = np.ones(len(block.ids), dtype=bool)
     while open_.any():

@@ -57,6 +57,15 @@ def test_large_components_stay_exact(spark):
     assert got == {(4, j): 65536 * ((2**18 + 4) * (2**18 + j) + 2**34) for j in (19, 18, 17)}
 
 
+def test_scores_beyond_a_long_are_refused(spark):
+    wide = spark.createDataFrame([(i, [2.0**18] * 768, 0, "", 0) for i in range(3)], SCHEMA)
+    with pytest.raises(Exception, match="may not fit a long"):
+        topk.exact_top_k(wide, wide.where("vec_id = 1"), k=2).collect()
+    tall = spark.createDataFrame([(i, [1e6 + i, -1.0], 0, "", 0) for i in range(3)], SCHEMA)
+    got = {r.vec_id: r.score for r in topk.exact_top_k(tall, tall.where("vec_id = 1"), k=3).collect()}
+    assert got == {i: 65536 * ((10**6 + 1) * (10**6 + i) + 1) for i in (0, 2)}  # floor(256 * 1e6), not clipped
+
+
 def test_footrule_over_postings_equals_its_definition():
     rng = np.random.default_rng(3)
     data, pivots = rng.standard_normal((50, 8)), rng.standard_normal((20, 8))
