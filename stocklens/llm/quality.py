@@ -15,21 +15,21 @@ BUCKETS = 1 << 18
 #: Labelled rows that the linear model is fitted on at the most (smallest hashes of ids; half
 #: of them of each label). The log-count ratios come from all labelled rows.
 FIT_ROWS = 16_000
-#: Bytes whose n-grams are made at once.
+#: Bytes whose n-grams are made at once, to the next white space.
 CHUNK = 1 << 20
 SMOOTH = 1.0
 COST = 1.0
 PASSES = 12
 
 
-def _word_shapes(text: np.ndarray) -> np.ndarray:
+def _word_shapes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per word a number for its look: case, length, the marks at its end, and whether it
-    repeats the word before it."""
+    repeats the word before it; and where it starts."""
     blank = (text == 0x20) | ((text >= 0x09) & (text <= 0x0D))
     edge = np.diff(np.concatenate([[1], blank.astype(np.int8), [1]]))
     start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(start):
-        return np.empty(0, dtype=np.uint64)
+        return np.empty(0, dtype=np.uint64), start
     upper = np.concatenate([[0], np.cumsum((text >= 0x41) & (text <= 0x5A))])
     lower = np.concatenate([[0], np.cumsum(((text >= 0x61) & (text <= 0x7A)) | (text >= 0x80))])
     letter = ((text >= 0x41) & (text <= 0x5A)) | ((text >= 0x61) & (text <= 0x7A)) | (text >= 0x80)
@@ -43,7 +43,7 @@ def _word_shapes(text: np.ndarray) -> np.ndarray:
     total = spread[stop - 1] - np.where(start > 0, spread[np.maximum(start - 1, 0)], np.uint64(0))
     again = np.zeros(len(start), dtype=np.int64)
     again[1:] = (total[1:] == total[:-1]) & (size[1:] == size[:-1]) & (text[start[1:]] == text[start[:-1]])
-    return (code + (1 << 24) * again).astype(np.uint64)
+    return (code + (1 << 24) * again).astype(np.uint64), start
 
 
 def _mixed(x: np.ndarray, family: int, buckets: int) -> np.ndarray:
@@ -53,18 +53,40 @@ def _mixed(x: np.ndarray, family: int, buckets: int) -> np.ndarray:
     return ((x >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _pieces(text: np.ndarray):
+    """``(begin, end)`` of pieces that end before white space: a word stays in one piece."""
+    begin = 0
+    while begin < len(text):
+        end = begin + CHUNK
+        while end < len(text):
+            part = text[end : end + CHUNK]
+            blanks = np.flatnonzero((part == 0x20) | ((part >= 0x09) & (part <= 0x0D)))
+            if len(blanks):
+                end += int(blanks[0])
+                break
+            end += len(part)
+        end = min(end, len(text))
+        yield begin, end
+        begin = end
+
+
 def ngrams(text: np.ndarray, buckets: int, seen: np.ndarray) -> np.ndarray:
     """Distinct buckets of a text's n-grams: three bytes, and one to three word shapes. Texts
-    are read whole, a bounded piece at a time. ``seen`` is scratch of ``buckets`` longs."""
+    are read whole, a bounded piece at a time: a piece begins two bytes and three words back,
+    so that it has the n-grams over the cut (the first of these words serves the next one's
+    shape only). ``seen`` is scratch of ``buckets`` longs."""
     found = np.empty(0, dtype=np.int64)
-    for i in range(0, max(1, len(text)), CHUNK):
-        part = text[max(0, i - 2) : i + CHUNK]
+    back = 0  # where the last three words begin
+    for begin, end in _pieces(text):
         codes = []
+        part = text[max(0, begin - 2) : end]
         if len(part) > 2:
             wide = part.astype(np.uint64)
             codes.append(_mixed(wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16), 1 << 60, buckets))
-        shapes = _word_shapes(part)
-        run = shapes
+        shapes, start = _word_shapes(text[back:end])
+        run = shapes = shapes[1:] if back else shapes
+        if len(start) >= 3:
+            back += int(start[-3])
         for n in (1, 2, 3):
             if len(shapes) >= n:
                 if n > 1:
@@ -158,8 +180,8 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS,
     """A model from ``labelled (doc_id, text, label)``, label 1 (good) or 0; other rows are left out.
 
     Document counts of every n-gram in either class come from all rows, added up by Spark; the
-    descent sees at most ``fit_rows`` of them in one task. Both are bounded by their
-    parameters, and so is the model. Without rows of both labels the model is a constant."""
+    descent sees at most ``fit_rows`` of them, repeated rows once, in one task. Both are bounded
+    by their parameters, and so is the model. Without rows of both labels the model is a constant."""
     known = labelled.where("label IN (0, 1)").select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
 
     def counted(batches):
@@ -188,13 +210,17 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS,
         weights, slope, shift = fit(rows, np.where(np.array(labels, dtype=int) > 0, 1, -1), scale, passes)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([slope]), pa.array([shift])], names=["w", "a", "b"])
 
-    order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
+    known = known.withColumn("hash", F.xxhash64("text"))
+    order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("hash")]
     chosen = None
     for y in (0, 1):
-        part = known.where(F.col("label") == y).select("doc_id", "label").orderBy(*order).limit(fit_rows // 2)
+        part = known.where(F.col("label") == y).select("doc_id", "hash", "label").distinct().orderBy(*order).limit(fit_rows // 2)
         chosen = part if chosen is None else chosen.unionAll(part)
-    # At most fit_rows ids are broadcast, so only the sample's texts are shuffled.
-    sample = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").orderBy(*order).coalesce(1)
+    # At most fit_rows keys are broadcast, so only the sample's texts are shuffled; repeated rows
+    # are one, so that the bound holds whatever the ids.
+    sample = known.join(F.broadcast(chosen.select("doc_id", "hash").distinct()), ["doc_id", "hash"], "left_semi")
+    sample = sample.groupBy("doc_id", "hash").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    sample = sample.select("doc_id", "text", "label", "hash").orderBy(*order).coalesce(1)
     got = sample.mapInArrow(descended, "w binary, a double, b double").collect()
     weights, slope, shift = (np.frombuffer(got[0].w), got[0].a, got[0].b) if got else (np.zeros(buckets + 1), 1.0, 0.0)
     return Model(scale, weights, slope, shift)

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stocklens.llm.bpe import text_buffers
 from stocklens.llm.common import connected_components, cut, written
@@ -178,3 +179,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(named, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def marked(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree: int = TREE, text_col: str = "text") -> DataFrame:
+    """``(row, place, group)``: every row of ``docs`` as a struct, with a number of its own and the
+    component of its fingerprint (a fingerprint of it), as a written table.
+
+    Components are those of ``near_duplicates``, but named by fingerprints: ids play no part, so
+    null, repeated and clashing ones join nothing."""
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(1))
+            raw = [fingerprint(data[a:b].tobytes(), shingle) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(raw, dtype=np.uint64).view(np.int64))], names=["row", "fp"])
+
+    schema = StructType([kept.schema["row"]]).add("fp", "long")
+    rows = written(kept.mapInArrow(run, schema).withColumn("place", F.monotonically_increasing_id()), "simhash-rows")
+    nodes = written(rows.select("fp").distinct().select(F.col("fp").alias("node"), "fp"), "simhash-nodes")
+    parts = connected_components(links(nodes, radius, tree)).withColumnRenamed("node", "fp")
+    return rows.join(parts, "fp", "left").select("row", "place", F.coalesce("component", "fp").alias("group"))

@@ -59,6 +59,40 @@ def test_ngrams_read_whole_texts_in_pieces(monkeypatch):
     assert bytes_only <= set(quality.ngrams(text, quality.BUCKETS, seen).tolist())
 
 
+def test_all_ngrams_of_a_long_text_whatever_the_piece(monkeypatch):
+    rng = np.random.default_rng(11)
+    words = ["a", "Bee", "cEd,", "dd", "EEE.", "f" * 90, "z9!", "na\u00efve", "again", "again"]
+    text = "".join(str(rng.choice(words)) + str(rng.choice([" ", "\n", "  ", "\t"])) for _ in range(1500))
+    seen = np.empty(quality.BUCKETS, dtype=np.int64)
+    for t in (text, text.strip(), " " + text, "x" * 700, "", " "):
+        data, whole = np.frombuffer(t.encode(), np.uint8), None
+        for piece in (1 << 20, 1000, 64, 7, 1):
+            monkeypatch.setattr(quality, "CHUNK", piece)
+            got = sorted(quality.ngrams(data, quality.BUCKETS, seen).tolist())
+            whole = got if whole is None else whole
+            assert got == whole
+
+
+def test_the_fit_is_bounded_whatever_the_ids(spark, monkeypatch):
+    rows = [(i % 3, f"text {i % 50} of some words {i % 7}", i % 2) for i in range(900)] + [(5, "the same row", 1)] * 300
+    known = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(4)
+    sizes = []
+    monkeypatch.setattr(type(known), "mapInArrow", _counted(type(known).mapInArrow, sizes))
+    quality.train(known, fit_rows=10)
+    assert max(sizes) <= 10
+
+
+def _counted(real, sizes):
+    """Rows that reach a task of the fit."""
+
+    def run(self, f, schema, *a, **k):
+        if "w binary" in str(schema):
+            sizes.append(self.count())
+        return real(self, f, schema, *a, **k)
+
+    return run
+
+
 def test_dual_descent_meets_the_hinge_optimum():
     """Against plain subgradient steps on the same objective."""
     rng = np.random.default_rng(1)
