@@ -78,6 +78,18 @@ def test_boxes_never_drop_the_nearest():
             assert may[far == far.min()].all()
 
 
+def test_boxes_rule_out_most_centroids_of_clustered_vectors():
+    rng = np.random.default_rng(3)
+    centroids = rng.integers(-60, 60, (16, 64))
+    rows = centroids[rng.integers(0, 16, 20_000)] + rng.integers(-8, 9, (20_000, 64))
+    low, high = rows.min(axis=0), rows.max(axis=0)
+    keys = clustering.hilbert_keys((rows - low) * 15 // (high - low))
+    rows = rows[sorted(range(len(rows)), key=keys.__getitem__)]
+    starts = np.arange(0, len(rows), 64)
+    may = clustering.candidates(np.minimum.reduceat(rows, starts), np.maximum.reduceat(rows, starts), centroids)
+    assert may.sum(axis=1).mean() < 3 and np.median(may.sum(axis=1)) == 1
+
+
 @pytest.mark.parametrize(("n", "block"), [(60, 8), (9, 64)])
 def test_clusters_equal_brute_force(spark, n, block):
     rows = rows_of(np.random.default_rng(n), n, 6)
