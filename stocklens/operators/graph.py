@@ -110,9 +110,11 @@ class _Layout:
     def __init__(self, edges: DataFrame, key: str, other: str, hub_edges: int | None = None) -> None:
         self.key, bound = key, hub_edges or HUB_EDGES
         hubs = edges.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound)
-        self.hubs, self.n_hubs = _ckpt_sized(hubs.select(key, F.ceil(F.col("n") / bound).cast("int").alias("parts")))
+        sized = hubs.select(F.col(key).alias("node"), F.ceil(F.col("n") / bound).cast("int").alias("parts"))
+        found, self.n_hubs, size = _ckpt_nodes(sized)
+        self.hubs = _small(found.withColumnRenamed("node", key), size)  # at most edges / hub_edges rows
         if self.n_hubs:
-            edges = edges.join(F.broadcast(self.hubs), key, "left").withColumn(  # BROADCAST: n_hubs <= edges / hub_edges rows
+            edges = edges.join(self.hubs, key, "left").withColumn(
                 "part", F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")
             ).drop("parts")
         else:
@@ -122,7 +124,7 @@ class _Layout:
     def step(self, frontier: DataFrame) -> DataFrame:
         """``frontier`` (whose node column is the key) joined with the edges of its nodes."""
         if self.n_hubs:
-            split = frontier.join(F.broadcast(self.hubs), self.key, "left")  # BROADCAST: as above
+            split = frontier.join(self.hubs, self.key, "left")
             frontier = split.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
         else:
             frontier = frontier.withColumn("part", F.lit(0))

@@ -152,10 +152,11 @@ def observed_run(sales: DataFrame, params: RunParams, name: str = "run", branch_
     """V5 filled by the write of ``sales`` itself: no further scan of the output or its plan.
 
     Counts rows, window and money, sums exact, distinct days by the bits of the run's window
-    and distinct branches by bitmaps over their numbers (below ``branch_limit``; a number
-    outside makes ``RunSummary.row`` raise, as the count would not be exact). Distinct SKUs are
-    text, which no bounded state counts exactly: as every key has one row a day of the dense
-    table, keys are counted by their first day instead."""
+    and distinct branches by bitmaps over their numbers. A bitmap is 4 KB of what each task
+    sends; there are as many as ``branch_limit`` needs, and with a number outside of it the
+    branches are not counted (None), as the count would not be exact. Distinct SKUs are text,
+    which no bounded state counts exactly: as every key has one row a day of the dense table,
+    keys are counted by their first day instead."""
     first = F.col("date") == F.lit(params.start)
     metrics: dict[str, Column] = {
         "first_day": F.min("date"), "last_day": F.max("date"), "keys": F.count_if(first), "sale_days": F.sum("sold").cast("long"),
@@ -182,15 +183,14 @@ class RunSummary:
 
     def row(self) -> dict:
         seen = self.obs.get
-        if seen["rows"] and not 0 <= seen["least_branch"] <= seen["largest_branch"] < self.branch_limit:
-            raise ValueError(f"branches {seen['least_branch']} to {seen['largest_branch']} are not below {self.branch_limit}")
+        counted = seen["least_branch"] is None or 0 <= seen["least_branch"] <= seen["largest_branch"] < self.branch_limit
 
         def bits(prefix: str, value) -> int:
             return sum(value(v) for k, v in seen.items() if k.startswith(prefix) and v is not None)
 
         return {
             "rows": seen["rows"], "keys": seen["keys"], "sale_days": seen["sale_days"] or 0,
-            "distinct_branches": bits("branches_", lambda v: int.from_bytes(v, "little").bit_count()),
+            "distinct_branches": bits("branches_", lambda v: int.from_bytes(v, "little").bit_count()) if counted else None,
             "distinct_days": bits("days_", lambda v: (v & (2**64 - 1)).bit_count()),
             "revenue": float(seen["revenue"] or 0), "qty": float(seen["qty"] or 0),
             "first_day": seen["first_day"], "last_day": seen["last_day"],

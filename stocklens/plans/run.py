@@ -38,7 +38,7 @@ def run_bronze(src: Sources, params: RunParams, out: str, at: dt.datetime | None
     quality.require_rows(src.rated_sales, what="sales of the window")
     quality.require_rows(src.stock, what="stock rows")
     sales = sales_plan.sales_bronze(src.rated_sales, src.quantity_sales, params, at)
-    sales, summary = quality.observed_run(sales, params, "sales_rows", 1 << 20)
+    sales, summary = quality.observed_run(sales, params, "sales_rows")
     _store(sales, params, "vendas_90d_on_off", f"{out}/sales", catalog)
     stores, cds = stock_plan.stock_bronze(src.stock, src.gef, src.supply_plan_stock, params, at)
     stores, o_st = quality.observed(stores, "store_rows", "safety_stock")
