@@ -16,83 +16,74 @@ from stocklens.llm.common import written
 #: Tokens seen on either side of the one that is predicted.
 WINDOW = 2
 WIDTH = 16
-#: Classes of the output's first step: tokens of about equal mass; bounds the cost of a prediction.
-CLASSES = 128
+#: Ways on from a node of the tree of tokens; bounds the cost of a choice.
+BRANCH = 32
 #: Passes over the corpus; the positions are dealt to them, and each masks and learns from its own.
 ROUNDS = 2
-BATCH = 2048
-RATE = 0.15
-#: Positions predicted at once when scoring.
-CHUNK = 1 << 12
+BATCH = 16384
+RATE = 0.6
+#: Positions predicted at once when scoring, and those whose first choice is.
+CHUNK, TILE = 1 << 14, 1024
+#: Positions whose windows are summed at once.
+BLOCK = 8192
+#: Positions of a text that the same round masks.
+RUN = 1024
 
 
 class Network:
     """Token vectors, weighted by their place in the window and summed, through tanh, predict
-    the class of the token between them, and from there, by one two-way choice after another,
-    the token. The choices inside a class are a Huffman tree of its tokens' corpus counts, each
-    with a vector of its own that meets the same hidden one; untrained, they give the counts'
-    shares."""
+    the token between them by a few choices, each a softmax over at most ``branch`` ways, that
+    lead down a tree to it: the Huffman tree with that many ways of the tokens' corpus counts,
+    so that a token takes as few choices as its frequency allows. All choices meet the same
+    hidden vector with vectors of their own; untrained, they give the counts' shares."""
 
-    def __init__(self, counts: np.ndarray, width: int = WIDTH, classes: int = CLASSES, window: int = WINDOW, seed: int = 0) -> None:
+    def __init__(self, counts: np.ndarray, width: int = WIDTH, branch: int = BRANCH, window: int = WINDOW, seed: int = 0) -> None:
         rng = np.random.default_rng(seed)
-        vocabulary, self.window = len(counts), window
-        order = np.lexsort((np.arange(vocabulary), -counts))
-        mass = (counts[order] + 0.5).cumsum()
-        self.kind = np.empty(vocabulary, dtype=np.int32)
-        self.kind[order] = np.minimum((mass - counts[order] - 0.5) / mass[-1] * classes, classes - 1).astype(np.int32)
-        whole = np.bincount(self.kind, weights=counts + 0.5, minlength=classes)
-        self._plant(counts + 0.5, width)
+        vocabulary, self.window, self.branch = len(counts), window, branch
+        shares = self._plant(counts + 0.5)
         # The last row stands for what lies beyond a document's ends.
         self.token = (rng.standard_normal((vocabulary + 1, width)) * 0.1).astype(np.float32)
         self.place = np.ones((2 * window, width), dtype=np.float32)
         self.shift = np.zeros(width, dtype=np.float32)
-        self.out = (rng.standard_normal((width, classes)) * 0.1).astype(np.float32)
-        self.bias = np.log(np.maximum(whole, 0.5) / whole.sum()).astype(np.float32)
-
-    def _plant(self, weights: np.ndarray, width: int) -> None:
-        """A tree per class. Of each id ``fork`` and ``side`` hold the choices from its leaf up,
-        from ``first`` on, ``depth`` of them."""
-        vocabulary = len(weights)
-        above = np.full(2 * vocabulary, -1, dtype=np.int64)
-        sides, bias, nodes = np.zeros(2 * vocabulary, dtype=np.int8), [], vocabulary
-        members = np.argsort(self.kind, kind="stable")
-        for part in np.split(members, np.flatnonzero(np.diff(self.kind[members])) + 1):
-            heap = [(w, i) for w, i in zip(weights[part].tolist(), part.tolist(), strict=True)]
-            heapq.heapify(heap)
-            while len(heap) > 1:
-                (w, a), (v, b) = heapq.heappop(heap), heapq.heappop(heap)
-                above[[a, b]], sides[[a, b]] = nodes, (1, -1)
-                bias.append(np.log(w / v))
-                heapq.heappush(heap, (w + v, nodes))
-                nodes += 1
-        at, ids, steps = np.arange(vocabulary), np.arange(vocabulary), []
-        while len(ids):
-            up = above[at]
-            ids, at, up = ids[up >= 0], at[up >= 0], up[up >= 0]
-            steps.append((ids, up - vocabulary, sides[at]))
+        # The last component is the bias; a way that isn't there has no chance.
+        self.out = np.zeros((len(shares), branch, width + 1), dtype=np.float32)
+        self.out[0, :, :-1] = rng.standard_normal((branch, width)) * 0.1
+        self.out[:, :, -1] = shares
+
+    def _plant(self, weights: np.ndarray) -> np.ndarray:
+        """The choices on the way to each token: ``turns[0]`` at the root, ``turns[1]`` at the node
+        ``second`` (-1: there is none), and from ``first`` on ``deep`` pairs of ``node`` and
+        ``turn`` below. Returns the logarithms of the ways' shares, root first."""
+        vocabulary, branch = len(weights), self.branch
+        heap = list(zip(weights.tolist(), range(vocabulary), strict=True))
+        heapq.heapify(heap)
+        above, turn, shares = np.full(2 * vocabulary + 1, -1), np.zeros(2 * vocabulary + 1, dtype=np.int64), []
+        size = (vocabulary - 2) % (branch - 1) + 2 if vocabulary > 1 else 1  # so that the root is full
+        while len(heap) > 1 or not shares:
+            least = [heapq.heappop(heap) for _ in range(size)][::-1]
+            made, mass = vocabulary + len(shares), np.array([w for w, _ in least])
+            for place, (_, child) in enumerate(least):
+                above[child], turn[child] = made, place
+            shares.append(np.concatenate([np.log(mass / mass.sum()), np.full(branch - size, -80.0)]))
+            heapq.heappush(heap, (float(mass.sum()), made))
+            size = branch
+        root, at, upward = vocabulary + len(shares) - 1, np.arange(vocabulary), []
+        while (at != root).any():
+            up = np.where(at == root, root, above[at])
+            upward.append((np.where(at == root, -1, root - up), turn[at]))
             at = up
-        ids, fork, side = (np.concatenate(x) for x in zip(*steps, strict=True))
-        order = np.argsort(ids, kind="stable")
-        self.fork, self.side = fork[order].astype(np.int32), side[order].astype(np.float32)
-        self.depth = np.bincount(ids, minlength=vocabulary)
-        self.first = np.cumsum(self.depth) - self.depth
-        # The last component is the bias.
-        self.branch = np.zeros((len(bias), width + 1), dtype=np.float32)
-        self.branch[:, -1] = bias
-
-    DENSE = ("place", "shift", "out", "bias")
-
-    def choices(self, ids: np.ndarray):
-        """``(row, fork, side)`` of every choice on the ways to ``ids``."""
-        depth = self.depth[ids]
-        row = np.repeat(np.arange(len(ids)), depth)
-        at = np.arange(len(row)) + np.repeat(self.first[ids] - (np.cumsum(depth) - depth), depth)
-        return row, self.fork[at], self.side[at]
-
-    def leaning(self, hidden: np.ndarray, row: np.ndarray, fork: np.ndarray, side: np.ndarray) -> np.ndarray:
-        """How far each choice leans to its own side: the logit of taking it."""
-        branch = self.branch[fork]
-        return side * (np.einsum("ij,ij->i", hidden[row], branch[:, :-1]) + branch[:, -1])
+        nodes, ways = (np.array(x) for x in zip(*upward, strict=True))
+        depth = (nodes >= 0).sum(axis=0)
+        every = np.arange(vocabulary)
+        self.second = np.where(depth > 1, nodes[np.maximum(depth - 2, 0), every], -1).astype(np.int32)
+        self.turns = [ways[depth - 1, every].astype(np.int32), np.where(depth > 1, ways[np.maximum(depth - 2, 0), every], 0).astype(np.int32)]
+        self.deep = np.maximum(depth - 2, 0)
+        self.first = np.cumsum(self.deep) - self.deep
+        height = np.arange(self.deep.sum()) - np.repeat(self.first, self.deep)
+        self.node, self.turn = (x[height, np.repeat(every, self.deep)].astype(np.int32) for x in (nodes, ways))
+        return np.array(shares[::-1], dtype=np.float32)
+
+    DENSE = ("place", "shift")
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         total = np.take(self.token, around[0], axis=0)
@@ -104,93 +95,233 @@ class Network:
             total += part
         return np.tanh(total, out=total)
 
-    def logits(self, hidden: np.ndarray) -> np.ndarray:
-        """Shifted by each row's largest only if their exponentials could leave a float's range."""
-        found = hidden @ self.out
-        found += self.bias
-        if np.abs(self.out).sum(axis=0).max() + np.abs(self.bias).max() > 60:
-            found -= found.max(axis=1, keepdims=True)
-        return found
+    def over(self, stretch: np.ndarray) -> np.ndarray:
+        """Hidden vectors of the positions of a stretch that are a window from its ends."""
+        w = self.window
+        inside, vectors = len(stretch) - 2 * w, np.take(self.token, stretch, axis=0)
+        gaps = [g for g in range(2 * w + 1) if g != w]
+        total = self.place[0] * vectors[gaps[0] : gaps[0] + inside]
+        total += self.shift
+        for j, g in enumerate(gaps[1:], 1):
+            total += self.place[j] * vectors[g : g + inside]
+        return np.tanh(total, out=total)
 
     def conditional(self, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log-probability of each id between its neighbours (a row of ``around`` per place)."""
-        hidden = self.hidden(around)
-        row, fork, side = self.choices(ids)
-        inside = np.bincount(row, weights=-np.logaddexp(0, -self.leaning(hidden, row, fork, side)), minlength=len(ids))
-        logits = self.logits(hidden)
-        own = logits[np.arange(len(ids)), self.kind[ids]].astype(np.float64)
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1)) + inside
+        return self.told(self.hidden(around), ids)
+
+    def told(self, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Log-probability of each id given its hidden vector: the sum over the choices to it."""
+        order, stands = self.stands(ids)
+        ids, wide, sums, ones = ids[order], with_ones(hidden, order), np.zeros(len(ids), dtype=np.float32), np.ones(self.branch, dtype=np.float32)
+        for level, node, a, b in stands:
+            logits = steady(wide[a:b] @ self.out[node].T)
+            sums[a:b] += logits[np.arange(b - a), self.turns[level][ids[a:b]]]
+            sums[a:b] -= np.log(np.exp(logits, out=logits) @ ones)
+        below = Below(self, ids)
+        if below.any:
+            logits = steady(wide[below.rows] @ self.out[below.node].transpose(0, 2, 1))
+            logs = np.take_along_axis(logits, below.turns[:, :, None], axis=2)[:, :, 0]
+            logs -= np.log((np.exp(logits, out=logits).reshape(-1, self.branch) @ ones).reshape(logs.shape))
+            sums += np.bincount(below.rows[below.real], weights=logs[below.real], minlength=len(ids))
+        found = np.empty(len(ids))
+        found[order] = sums
+        return found
+
+    def stands(self, ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+        """The order of ids by their second choice, and ``(level, node, begin, end)`` of those in
+        this order that stand together at a node of the first two levels."""
+        order, found, first = grouped(self.second[ids] + 1, len(self.out) + 1)
+        ends = np.append(first[1:], len(ids))
+        tiles = [(0, 0, i, min(i + TILE, len(ids))) for i in range(0, len(ids), TILE)]
+        return order, tiles + [(1, n - 1, a, b) for n, a, b in zip(found.tolist(), first.tolist(), ends.tolist(), strict=True) if n]
+
+
+class Below:
+    """The choices of ids below the first two levels, in rows of equal length that stand at one
+    node each: ``rows`` the positions, ``turns`` the ways they take, ``real`` which places are
+    not filling. A node with many choices has many rows, so a common one makes none longer.
+    ``nodes`` are the distinct ones, ``counts`` their choices and ``first`` their first rows."""
+
+    def __init__(self, net: Network, ids: np.ndarray) -> None:
+        deep = net.deep[ids]
+        row = np.repeat(np.arange(len(ids)), deep)
+        self.any = len(row) > 0
+        if not self.any:
+            return
+        at = np.arange(len(row)) + np.repeat(net.first[ids] - (np.cumsum(deep) - deep), deep)
+        order, self.nodes, first = grouped(net.node[at], len(net.out))
+        self.counts = np.diff(np.append(first, len(row)))
+        long = int(np.clip(1 << int(np.ceil(np.log2(len(row) / len(first)))), 4, 64))
+        parts = -(-self.counts // long)
+        self.node, self.first = np.repeat(self.nodes, parts), np.cumsum(parts) - parts
+        begin = np.repeat(first, parts) + (np.arange(len(self.node)) - np.repeat(self.first, parts)) * long
+        end = np.repeat(first + self.counts, parts)[:, None]
+        index = begin[:, None] + np.arange(long)
+        self.real = index < end
+        self.entry = order[np.minimum(index, end - 1)]
+        self.rows, self.turns = row[self.entry], net.turn[at][self.entry]
+        self.row = row
+
+
+def with_ones(hidden: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The rows in an order, each with a one at its end, which meets the bias."""
+    wide = np.ones((len(order), hidden.shape[1] + 1), dtype=np.float32)
+    wide[:, :-1] = hidden[order]
+    return wide
+
+
+def steady(logits: np.ndarray) -> np.ndarray:
+    """Shifted by each row's largest, if exponentials could leave a float's range."""
+    if logits.size and logits.max() > 60:
+        logits -= logits.max(axis=-1, keepdims=True)
+    return logits
+
+
+def grouped(numbers: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts numbers, the distinct ones, and where each begins in the order."""
+    short = numbers.astype(np.uint16) if below <= 1 << 16 else numbers  # two bytes are sorted by their digits
+    order = np.argsort(short, kind="stable")
+    sorted_ = short[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(order) else order
+    return order, sorted_[first].astype(np.int64), first
 
 
 class Learner:
-    """AdaGrad steps on a network; remembers how often each token's and choice's vector was moved."""
+    """AdaGrad steps on a network; remembers how often each token's and node's vectors were moved.
+
+    A step takes positions of a stretch of text, in order: a token's vector is fetched once for
+    all windows that it stands in, windows are slices of the stretch, and so are the slopes that
+    come back. Choices at one node are products of matrices."""
 
     def __init__(self, net: Network, rate: float) -> None:
         self.net, self.rate = net, rate
         self.square = {n: np.full_like(getattr(net, n), 1e-2) for n in Network.DENSE}
         self.token_square = np.full(len(net.token), 1e-2, dtype=np.float32)
-        self.branch_square = np.full_like(net.branch, 1e-2)
-        self.moved = np.zeros(len(net.token) + len(net.branch), dtype=np.int64)
+        self.out_square = np.full_like(net.out, 1e-2)
+        self.moved = np.zeros(len(net.token) + len(net.out), dtype=np.int64)
         self.steps = 0
-
-    def step(self, ids: np.ndarray, around: np.ndarray) -> None:
-        net, n = self.net, len(ids)
-        hidden = net.hidden(around)
-        error = net.logits(hidden)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(n), net.kind[ids]] -= 1.0
-        error /= n
-        inner = error @ net.out.T
-        inner += self._choose(hidden, ids) / n
-        inner *= 1.0 - hidden * hidden
-        slopes = {"out": hidden.T @ error, "bias": error.sum(axis=0), "shift": inner.sum(axis=0)}
-        slopes["place"] = np.stack([(inner * net.token[row]).sum(axis=0) for row in around])
-        flat = around.ravel()
-        pushed = np.concatenate([inner * net.place[j] for j in range(len(around))])
-        order = np.argsort(flat, kind="stable")
-        rows, first = np.unique(flat[order], return_index=True)
-        total = np.add.reduceat(pushed[order], first, axis=0) * n
-        total /= np.diff(np.append(first, len(flat)))[:, None]  # the mean over a vector's uses
-        self.token_square[rows] += (total * total).mean(axis=1)
-        net.token[rows] -= self.rate * total / np.sqrt(self.token_square[rows])[:, None]
-        self.moved[rows] += np.diff(np.append(first, len(flat)))
+        self.ones = np.ones(net.branch, dtype=np.float32)
+        self.scratch: dict[str, np.ndarray] = {}
+
+    def step(self, stretch: np.ndarray, at: np.ndarray) -> None:
+        """Learn from the positions ``at`` of a ``stretch`` of ids that begins and ends a window
+        before the first and after the last of them."""
+        net, w, n = self.net, self.net.window, len(at)
+        inside, every = len(stretch) - 2 * w, n == len(stretch) - 2 * w
+        gaps = [g for g in range(2 * w + 1) if g != w]
+        vectors, part = self._scratch("vectors", len(stretch)), self._scratch("part", BLOCK)
+        np.take(net.token, stretch, axis=0, out=vectors, mode="clip")
+        hidden = self._scratch("hidden", inside)
+        blocks = [(i, min(i + BLOCK, inside)) for i in range(0, inside, BLOCK)]
+        for a, b in blocks:
+            some, other = hidden[a:b], part[: b - a]
+            np.multiply(vectors[gaps[0] + a : gaps[0] + b], net.place[0], out=some)
+            some += net.shift
+            for j, g in enumerate(gaps[1:], 1):
+                some += np.multiply(vectors[g + a : g + b], net.place[j], out=other)
+            np.tanh(some, out=some)
+        if not every:
+            hidden = hidden[at]
+        inner = self._choose(hidden, stretch[at + w])
+        hidden *= hidden
+        inner *= np.subtract(1.0, hidden, out=hidden)
+        slopes = {"shift": inner.sum(axis=0) / n, "place": np.zeros_like(net.place)}
+        if every:
+            pulled, used = inner, np.ones(inside, dtype=np.int64)
+        else:
+            pulled, used = np.zeros((inside, inner.shape[1]), dtype=np.float32), np.zeros(inside, dtype=np.int64)
+            pulled[at], used[at] = inner, 1
+        pushed, uses = self._scratch("pushed", len(stretch)), np.zeros(len(stretch), dtype=np.int64)
+        pushed[:] = 0
+        for a, b in blocks:
+            for j, g in enumerate(gaps):
+                slopes["place"][j] += np.einsum("ij,ij->j", pulled[a:b], vectors[g + a : g + b]) / n
+                pushed[g + a : g + b] += np.multiply(pulled[a:b], net.place[j], out=part[: b - a])
+        for g in gaps:
+            uses[g : g + inside] += used
+        self._tokens(stretch, pushed, uses)
         for name, slope in slopes.items():
             self.square[name] += slope * slope
             getattr(net, name)[...] -= self.rate * slope / np.sqrt(self.square[name])
         self.steps += 1
 
+    def _scratch(self, name: str, rows: int) -> np.ndarray:
+        """Memory that the steps use again: fresh memory costs more than the sums in it."""
+        if len(self.scratch.get(name, ())) < rows:
+            self.scratch[name] = np.empty((rows, self.net.token.shape[1]), dtype=np.float32)
+        return self.scratch[name][:rows]
+
+    def _tokens(self, stretch: np.ndarray, pushed: np.ndarray, uses: np.ndarray) -> None:
+        """Move the vectors of the stretch's tokens by the mean slope over their uses."""
+        order, rows, first = grouped(stretch, len(self.net.token))
+        uses = np.add.reduceat(uses[order], first)
+        total = np.add.reduceat(pushed[order], first, axis=0)
+        if not uses.all():
+            rows, total, uses = rows[uses > 0], total[uses > 0], uses[uses > 0]
+        total /= uses[:, None]
+        self.token_square[rows] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        self.net.token[rows] -= (self.rate * total / np.sqrt(self.token_square[rows])[:, None]).astype(np.float32)
+        self.moved[rows] += uses
+
     def _choose(self, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Move the choices on the ways to ``ids``; the slopes of the hidden vectors come back."""
-        net, back = self.net, np.zeros_like(hidden)
-        row, fork, side = net.choices(ids)
-        if not len(row):
-            return back
-        error = -side / (1.0 + np.exp(np.clip(net.leaning(hidden, row, fork, side), -60, 60)))
-        start = np.flatnonzero(np.diff(row, prepend=-1))
-        back[row[start]] = np.add.reduceat(error[:, None] * net.branch[fork, :-1], start, axis=0)
-        order = np.argsort(fork, kind="stable")
-        forks, first = np.unique(fork[order], return_index=True)
-        pushed = np.empty((len(row), hidden.shape[1] + 1), dtype=np.float32)
-        np.multiply(hidden[row[order]], error[order, None], out=pushed[:, :-1])
-        pushed[:, -1] = error[order]
-        uses = np.diff(np.append(first, len(row)))
-        total = np.add.reduceat(pushed, first, axis=0) / uses[:, None]
-        self.branch_square[forks] += total * total
-        net.branch[forks] -= (self.rate * total / np.sqrt(self.branch_square[forks])).astype(np.float32)
-        self.moved[len(net.token) + forks] += uses
-        return back
-
-
-def neighbours(ids: np.ndarray, offsets: np.ndarray, window: int, beyond: int):
-    """A function of positions in texts on end that gives the ids around them, a row per place
-    in the window; ``beyond`` outside of a position's text, from a copy with gaps between texts."""
+        net, ones = self.net, self.ones
+        order, stands = net.stands(ids)
+        ids, wide, back = ids[order], with_ones(hidden, order), np.zeros_like(hidden)
+        slopes: dict[int, np.ndarray] = {}
+        uses: dict[int, int] = {}
+        for level, node, a, b in stands:
+            seen, ways = wide[a:b], net.out[node]
+            error = steady(seen @ ways.T)
+            np.exp(error, out=error)
+            error /= (error @ ones)[:, None]
+            error.reshape(-1)[np.arange(0, error.size, net.branch) + net.turns[level][ids[a:b]]] -= 1.0
+            back[a:b] += error @ ways[:, :-1]
+            slopes[node] = slopes[node] + error.T @ seen if node in slopes else error.T @ seen
+            uses[node] = uses.get(node, 0) + b - a
+        self._move(np.array(list(slopes)), np.stack(list(slopes.values())), np.array(list(uses.values())))
+        below = Below(net, ids)
+        if below.any:
+            seen, ways = wide[below.rows], net.out[below.node]
+            error = steady(seen @ ways.transpose(0, 2, 1))
+            np.exp(error, out=error)
+            flat = error.reshape(-1, net.branch)
+            flat /= (flat @ ones)[:, None]
+            error.reshape(-1)[np.arange(0, error.size, net.branch) + below.turns.ravel()] -= 1.0
+            flat *= below.real.reshape(-1, 1)
+            pulled = np.empty((len(below.row), hidden.shape[1]), dtype=np.float32)
+            pulled[below.entry[below.real]] = (error @ ways[:, :, :-1])[below.real]
+            start = np.flatnonzero(np.diff(below.row, prepend=-1))
+            back[below.row[start]] += np.add.reduceat(pulled, start, axis=0)
+            slope = error.transpose(0, 2, 1) @ seen
+            if len(below.first) < len(slope):
+                slope = np.add.reduceat(slope, below.first, axis=0)
+            self._move(below.nodes, slope, below.counts)
+        found = np.empty_like(back)
+        found[order] = back
+        return found
+
+    def _move(self, nodes: np.ndarray, slope: np.ndarray, uses: np.ndarray) -> None:
+        """Move the vectors of nodes by the mean slope over their uses."""
+        slope /= uses[:, None, None].astype(np.float32)
+        square = self.out_square[nodes]
+        square += slope * slope
+        self.out_square[nodes] = square
+        slope *= self.rate
+        slope /= np.sqrt(square, out=square)
+        self.net.out[nodes] -= slope
+        self.moved[len(self.net.token) + nodes] += uses
+
+
+def spread(ids: np.ndarray, offsets: np.ndarray, window: int, beyond: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts on end with ``beyond`` a window wide before, between and after them, and each id's
+    place there: what stands around a position is then its text's ids or ``beyond``."""
     texts = len(offsets) - 1
     place = np.arange(len(ids)) + window * (np.repeat(np.arange(texts), np.diff(offsets)) + 1)
-    spread = np.full(len(ids) + window * (texts + 1), beyond, dtype=np.int32)
-    spread[place] = ids
-    gaps = [g for g in range(-window, window + 1) if g]
-    return lambda at: np.stack([spread[place[at] + g] for g in gaps])
+    wide = np.full(len(ids) + window * (texts + 1), beyond, dtype=np.int32)
+    wide[place] = ids
+    return wide, place
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,34 +367,45 @@ def corpus_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
-def turns(offsets: np.ndarray, rounds: int) -> np.ndarray:
-    """The one round that masks each position; by its place in its text, the same in any task."""
-    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], np.diff(offsets))
-    return ((place + 1) * 0x9E3779B1 >> 16) % rounds
+def turns(ids: np.ndarray, offsets: np.ndarray, rounds: int, run: int = RUN) -> np.ndarray:
+    """The one round that masks each position: runs of a text are dealt to rounds by their place
+    in it and by the sum of its ids, the same in any task."""
+    sizes = np.diff(offsets)
+    upto = np.concatenate([[0], np.cumsum(ids, dtype=np.int64)])
+    text = upto[offsets[1:]] - upto[offsets[:-1]] + sizes
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)
+    return ((np.repeat(text, sizes) + place // run + 1) * 0x9E3779B1 >> 16) % rounds
 
 
 def _trained(net: Network, round_: int, rounds: int, seed: int, batch_size: int, rate: float):
-    """A task learns from its own documents and sends what it has moved: per vector of a token
-    or (numbered after them) a choice that it met, times the number of uses; the dense parts
-    times its steps."""
+    """A task learns from its own documents and sends what it has moved: per token or (numbered
+    after them) node that it met the vectors, times the number of uses; the dense parts times
+    its steps."""
 
     def run(batches):
         task = TaskContext.get().partitionId()
         rng, learner, beyond = np.random.default_rng([seed, round_, task]), Learner(net, rate), len(net.token) - 1
         for batch in batches:
             for _, ids, offsets in _texts(batch):
-                at = np.flatnonzero(turns(offsets, rounds) == round_)
-                rng.shuffle(at)
-                around = neighbours(ids, offsets, net.window, beyond)
-                for i in range(0, len(at), batch_size):
-                    some = at[i : i + batch_size]
-                    learner.step(ids[some], around(some))
+                masked = turns(ids, offsets, rounds) == round_
+                seen = np.concatenate([[0], np.cumsum(masked)])
+                some = np.flatnonzero(seen[offsets[1:]] > seen[offsets[:-1]])  # texts with a run of this round
+                if not len(some):
+                    continue
+                sizes = np.diff(offsets)[some]
+                own = np.arange(sizes.sum()) + np.repeat(offsets[some] - (np.cumsum(sizes) - sizes), sizes)
+                wide, place = spread(ids[own], np.concatenate([[0], np.cumsum(sizes)]), net.window, beyond)
+                at = place[masked[own]]
+                for i in rng.permutation(np.arange(0, len(at), batch_size)).tolist():
+                    part = at[i : i + batch_size]
+                    low = part[0] - net.window
+                    learner.step(wide[low : part[-1] + net.window + 1], part - part[0])
         if not learner.steps:
             return
         rows = np.flatnonzero(learner.moved)
         weight = learner.moved[rows]
-        tokens, forks = rows[rows < len(net.token)], rows[rows >= len(net.token)] - len(net.token)
-        moved = [*(net.token[tokens] * weight[: len(tokens), None]).astype("<f8"), *(net.branch[forks] * weight[len(tokens) :, None]).astype("<f8")]
+        tokens, nodes = rows[rows < len(net.token)], rows[rows >= len(net.token)] - len(net.token)
+        moved = [*(net.token[tokens] * weight[: len(tokens), None]).astype("<f8"), *(net.out[nodes] * weight[len(tokens) :, None, None]).astype("<f8")]
         dense = np.concatenate([getattr(net, n).ravel() for n in Network.DENSE])
         index = np.append(rows, -1)
         sums = [*moved, (dense * learner.steps).astype("<f8")]
@@ -300,8 +442,9 @@ def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, batch_size:
     """A network learnt from every document of ``tokens (doc_id, ids)``.
 
     Each round every task masks the positions that are dealt to it, so that the rounds together
-    predict every token once, and makes numpy steps from the shared network; the tasks' networks are averaged by Spark, each vector by its uses. Only the model
-    (two times ``vocabulary`` vectors at the most) comes back to the driver."""
+    predict every token once, and makes numpy steps from the shared network; the tasks' networks
+    are averaged by Spark, each vector by its uses. Only the model (a few vectors a token at the
+    most) comes back to the driver."""
     sc = tokens.sparkSession.sparkContext
     net = Network(corpus_counts(tokens, vocabulary), seed=seed, **shape)
     for r in range(rounds):
@@ -311,7 +454,7 @@ def train(tokens: DataFrame, vocabulary: int, rounds: int = ROUNDS, batch_size:
         for m in means.toLocalIterator():
             values = np.frombuffer(m.mean, dtype="<f4")
             if m.row >= len(net.token):
-                net.branch[m.row - len(net.token)] = values
+                net.out[m.row - len(net.token)] = values.reshape(net.out.shape[1:])
                 continue
             if m.row >= 0:
                 net.token[m.row] = values
@@ -339,9 +482,12 @@ def score_tokens(tokens: DataFrame, net: Network) -> DataFrame:
         for batch in batches:
             model, sums, sizes = shared.value, [], []
             for _, ids, offsets in _texts(batch):
-                logs, around = np.zeros(len(ids)), neighbours(ids, offsets, model.window, len(model.token) - 1)
+                w, logs = model.window, np.zeros(len(ids))
+                wide, place = spread(ids, offsets, w, len(model.token) - 1)
                 for i in range(0, len(ids), CHUNK):
-                    logs[i : i + CHUNK] = model.conditional(ids[i : i + CHUNK], around(slice(i, i + CHUNK)))
+                    at = place[i : i + CHUNK]
+                    hidden = model.over(wide[at[0] - w : at[-1] + w + 1])[at - at[0]]
+                    logs[i : i + CHUNK] = model.told(hidden, ids[i : i + CHUNK])
                 sums += [float(logs[a:b].sum()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 sizes += np.diff(offsets).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])

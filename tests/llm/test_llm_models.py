@@ -147,21 +147,101 @@ def test_conditionals_are_probabilities_and_sum_over_tokens(spark, tokens):
     assert (got[2].n_tokens, got[2].log_likelihood, got[2].mean_log_likelihood) == (0, 0.0, None) and got[None].n_tokens == 1
 
 
-def test_tokens_of_one_class_depend_on_the_context():
-    """Ids 8 and 9 share a class; which of the two comes is told by their neighbours alone."""
+def test_untrained_tree_has_the_counts_shares():
+    rng = np.random.default_rng(2)
+    for vocabulary, branch in ((1, 4), (3, 4), (4, 4), (50, 2), (50, 7), (400, 32)):
+        counts = np.floor(rng.pareto(1, vocabulary) * 20)
+        net = lm.Network(counts, branch=branch)
+        net.out[0, :, :-1] = 0
+        every = np.arange(vocabulary)
+        told = net.conditional(every, np.zeros((4, vocabulary), dtype=int))
+        assert np.allclose(told, np.log((counts + 0.5) / (counts + 0.5).sum()), atol=1e-3)
+        steps = 1 + (net.second >= 0) + net.deep
+        order = np.argsort(counts, kind="stable")
+        assert (np.diff(steps[order]) <= 0).all()  # no more choices for a token that is more frequent
+        assert steps @ (counts + 0.5) / (counts + 0.5).sum() <= -told @ (counts + 0.5) / (counts + 0.5).sum() / np.log(branch) + 1 + 1e-6
+
+
+def small_network(branch):
+    rng = np.random.default_rng(5)
+    counts = np.floor(rng.pareto(0.8, 60) * 9)
+    net = lm.Network(counts, width=4, branch=branch, window=2, seed=3)
+    net.out[:, :, :-1] += rng.standard_normal(net.out[:, :, :-1].shape) * 0.3
+    net.place += rng.standard_normal(net.place.shape).astype(np.float32) * 0.2
+    net.shift += rng.standard_normal(net.shift.shape).astype(np.float32) * 0.2
+    return net, rng
+
+
+@pytest.mark.parametrize("branch", [2, 5, 16])
+def test_steps_follow_the_gradient_by_differences(branch):
+    """Every slope of a step against differences of the loss, entry by entry."""
+    net, rng = small_network(branch)
+    text = rng.integers(0, 60, 70)
+    stretch, at = np.concatenate([[60, 60], text, [60, 60]]).astype(np.int32), np.flatnonzero(rng.random(70) < 0.8)
+    padded = stretch
+
+    def loss():
+        around = np.stack([padded[at + 2 + g] for g in (-2, -1, 1, 2)])
+        return -net.conditional(padded[at + 2], around).sum()
+
+    def slope(part, index, eps=2e-2):
+        old = part[index]
+        part[index] = old + eps
+        up = loss()
+        part[index] = old - eps
+        down = loss()
+        part[index] = old
+        return (up - down) / (2 * eps)
+
+    every = {n: np.array([slope(getattr(net, n), i) for i in np.ndindex(getattr(net, n).shape)]).reshape(getattr(net, n).shape) for n in ("token", "shift", "place")}
+    nodes = {k: np.array([slope(net.out, (k, *i)) for i in np.ndindex(net.out.shape[1:])]).reshape(net.out.shape[1:]) for k in range(len(net.out))}
+    learner = lm.Learner(net, 0.1)
+    before = {n: getattr(net, n).copy() for n in ("token", "shift", "place", "out")}
+    learner.step(stretch, at)
+    uses = np.zeros(61)
+    for g in (-2, -1, 1, 2):
+        np.add.at(uses, padded[at + 2 + g], 1)
+    assert learner.moved[:61].tolist() == uses.tolist() and learner.moved[61] == len(at)
+
+    def moved(name, expect, square):
+        assert np.allclose(before[name] - getattr(net, name), 0.1 * expect / np.sqrt(1e-2 + square), atol=2e-3), name
+
+    for name in ("shift", "place"):
+        moved(name, every[name] / len(at), (every[name] / len(at)) ** 2)
+    mean = every["token"] / np.maximum(uses, 1)[:, None]
+    moved("token", mean, (mean**2).mean(axis=1, keepdims=True))
+    choices = learner.moved[61:]
+    mean = np.stack([nodes[k] / max(choices[k], 1) for k in range(len(net.out))])
+    moved("out", mean, mean**2)
+
+
+def test_scores_equal_the_choices_one_by_one():
+    net, rng = small_network(3)
+    for _ in range(20):
+        ids = rng.integers(0, 60, rng.integers(1, 40)).astype(np.int32)
+        wide, place = lm.spread(ids, np.array([0, len(ids)]), 2, 60)
+        told = net.told(net.over(wide), ids)
+        for i, token in enumerate(ids):
+            total = net.shift + sum(net.place[j] * net.token[wide[place[i] + g]] for j, g in enumerate((-2, -1, 1, 2)))
+            hidden, log = np.append(np.tanh(total), 1.0), 0.0
+            way = [(0, net.turns[0][token])] + [(net.second[token], net.turns[1][token])] * int(net.second[token] >= 0)
+            way += [(net.node[k], net.turn[k]) for k in range(net.first[token], net.first[token] + net.deep[token])]
+            for node, turn in way:
+                logits = net.out[node] @ hidden
+                log += logits[turn] - np.log(np.exp(logits).sum())
+            assert math.isclose(told[i], log, abs_tol=1e-4)
+
+
+def test_rare_tokens_depend_on_the_context():
+    """Ids 8 and 9 are as frequent; which of the two comes is told by their neighbours alone."""
     counts = np.array([400, 400, 9, 9, 9, 9, 9, 9, 50, 50, *[0] * 200], dtype=float)
-    net = lm.Network(counts, classes=4)
-    assert net.kind[8] == net.kind[9] and net.depth.max() <= 2 * np.log2(len(counts)) and net.depth[counts == 0].min() > 0
+    net = lm.Network(counts, branch=4)
     every, contexts = np.arange(len(counts)), [np.full((4, 1), c) for c in (0, 1)]
-    untrained = net.conditional(every, np.repeat(contexts[0], len(every), axis=1))
-    share = (counts + 0.5) / np.bincount(net.kind, weights=counts + 0.5)[net.kind]
-    for k in np.unique(net.kind):
-        own = untrained[net.kind == k]
-        assert np.allclose(own - np.log(np.exp(own).sum()), np.log(share[net.kind == k]), atol=1e-4)
-    learner, rng = lm.Learner(net, lm.RATE), np.random.default_rng(0)
+    learner, rng = lm.Learner(net, 0.15), np.random.default_rng(0)
     for _ in range(60):
         which = rng.integers(0, 2, 256)
-        learner.step(8 + which, np.repeat(which[None], 4, axis=0))
+        stretch = np.stack([which, which, 8 + which, which, which], axis=1).ravel().astype(np.int32)
+        learner.step(stretch, np.arange(256) * 5)
     lead = [np.diff(net.conditional(np.array([8, 9]), np.repeat(c, 2, axis=1)))[0] for c in contexts]
     assert lead[0] < -1 and lead[1] > 1
     for c in contexts:
@@ -170,15 +250,27 @@ def test_tokens_of_one_class_depend_on_the_context():
 
 @pytest.mark.parametrize("rounds", [1, 2, 3])
 def test_rounds_learn_from_every_position_once(monkeypatch, rounds):
-    texts = [np.arange(at, at + n, dtype="<u4") for at, n in ((0, 1), (1, 2), (3, 0), (3, 500), (503, 97))]
+    rng = np.random.default_rng(1)
+    sizes = [1, 2, 0, 500, 97, *rng.integers(0, 60, 30).tolist(), 5000]
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    texts = [np.arange(a, b, dtype="<u4") for a, b in zip(edges[:-1], edges[1:])]
     batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
-    seen = []
+    seen, count = [], int(edges[-1])
     monkeypatch.setattr(lm.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
-    monkeypatch.setattr(lm.Learner, "step", lambda self, ids, around: seen.append(ids))
+
+    def step(self, stretch, at):
+        w, own = self.net.window, stretch[at + self.net.window]
+        text = np.searchsorted(edges, own, side="right") - 1
+        for g in (-2, -1, 1, 2):  # neighbours are those of the text, or what lies beyond it
+            there = (own + g >= edges[text]) & (own + g < edges[text + 1])
+            assert (stretch[at + w + g] == np.where(there, own + g, count)).all()
+        seen.append(own)
+
+    monkeypatch.setattr(lm.Learner, "step", step)
     for r in range(rounds):
-        list(lm._trained(lm.Network(np.ones(600)), r, rounds, 0, 64, 0.1)(iter([batch])))
-        assert sum(map(len, seen)) < 600 or r == rounds - 1
-    assert sorted(np.concatenate(seen).tolist()) == list(range(600))
+        list(lm._trained(lm.Network(np.ones(count)), r, rounds, 0, 64, 0.1)(iter([batch])))
+        assert sum(map(len, seen)) < count or r == rounds - 1
+    assert sorted(np.concatenate(seen).tolist()) == list(range(count))
 
 
 def test_scoring_odd_documents(spark):
