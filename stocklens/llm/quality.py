@@ -182,7 +182,8 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS,
     Document counts of every n-gram in either class come from all rows, added up by Spark; the
     descent sees at most ``fit_rows`` of them, repeated rows once, in one task. Both are bounded
     by their parameters, and so is the model. Without rows of both labels the model is a constant."""
-    known = labelled.where("label IN (0, 1)").select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
+    hashed = F.col("hash") if "hash" in labelled.columns else F.xxhash64("text").alias("hash")
+    known = labelled.where("label IN (0, 1)").select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"), hashed)
 
     def counted(batches):
         counts, docs = np.zeros((2, buckets), dtype=np.int64), np.zeros(2, dtype=np.int64)
@@ -210,7 +211,6 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS,
         weights, slope, shift = fit(rows, np.where(np.array(labels, dtype=int) > 0, 1, -1), scale, passes)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([slope]), pa.array([shift])], names=["w", "a", "b"])
 
-    known = known.withColumn("hash", F.xxhash64("text"))
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"), F.col("hash")]
     chosen = None
     for y in (0, 1):
@@ -252,9 +252,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, text, label)`` of the documents that may be learnt from. A document with
-    several labels counts once if they agree and else not at all."""
+    """``(doc_id, text, hash, label)`` of the documents that may be learnt from, the text's hash
+    made before the join so that choosing rows moves no texts. A document with several labels
+    counts once if they agree and else not at all."""
     told = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
     told = told.where("label = other").select("doc_id", "label").where(~held_out(F.col("doc_id")))
     # Labels grow with the corpus: joined by shuffle at every size.
-    return docs.select("doc_id", "text").join(told.hint("merge"), "doc_id")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).join(told.hint("merge"), "doc_id")
