@@ -37,6 +37,20 @@ def _byte_kinds() -> np.ndarray:
 
 
 KINDS = _byte_kinds()
+#: A pre-token's first bytes are compared as so many words of eight.
+HEAD = 4
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+
+
+def _heads(raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The first ``8 HEAD`` bytes of each pre-token as words, zeros after its end."""
+    words = np.ndarray(len(raw) + 8 * HEAD, dtype="<u8", buffer=raw + bytes(8 * (HEAD + 1)), strides=(1,))
+    out = np.zeros((len(starts), HEAD), dtype=np.uint64)
+    out[:, 0] = words[starts] & MASKS[np.minimum(sizes, 8)]
+    for k in range(1, HEAD):
+        some = np.flatnonzero(sizes > 8 * k)
+        out[some, k] = words[starts[some] + 8 * k] & MASKS[np.minimum(sizes[some] - 8 * k, 8)]
+    return out
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +101,9 @@ class BytePairEncoder:
 
     def _forget(self) -> None:
         self.slot: dict[int, int] = {}
-        self.texts: list[bytes] = []
+        self.long: dict[int, bytes] = {}
+        self.head = np.zeros((1 << 16, HEAD), dtype=np.uint64)
+        self.bytes = np.zeros(1 << 16, np.int64)
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.first, self.size, self.filled = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
 
@@ -172,19 +188,22 @@ class BytePairEncoder:
         code, distinct = pd.factorize(keys)
         sample = np.empty(len(distinct), dtype=np.int64)
         sample[code[::-1]] = np.arange(len(code))[::-1]
-        raw = data.tobytes()
-        texts = [raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
-        if not self._alike(data, starts, ends, sample[code]):
+        raw, sizes = data.tobytes(), ends - starts
+        head, like = _heads(raw, starts, sizes), sample[code]
+        if (sizes != sizes[like]).any() or (head != head[like]).any() or any(
+            raw[starts[i] : ends[i]] != raw[starts[like[i]] : ends[like[i]]] for i in np.flatnonzero(sizes > 8 * HEAD).tolist()
+        ):
             return self._apart(raw, starts, ends)
         if len(self.slot) + len(distinct) > KEPT:
             self._forget()
         get = self.slot.get
         slots = np.fromiter((get(x, -1) for x in distinct.tolist()), dtype=np.int64, count=len(distinct))
-        known = self.texts
-        if any(i >= 0 and known[i] != t for i, t in zip(slots.tolist(), texts, strict=True)):
+        old = np.flatnonzero(slots >= 0)
+        if not self._same(raw, slots[old], starts[sample[old]], sizes[sample[old]], head[sample[old]]):
             return self._apart(raw, starts, ends)
         if len(new := np.flatnonzero(slots < 0)):
-            slots[new] = self._learn(distinct[new], [texts[i] for i in new.tolist()])
+            where = sample[new]
+            slots[new] = self._learn(distinct[new], [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)], head[where])
         size = self.size[slots][code]
         total = np.cumsum(size)
         at = np.arange(total[-1]) + np.repeat(self.first[slots][code] - (total - size), size)
@@ -199,13 +218,12 @@ class BytePairEncoder:
         key = (sums[ends] - sums[starts]) * self.unpower[starts]
         return key ^ ((ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    @staticmethod
-    def _alike(data, starts, ends, like) -> bool:
-        """Whether each pre-token has the bytes of the one at ``like``, whose hash it has."""
-        sizes = ends - starts
-        if (sizes != sizes[like]).any():
+    def _same(self, raw: bytes, slots, starts, sizes, head) -> bool:
+        """Whether pre-tokens have the bytes that the table holds for them."""
+        if (self.bytes[slots] != sizes).any() or (self.head[slots] != head).any():
             return False
-        return bool((data == data[np.arange(len(data)) + np.repeat(starts[like] - starts, sizes)]).all())
+        more = np.flatnonzero(sizes > 8 * HEAD)
+        return all(self.long[s] == raw[a : a + n] for s, a, n in zip(slots[more].tolist(), starts[more].tolist(), sizes[more].tolist(), strict=True))
 
     def _apart(self, raw: bytes, starts, ends):
         """A segment in which different pre-tokens share a hash: each by its own bytes."""
@@ -218,13 +236,14 @@ class BytePairEncoder:
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return starts, size, np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(size.sum()))
 
-    def _learn(self, keys: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    def _learn(self, keys: np.ndarray, texts: list[bytes], head: np.ndarray) -> np.ndarray:
         found = [self.piece(t.decode()) for t in texts]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         ids = np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(sizes.sum()))
         slot = len(self.slot)
         while slot + len(found) > len(self.first):
-            self.first, self.size = np.append(self.first, np.zeros_like(self.first)), np.append(self.size, np.zeros_like(self.size))
+            self.first, self.size, self.bytes = (np.append(x, np.zeros_like(x)) for x in (self.first, self.size, self.bytes))
+            self.head = np.concatenate([self.head, np.zeros_like(self.head)])
         while self.filled + len(ids) > len(self.ids):
             self.ids = np.append(self.ids, np.zeros_like(self.ids))
         slots = np.arange(slot, slot + len(found))
@@ -233,7 +252,8 @@ class BytePairEncoder:
         self.ids[self.filled : self.filled + len(ids)] = ids
         self.filled += len(ids)
         self.slot.update(zip(keys.tolist(), slots.tolist(), strict=True))
-        self.texts += texts
+        self.head[slots], self.bytes[slots] = head, [len(t) for t in texts]
+        self.long.update((s, t) for s, t in zip(slots.tolist(), texts, strict=True) if len(t) > 8 * HEAD)
         return slots
 
 
