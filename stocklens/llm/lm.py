@@ -110,10 +110,11 @@ class Network:
         """Log-probability of each id between its neighbours (a row of ``around`` per place)."""
         return self.told(self.hidden(around), ids)
 
-    def told(self, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Log-probability of each id given its hidden vector: the sum over the choices to it."""
+    def told(self, hidden: np.ndarray, ids: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Log-probability of each id given its hidden vector, the one at ``at`` if that is given:
+        the sum over the choices to it."""
         order, stands = self.stands(ids)
-        ids, wide, sums, ones = ids[order], with_ones(hidden, order), np.zeros(len(ids), dtype=np.float32), np.ones(self.branch, dtype=np.float32)
+        ids, wide, sums, ones = ids[order], with_ones(hidden, order if at is None else at[order]), np.zeros(len(ids), dtype=np.float32), np.ones(self.branch, dtype=np.float32)
         for level, node, a, b in stands:
             logits = steady(wide[a:b] @ self.out[node].T)
             sums[a:b] += logits[np.arange(b - a), self.turns[level][ids[a:b]]]
@@ -208,7 +209,7 @@ class Learner:
         """Learn from the positions ``at`` of a ``stretch`` of ids that begins and ends a window
         before the first and after the last of them."""
         net, w, n = self.net, self.net.window, len(at)
-        inside, every = len(stretch) - 2 * w, n == len(stretch) - 2 * w
+        inside = len(stretch) - 2 * w
         gaps = [g for g in range(2 * w + 1) if g != w]
         vectors, part = self._scratch("vectors", len(stretch)), self._scratch("part", BLOCK)
         np.take(net.token, stretch, axis=0, out=vectors, mode="clip")
@@ -221,17 +222,11 @@ class Learner:
             for j, g in enumerate(gaps[1:], 1):
                 some += np.multiply(vectors[g + a : g + b], net.place[j], out=other)
             np.tanh(some, out=some)
-        if not every:
-            hidden = hidden[at]
-        inner = self._choose(hidden, stretch[at + w])
+        pulled, used = self._choose(hidden, stretch[at + w], at), np.zeros(inside, dtype=np.int64)
+        used[at] = 1
         hidden *= hidden
-        inner *= np.subtract(1.0, hidden, out=hidden)
-        slopes = {"shift": inner.sum(axis=0) / n, "place": np.zeros_like(net.place)}
-        if every:
-            pulled, used = inner, np.ones(inside, dtype=np.int64)
-        else:
-            pulled, used = np.zeros((inside, inner.shape[1]), dtype=np.float32), np.zeros(inside, dtype=np.int64)
-            pulled[at], used[at] = inner, 1
+        pulled *= np.subtract(1.0, hidden, out=hidden)
+        slopes = {"shift": pulled.sum(axis=0) / n, "place": np.zeros_like(net.place)}
         pushed, uses = self._scratch("pushed", len(stretch)), np.zeros(len(stretch), dtype=np.int64)
         pushed[:] = 0
         for a, b in blocks:
@@ -264,11 +259,13 @@ class Learner:
         self.net.token[rows] -= (self.rate * total / np.sqrt(self.token_square[rows])[:, None]).astype(np.float32)
         self.moved[rows] += uses
 
-    def _choose(self, hidden: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Move the choices on the ways to ``ids``; the slopes of the hidden vectors come back."""
+    def _choose(self, hidden: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Move the choices on the ways to ``ids``, which stand at ``at``; the slopes of all hidden
+        vectors come back."""
         net, ones = self.net, self.ones
         order, stands = net.stands(ids)
-        ids, wide, back = ids[order], with_ones(hidden, order), np.zeros_like(hidden)
+        ids, at = ids[order], at[order]
+        wide, back = with_ones(hidden, at), np.zeros((len(at), hidden.shape[1]), dtype=np.float32)
         slopes: dict[int, np.ndarray] = {}
         uses: dict[int, int] = {}
         for level, node, a, b in stands:
@@ -298,8 +295,8 @@ class Learner:
             if len(below.first) < len(slope):
                 slope = np.add.reduceat(slope, below.first, axis=0)
             self._move(below.nodes, slope, below.counts)
-        found = np.empty_like(back)
-        found[order] = back
+        found = np.zeros_like(hidden)
+        found[at] = back
         return found
 
     def _move(self, nodes: np.ndarray, slope: np.ndarray, uses: np.ndarray) -> None:
@@ -486,8 +483,8 @@ def score_tokens(tokens: DataFrame, net: Network) -> DataFrame:
                 wide, place = spread(ids, offsets, w, len(model.token) - 1)
                 for i in range(0, len(ids), CHUNK):
                     at = place[i : i + CHUNK]
-                    hidden = model.over(wide[at[0] - w : at[-1] + w + 1])[at - at[0]]
-                    logs[i : i + CHUNK] = model.told(hidden, ids[i : i + CHUNK])
+                    hidden = model.over(wide[at[0] - w : at[-1] + w + 1])
+                    logs[i : i + CHUNK] = model.told(hidden, ids[i : i + CHUNK], at - at[0])
                 sums += [float(logs[a:b].sum()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 sizes += np.diff(offsets).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
