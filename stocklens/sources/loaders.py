@@ -91,8 +91,7 @@ def publish_table(df: DataFrame, name: str, root: str, fmt: str = "parquet") ->
 
 def published_location(spark: SparkSession, name: str) -> str:
     """The folder that a published table points to."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0].data_type
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
 
 
 def ingest_batch(
