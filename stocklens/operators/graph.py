@@ -151,6 +151,30 @@ def cd_store_edges(plan: DataFrame) -> DataFrame:
     return rows.select(F.col("delivering_cd").alias("src"), F.col("store").alias("dst")).distinct()
 
 
+def plan_edges(plan: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """G1 and G2 from one pass over ``plan``: ``cd_cd_edges``, ``cd_store_edges`` and the number of
+    plan lines (one row, ``total_records``), read from the distinct pairs, which are stored.
+
+    A line gives a pair of each kind, and equal pairs meet before they are shuffled. Whatever
+    reads edges more than once reads files instead of the joins that a plan may be."""
+    ends = {"cd": ("supplying_cd", "delivering_cd"), "store": ("delivering_cd", "store")}
+    types = {c: _type(plan, c) for pair in ends.values() for c in pair}
+    one = next(iter(types.values())) if len(set(types.values())) == 1 else "string"
+    pairs = plan.select(
+        F.explode(F.array(*[
+            F.struct(F.lit(kind).alias("kind"), F.col(a).cast(one).alias("src"), F.col(b).cast(one).alias("dst")) for kind, (a, b) in ends.items()
+        ])).alias("x")
+    ).groupBy("x.kind", "x.src", "x.dst").agg(F.count(F.lit(1)).alias("lines"))
+    pairs = _stored(pairs)
+
+    def of(kind: str) -> DataFrame:
+        known = pairs.where((F.col("kind") == kind) & F.col("src").isNotNull() & F.col("dst").isNotNull())
+        return known.select(*[F.col(c).cast(types[n]).alias(c) for c, n in zip(("src", "dst"), ends[kind])])
+
+    lines = pairs.where(F.col("kind") == "store").agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("total_records"))
+    return _stored(of("cd").where(F.col("src") != F.col("dst"))), of("store"), lines
+
+
 def plan_profile(plan: DataFrame) -> DataFrame:
     """Line counts and distinct ids of the supply plan (one row)."""
     a, e, s = F.col("supplying_cd"), F.col("delivering_cd"), F.col("store")
@@ -198,19 +222,36 @@ def density(edges: DataFrame) -> DataFrame:
     return m.select(n.alias("nodes"), F.col("m").alias("edges"), dens.alias("density"))
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """In, out and total degree per node (a self-loop adds one to each of in and out)."""
-    e = _edges(edges)
+#: Values of ``_ends``' ``open``: edges from, to, and both from and to other nodes.
+OPEN_IN, OPEN_OUT, OPEN_BOTH = 1, 2, 3
+
+
+def _ends(edges: DataFrame) -> DataFrame:
+    """Per node its edges in and out, and in ``open`` on which sides other nodes are."""
+    e = _edges(edges).withColumn("other", F.coalesce(F.col("src") != F.col("dst"), F.lit(False)))
     ends = e.select(
         F.explode(
             F.array(
-                F.struct(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")),
-                F.struct(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+                F.struct(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"), F.when(F.col("other"), OPEN_OUT).otherwise(0).alias("open")),
+                F.struct(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"), F.when(F.col("other"), OPEN_IN).otherwise(0).alias("open")),
             )
         ).alias("x")
     ).select("x.*")
-    agg = ends.groupBy("node").agg(F.sum("i").cast("long").alias("in_degree"), F.sum("o").cast("long").alias("out_degree"))
-    return agg.select("node", (F.col("in_degree") + F.col("out_degree")).alias("degree"), "in_degree", "out_degree")
+    return ends.groupBy("node").agg(F.sum("i").cast("long").alias("in_degree"), F.sum("o").cast("long").alias("out_degree"), F.bit_or("open").alias("open"))
+
+
+def stored_ends(edges: DataFrame) -> DataFrame:
+    """What ``scc`` and the node tables need of every node, from one pass over the edges."""
+    return _stored(_ends(edges))
+
+
+def degrees(edges: DataFrame) -> DataFrame:
+    """In, out and total degree per node (a self-loop adds one to each of in and out)."""
+    return _degrees(_ends(edges))
+
+
+def _degrees(ends: DataFrame) -> DataFrame:
+    return ends.select("node", (F.col("in_degree") + F.col("out_degree")).alias("degree"), "in_degree", "out_degree")
 
 
 # --------------------------------------------------------------------------- G7 G8
@@ -281,7 +322,7 @@ def _contract(e: DataFrame, active: DataFrame, n_active: int):
     return edges, active.join(gone, "node", "left_anti"), _Contracted(members, paths), open_.select("node", F.col("most").alias("scc_id"))
 
 
-def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
+def scc(edges: DataFrame, hub_edges: int | None = None, ends: DataFrame | None = None) -> DataFrame:
     """Strongly connected component of every node: (node, scc_id, scc_size).
 
     ``scc_id`` is the largest node id of the component. A node alone, with or without a
@@ -291,17 +332,23 @@ def scc(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
     contracted to an edge (``_contract``) and take their component from the ends of their path
     afterwards. Nodes without an edge in or out are trimmed. What is left is coloured. Each
     round writes the rows that it changed.
+
+    The first trim needs no more than ``ends`` (``stored_ends(edges)``; computed if not given), and
+    only the edges between nodes that it leaves are written.
     """
-    e, _ = _ckpt_sized(_edges(edges).where(F.col("src") != F.col("dst")).distinct())
-    active, n_active, size = _ckpt_nodes(graph_nodes(edges))
-    found: list[DataFrame] = []
+    ends = stored_ends(edges) if ends is None else ends
+    found: list[DataFrame] = [ends.where(F.col("open") != OPEN_BOTH).select("node", F.col("node").alias("scc_id"))]
     contracted: list[_Contracted] = []
+    active, n_active, size = _ckpt_nodes(ends.where(F.col("open") == OPEN_BOTH).select("node"))
+    if n_active:
+        e = _ckpt(_restrict(_edges(edges).where(F.col("src") != F.col("dst")), _small(active, size)).distinct())
+    restricted = True  # e has only edges between active nodes
 
     while n_active:
         # Trim and contract: each round reads two checkpointed leaves (edges, active nodes):
         # constant-size plans.
         while n_active:
-            live = _restrict(e, _small(active, size))
+            live, restricted = e if restricted else _restrict(e, _small(active, size)), False
             ends = live.select(F.col("dst").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
                 live.select(F.col("src").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))
             )
@@ -451,8 +498,12 @@ def cd_levels(edges: DataFrame, hub_edges: int | None = None) -> DataFrame:
 def store_levels(edges: DataFrame) -> DataFrame:
     """Multi-source BFS from every node with out-degree > 0 (level 0); every other node
     has an in-edge from such a node, so it is level 1. Closed form, no iteration."""
-    deg = degrees(edges)
-    return deg.select("node", F.when(F.col("out_degree") > 0, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("level"))
+    return store_levels_of(degrees(edges))
+
+
+def store_levels_of(nodes: DataFrame) -> DataFrame:
+    """``store_levels`` from nodes with their ``out_degree``."""
+    return nodes.select("node", F.when(F.col("out_degree") > 0, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("level"))
 
 
 def hierarchy_summary(levels: DataFrame, n_sources: Column) -> DataFrame:
@@ -476,9 +527,9 @@ def node_metrics(cd_edges: DataFrame, store_edges: DataFrame) -> DataFrame:
     return cd_cd_nodes(cd_edges).unionByName(cd_store_nodes(store_edges))
 
 
-def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_type: Column, comps: DataFrame | None = None) -> DataFrame:
-    comps = (comps if comps is not None else scc(edges)).select("node", "scc_id", "scc_size")
-    base = degrees(edges).join(comps, "node", "left").join(levels, "node", "left")
+def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_type: Column, comps: DataFrame | None, ends: DataFrame) -> DataFrame:
+    comps = (comps if comps is not None else scc(edges, ends=ends)).select("node", "scc_id", "scc_size")
+    base = _degrees(ends).join(comps, "node", "left").join(levels, "node", "left")
     size = F.coalesce(F.col("scc_size"), F.lit(1)).cast("long")
     return base.select(
         "node",
@@ -494,17 +545,19 @@ def _graph_nodes_table(edges: DataFrame, levels: DataFrame, graph: str, node_typ
     )
 
 
-def cd_cd_nodes(cd_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None) -> DataFrame:
-    """Node rows of the CD->CD graph (``levels`` = G9, ``comps`` = G7 output; computed if not given)."""
+def cd_cd_nodes(cd_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
+    """Node rows of the CD->CD graph (``levels`` = G9, ``comps`` = G7 output, ``ends`` =
+    ``stored_ends``; computed if not given)."""
     lv = levels if levels is not None else cd_levels(cd_edges)
-    return _graph_nodes_table(cd_edges, lv, CD_CD, F.lit(CD), comps)
+    return _graph_nodes_table(cd_edges, lv, CD_CD, F.lit(CD), comps, ends if ends is not None else stored_ends(cd_edges))
 
 
-def cd_store_nodes(store_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None) -> DataFrame:
+def cd_store_nodes(store_edges: DataFrame, levels: DataFrame | None = None, comps: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
     """Node rows of the CD->store graph: a node with out-edges is a CD, otherwise a store."""
+    ends = ends if ends is not None else stored_ends(store_edges)
     kind = F.when(F.col("out_degree") > 0, F.lit(CD)).otherwise(F.lit(STORE))
-    lv = levels if levels is not None else store_levels(store_edges)
-    return _graph_nodes_table(store_edges, lv, CD_STORE, kind, comps)
+    lv = levels if levels is not None else store_levels_of(ends)
+    return _graph_nodes_table(store_edges, lv, CD_STORE, kind, comps, ends)
 
 
 def edge_table(cd_edges: DataFrame, store_edges: DataFrame) -> DataFrame:

@@ -229,7 +229,7 @@ def supply_plan_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
     return lines.select(
         F.col("s_nationkey").cast("long").alias("supplying_cd"),
         F.col("l_suppkey").cast("long").alias("delivering_cd"),

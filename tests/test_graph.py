@@ -2,6 +2,7 @@ import json
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stocklens.operators import graph as G
@@ -221,3 +222,48 @@ def test_long_chain_and_ring_take_few_rounds(spark, monkeypatch):
     ring = spark.range(n).select(F.col("id").alias("src"), ((F.col("id") + 1) % n).alias("dst")).select(label("src"), label("dst"))
     assert G.scc(ring).groupBy("scc_id", "scc_size").count().collect() == [(n - 1, n, n)]
     assert len(rounds) < 40
+
+
+def counted(spark, rows, schema):
+    """A plan, and how many of its rows have been made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    return spark.createDataFrame(rows, schema).mapInArrow(count, schema), made
+
+
+PLAN = "supplying_cd long, delivering_cd long, store long"
+LINES = [(1, 2, 100), (1, 2, 100), (2, 2, 101), (1, 3, 2), (None, 4, 102), (3, 3, 3), (2, None, 100), (3, 1, None)]
+
+
+@pytest.mark.parametrize("name", ["t3_top_nodes"])
+def test_network_queries_make_the_plan_once(spark, monkeypatch, name):
+    from stocklens.plans.registry import REGISTRY
+    from stocklens.sources import testdata
+
+    plan, made = counted(spark, LINES, PLAN)
+    monkeypatch.setattr(testdata, "supply_plan_network", lambda *_: plan)
+    assert REGISTRY[name](spark, "unused").count()
+    assert made.value == len(LINES)
+
+
+def test_plan_edges_equal_the_edges_one_by_one(spark):
+    plan = spark.createDataFrame([(a and f"0{a}", b and f"0{b}", c) for a, b, c in LINES], "supplying_cd string, delivering_cd string, store int")
+    cd, st, lines = G.plan_edges(plan)
+    for found, one in ((cd, G.cd_cd_edges(plan)), (st, G.cd_store_edges(plan))):
+        assert found.dtypes == one.dtypes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, one.collect()))
+    assert lines.first().total_records == len(LINES)
+
+
+def test_only_edges_between_nodes_open_on_both_sides_are_written(spark, monkeypatch):
+    sizes = []
+    real = G._ckpt
+    monkeypatch.setattr(G, "_ckpt", lambda df: sizes.append((df.columns, (out := real(df)).count())) or out)
+    e = edges(spark, [(c, 100 + s) for c in range(5) for s in range(40)] + [(1, 2), (2, 1), (7, 7), (None, 3), (3, None)])
+    assert found(G.scc(e).where("node IN (1, 2, 7, 100)")) == {1: (2, 2), 2: (2, 2), 7: (7, 1), 100: (100, 1)}
+    assert max(n for c, n in sizes if "src" in c) == 2
