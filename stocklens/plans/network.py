@@ -19,10 +19,11 @@ PLAN_TABLE = "supply plan"
 
 @dataclass
 class Network:
-    """The analysed network of one supply plan. The iterative results (levels, node tables)
-    are checkpointed once in ``build_network``; every output reuses them."""
+    """The analysed network of one supply plan. The edges and the iterative results (levels, node
+    tables) are written once in ``build_network``; every output reuses them. ``lines`` is the
+    number of plan lines (one row, ``total_records``)."""
 
-    plan: DataFrame
+    lines: DataFrame
     cd_edges: DataFrame
     store_edges: DataFrame
     cd_levels: DataFrame
@@ -49,14 +50,14 @@ def build_network(plan: DataFrame, concurrent: bool = True) -> Network:
     Spark runs their jobs side by side in the same application (each round is small and
     latency-bound, so they overlap well; on a cluster the FAIR scheduler shares executors).
     """
-    quality.require_rows(plan, what="supply plan rows")
     ensure_checkpoint_dir(plan.sparkSession)
-    cd_edges = G.cd_cd_edges(plan).checkpoint(eager=True)
-    store_edges = G.cd_store_edges(plan).checkpoint(eager=True)
+    cd_edges, store_edges, lines = G.plan_edges(plan)
+    quality.require_rows(lines.where(F.col("total_records") > 0), what="supply plan rows")
+    cd_ends, store_ends = G.stored_ends(cd_edges), G.stored_ends(store_edges)
     loops = {
         "cd_levels": lambda: G.cd_levels(cd_edges).checkpoint(eager=True),
-        "cd_scc": lambda: G.scc(cd_edges).checkpoint(eager=True),
-        "store_scc": lambda: G.scc(store_edges).checkpoint(eager=True),
+        "cd_scc": lambda: G.scc(cd_edges, ends=cd_ends).checkpoint(eager=True),
+        "store_scc": lambda: G.scc(store_edges, ends=store_ends).checkpoint(eager=True),
     }
     if concurrent:
         with ThreadPoolExecutor(max_workers=len(loops)) as pool:
@@ -65,10 +66,10 @@ def build_network(plan: DataFrame, concurrent: bool = True) -> Network:
     else:
         done = {name: fn() for name, fn in loops.items()}
     cd_levels = done["cd_levels"]
-    store_levels = G.store_levels(store_edges)
-    cd_nodes = G.cd_cd_nodes(cd_edges, cd_levels, done["cd_scc"]).checkpoint(eager=True)
-    store_nodes = G.cd_store_nodes(store_edges, store_levels, done["store_scc"]).checkpoint(eager=True)
-    return Network(plan, cd_edges, store_edges, cd_levels, store_levels, cd_nodes, store_nodes)
+    store_levels = G.store_levels_of(store_ends)
+    cd_nodes = G.cd_cd_nodes(cd_edges, cd_levels, done["cd_scc"], cd_ends).checkpoint(eager=True)
+    store_nodes = G.cd_store_nodes(store_edges, store_levels, done["store_scc"], store_ends).checkpoint(eager=True)
+    return Network(lines, cd_edges, store_edges, cd_levels, store_levels, cd_nodes, store_nodes)
 
 
 def _entries_map(df: DataFrame, key: str, value: str) -> Column:
@@ -80,6 +81,21 @@ def _one(df: DataFrame, col: str) -> Column:
     return df.select(col).scalar()
 
 
+def _sides(nodes: DataFrame) -> DataFrame:
+    """Distinct senders and receivers, and edges, of a graph's node table (one row)."""
+    return nodes.agg(
+        F.count_if(F.col("out_degree") > 0).alias("senders"),
+        F.count_if(F.col("in_degree") > 0).alias("receivers"),
+        F.coalesce(F.sum("out_degree"), F.lit(0)).alias("edges"),
+    )
+
+
+def _top(nodes: DataFrame, degree: str, k: int = 10) -> Column:
+    """``top_degree`` as a map, from the node table: a row per node instead of one per edge."""
+    some = nodes.where(F.col(degree) > 0).orderBy(F.col(degree).desc(), F.col("node").asc()).limit(k)
+    return _entries_map(some, "node", degree)
+
+
 def _scc_struct(nodes: DataFrame, in_cycles_name: str) -> Column:
     summary = G.scc_summary(nodes)
     return F.struct(
@@ -111,10 +127,10 @@ def network_report(net: Network, processed_at: dt.datetime | None = None, source
     """
     totals = G.network_totals(net.nodes, net.edges)
     ts = timestamp_of(processed_at)
-    n_sources = G.sources(net.cd_edges).agg(F.count(F.lit(1))).scalar()
-    n_store_cds = net.store_nodes.agg(F.count_if(F.col("out_degree") > 0)).scalar()
-    cd, st = net.cd_edges, net.store_edges
-    return net.plan.agg(F.count(F.lit(1)).alias("total_records")).select(
+    cd, st = _sides(net.cd_nodes), _sides(net.store_nodes)
+    n_sources = net.cd_nodes.agg(F.count_if(F.col("in_degree") == 0)).scalar()
+    n_store_cds = _one(st, "senders")
+    return net.lines.select(
         F.struct(
             F.lit(G.BOTH_GRAPHS).alias("tipo_analise"),
             F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("data_processamento"),
@@ -129,19 +145,19 @@ def network_report(net: Network, processed_at: dt.datetime | None = None, source
             _one(totals, "nodes_in_cycles").alias("nos_em_ciclos"),
         ).alias("estatisticas_gerais"),
         F.struct(
-            quality.distinct_scalar(cd, "src").alias("cds_unicos_atendem"),
-            quality.distinct_scalar(cd, "dst").alias("cds_unicos_atendidos"),
-            cd.agg(F.count(F.lit(1))).scalar().alias("total_conexoes"),
-            _entries_map(G.top_degree(cd, "src"), "node", "edges").alias("top_cds_por_grau_saida"),
-            _entries_map(G.top_degree(cd, "dst"), "node", "edges").alias("top_cds_por_grau_entrada"),
+            _one(cd, "senders").alias("cds_unicos_atendem"),
+            _one(cd, "receivers").alias("cds_unicos_atendidos"),
+            _one(cd, "edges").alias("total_conexoes"),
+            _top(net.cd_nodes, "out_degree").alias("top_cds_por_grau_saida"),
+            _top(net.cd_nodes, "in_degree").alias("top_cds_por_grau_entrada"),
         ).alias("analise_cd_cd"),
         _scc_struct(net.cd_nodes, "cds_em_ciclos").alias("complexidade_cd_cd"),
         _hier_struct(net.cd_levels, n_sources, "cds_fonte").alias("hierarquia_cd_cd"),
         F.struct(
-            quality.distinct_scalar(st, "src").alias("cds_unicos_entregam"),
-            quality.distinct_scalar(st, "dst").alias("lojas_unicas_atendidas"),
-            st.agg(F.count(F.lit(1))).scalar().alias("total_conexoes"),
-            _entries_map(G.top_degree(st, "src"), "node", "edges").alias("top_cds_por_lojas_atendidas"),
+            n_store_cds.alias("cds_unicos_entregam"),
+            _one(st, "receivers").alias("lojas_unicas_atendidas"),
+            _one(st, "edges").alias("total_conexoes"),
+            _top(net.store_nodes, "out_degree").alias("top_cds_por_lojas_atendidas"),
         ).alias("analise_cd_loja"),
         _scc_struct(net.store_nodes, "filiais_em_ciclos").alias("complexidade_cd_loja"),
         _hier_struct(net.store_levels, n_store_cds, "cds_no_grafo").alias("hierarquia_cd_loja"),

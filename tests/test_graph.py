@@ -240,7 +240,7 @@ PLAN = "supplying_cd long, delivering_cd long, store long"
 LINES = [(1, 2, 100), (1, 2, 100), (2, 2, 101), (1, 3, 2), (None, 4, 102), (3, 3, 3), (2, None, 100), (3, 1, None)]
 
 
-@pytest.mark.parametrize("name", ["t3_top_nodes"])
+@pytest.mark.parametrize("name", ["t3_top_nodes", "s5_read_network_report"])
 def test_network_queries_make_the_plan_once(spark, monkeypatch, name):
     from stocklens.plans.registry import REGISTRY
     from stocklens.sources import testdata
@@ -260,6 +260,13 @@ def test_plan_edges_equal_the_edges_one_by_one(spark):
     assert lines.first().total_records == len(LINES)
 
 
+def test_a_plan_without_lines_is_refused(spark):
+    from stocklens.plans import network as N
+
+    with pytest.raises(ValueError, match="supply plan rows"):
+        N.build_network(spark.createDataFrame([], PLAN))
+
+
 def test_only_edges_between_nodes_open_on_both_sides_are_written(spark, monkeypatch):
     sizes = []
     real = G._ckpt
