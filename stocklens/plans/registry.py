@@ -399,7 +399,8 @@ def _a10(i: Inputs) -> DataFrame:
 
 @register("a11_network_totals")
 def _a11(i: Inputs) -> DataFrame:
-    return G.network_totals(_nodes((_cd_edges(i), _st_edges(i))), G.edge_table(_cd_edges(i), _st_edges(i)))
+    edges = _both(i)
+    return G.network_totals(_nodes(edges), G.edge_table(*edges))
 
 
 @register("a9_value_counts")
