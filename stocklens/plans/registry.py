@@ -378,7 +378,7 @@ def _g10(i: Inputs) -> DataFrame:
 
 @register("g11_node_metrics")
 def _g11(i: Inputs) -> DataFrame:
-    return _nodes((_cd_edges(i), _st_edges(i)))
+    return _nodes(_both(i))
 
 
 @register("g12_edge_table")
