@@ -436,7 +436,7 @@ def _t3n(i: Inputs) -> DataFrame:
 
 @register("g15_network_layout")
 def _g15(i: Inputs) -> DataFrame:
-    return G.network_layout(_nodes((_cd_edges(i), _st_edges(i))))
+    return G.network_layout(_nodes(_both(i)))
 
 
 @register("j9_edge_coordinates")
