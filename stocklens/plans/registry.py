@@ -441,7 +441,8 @@ def _g15(i: Inputs) -> DataFrame:
 
 @register("j9_edge_coordinates")
 def _j9(i: Inputs) -> DataFrame:
-    return G.edge_coordinates(G.edge_table(_cd_edges(i), _st_edges(i)), G.network_layout(_nodes((_cd_edges(i), _st_edges(i)))))
+    edges = _both(i)
+    return G.edge_coordinates(G.edge_table(*edges), G.network_layout(_nodes(edges)))
 
 
 @register("g14_network_report")

@@ -240,7 +240,7 @@ PLAN = "supplying_cd long, delivering_cd long, store long"
 LINES = [(1, 2, 100), (1, 2, 100), (2, 2, 101), (1, 3, 2), (None, 4, 102), (3, 3, 3), (2, None, 100), (3, 1, None)]
 
 
-@pytest.mark.parametrize("name", ["a11_network_totals", "t3_top_nodes", "g11_node_metrics", "g15_network_layout", "s5_read_network_report"])
+@pytest.mark.parametrize("name", ["a11_network_totals", "t3_top_nodes", "g11_node_metrics", "g15_network_layout", "j9_edge_coordinates", "s5_read_network_report"])
 def test_network_queries_make_the_plan_once(spark, monkeypatch, name):
     from stocklens.plans.registry import REGISTRY
     from stocklens.sources import testdata
