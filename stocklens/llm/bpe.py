@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ LETTER, DIGIT, OTHER, SPACE, ODD = range(5)
 #: Bytes split at once; temporaries are about 60 times that.
 SEGMENT = 1 << 19
 #: Distinct pre-tokens kept; a full table is started anew, which costs time only.
-KEPT = 200_000
+KEPT = 500_000
 
 
 def _byte_kinds() -> np.ndarray:
@@ -70,7 +71,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 def _merger(path: str):
-    """A faster coder of single pre-tokens for the same vocabulary, where its ids are the order
+    """A faster coder of single pre-tokens, given as bytes, for the same vocabulary, where its ids are the order
     of its merges (tests hold both against each other); else None."""
     import tiktoken
 
@@ -82,7 +83,7 @@ def _merger(path: str):
         return None
     letters = _byte_letters()
     ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if i < first + len(pairs)}
-    return tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
 
 class BytePairEncoder:
@@ -91,7 +92,7 @@ class BytePairEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.piece = _merger(path) or (lambda text: self.library.encode(text, add_special_tokens=False).ids)
+        self.piece = _merger(path) or (lambda raw: self.library.encode(raw.decode(), add_special_tokens=False).ids)
         rng = np.random.default_rng(20)
         self.byte_value = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
         base = int(rng.integers(2**60, 2**62)) * 2 + 1
@@ -196,8 +197,7 @@ class BytePairEncoder:
             return self._apart(raw, starts, ends)
         if len(self.slot) + len(distinct) > KEPT:
             self._forget()
-        get = self.slot.get
-        slots = np.fromiter((get(x, -1) for x in distinct.tolist()), dtype=np.int64, count=len(distinct))
+        slots = np.fromiter(map(self.slot.get, distinct.tolist(), repeat(-1)), dtype=np.int64, count=len(distinct))
         old = np.flatnonzero(slots >= 0)
         if not self._same(raw, slots[old], starts[sample[old]], sizes[sample[old]], head[sample[old]]):
             return self._apart(raw, starts, ends)
@@ -231,15 +231,15 @@ class BytePairEncoder:
         found = []
         for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
             if (text := raw[a:b]) not in held:
-                held[text] = self.piece(text.decode())
+                held[text] = self.piece(text)
             found.append(held[text])
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return starts, size, np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(size.sum()))
+        return starts, size, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(size.sum()))
 
     def _learn(self, keys: np.ndarray, texts: list[bytes], head: np.ndarray) -> np.ndarray:
-        found = [self.piece(t.decode()) for t in texts]
+        found = [self.piece(t) for t in texts]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ids = np.fromiter((x for f in found for x in f), dtype=np.uint32, count=int(sizes.sum()))
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
         slot = len(self.slot)
         while slot + len(found) > len(self.first):
             self.first, self.size, self.bytes = (np.append(x, np.zeros_like(x)) for x in (self.first, self.size, self.bytes))
@@ -252,8 +252,9 @@ class BytePairEncoder:
         self.ids[self.filled : self.filled + len(ids)] = ids
         self.filled += len(ids)
         self.slot.update(zip(keys.tolist(), slots.tolist(), strict=True))
-        self.head[slots], self.bytes[slots] = head, [len(t) for t in texts]
-        self.long.update((s, t) for s, t in zip(slots.tolist(), texts, strict=True) if len(t) > 8 * HEAD)
+        self.head[slots], self.bytes[slots] = head, np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        more = np.flatnonzero(self.bytes[slots] > 8 * HEAD)
+        self.long.update((slot + i, texts[i]) for i in more.tolist())
         return slots
 
 

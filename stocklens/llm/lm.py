@@ -24,12 +24,27 @@ BATCH = 16384
 RATE = 0.6
 #: Positions predicted at once when scoring, and those whose first choice is.
 CHUNK, TILE = 1 << 14, 1024
-#: Positions whose windows are summed at once.
-BLOCK = 8192
+#: Positions whose windows are summed at once; their vectors stay in a core's cache.
+BLOCK = 1024
+#: Logits up to this one need no shift before their exponentials.
+STEADY = 60
 #: Positions of a text that the same round masks.
 RUN = 1024
 
 
+class Scratch:
+    """Memory that steps and scores use again: fresh memory costs more than the sums in it."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, rows: int, width: int) -> np.ndarray:
+        found = self.held.get(name)
+        if found is None or len(found) < rows or found.shape[1] != width:
+            found = self.held[name] = np.empty((rows, width), dtype=np.float32)
+        return found[:rows]
+
+
 class Network:
     """Token vectors, weighted by their place in the window and summed, through tanh, predict
     the token between them by a few choices, each a softmax over at most ``branch`` ways, that
@@ -77,8 +92,8 @@ class Network:
         every = np.arange(vocabulary)
         self.second = np.where(depth > 1, nodes[np.maximum(depth - 2, 0), every], -1).astype(np.int32)
         self.turns = [ways[depth - 1, every].astype(np.int32), np.where(depth > 1, ways[np.maximum(depth - 2, 0), every], 0).astype(np.int32)]
-        self.deep = np.maximum(depth - 2, 0)
-        self.first = np.cumsum(self.deep) - self.deep
+        self.deep = np.maximum(depth - 2, 0).astype(np.int16)
+        self.first = np.cumsum(self.deep, dtype=np.int64) - self.deep
         height = np.arange(self.deep.sum()) - np.repeat(self.first, self.deep)
         self.node, self.turn = (x[height, np.repeat(every, self.deep)].astype(np.int32) for x in (nodes, ways))
         return np.array(shares[::-1], dtype=np.float32)
@@ -95,86 +110,126 @@ class Network:
             total += part
         return np.tanh(total, out=total)
 
-    def over(self, stretch: np.ndarray) -> np.ndarray:
+    def over(self, stretch: np.ndarray, scratch: Scratch | None = None) -> np.ndarray:
         """Hidden vectors of the positions of a stretch that are a window from its ends."""
-        w = self.window
-        inside, vectors = len(stretch) - 2 * w, np.take(self.token, stretch, axis=0)
-        gaps = [g for g in range(2 * w + 1) if g != w]
-        total = self.place[0] * vectors[gaps[0] : gaps[0] + inside]
-        total += self.shift
-        for j, g in enumerate(gaps[1:], 1):
-            total += self.place[j] * vectors[g : g + inside]
-        return np.tanh(total, out=total)
+        scratch, width = scratch or Scratch(), self.token.shape[1]
+        vectors = np.take(self.token, stretch, axis=0, out=scratch("vectors", len(stretch), width), mode="clip")
+        return self.windows(vectors, self.tiles(), scratch("hidden", len(stretch) - 2 * self.window, width), scratch("part", BLOCK, width))
+
+    def gaps(self) -> list[int]:
+        """Where a window's vectors stand, from its first place on."""
+        return [g for g in range(2 * self.window + 1) if g != self.window]
+
+    def tiles(self) -> np.ndarray:
+        """The places' weights and the shift, repeated for a block's rows: numpy works through
+        arrays of one shape in one go, but row by row where it has to repeat a short one."""
+        return np.repeat(np.concatenate([self.place, self.shift[None]])[:, None], BLOCK, axis=1)
+
+    def windows(self, vectors: np.ndarray, tiles: np.ndarray, out: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Hidden vectors of a stretch with these token vectors, into ``out``; ``other`` is a block's room."""
+        for a in range(0, len(out), BLOCK):
+            total = out[a : a + BLOCK]
+            n = len(total)
+            for j, g in enumerate(self.gaps()):
+                if j:
+                    total += np.multiply(vectors[g + a : g + a + n], tiles[j, :n], out=other[:n])
+                else:
+                    np.multiply(vectors[g + a : g + a + n], tiles[j, :n], out=total)
+                    total += tiles[-1, :n]
+            np.tanh(total, out=total)
+        return out
 
     def conditional(self, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log-probability of each id between its neighbours (a row of ``around`` per place)."""
         return self.told(self.hidden(around), ids)
 
-    def told(self, hidden: np.ndarray, ids: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    def told(self, hidden: np.ndarray, ids: np.ndarray, at: np.ndarray | None = None, scratch: Scratch | None = None) -> np.ndarray:
         """Log-probability of each id given its hidden vector, the one at ``at`` if that is given:
         the sum over the choices to it."""
         order, stands = self.stands(ids)
-        ids, wide, sums, ones = ids[order], with_ones(hidden, order if at is None else at[order]), np.zeros(len(ids), dtype=np.float32), np.ones(self.branch, dtype=np.float32)
+        ids, n = np.take(ids, order), len(ids)
+        scratch = scratch or Scratch()
+        wide, ones = with_ones(hidden, order if at is None else np.take(at, order), scratch), np.ones(self.branch, dtype=np.float32)
+        room, starts = scratch("room", min(n, TILE), self.branch), np.arange(min(n, TILE)) * self.branch
+        sums, masses = np.zeros(n, dtype=np.float32), np.ones((2, n), dtype=np.float32)
+        taken, calm = [np.take(t, ids).astype(np.int64) for t in self.turns], self.calm(stands)
         for level, node, a, b in stands:
-            logits = steady(wide[a:b] @ self.out[node].T)
-            sums[a:b] += logits[np.arange(b - a), self.turns[level][ids[a:b]]]
-            sums[a:b] -= np.log(np.exp(logits, out=logits) @ ones)
+            logits = np.matmul(wide[a:b], self.out[node].T, out=room[: b - a])
+            if not calm:
+                steady(logits)
+            sums[a:b] += np.take(logits, starts[: b - a] + taken[level][a:b])
+            np.matmul(np.exp(logits, out=logits), ones, out=masses[level, a:b])
+        sums -= np.log(masses[0])
+        sums -= np.log(masses[1])
         below = Below(self, ids)
         if below.any:
-            logits = steady(wide[below.rows] @ self.out[below.node].transpose(0, 2, 1))
-            logs = np.take_along_axis(logits, below.turns[:, :, None], axis=2)[:, :, 0]
-            logs -= np.log((np.exp(logits, out=logits).reshape(-1, self.branch) @ ones).reshape(logs.shape))
-            sums += np.bincount(below.rows[below.real], weights=logs[below.real], minlength=len(ids))
-        found = np.empty(len(ids))
+            logits = steady(np.take(wide, below.rows, axis=0) @ self.out[below.node].transpose(0, 2, 1))
+            logs = np.take(logits, below.real * self.branch + below.turns)
+            logs -= np.take(np.log(np.exp(logits, out=logits).reshape(-1, self.branch) @ ones), below.real)
+            sums += np.bincount(below.row, weights=logs, minlength=n)
+        found = np.empty(n)
         found[order] = sums
         return found
 
     def stands(self, ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
         """The order of ids by their second choice, and ``(level, node, begin, end)`` of those in
-        this order that stand together at a node of the first two levels."""
-        order, found, first = grouped(self.second[ids] + 1, len(self.out) + 1)
+        this order that stand together at a node of the first two levels, ``TILE`` at the most."""
+        order, found, first = grouped(np.take(self.second, ids) + 1, len(self.out) + 1)
         ends = np.append(first[1:], len(ids))
-        tiles = [(0, 0, i, min(i + TILE, len(ids))) for i in range(0, len(ids), TILE)]
-        return order, tiles + [(1, n - 1, a, b) for n, a, b in zip(found.tolist(), first.tolist(), ends.tolist(), strict=True) if n]
+        runs = [(0, 0, 0, len(ids))] + [(1, n - 1, a, b) for n, a, b in zip(found.tolist(), first.tolist(), ends.tolist(), strict=True) if n]
+        return order, [(level, node, i, min(i + TILE, b)) for level, node, a, b in runs for i in range(a, b, TILE)]
+
+    def calm(self, stands: list[tuple[int, int, int, int]]) -> bool:
+        """Whether no logit there can be large, hidden components being between -1 and 1."""
+        ways = self.out[sorted({node for _, node, _, _ in stands})]
+        return bool(len(ways)) and bool((np.abs(ways[:, :, :-1]).sum(axis=2) + ways[:, :, -1]).max() <= STEADY)
 
 
 class Below:
     """The choices of ids below the first two levels, in rows of equal length that stand at one
-    node each: ``rows`` the positions, ``turns`` the ways they take, ``real`` which places are
-    not filling. A node with many choices has many rows, so a common one makes none longer.
-    ``nodes`` are the distinct ones, ``counts`` their choices and ``first`` their first rows."""
+    node each. A node with many choices has many rows, so a common one makes none longer.
+    ``nodes`` are the distinct ones, ``counts`` their choices, ``first`` and ``parts`` their
+    first rows and how many; ``node`` is each row's. ``rows`` are the positions, one past the
+    last where a row has filling. Choice by choice, in the nodes' order: ``real`` its place among
+    the rows', ``row`` its position and ``turns`` the way it takes. ``level`` holds, for each of
+    the levels, the choices there: no position is twice among them."""
 
     def __init__(self, net: Network, ids: np.ndarray) -> None:
-        deep = net.deep[ids]
-        row = np.repeat(np.arange(len(ids)), deep)
-        self.any = len(row) > 0
+        deep = np.take(net.deep, ids)
+        some = np.flatnonzero(deep)
+        self.any = len(some) > 0
         if not self.any:
             return
-        at = np.arange(len(row)) + np.repeat(net.first[ids] - (np.cumsum(deep) - deep), deep)
+        deep = deep[some].astype(np.int64)
+        row, begin = np.repeat(some, deep), np.cumsum(deep) - deep
+        step = np.arange(len(row)) - np.repeat(begin, deep)
+        at = step + np.repeat(net.first[ids[some]], deep)
         order, self.nodes, first = grouped(net.node[at], len(net.out))
         self.counts = np.diff(np.append(first, len(row)))
         long = int(np.clip(1 << int(np.ceil(np.log2(len(row) / len(first)))), 4, 64))
-        parts = -(-self.counts // long)
-        self.node, self.first = np.repeat(self.nodes, parts), np.cumsum(parts) - parts
-        begin = np.repeat(first, parts) + (np.arange(len(self.node)) - np.repeat(self.first, parts)) * long
-        end = np.repeat(first + self.counts, parts)[:, None]
-        index = begin[:, None] + np.arange(long)
-        self.real = index < end
-        self.entry = order[np.minimum(index, end - 1)]
-        self.rows, self.turns = row[self.entry], net.turn[at][self.entry]
-        self.row = row
-
-
-def with_ones(hidden: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The rows in an order, each with a one at its end, which meets the bias."""
-    wide = np.ones((len(order), hidden.shape[1] + 1), dtype=np.float32)
-    wide[:, :-1] = hidden[order]
-    return wide
+        self.parts = -(-self.counts // long)
+        self.node, self.first = np.repeat(self.nodes, self.parts), np.cumsum(self.parts) - self.parts
+        self.real = np.arange(len(row)) + np.repeat(self.first * long - first, self.counts)
+        self.row, self.turns, step = row[order], net.turn[at[order]], step[order]
+        self.rows = np.full(len(self.node) * long, len(ids))
+        self.rows[self.real] = self.row
+        self.rows = self.rows.reshape(-1, long)
+        self.level = [np.flatnonzero(step == k) for k in range(int(deep.max()))]
+
+
+def with_ones(hidden: np.ndarray, order: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """The rows in an order, each with a one at its end, which meets the bias, and a row of zeros."""
+    n, width = hidden.shape
+    wide = scratch("with ones", n + 1, width + 1)
+    wide[:-1, :-1] = hidden
+    wide[:, -1] = 1
+    wide[-1] = 0
+    return np.take(wide, np.append(order, n), axis=0, out=scratch("in order", len(order) + 1, width + 1), mode="clip")
 
 
 def steady(logits: np.ndarray) -> np.ndarray:
     """Shifted by each row's largest, if exponentials could leave a float's range."""
-    if logits.size and logits.max() > 60:
+    if logits.size and logits.max() > STEADY:
         logits -= logits.max(axis=-1, keepdims=True)
     return logits
 
@@ -202,37 +257,33 @@ class Learner:
         self.out_square = np.full_like(net.out, 1e-2)
         self.moved = np.zeros(len(net.token) + len(net.out), dtype=np.int64)
         self.steps = 0
-        self.ones = np.ones(net.branch, dtype=np.float32)
-        self.scratch: dict[str, np.ndarray] = {}
+        self.ones, self.starts = np.ones(net.branch, dtype=np.float32), np.arange(TILE) * net.branch
+        self.rows_ones = np.ones(BLOCK, dtype=np.float32)
+        self.scratch = Scratch()
 
     def step(self, stretch: np.ndarray, at: np.ndarray) -> None:
         """Learn from the positions ``at`` of a ``stretch`` of ids that begins and ends a window
         before the first and after the last of them."""
         net, w, n = self.net, self.net.window, len(at)
-        inside = len(stretch) - 2 * w
-        gaps = [g for g in range(2 * w + 1) if g != w]
-        vectors, part = self._scratch("vectors", len(stretch)), self._scratch("part", BLOCK)
+        inside, gaps, tiles = len(stretch) - 2 * w, net.gaps(), net.tiles()
+        vectors = self._scratch("vectors", len(stretch))
         np.take(net.token, stretch, axis=0, out=vectors, mode="clip")
-        hidden = self._scratch("hidden", inside)
-        blocks = [(i, min(i + BLOCK, inside)) for i in range(0, inside, BLOCK)]
-        for a, b in blocks:
-            some, other = hidden[a:b], part[: b - a]
-            np.multiply(vectors[gaps[0] + a : gaps[0] + b], net.place[0], out=some)
-            some += net.shift
-            for j, g in enumerate(gaps[1:], 1):
-                some += np.multiply(vectors[g + a : g + b], net.place[j], out=other)
-            np.tanh(some, out=some)
+        hidden = net.windows(vectors, tiles, self._scratch("hidden", inside), self._scratch("part", BLOCK))
         pulled, used = self._choose(hidden, stretch[at + w], at), np.zeros(inside, dtype=np.int64)
         used[at] = 1
-        hidden *= hidden
-        pulled *= np.subtract(1.0, hidden, out=hidden)
-        slopes = {"shift": pulled.sum(axis=0) / n, "place": np.zeros_like(net.place)}
-        pushed, uses = self._scratch("pushed", len(stretch)), np.zeros(len(stretch), dtype=np.int64)
+        slopes = {"shift": np.zeros_like(net.shift), "place": np.zeros_like(net.place)}
+        pushed, part, uses = self._scratch("pushed", len(stretch)), self._scratch("part", BLOCK), np.zeros(len(stretch), dtype=np.int64)
         pushed[:] = 0
-        for a, b in blocks:
+        for a in range(0, inside, BLOCK):
+            here, back = hidden[a : a + BLOCK], pulled[a : a + BLOCK]
+            b = a + len(here)
+            here *= here
+            back *= np.subtract(1.0, here, out=here)
+            ones = self.rows_ones[: b - a]
+            slopes["shift"] += ones @ back / n
             for j, g in enumerate(gaps):
-                slopes["place"][j] += np.einsum("ij,ij->j", pulled[a:b], vectors[g + a : g + b]) / n
-                pushed[g + a : g + b] += np.multiply(pulled[a:b], net.place[j], out=part[: b - a])
+                slopes["place"][j] += ones @ np.multiply(back, vectors[g + a : g + b], out=part[: b - a]) / n
+                pushed[g + a : g + b] += np.multiply(back, tiles[j, : b - a], out=part[: b - a])
         for g in gaps:
             uses[g : g + inside] += used
         self._tokens(stretch, pushed, uses)
@@ -242,19 +293,18 @@ class Learner:
         self.steps += 1
 
     def _scratch(self, name: str, rows: int) -> np.ndarray:
-        """Memory that the steps use again: fresh memory costs more than the sums in it."""
-        if len(self.scratch.get(name, ())) < rows:
-            self.scratch[name] = np.empty((rows, self.net.token.shape[1]), dtype=np.float32)
-        return self.scratch[name][:rows]
+        return self.scratch(name, rows, self.net.token.shape[1])
 
     def _tokens(self, stretch: np.ndarray, pushed: np.ndarray, uses: np.ndarray) -> None:
         """Move the vectors of the stretch's tokens by the mean slope over their uses."""
         order, rows, first = grouped(stretch, len(self.net.token))
-        uses = np.add.reduceat(uses[order], first)
-        total = np.add.reduceat(pushed[order], first, axis=0)
+        uses = np.add.reduceat(np.take(uses, order), first)
+        sorted_ = np.take(pushed, order, axis=0, out=self._scratch("sorted", len(order)), mode="clip")
+        # Two floats at a time, as a complex number's parts.
+        total = np.add.reduceat(sorted_.view(np.complex64) if sorted_.shape[1] % 2 == 0 else sorted_, first, axis=0).view(np.float32)
         if not uses.all():
             rows, total, uses = rows[uses > 0], total[uses > 0], uses[uses > 0]
-        total /= uses[:, None]
+        total /= uses[:, None].astype(np.float32)
         self.token_square[rows] += np.einsum("ij,ij->i", total, total) / total.shape[1]
         self.net.token[rows] -= (self.rate * total / np.sqrt(self.token_square[rows])[:, None]).astype(np.float32)
         self.moved[rows] += uses
@@ -264,40 +314,48 @@ class Learner:
         vectors come back."""
         net, ones = self.net, self.ones
         order, stands = net.stands(ids)
-        ids, at = ids[order], at[order]
-        wide, back = with_ones(hidden, at), np.zeros((len(at), hidden.shape[1]), dtype=np.float32)
+        ids, at, n = np.take(ids, order), np.take(at, order), len(ids)
+        wide, back = with_ones(hidden, at, self.scratch), self._scratch("back", n + 1)
+        back[n] = 0
+        room, part = self.scratch("room", TILE, net.branch), self._scratch("part", max(BLOCK, TILE))
+        taken, calm = [np.take(t, ids).astype(np.int64) for t in net.turns], net.calm(stands)
         slopes: dict[int, np.ndarray] = {}
         uses: dict[int, int] = {}
         for level, node, a, b in stands:
             seen, ways = wide[a:b], net.out[node]
-            error = steady(seen @ ways.T)
+            error = np.matmul(seen, ways.T, out=room[: b - a])
+            if not calm:
+                steady(error)
             np.exp(error, out=error)
             error /= (error @ ones)[:, None]
-            error.reshape(-1)[np.arange(0, error.size, net.branch) + net.turns[level][ids[a:b]]] -= 1.0
-            back[a:b] += error @ ways[:, :-1]
+            error.reshape(-1)[self.starts[: b - a] + taken[level][a:b]] -= 1.0
+            if level:
+                back[a:b] += np.matmul(error, ways[:, :-1], out=part[: b - a])
+            else:
+                np.matmul(error, ways[:, :-1], out=back[a:b])
             slopes[node] = slopes[node] + error.T @ seen if node in slopes else error.T @ seen
             uses[node] = uses.get(node, 0) + b - a
         self._move(np.array(list(slopes)), np.stack(list(slopes.values())), np.array(list(uses.values())))
         below = Below(net, ids)
         if below.any:
-            seen, ways = wide[below.rows], net.out[below.node]
+            seen, ways = np.take(wide, below.rows, axis=0), net.out[below.node]
             error = steady(seen @ ways.transpose(0, 2, 1))
             np.exp(error, out=error)
             flat = error.reshape(-1, net.branch)
             flat /= (flat @ ones)[:, None]
-            error.reshape(-1)[np.arange(0, error.size, net.branch) + below.turns.ravel()] -= 1.0
-            flat *= below.real.reshape(-1, 1)
-            pulled = np.empty((len(below.row), hidden.shape[1]), dtype=np.float32)
-            pulled[below.entry[below.real]] = (error @ ways[:, :, :-1])[below.real]
-            start = np.flatnonzero(np.diff(below.row, prepend=-1))
-            back[below.row[start]] += np.add.reduceat(pulled, start, axis=0)
-            slope = error.transpose(0, 2, 1) @ seen
-            if len(below.first) < len(slope):
-                slope = np.add.reduceat(slope, below.first, axis=0)
+            error.reshape(-1)[below.real * net.branch + below.turns] -= 1.0
+            pulled = np.take((error @ ways[:, :, :-1]).reshape(-1, hidden.shape[1]), below.real, axis=0)
+            for there in below.level:
+                back[below.row[there]] += pulled[there]
+            each = error.transpose(0, 2, 1) @ seen  # filling meets zeros
+            slope = each[below.first]
+            for k in range(1, int(below.parts.max())):
+                more = np.flatnonzero(below.parts > k)
+                slope[more] += each[below.first[more] + k]
             self._move(below.nodes, slope, below.counts)
-        found = np.zeros_like(hidden)
-        found[at] = back
-        return found
+        place = np.full(len(hidden), n)  # a position that is not among them gets zeros
+        place[at] = np.arange(n)
+        return np.take(back, place, axis=0, out=self._scratch("pulled", len(hidden)), mode="clip")
 
     def _move(self, nodes: np.ndarray, slope: np.ndarray, uses: np.ndarray) -> None:
         """Move the vectors of nodes by the mean slope over their uses."""
@@ -364,14 +422,29 @@ def corpus_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
-def turns(ids: np.ndarray, offsets: np.ndarray, rounds: int, run: int = RUN) -> np.ndarray:
-    """The one round that masks each position: runs of a text are dealt to rounds by their place
-    in it and by the sum of its ids, the same in any task."""
+def runs(ids: np.ndarray, offsets: np.ndarray, rounds: int, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of the texts' positions: where each begins, its length, its text, and the one round
+    that masks it. Runs are dealt to rounds by their place in the text and by the sum of its ids,
+    the same in any task."""
     sizes = np.diff(offsets)
     upto = np.concatenate([[0], np.cumsum(ids, dtype=np.int64)])
-    text = upto[offsets[1:]] - upto[offsets[:-1]] + sizes
-    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)
-    return ((np.repeat(text, sizes) + place // run + 1) * 0x9E3779B1 >> 16) % rounds
+    sums = upto[offsets[1:]] - upto[offsets[:-1]] + sizes
+    each = -(-sizes // run)
+    text = np.repeat(np.arange(len(sizes)), each)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
+    return offsets[text] + nth * run, np.minimum(sizes[text] - nth * run, run), text, ((sums[text] + nth + 1) * 0x9E3779B1 >> 16) % rounds
+
+
+def stretched(ids: np.ndarray, offsets: np.ndarray, first: np.ndarray, long: np.ndarray, text: np.ndarray, window: int, beyond: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of texts on end, each between a window of what stands there in its text or
+    ``beyond``, and where their positions are in it."""
+    sizes = long + 2 * window
+    begin, edge = np.cumsum(sizes) - sizes, np.full(window, beyond, dtype=np.int32)
+    wide = np.take(np.concatenate([edge, ids, edge]), np.arange(sizes.sum()) + np.repeat(first - begin, sizes))
+    for k in range(window):
+        wide[begin[first - window + k < offsets[text]] + k] = beyond
+        wide[(begin + window + long + k)[first + long + k >= offsets[text + 1]]] = beyond
+    return wide, np.arange(long.sum()) + np.repeat(begin + window - (np.cumsum(long) - long), long)
 
 
 def _trained(net: Network, round_: int, rounds: int, seed: int, batch_size: int, rate: float):
@@ -384,15 +457,11 @@ def _trained(net: Network, round_: int, rounds: int, seed: int, batch_size: int,
         rng, learner, beyond = np.random.default_rng([seed, round_, task]), Learner(net, rate), len(net.token) - 1
         for batch in batches:
             for _, ids, offsets in _texts(batch):
-                masked = turns(ids, offsets, rounds) == round_
-                seen = np.concatenate([[0], np.cumsum(masked)])
-                some = np.flatnonzero(seen[offsets[1:]] > seen[offsets[:-1]])  # texts with a run of this round
-                if not len(some):
+                first, long, text, turn = runs(ids, offsets, rounds)
+                own = turn == round_
+                if not own.any():
                     continue
-                sizes = np.diff(offsets)[some]
-                own = np.arange(sizes.sum()) + np.repeat(offsets[some] - (np.cumsum(sizes) - sizes), sizes)
-                wide, place = spread(ids[own], np.concatenate([[0], np.cumsum(sizes)]), net.window, beyond)
-                at = place[masked[own]]
+                wide, at = stretched(ids, offsets, first[own], long[own], text[own], net.window, beyond)
                 for i in rng.permutation(np.arange(0, len(at), batch_size)).tolist():
                     part = at[i : i + batch_size]
                     low = part[0] - net.window
@@ -476,6 +545,7 @@ def score_tokens(tokens: DataFrame, net: Network) -> DataFrame:
     shared = tokens.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
+        scratch = Scratch()
         for batch in batches:
             model, sums, sizes = shared.value, [], []
             for _, ids, offsets in _texts(batch):
@@ -483,8 +553,8 @@ def score_tokens(tokens: DataFrame, net: Network) -> DataFrame:
                 wide, place = spread(ids, offsets, w, len(model.token) - 1)
                 for i in range(0, len(ids), CHUNK):
                     at = place[i : i + CHUNK]
-                    hidden = model.over(wide[at[0] - w : at[-1] + w + 1])
-                    logs[i : i + CHUNK] = model.told(hidden, ids[i : i + CHUNK], at - at[0])
+                    hidden = model.over(wide[at[0] - w : at[-1] + w + 1], scratch)
+                    logs[i : i + CHUNK] = model.told(hidden, ids[i : i + CHUNK], at - at[0], scratch)
                 sums += [float(logs[a:b].sum()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 sizes += np.diff(offsets).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])

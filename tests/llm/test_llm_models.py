@@ -273,6 +273,43 @@ def test_rounds_learn_from_every_position_once(monkeypatch, rounds):
     assert sorted(np.concatenate(seen).tolist()) == list(range(count))
 
 
+def test_steps_hold_no_positions_of_other_rounds(monkeypatch):
+    """A stretch is as long as the runs that its round masks, with a window around each."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 60, n).astype("<u4") for n in (9 * lm.RUN + 7, 3, lm.RUN, 0, 4 * lm.RUN + 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
+    seen = []
+    monkeypatch.setattr(lm.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    monkeypatch.setattr(lm.Learner, "step", lambda self, stretch, at: seen.append((len(stretch), len(at))))
+    for r in range(2):
+        list(lm._trained(lm.Network(np.ones(60)), r, 2, 0, lm.BATCH, 0.1)(iter([batch])))
+    assert sum(n for _, n in seen) == sum(map(len, texts)) and len(seen) == 2
+    assert sum(n for n, _ in seen) == sum(map(len, texts)) + 4 * sum(-(-len(t) // lm.RUN) for t in texts)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_steps_and_scores_with_large_logits(large):
+    """Choices whose exponentials leave a float's range are shifted, and others are not changed by it."""
+    net, rng = small_network(3)
+    if large:
+        net.out[:, :, :-1] *= 400
+    ids = rng.integers(0, 60, 300).astype(np.int32)
+    wide, place = lm.spread(ids, np.array([0, len(ids)]), 2, 60)
+    hidden = net.over(wide)
+    assert net.calm(net.stands(ids)[1]) != large
+    told, exact = net.told(hidden, ids), np.zeros(len(ids))
+    for i, token in enumerate(ids):
+        way = [(0, net.turns[0][token])] + [(net.second[token], net.turns[1][token])] * int(net.second[token] >= 0)
+        way += [(net.node[k], net.turn[k]) for k in range(net.first[token], net.first[token] + net.deep[token])]
+        for node, turn in way:
+            logits = (net.out[node] @ np.append(hidden[i], 1.0)).astype(float)
+            exact[i] += logits[turn] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+    assert np.allclose(told, exact, rtol=1e-3, atol=1e-3 if not large else 0.1) and np.isfinite(told).all()
+    learner = lm.Learner(net, 0.1)
+    learner.step(wide, place - 2)
+    assert np.isfinite(net.out).all() and np.isfinite(net.token).all()
+
+
 def test_scoring_odd_documents(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "word " * 30000, "a"), (4, "x y z", "a"), (4, "x y z", "a")], "doc_id long, text string, ids string")
     rows = lm.score_documents(docs, tokenizer(), 50257, rounds=1).collect()

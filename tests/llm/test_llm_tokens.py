@@ -40,6 +40,19 @@ def test_encoder_equals_library(library, monkeypatch):
     assert same(library, coder, ["".join(rng.choices("abc de fgh'\n", k=4000)) for _ in range(20)])
 
 
+def test_many_words_are_coded_once():
+    """The table holds the words of several files' tasks: a vocabulary of 300,000 is not coded again."""
+    coder, coded = bpe.BytePairEncoder(tokenizer()), []
+    piece = coder.piece
+    coder.piece = lambda word: coded.append(1) or piece(word)
+    texts = [" ".join(f"{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}{chr(97 + j // 676 % 26)}{chr(97 + j // 17576)}" for j in range(i, i + 1000)) for i in range(0, 300_000, 1000)]
+    first = coder.encode(*bpe.text_buffers(pa.array(texts)))
+    known = len(coded)
+    again = coder.encode(*bpe.text_buffers(pa.array(texts)))
+    assert known >= 300_000 and len(coded) == known
+    assert all((a == b).all() for a, b in zip(first, again))
+
+
 def test_words_that_share_a_hash_have_their_own_ids(library):
     """A Thue-Morse word and its complement collide under every polynomial hash modulo 2 ** 64."""
     bits = [bin(i).count("1") % 2 for i in range(2048)]
