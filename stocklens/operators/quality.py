@@ -33,7 +33,33 @@ def distinct_count(df: DataFrame, cols: tuple[str, ...] | list[str]) -> DataFram
 
     A row becomes one small row a column, of which the map side keeps each value once before
     anything is shuffled, so a value that a third of all rows have is sent once a task."""
-    return df.agg(*[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in cols])
+    return by_value(df, cols).agg(*distinct_values(cols))
+
+
+def by_value(df: DataFrame, cols: tuple[str, ...] | list[str], **kept: Column) -> DataFrame:
+    """A row for each value that ``column`` number so and so of ``cols`` has, in one pass over
+    ``df``; the aggregates ``kept`` are taken over the first column's rows only."""
+    every = df.select(*cols, *[c for c in df.columns if kept and c not in cols])
+    types = {f.name: f.dataType for f in every.schema}
+
+    def row(i: int) -> Column:
+        own = lambda c, here: (F.col(c) if here else F.lit(None)).cast(types[c])
+        return F.struct(
+            F.lit(i).alias("column"), *[own(c, i == j).alias(f"value_{j}") for j, c in enumerate(cols)],
+            *[own(c, i == 0).alias(c) for c in every.columns if c not in cols],
+        )
+
+    rows = every.select(F.explode(F.array(*[row(i) for i in range(len(cols))])).alias("row")).select("row.*")
+    grouped = rows.groupBy("column", *[f"value_{j}" for j in range(len(cols))])
+    return grouped.agg(*[a.alias(name) for name, a in kept.items()]) if kept else grouped.agg(F.count(F.lit(1)).alias("n"))
+
+
+def distinct_values(cols: tuple[str, ...] | list[str], names: tuple[str, ...] | None = None) -> list[Column]:
+    """The numbers of non-NULL values of ``cols``, over the rows of ``by_value``."""
+    return [
+        F.count_if((F.col("column") == i) & F.col(f"value_{i}").isNotNull()).alias(name)
+        for i, name in enumerate(names or [f"distinct_{c}" for c in cols])
+    ]
 
 
 def distinct_scalar(df: DataFrame, col: str | Column) -> Column:
@@ -97,7 +123,7 @@ def require_rows(*dfs: DataFrame, what: str = "inputs") -> None:
 
 def row_presence(**inputs: DataFrame) -> DataFrame:
     """V1 as a table: whether each input has a row; each is read up to its first one."""
-    rows = [df.limit(1).agg(F.lit(name).alias("input"), (F.count(F.lit(1)) > 0).alias("has_rows")) for name, df in inputs.items()]
+    rows = [df.sparkSession.range(1).select(F.lit(name).alias("input"), df.exists().alias("has_rows")) for name, df in inputs.items()]
     return reduce(DataFrame.unionAll, rows)
 
 
@@ -239,9 +265,10 @@ def run_summary(sales: DataFrame, params: RunParams) -> DataFrame:
         bits.append(F.bit_or(F.when((offset >= 64 * w) & (offset < 64 * (w + 1)), shift).otherwise(F.lit(0).cast("long"))).alias(f"w{w}"))
     per_key = sales.groupBy("branch", "sku").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"), *bits)
     days = reduce(lambda a, b: a + b, [F.bit_count(F.bit_or(f"w{w}")) for w in words])
-    return per_key.agg(
+    kept = {"rows": F.sum("rows"), "first_day": F.min("first_day"), "last_day": F.max("last_day")} | {f"w{w}": F.bit_or(f"w{w}") for w in words}
+    return by_value(per_key, ("branch", "sku"), **kept).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
-        F.count_distinct("branch").alias("distinct_branches"), F.count_distinct("sku").alias("distinct_skus"),
+        *distinct_values(("branch", "sku"), ("distinct_branches", "distinct_skus")),
         F.coalesce(days, F.lit(0)).cast("long").alias("distinct_days"),
         F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
     ).select("rows", "distinct_branches", "distinct_skus", "distinct_days", "first_day", "last_day",

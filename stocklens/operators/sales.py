@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions.columns import sale_flag, scaled, unscaled
 from stocklens.functions.dates import year_month
+from stocklens.operators.quality import by_value, distinct_values
 
 # Fixed values of the source system (must equal the reference's literals).
 BALANCE_STATE = "1 - SALDO"        # goods state excluded from sales
@@ -268,7 +269,7 @@ def sales_stats(sales: DataFrame) -> DataFrame:
     def total(c: str) -> Column:
         return unscaled(F.sum(c))
 
-    return per_key.agg(
+    return by_value(per_key, ("branch", "sku"), **{c: F.sum(c) for c in ("rows", "sold", *cents)}).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total_rows"),
         total("revenue").alias("revenue_total"),
         total("qty").alias("qty_total"),
@@ -277,8 +278,7 @@ def sales_stats(sales: DataFrame) -> DataFrame:
         total("revenue_on").alias("revenue_on"),
         total("qty_off").alias("qty_off"),
         total("qty_on").alias("qty_on"),
-        F.count_distinct("branch").alias("distinct_branches"),
-        F.count_distinct("sku").alias("distinct_skus"),
+        *distinct_values(("branch", "sku"), ("distinct_branches", "distinct_skus")),
     )
 
 
